@@ -26,7 +26,7 @@ def recent_changes(trail: DataFrame, n: int = 20) -> DataFrame:
     return (
         trail.select("table_name", "operation_type", "record_key", "changed_columns", "change_reason",
                      "etl_batch_id", "changed_at")
-        .orderBy(F.desc("changed_at"), "record_key")
+        .orderBy(F.desc("changed_at"), "record_key", "changed_columns")
         .limit(n)
     )
 
