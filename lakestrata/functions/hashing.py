@@ -8,24 +8,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _as_text(c: Column, missing: str) -> Column:
-    return F.coalesce(c.cast("string"), F.lit(missing))
-
-
-def _joined(cols: Iterable[Column], missing: str = "") -> Column:
-    return F.concat_ws("|", *[_as_text(c, missing) for c in cols])
+def _joined(cols: Iterable[str], missing: str = "") -> Column:
+    """Text of the columns joined by '|', built as one expression string (wide tables, one call)."""
+    parts = ", ".join(f"coalesce(cast({c} as string), '{missing}')" for c in cols)
+    return F.expr(f"concat_ws('|', {parts})")
 
 
 def row_hash(cols: Iterable[str]) -> Column:
     """MD5 over the cleaned business columns, in order; NULL and '' count as equal."""
-    return F.md5(_joined(F.col(c) for c in cols))
+    return F.md5(_joined(cols))
 
 
-def record_hash(cols: Iterable[Column]) -> Column:
+def record_hash(cols: Iterable[str]) -> Column:
     """SHA-256 over the tracked attributes of a dimension version."""
     return F.sha2(_joined(cols), 256)
 
 
 def landing_hash(cols: Iterable[str]) -> Column:
     """MD5 over raw business columns in column-name order; NULL is a distinct value."""
-    return F.md5(_joined((F.col(c) for c in sorted(cols)), missing="None"))
+    return F.md5(_joined(sorted(cols), missing="None"))

@@ -9,13 +9,16 @@ UNKNOWN = -1
 
 
 def as_of_lookup(
-    rows: DataFrame, dim: DataFrame, id_col: str | Column, on_date: str | Column, key: str, out: str | None = None
+    rows: DataFrame, dim: DataFrame, id_col: str | Column, on_date: str | Column, key: str, out: str | None = None,
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """Add the key of the dimension version whose window [valid_from, valid_to) holds ``on_date``.
 
     The equality on the durable id makes this an ordinary hash or sort-merge join with a
     residual range predicate. No hint is given: Spark broadcasts the four projected
     columns when their size allows it and otherwise shuffles, where AQE splits hot ids.
+    ``wanted`` may hold the ids at hand (staged rows with the id column): the dimension is
+    then cut to them by a semi join first, so a small reload does not shuffle a large dimension.
     """
     out = out or key
     ident = (F.col(id_col) if isinstance(id_col, str) else id_col).cast("string")
@@ -26,6 +29,8 @@ def as_of_lookup(
         F.col("valid_to").alias("_to"),
         F.col(key).alias("_key"),
     )
+    if wanted is not None:
+        d = d.join(wanted.select(ident.alias("_id")), "_id", "left_semi")
     inside = (when >= F.col("_from")) & ((when < F.col("_to")) | F.col("_to").isNull())
     return (
         rows.join(d, (ident == F.col("_id")) & inside, "left")

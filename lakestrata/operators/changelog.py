@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.dates import ts
@@ -10,6 +11,7 @@ from ..functions.dates import ts
 # bookkeeping columns that never count as a business change
 STAMPS = ("etl_batch_id", "etl_load_timestamp", "etl_updated_timestamp")
 DEFAULT_REASON = "source_update"
+REASON_WIDTH = 500
 
 
 def before_image(target: DataFrame, changed: DataFrame, match: str) -> DataFrame:
@@ -18,10 +20,11 @@ def before_image(target: DataFrame, changed: DataFrame, match: str) -> DataFrame
 
 
 def change_reasons(adjustments: DataFrame, invoices: DataFrame) -> DataFrame:
-    """Distinct adjustment reasons per invoice number, in text order, joined by '; '.
+    """Distinct adjustment reasons per invoice number, in text order, joined by '; ' and clipped.
 
-    Reasons are made distinct before they are gathered, so a group holds its distinct
-    reasons only, however many adjustments there are.
+    A reason takes at least three characters with its separator, so the first
+    ``REASON_WIDTH`` characters never need more than that many reasons: ranking them
+    first (Spark limits each group before the shuffle) bounds what a group gathers.
     """
     reasons = adjustments.where("silver_adjustment_reason is not null").select(
         "silver_invoice_id", "silver_adjustment_reason"
@@ -32,9 +35,10 @@ def change_reasons(adjustments: DataFrame, invoices: DataFrame) -> DataFrame:
         .select(F.col("silver_invoice_number").alias("invoice_number"), "silver_adjustment_reason")
         .distinct()
     )
-    return named.groupBy("invoice_number").agg(
-        F.array_join(F.array_sort(F.collect_list("silver_adjustment_reason")), "; ").alias("change_reason")
-    )
+    rank = F.row_number().over(W.partitionBy("invoice_number").orderBy("silver_adjustment_reason"))
+    first = named.withColumn("_rank", rank).where(F.col("_rank") <= REASON_WIDTH)
+    text = F.array_join(F.array_sort(F.collect_list("silver_adjustment_reason")), "; ")
+    return first.groupBy("invoice_number").agg(F.left(text, F.lit(REASON_WIDTH)).alias("change_reason"))
 
 
 def change_log(
@@ -61,7 +65,7 @@ def change_log(
     )
     if reasons is not None:
         b = b.join(reasons.withColumnRenamed(record_key, "record_key"), "record_key", "left")
-        reason = F.left(F.coalesce("change_reason", F.lit(DEFAULT_REASON)), F.lit(500))
+        reason = F.coalesce("change_reason", F.lit(DEFAULT_REASON))
     else:
         reason = F.lit(DEFAULT_REASON)
     a = after.select(F.col(match).alias("_after"), F.struct(*columns).alias("_new"))

@@ -31,16 +31,21 @@ def dedup_latest(df: DataFrame, keys: list[str], order=LATEST_ORDER) -> DataFram
 
 
 def hash_gate(
-    rows: DataFrame, target: DataFrame | None, keys: list[str], hash_col: str, carry: tuple[str, ...] = ()
+    rows: DataFrame, target: DataFrame | None, keys: list[str], hash_col: str, carry: tuple[str, ...] = (),
+    narrow: bool = False,
 ) -> DataFrame:
     """Rows whose key is new or whose hash differs; ``carry`` columns keep the target's value.
 
-    Only keys, hash and carried columns of the target are read.
+    Only keys, hash and carried columns of the target are read. ``narrow`` (for staged
+    ``rows``) first cuts the target to the keys at hand with a semi join, which Spark
+    broadcasts when the rows are few, so a small batch does not shuffle the target.
     """
     if target is None:
         return rows
-    renamed = [F.col(k).alias(f"_t_{k}") for k in (*keys, hash_col, *carry)]
-    t = target.select(*renamed)
+    t = target.select(*keys, hash_col, *carry)
+    if narrow:
+        t = t.join(rows.select(*keys), keys, "left_semi")
+    t = t.select(*[F.col(k).alias(f"_t_{k}") for k in (*keys, hash_col, *carry)])
     on = [F.col(k) == F.col(f"_t_{k}") for k in keys]
     changed = F.col(f"_t_{keys[0]}").isNull() | ~F.col(hash_col).eqNullSafe(F.col(f"_t_{hash_col}"))
     out = rows.join(t, on, "left").where(changed)
@@ -51,14 +56,19 @@ def hash_gate(
 
 def upsert(target: DataFrame, changes: DataFrame, keys: list[str], preserve: tuple[str, ...] = ()) -> DataFrame:
     """Full new table: unmatched target rows plus every change row."""
-    kept = target.join(changes.select(*keys), keys, "left_anti")
+    kept = without(target, changes, keys)
     if preserve:
         old = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in preserve])
         merged = changes.join(old, keys, "left")
         for c in preserve:
             merged = merged.withColumn(c, F.coalesce(F.col(f"_t_{c}"), F.col(c)))
         changes = merged
-    return kept.select(target.columns).unionByName(changes.select(target.columns))
+    return kept.unionByName(changes.select(target.columns))
+
+
+def without(target: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+    """Target rows whose key is not in ``gone``."""
+    return target.join(gone.select(*keys), keys, "left_anti").select(target.columns)
 
 
 def replace_keys(target: DataFrame, new: DataFrame, keys: list[str], removed: DataFrame | None = None) -> DataFrame:
@@ -67,7 +77,7 @@ def replace_keys(target: DataFrame, new: DataFrame, keys: list[str], removed: Da
     Passing the changed-key set as ``removed`` also deletes keys that lost all their rows.
     """
     gone = new.select(*keys) if removed is None else new.select(*keys).unionByName(removed.select(*keys))
-    return target.join(gone, keys, "left_anti").select(target.columns).unionByName(new.select(target.columns))
+    return without(target, gone, keys).unionByName(new.select(target.columns))
 
 
 def append_once(target: DataFrame | None, new: DataFrame, keys: list[str]) -> DataFrame:

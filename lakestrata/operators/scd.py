@@ -51,14 +51,16 @@ def effective_from(version: Column, updated: Column) -> Column:
 
 
 def new_versions(
-    spec: DimensionSpec, staged: DataFrame, target: DataFrame | None, batch_id: str, run_ts: str
+    spec: DimensionSpec, staged: DataFrame, target: DataFrame | None, batch_id: str, run_ts: str,
+    start: int | None = None,
 ) -> DataFrame:
     """Open version rows for every new or changed entity, keys continuing after the target's.
 
-    Staged rows sharing an id (a fan-out in a lookup) are ordered by their hash as well.
+    ``start`` is the highest key in use, if the caller knows it. Staged rows sharing an id (a fan-out in a lookup) are ordered by their hash as well.
     """
     changed = detect(staged, target)
-    start = 0 if target is None else max_key(target, spec.key)
+    if start is None:
+        start = 0 if target is None else max_key(target, spec.key)
     keyed = assign_keys(changed, ["source_record_id", "record_hash"], spec.key, start)
     version = F.col("current_row_version") + 1
     return keyed.select(

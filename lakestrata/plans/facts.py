@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.dates import previous_month_end, ts
 from ..functions.text import clip
 from ..operators.asof import as_of_lookup, key_lookup
-from ..operators.keys import assign_keys, max_key
+from ..operators.keys import assign_keys
 from ..operators.merge import append_once
+from ..session import stage
 
 Tables = Mapping[str, DataFrame]
 
@@ -54,11 +55,12 @@ def _after(mark: str | Column) -> Column:
 def changed_invoices(invoice: DataFrame, line: DataFrame, mark: str | Column) -> DataFrame:
     """Numbers of invoices whose header or any line was merged after the mark.
 
-    Both sides are filtered before they meet, so only changed rows are shuffled.
+    Both sides are filtered before they meet and the ids are staged, so Spark knows their
+    size and a small change set reaches the invoices by broadcast.
     """
     headers = invoice.where(_after(mark)).select("silver_invoice_id")
     lines = line.where(_after(mark)).select("silver_invoice_id")
-    touched = headers.unionByName(lines).distinct()
+    touched = stage(headers.unionByName(lines).distinct(), "touched")
     return (
         invoice.join(touched, "silver_invoice_id", "left_semi")
         .select(F.col("silver_invoice_number").alias("invoice_number"))
@@ -77,7 +79,9 @@ def sales_rows(t: Tables, changed: DataFrame | None = None) -> DataFrame:
 
     Date, cashier, customer, store and invoice depend on the invoice header only, so
     their versions are looked up once per invoice and travel to the lines with the one
-    join the lines need anyway; only the product lookup happens per line.
+    join the lines need anyway; only the product lookup happens per line. In a reload
+    the few headers are staged before and after the lookups, which keeps dimensions and
+    lines out of the shuffle.
     """
     header = t["invoice"].select(
         F.col("silver_invoice_id").alias("_invoice_id"),
@@ -85,14 +89,21 @@ def sales_rows(t: Tables, changed: DataFrame | None = None) -> DataFrame:
         F.col("silver_invoice_date").alias("_on"),
         "silver_customer_id", "silver_store_id", "silver_employee_id",
     )
+    wanted = None
     if changed is not None:
         header = header.join(changed.select("invoice_number"), "invoice_number", "left_semi")
+        header = wanted = stage(header, "headers")
     header = key_lookup(header, t["dim_date"], "_on", "date", "date_key")
-    header = as_of_lookup(header, t["dim_cashier"], "silver_employee_id", "_on", "cashier_key")
-    header = as_of_lookup(header, t["dim_customer"], "silver_customer_id", "_on", "customer_key")
-    header = as_of_lookup(header, t["dim_store"], "silver_store_id", "_on", "store_key")
-    header = as_of_lookup(header, t["dim_invoice"], "_invoice_id", "_on", "invoice_key")
+    for name, ident, key in (
+        ("dim_cashier", "silver_employee_id", "cashier_key"),
+        ("dim_customer", "silver_customer_id", "customer_key"),
+        ("dim_store", "silver_store_id", "store_key"),
+        ("dim_invoice", "_invoice_id", "invoice_key"),
+    ):
+        header = as_of_lookup(header, t[name], ident, "_on", key, wanted=wanted)
     header = header.drop("silver_customer_id", "silver_store_id", "silver_employee_id")
+    if changed is not None:
+        header = stage(header, "keyed-headers")
 
     line = t["invoice_line"].select(
         F.col("silver_invoice_id").alias("_invoice_id"),
@@ -102,7 +113,11 @@ def sales_rows(t: Tables, changed: DataFrame | None = None) -> DataFrame:
         "silver_unit_price_amount", "silver_unit_cost_amount", "silver_line_total_amount",
         clip(F.col("silver_source_system"), 50).alias("source_system"),
     )
-    rows = as_of_lookup(line.join(header, "_invoice_id"), t["dim_product"], "silver_product_id", "_on", "product_key")
+    rows = line.join(header, "_invoice_id")
+    wanted = None
+    if changed is not None:
+        rows = wanted = stage(rows, "lines")
+    rows = as_of_lookup(rows, t["dim_product"], "silver_product_id", "_on", "product_key", wanted=wanted)
     cost = F.col("sales_qty") * F.col("silver_unit_cost_amount")
     narrow = "decimal(12,2)"
     return rows.select(
@@ -119,10 +134,9 @@ def sales_rows(t: Tables, changed: DataFrame | None = None) -> DataFrame:
 
 
 def sales_fact(
-    t: Tables, *, batch_id: str, run_ts: str, changed: DataFrame | None = None, target: DataFrame | None = None
+    t: Tables, *, batch_id: str, run_ts: str, changed: DataFrame | None = None, start: int = 0
 ) -> DataFrame:
-    """New fact rows, keyed in text order of the line id after the highest existing key."""
-    start = 0 if target is None else max_key(target, "sales_line_key")
+    """New fact rows, keyed in text order of the line id from ``start`` + 1 on."""
     keyed = assign_keys(sales_rows(t, changed), ["source_record_id", "product_key"], "sales_line_key", start)
     return keyed.select(*SALES_COLUMNS, *fact_stamps(batch_id, run_ts))
 
@@ -149,15 +163,21 @@ def payment_rows(t: Tables, changed: DataFrame | None = None) -> DataFrame:
         clip(F.col("silver_source_system"), 50).alias("source_system"),
         F.col("silver_payment_id").cast("string").alias("source_record_id"),
     )
-    rows = as_of_lookup(rows, t["dim_invoice"], "silver_invoice_id", "_on", "invoice_key")
-    rows = as_of_lookup(rows, t["dim_customer"], "silver_customer_id", "_on", "customer_key")
-    rows = as_of_lookup(rows, t["dim_payment_method"], "silver_payment_method_id", "_on", "payment_method_key")
+    wanted = None
+    if changed is not None:
+        rows = wanted = stage(rows, "changed-payment-rows")
+    for name, ident, key in (
+        ("dim_invoice", "silver_invoice_id", "invoice_key"),
+        ("dim_customer", "silver_customer_id", "customer_key"),
+        ("dim_payment_method", "silver_payment_method_id", "payment_method_key"),
+        ("dim_cashier", "silver_employee_id", "cashier_key"),
+        ("dim_store", "silver_store_id", "store_key"),
+    ):
+        rows = as_of_lookup(rows, t[name], ident, "_on", key, wanted=wanted)
     rows = key_lookup(rows, t["dim_date"], "_on", "date", "date_key")
     types = t["payment_type"].select("silver_payment_type_id", F.col("silver_type_code").alias("_type"))
     rows = rows.join(types, "silver_payment_type_id", "left")
     rows = key_lookup(rows, t["dim_payment_type"], "_type", "type_code", "payment_type_key")
-    rows = as_of_lookup(rows, t["dim_cashier"], "silver_employee_id", "_on", "cashier_key")
-    rows = as_of_lookup(rows, t["dim_store"], "silver_store_id", "_on", "store_key")
     return rows
 
 
@@ -193,10 +213,10 @@ def repoint_children(rows: DataFrame, moved: DataFrame) -> DataFrame:
 
 
 def payment_fact(
-    t: Tables, *, batch_id: str, run_ts: str, changed: DataFrame | None = None, target: DataFrame | None = None
+    t: Tables, *, batch_id: str, run_ts: str, changed: DataFrame | None = None, target: DataFrame | None = None,
+    start: int = 0,
 ) -> DataFrame:
-    """New fact rows, keyed in numeric order of the payment id."""
-    start = 0 if target is None else max_key(target, "payment_key")
+    """New fact rows, keyed in numeric order of the payment id; parents may be in ``target``."""
     order = [F.col("source_record_id").cast("bigint"), F.col("invoice_key")]
     keyed = assign_keys(payment_rows(t, changed), order, "payment_key", start)
     return resolve_parent(keyed, target).select(*PAYMENT_COLUMNS, *fact_stamps(batch_id, run_ts))
@@ -273,11 +293,10 @@ def snapshot_rows(t: Tables, on: Column) -> DataFrame:
 
 
 def snapshot_fact(
-    t: Tables, on: Column, *, batch_id: str, run_ts: str, target: DataFrame | None = None
+    t: Tables, on: Column, *, batch_id: str, run_ts: str, target: DataFrame | None = None, start: int = 0
 ) -> DataFrame:
     """Snapshot rows to append; none if that snapshot date is stored already."""
     rows = append_once(target, snapshot_rows(t, on), ["snapshot_date_key"])
-    start = 0 if target is None else max_key(target, "snapshot_key")
     order = [F.col("source_record_id").cast("bigint"), F.col("customer_key")]
     keyed = assign_keys(rows, order, "snapshot_key", start)
     return keyed.select(*SNAPSHOT_COLUMNS, *fact_stamps(batch_id, run_ts))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from threading import Lock
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,16 +13,16 @@ from pyspark.sql import functions as F
 from ..operators import quality as dq
 from ..operators.calendar import dim_date, role_view
 from ..operators.changelog import before_image, change_log, change_reasons
-from ..operators.merge import replace_keys, upsert
+from ..operators.merge import upsert, without
 from ..operators.scd import DimensionSpec, close_superseded, new_versions, scd2_apply
-from ..session import stage
+from ..session import scratch_scope, stage
 from ..sources.config import LandingConfig
 from ..sources.landing import ingest_table
 from ..sources.ledger import Ledger, gold_watermark, latest_watermarks
 from ..sources.series import ingest_series
 from ..sources.store import TableStore
 from . import facts, serving
-from .dimensions import SCD2_DIMENSIONS, STAGES, payment_type_rows, stage_payment_type
+from .dimensions import SCD2_DIMENSIONS, STAGES, payment_type_rows, stage_payment_type, touched_since
 from .silver import SPECS, merge_silver
 from .suite import GOLD_KEYS, generic_checks, invariant_checks
 
@@ -34,6 +35,12 @@ GOLD_TARGETS = {
     f"gold.{PAYMENTS}": "fact_reload",
     f"gold.{SNAPSHOT}": "snapshot_append",
 }
+# surrogate keys of the facts, whose highest value the store remembers
+TRACKED = {
+    f"gold.{SALES}": "sales_line_key",
+    f"gold.{PAYMENTS}": "payment_key",
+    f"gold.{SNAPSHOT}": "snapshot_key",
+}
 
 
 @dataclass
@@ -70,6 +77,8 @@ class Run:
 
     def __post_init__(self) -> None:
         self.ledger = Ledger(self.store.spark, self.store.root, clock=lambda: self.run_ts)
+        self.store.tracked |= {f"gold.{s.name}": s.key for s in SCD2_DIMENSIONS} | TRACKED
+        self._trail_lock = Lock()
 
     def _each(self, work: Callable[[str], int], names: list[str]) -> dict[str, int]:
         """Independent tables are submitted together, so small jobs fill the cluster."""
@@ -109,83 +118,83 @@ class Run:
         out |= {n: self.store.read("gold", n) for n in GOLD_KEYS if self.store.exists("gold", n)}
         return out
 
-    def dimension(self, spec: DimensionSpec, t: Mapping[str, DataFrame], batch_id: str) -> int:
+    def dimension(self, spec: DimensionSpec, t: Mapping[str, DataFrame], batch_id: str, mark: str | None) -> int:
         staged = STAGES[spec.name](t)
         if not self.store.exists("gold", spec.name):
             rows = scd2_apply(spec, staged, None, batch_id, self.run_ts)
-            return self.store.overwrite("gold", spec.name, rows, ["source_record_id"]).count()
-        added = new_versions(spec, staged, t[spec.name], batch_id, self.run_ts)
-        n = added.count()
-        if n:
-            self.store.rewrite(
-                "gold", spec.name, added,
-                lambda old: close_superseded(old, added, spec.key, self.run_ts).unionByName(added),
-            )
-        return n
+            return self.store.overwrite("gold", spec.name, rows, ["source_record_id"])
+        staged = touched_since(spec.name, staged, mark)
+        added = new_versions(spec, staged, t[spec.name], batch_id, self.run_ts, self.store.top("gold", spec.name))
+        if added.isEmpty():
+            return 0
+        return self.store.rewrite(
+            "gold", spec.name, added, lambda old: close_superseded(old, added, spec.key, self.run_ts), added
+        )
 
     def payment_types(self, t: Mapping[str, DataFrame]) -> int:
-        target = t.get("dim_payment_type")
+        target, key = t.get("dim_payment_type"), ["payment_type_key"]
         rows = payment_type_rows(stage_payment_type(t), target, self.run_ts)
         if target is None:
-            return self.store.overwrite("gold", "dim_payment_type", rows, ["payment_type_key"]).count()
-        rows = stage(rows, "payment-type")
-        self.store.rewrite("gold", "dim_payment_type", rows,
-                           lambda old: upsert(old, rows, ["payment_type_key"], ("etl_load_timestamp",)))
-        return rows.count()
+            return self.store.overwrite("gold", "dim_payment_type", rows, key)
+        merged = stage(upsert(target, rows, key, ("etl_load_timestamp",)), "payment-type")
+        return self.store.overwrite("gold", "dim_payment_type", merged, key)
 
     def dimensions(self, batch_id: str) -> int:
         calendar = dim_date(self.store.spark, self.run_ts, *self.calendar)
-        n = self.store.overwrite("gold", "dim_date", calendar).count()
+        n = self.store.overwrite("gold", "dim_date", calendar)
         t = self.tables()
-        by_name = {s.name: s for s in SCD2_DIMENSIONS}
-        counts = self._each(lambda name: self.dimension(by_name[name], t, batch_id), list(by_name))
-        return n + self.payment_types(t) + sum(counts.values())
+        mark = gold_watermark(self.ledger.frame(), "gold.dimensions")
+        work = {s.name: (lambda s=s: self.dimension(s, t, batch_id, mark)) for s in SCD2_DIMENSIONS}
+        work["dim_payment_type"] = lambda: self.payment_types(t)
+        counts = self._each(lambda name: work[name](), list(work))
+        return n + sum(counts.values())
 
     def sales(self, batch_id: str) -> int:
         t, name = self.tables(), SALES
         if name not in t:
             rows = facts.sales_fact(t, batch_id=batch_id, run_ts=self.run_ts)
-            return self.store.overwrite("gold", name, rows, ["invoice_number"]).count()
+            return self.store.overwrite("gold", name, rows, ["invoice_number"])
         mark = gold_watermark(self.ledger.frame(), f"gold.{name}")
         changed = stage(facts.changed_invoices(t["invoice"], t["invoice_line"], mark), "changed-invoices")
         if changed.isEmpty():
             return 0
-        new = stage(facts.sales_fact(t, batch_id=batch_id, run_ts=self.run_ts, changed=changed, target=t[name]),
-                    "sales")
+        new = stage(facts.sales_fact(t, batch_id=batch_id, run_ts=self.run_ts, changed=changed,
+                                     start=self.store.top("gold", name)), "sales")
         reasons = None
         if "invoice_adjustment" in t:
-            reasons = change_reasons(t["invoice_adjustment"], t["invoice"])
+            wanted = t["invoice"].join(changed.select(F.col("invoice_number").alias("silver_invoice_number")),
+                                       "silver_invoice_number", "left_semi")
+            reasons = change_reasons(t["invoice_adjustment"], wanted)
         self._trail(f"gold.{name}", before_image(t[name], changed, "invoice_number"), new, "sales_line_key",
                     "invoice_number", batch_id, reasons)
-        self.store.rewrite("gold", name, changed.unionByName(new.select("invoice_number")),
-                           lambda old: replace_keys(old, new, ["invoice_number"], changed))
-        return new.count()
+        # deleting by the changed set also removes invoices that lost all their lines
+        return self.store.rewrite("gold", name, changed, lambda old: without(old, changed, ["invoice_number"]), new)
 
     def payments(self, batch_id: str) -> int:
         t, name, key = self.tables(), PAYMENTS, "source_record_id"
         if name not in t:
             rows = facts.payment_fact(t, batch_id=batch_id, run_ts=self.run_ts)
-            return self.store.overwrite("gold", name, rows, [key]).count()
+            return self.store.overwrite("gold", name, rows, [key])
         mark = gold_watermark(self.ledger.frame(), f"gold.{name}")
         changed = stage(facts.changed_payments(t["payment"], mark), "changed-payments")
         if changed.isEmpty():
             return 0
-        new = stage(facts.payment_fact(t, batch_id=batch_id, run_ts=self.run_ts, changed=changed, target=t[name]),
-                    "payments")
+        new = stage(facts.payment_fact(t, batch_id=batch_id, run_ts=self.run_ts, changed=changed, target=t[name],
+                                       start=self.store.top("gold", name)), "payments")
         self._trail(f"gold.{name}", before_image(t[name], changed, key), new, "payment_key", key, batch_id)
         moved = stage(facts.moved_keys(t[name], new), "moved-payments")
         parents = moved.select(F.col("_old").alias("parent_payment_key"))
         children = t[name].join(parents, "parent_payment_key", "left_semi").select(key)
-        self.store.rewrite("gold", name, changed.unionByName(children),
-                           lambda old: replace_keys(facts.repoint_children(old, moved), new, [key], changed))
-        return new.count()
+        return self.store.rewrite("gold", name, changed.unionByName(children),
+                                  lambda old: facts.repoint_children(without(old, changed, [key]), moved), new)
 
     def _trail(self, table: str, before: DataFrame, after: DataFrame, surrogate: str, record: str, batch_id: str,
                reasons: DataFrame | None = None) -> None:
         """Written before the data: a crash in between repeats a trail entry instead of losing it."""
         log = change_log(before, after, table=table, surrogate_key=surrogate, record_key=record,
                          batch_id=batch_id, run_ts=self.run_ts, reasons=reasons, app=self.job)
-        self.store.append("audit", "audit_log", log)
+        with self._trail_lock:
+            self.store.append("audit", "audit_log", log)
 
     def snapshot(self, batch_id: str) -> int:
         t, name = self.tables(), SNAPSHOT
@@ -193,20 +202,27 @@ class Run:
         target = t.get(name)
         if target is not None and facts.snapshot_exists(target, on, t["dim_date"]):
             return 0
-        rows = facts.snapshot_fact(t, on, batch_id=batch_id, run_ts=self.run_ts, target=target)
-        return self.store.append("gold", name, rows).count()
+        rows = facts.snapshot_fact(t, on, batch_id=batch_id, run_ts=self.run_ts, target=target,
+                                   start=self.store.top("gold", name))
+        return self.store.append("gold", name, rows)
 
     # -- checks and the whole run -----------------------------------------------------
     def check(self) -> list[dq.Failure]:
         t = self.tables()
         checks = generic_checks(t) | invariant_checks(t, self.run_ts[:10])
-        return dq.run_checks(checks, self.parallel)
+        return dq.run_checks(checks, self.parallel, width=4)
 
     def execute(
         self, sources: Mapping[str, DataFrame], documents: DataFrame | None = None, checks: bool = True
     ) -> RunReport:
         """Land, merge, build, check; star batches succeed only after the checks passed."""
         report = RunReport()
+        with scratch_scope(self.store.spark):
+            self._execute(report, sources, documents, checks)
+        return report
+
+    def _execute(self, report: RunReport, sources: Mapping[str, DataFrame], documents: DataFrame | None,
+                 checks: bool) -> None:
         try:
             report.landed = self.land(sources, documents)
             report.merged = self.merge()
@@ -226,7 +242,6 @@ class Run:
         except Exception:
             self.ledger.fail_open(self.job)
             raise
-        return report
 
 
 def serve(t: Mapping[str, DataFrame], register: bool = False) -> dict[str, DataFrame]:

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..functions.dates import ts
 from ..functions.hashing import row_hash
-from ..operators.merge import HISTORY_ORDER, LATEST_ORDER, dedup_latest, hash_gate, upsert
+from ..operators.merge import HISTORY_ORDER, LATEST_ORDER, dedup_latest, hash_gate, without
+from ..session import stage
 from ..sources.store import TableStore
 
 CREATED = "silver_created_at_timestamp"
@@ -392,13 +393,18 @@ def clean(spec: SilverSpec, newest: DataFrame, batch_id: int, run_ts: str) -> Da
     return rows.withColumn(HASH, row_hash(spec.columns))
 
 
+def cleaned_latest(spec: SilverSpec, landed: DataFrame, batch_id: int, run_ts: str) -> DataFrame:
+    """The newest landing row of every key, cleaned."""
+    return clean(spec, dedup_latest(landed, list(spec.source_keys), spec.order), batch_id, run_ts)
+
+
 def silver_changes(
     spec: SilverSpec, landed: DataFrame, target: DataFrame | None, *, batch_id: int, run_ts: str
 ) -> DataFrame:
     """Rows to upsert. ``landed`` is already limited to the batches to process."""
     if batch_id is None:
         raise ValueError("silver_changes needs the id of the batch that writes the rows")
-    rows = clean(spec, dedup_latest(landed, list(spec.source_keys), spec.order), batch_id, run_ts)
+    rows = cleaned_latest(spec, landed, batch_id, run_ts)
     return hash_gate(rows, target, list(spec.keys), HASH, carry=(CREATED,))
 
 
@@ -409,19 +415,18 @@ def silver_table(spec: SilverSpec, landed: DataFrame, *, batch_id: int, run_ts:
 
 def merge_silver(store: TableStore, spec: SilverSpec, *, batch_id: int, run_ts: str) -> int:
     """Bring one stored table up to date with its landing table; returns the rows written."""
-    from ..session import stage
-
+    keys = list(spec.keys)
     if not store.exists("silver", spec.name):
         rows = silver_table(spec, store.read("bronze", spec.source), batch_id=batch_id, run_ts=run_ts)
-        return store.overwrite("silver", spec.name, rows, list(spec.keys)).count()
+        return store.overwrite("silver", spec.name, rows, keys)
     target = store.read("silver", spec.name)
     done = target.agg(F.coalesce(F.max("silver_bronze_batch_id"), F.lit(0))).first()[0]
     landed = store.read_since("bronze", spec.source, done)
     if landed is None:
         return 0
-    changes = stage(silver_changes(spec, landed, target, batch_id=batch_id, run_ts=run_ts), f"silver-{spec.name}")
-    n = changes.count()
-    if n:
-        # the gate has carried the creation stamp over already
-        store.rewrite("silver", spec.name, changes, lambda old: upsert(old, changes, list(spec.keys)))
-    return n
+    rows = stage(cleaned_latest(spec, landed, batch_id, run_ts), f"clean-{spec.name}")
+    # the gate carries the creation stamp over, so the merge itself needs no second join
+    changes = stage(hash_gate(rows, target, keys, HASH, (CREATED,), narrow=True), f"changes-{spec.name}")
+    if changes.isEmpty():
+        return 0
+    return store.rewrite("silver", spec.name, changes, lambda old: without(old, changes, keys), changes)

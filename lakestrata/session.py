@@ -5,9 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .sources.files import Files
+
 # Runtime settings that are correct at every scale: let AQE size shuffles, split
 # skewed join partitions and turn joins into broadcasts from measured sizes.
 RUNTIME_CONF = {
@@ -58,14 +62,33 @@ def scratch_root(spark: SparkSession) -> str:
     return cached
 
 
+_staged: list[str] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables staged inside the block once it ends."""
+    mark = len(_staged)
+    try:
+        yield
+    finally:
+        mine = _staged[mark:]
+        del _staged[mark:]
+        if mine:
+            files = Files(spark, mine[0])
+            for path in mine:
+                files.delete(path)
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and return the re-read table.
 
     Used where a result is consumed more than once, or where partition contents
-    must stay fixed between two jobs. Unlike cached blocks it survives executor loss
-    and later reads prune columns.
+    must stay fixed between two jobs. Unlike cached blocks it survives executor loss,
+    later reads prune columns, and its file size tells Spark whether it may be broadcast.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)

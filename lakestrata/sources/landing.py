@@ -11,10 +11,10 @@ from pyspark.sql import types as T
 
 from ..functions.dates import ts
 from ..functions.hashing import landing_hash
+from ..session import stage
 from .config import (
     COMMON_RENAMES,
     TABLE_RENAMES,
-    LandingConfig,
     TableConfig,
     identifier,
     landing_schema,
@@ -110,8 +110,8 @@ def standardize(
         "bronze_loaded_at_timestamp": ts(run_ts),
     })
     have = set(df.columns)
-    return df.select(*[
-        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+    return df.selectExpr(*[
+        f"cast({f.name if f.name in have else 'null'} as {f.dataType.simpleString()}) as {f.name}"
         for f in schema.fields if f.name != RECORD_ID
     ])
 
@@ -159,22 +159,29 @@ def land(
     store: TableStore, rows: DataFrame, cfg: TableConfig, batch: Batch, run_ts: str, *,
     skip: bool, mark_column: str | None, system: str | None = None,
 ) -> LandingResult:
-    """Append one extracted batch in a single pass; counts come from the pass itself."""
-    seen = Observation()
-    mark = F.max(mark_column).cast("string") if mark_column in rows.columns else F.lit(None).cast("string")
-    counted = rows.observe(seen, F.count(F.lit(1)).alias("n"), mark.alias("mark"))
-    fresh = standardize(counted, cfg, batch.key, run_ts, system)
-    known = store.manifest("bronze", cfg.target)
-    start = 0
-    if known is not None:
-        start = known.meta.get("max_record_id", 0)
-        if skip and cfg.keys:
-            fresh = skip_unchanged(fresh, current_hashes(store.read("bronze", cfg.target), cfg.keys))
-    numbered = fresh.withColumn(RECORD_ID, F.monotonically_increasing_id() + F.lit(start + 1))
-    ordered = [f.name for f in landing_schema(cfg.target).fields]
-    n, _ = store.append_batch("bronze", cfg.target, numbered.select(ordered), batch.key, RECORD_ID)
-    got = seen.get
-    return LandingResult(batch, got["n"], n, got["mark"])
+    """Append one extracted batch; counts and the high-water mark come from the writing pass."""
+    store.tracked[f"bronze.{cfg.target}"] = RECORD_ID
+    known = store.exists("bronze", cfg.target)
+    mark = F.max(mark_column).cast("string") if mark_column in rows.columns else F.max(F.lit(None).cast("string"))
+    if known and skip and cfg.keys:
+        # the snapshot is read from the source once, then compared with what is landed
+        snapshot = stage(standardize(rows, cfg, batch.key, run_ts, system), f"snapshot-{cfg.target}")
+        extracted, end = snapshot.count(), None
+        fresh = skip_unchanged(snapshot, current_hashes(store.read("bronze", cfg.target), cfg.keys))
+        appended = _append(store, fresh, cfg, batch)
+    else:
+        seen = Observation()
+        counted = rows.observe(seen, F.count(F.lit(1)).alias("n"), mark.alias("mark"))
+        appended = _append(store, standardize(counted, cfg, batch.key, run_ts, system), cfg, batch)
+        extracted, end = seen.get["n"], seen.get["mark"]
+    return LandingResult(batch, extracted, appended, end)
+
+
+def _append(store: TableStore, rows: DataFrame, cfg: TableConfig, batch: Batch) -> int:
+    """Number the rows after every id landed so far and commit them as one batch."""
+    start = store.top("bronze", cfg.target)
+    numbered = rows.withColumn(RECORD_ID, F.monotonically_increasing_id() + F.lit(start + 1))
+    return store.append("bronze", cfg.target, numbered.select(landing_schema(cfg.target).fieldNames()), batch.key)
 
 
 def ingest_table(
@@ -199,7 +206,3 @@ def ingest_table(
     except Exception as exc:
         ledger.fail(batch, str(exc))
         raise
-
-
-def configured(cfg: LandingConfig, name: str) -> TableConfig:
-    return cfg.table(name)

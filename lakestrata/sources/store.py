@@ -61,12 +61,17 @@ def _nullable(schema: T.StructType) -> T.StructType:
 class TableStore:
     """Tables addressed as (layer, table) below one shared root folder."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: dict[str, int] | None = None):
+    def __init__(
+        self, spark: SparkSession, root: str, buckets: dict[str, int] | None = None,
+        tracked: dict[str, str] | None = None,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.files = Files(spark, self.root)
         # buckets per "layer.table"; sized so that one bucket fits an executor comfortably
         self.bucket_plan = dict(buckets or {})
+        # column per "layer.table" whose highest value is kept in the manifest (surrogate keys)
+        self.tracked = dict(tracked or {})
 
     # -- layout ---------------------------------------------------------------
     def _dir(self, layer: str, table: str) -> str:
@@ -123,92 +128,106 @@ class TableStore:
         return name
 
     # -- writing --------------------------------------------------------------
-    def _write(self, layer: str, table: str, df: DataFrame, keys: list[str], buckets: int) -> list[list]:
+    def _write(
+        self, layer: str, table: str, new: DataFrame, keys: list[str], buckets: int, kept: DataFrame | None = None
+    ) -> tuple[list[list], dict]:
+        """Write rows to a fresh folder; returns its parts and what was seen while writing.
+
+        New rows are grouped by bucket (a hot bucket is split over several tasks); kept
+        rows come from files that hold one bucket each, so they are not shuffled again.
+        """
         folder = f"data/{uuid.uuid4().hex}"
         path = f"{self._dir(layer, table)}/{folder}"
+        tracked = self.tracked.get(f"{layer}.{table}")
+        top = F.max(tracked) if tracked else F.max(F.lit(None).cast("bigint"))
+        seen = Observation()
+        new = new.observe(seen, F.count(F.lit(1)).alias("rows"), top.cast("bigint").alias("top"))
         if buckets == 1:
-            df.write.parquet(path)
-            return [[folder, None]]
-        bucketed = df.withColumn(BUCKET, F.pmod(F.hash(*keys), F.lit(buckets)))
-        # rebalance groups rows by bucket but lets AQE split a hot bucket over several tasks
-        bucketed.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
-        found = [n for n in self.files.names(path) if n.startswith(f"{BUCKET}=")]
-        return [[f"{folder}/{n}", int(n.split("=")[1])] for n in found]
+            rows = new if kept is None else kept.unionByName(new)
+            rows.write.parquet(path)
+            parts = [[folder, None]]
+        else:
+            number = F.pmod(F.hash(*keys), F.lit(buckets))
+            rows = new.withColumn(BUCKET, number).hint("rebalance", BUCKET)
+            if kept is not None:
+                rows = kept.withColumn(BUCKET, number).unionByName(rows)
+            rows.write.partitionBy(BUCKET).parquet(path)
+            found = [n for n in self.files.names(path) if n.startswith(f"{BUCKET}=")]
+            parts = [[f"{folder}/{n}", int(n.split("=")[1])] for n in found]
+        return parts, seen.get
 
     def _next(self, layer: str, table: str) -> int:
         found = self.versions(layer, table)
         return (found[-1] + 1) if found else 1
 
-    def append(self, layer: str, table: str, df: DataFrame) -> DataFrame:
-        """Add one immutable folder of rows; returns the rows just written (re-read from disk)."""
-        old = self.manifest(layer, table)
-        schema = old.schema if old else _nullable(df.schema)
-        if old and [f.name for f in old.schema] != df.columns:
-            raise ValueError(f"schema drift on {layer}.{table}: {df.columns}")
-        parts = self._write(layer, table, df, [], 1)
-        m = Manifest(self._next(layer, table), schema, [], 1, (old.parts if old else []) + parts,
-                     dict(old.meta) if old else {})
-        self._commit(layer, table, m)
-        return self._read_parts(layer, table, m, parts)
-
-    def append_batch(self, layer: str, table: str, df: DataFrame, batch: int, id_col: str) -> tuple[int, int]:
-        """Append one numbered batch; an empty batch commits nothing. Returns (rows, highest id)."""
+    @staticmethod
+    def _with_top(meta: dict, top: int | None) -> dict:
+        return meta if top is None else {**meta, "top": max(top, meta.get("top", 0))}
+
+    def top(self, layer: str, table: str) -> int:
+        """Highest value ever written to the tracked column, without reading the table."""
+        m = self.manifest(layer, table)
+        return 0 if m is None else m.meta.get("top", 0)
+
+    def append(self, layer: str, table: str, df: DataFrame, batch: int | None = None) -> int:
+        """Add one immutable folder of rows; an empty one only creates the table. Returns the row count."""
         old = self.manifest(layer, table)
         schema = old.schema if old else _nullable(df.schema)
         if old and [f.name for f in old.schema] != df.columns:
             raise ValueError(f"schema drift on {layer}.{table}: {df.columns}")
-        seen = Observation()
-        counted = df.observe(seen, F.count(F.lit(1)).alias("n"), F.max(id_col).alias("top"))
-        parts = self._write(layer, table, counted, [], 1)
-        n, top = seen.get["n"], seen.get["top"]
-        if n == 0:
+        parts, seen = self._write(layer, table, df, [], 1)
+        meta = self._with_top(dict(old.meta) if old else {}, seen["top"])
+        if seen["rows"] == 0:
             if old is None:
-                self._commit(layer, table, Manifest(1, schema, meta={"max_record_id": 0, "batches": {}}))
-            return 0, 0
-        meta = dict(old.meta) if old else {}
-        meta["batches"] = {**meta.get("batches", {}), parts[0][0]: batch}
-        meta["max_record_id"] = top
+                self._commit(layer, table, Manifest(1, schema, meta=meta))
+            return 0
+        if batch is not None:
+            meta["batches"] = {**meta.get("batches", {}), parts[0][0]: batch}
         self._commit(layer, table, Manifest(self._next(layer, table), schema, [], 1,
                                             (old.parts if old else []) + parts, meta))
-        return n, top
+        return seen["rows"]
 
-    def overwrite(self, layer: str, table: str, df: DataFrame, keys: list[str] | None = None) -> DataFrame:
-        """Replace the whole table (first build or full rebuild)."""
+    def overwrite(self, layer: str, table: str, df: DataFrame, keys: list[str] | None = None) -> int:
+        """Replace the whole table (first build or full rebuild); returns the row count."""
         keys = list(keys or [])
         buckets = self.bucket_plan.get(f"{layer}.{table}", 1) if keys else 1
-        parts = self._write(layer, table, df, keys, buckets)
-        m = Manifest(self._next(layer, table), _nullable(df.schema), keys, buckets, parts)
-        self._commit(layer, table, m)
-        return self.read(layer, table)
+        parts, seen = self._write(layer, table, df, keys, buckets)
+        meta = self._with_top({}, seen["top"])
+        self._commit(layer, table, Manifest(self._next(layer, table), _nullable(df.schema), keys, buckets, parts, meta))
+        return seen["rows"]
 
     def rewrite(
         self,
         layer: str,
         table: str,
         touched: DataFrame,
-        transform: Callable[[DataFrame], DataFrame],
-    ) -> None:
-        """Replace the buckets that hold the keys in ``touched``.
-
-        ``transform`` maps the current rows of those buckets to their new rows. Only
-        bucket numbers (at most ``buckets`` of them) come to the driver.
+        keep: Callable[[DataFrame], DataFrame],
+        new: DataFrame,
+    ) -> int:
+        """Replace the buckets that hold the keys in ``touched``; returns the number of new rows.
+
+        ``keep`` maps the current rows of those buckets to the ones that stay, row by row
+        (it may join, but not regroup them); ``new`` rows are added. Only bucket numbers,
+        at most ``buckets`` of them, come to the driver.
         """
         old = self.manifest(layer, table)
+        columns = [f.name for f in old.schema]
         if old.buckets == 1:
-            hit = None
             current = self._read_parts(layer, table, old, old.parts)
-            kept: list[list] = []
+            others: list[list] = []
         else:
             number = F.pmod(F.hash(*old.keys), F.lit(old.buckets)).alias(BUCKET)
             hit = {r[0] for r in touched.select(number).distinct().collect()}
             if not hit:
-                return
+                return 0
             current = self._read_parts(layer, table, old, [p for p in old.parts if p[1] in hit])
-            kept = [p for p in old.parts if p[1] not in hit]
-        new = transform(current).select([f.name for f in old.schema])
-        parts = self._write(layer, table, new, old.keys, old.buckets)
+            others = [p for p in old.parts if p[1] not in hit]
+        parts, seen = self._write(layer, table, new.select(columns), old.keys, old.buckets,
+                                  keep(current).select(columns))
+        meta = self._with_top(dict(old.meta), seen["top"])
         self._commit(layer, table, Manifest(self._next(layer, table), old.schema, old.keys, old.buckets,
-                                            kept + parts, old.meta))
+                                            others + parts, meta))
+        return seen["rows"]
 
     def erase(self, layer: str, table: str, column: str, subjects: DataFrame) -> int:
         """Rewrite the folders that hold rows of the given ids; returns how many folders that were.

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.operators.calendar import dim_date
+from lakestrata.operators.keys import max_key
 from lakestrata.operators.merge import replace_keys, upsert
 from lakestrata.operators.scd import scd2_apply
 from lakestrata.plans import facts, serving
@@ -115,7 +116,8 @@ class Star:
 
     def new_sales(self) -> DataFrame:
         return self._once("sales/new", lambda: facts.sales_fact(
-            _Lookup(self, 2), batch_id=BATCH[2], run_ts=RUN_2, changed=self.changed_invoices(), target=self.sales(1)))
+            _Lookup(self, 2), batch_id=BATCH[2], run_ts=RUN_2, changed=self.changed_invoices(),
+            start=max_key(self.sales(1), "sales_line_key")))
 
     def payments(self, wave: int = 2) -> DataFrame:
         if wave == 1:
@@ -132,7 +134,7 @@ class Star:
     def new_payments(self) -> DataFrame:
         return self._once("payments/new", lambda: facts.payment_fact(
             _Lookup(self, 2), batch_id=BATCH[2], run_ts=RUN_2, changed=self.changed_payments(),
-            target=self.payments(1)))
+            target=self.payments(1), start=max_key(self.payments(1), "payment_key")))
 
     def snapshot_day(self):
         """Month-end before the month of the newest order."""
