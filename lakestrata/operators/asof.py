@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 UNKNOWN = -1
 
 
 def as_of_lookup(
-    rows: DataFrame, dim: DataFrame, id_col: str | Column, on_date: str | Column, key: str, out: str | None = None,
+    rows: DataFrame, dim: DataFrame, id_col: str, on_date: str | Column, key: str, out: str | None = None,
     wanted: DataFrame | None = None,
 ) -> DataFrame:
     """Add the key of the dimension version whose window [valid_from, valid_to) holds ``on_date``.
@@ -21,10 +22,14 @@ def as_of_lookup(
     then cut to them by a semi join first, so a small reload does not shuffle a large dimension.
     """
     out = out or key
-    ident = (F.col(id_col) if isinstance(id_col, str) else id_col).cast("string")
+    ident = F.col(id_col)
+    durable = F.col("source_record_id")
+    if isinstance(rows.schema[id_col].dataType, IntegralType):
+        # numbers stay numbers, so rows already partitioned by the id are not shuffled again
+        durable, ident = durable.try_cast("bigint"), ident.cast("bigint")
     when = F.col(on_date) if isinstance(on_date, str) else on_date
     d = dim.select(
-        F.col("source_record_id").alias("_id"),
+        durable.alias("_id"),
         F.col("valid_from").alias("_from"),
         F.col("valid_to").alias("_to"),
         F.col(key).alias("_key"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import previous_month_end, ts
 from ..functions.text import clip
-from ..operators.asof import as_of_lookup, key_lookup
+from ..operators.asof import UNKNOWN, as_of_lookup, key_lookup
 from ..operators.keys import assign_keys
 from ..operators.merge import append_once
 from ..session import stage
@@ -94,6 +94,7 @@ def sales_rows(t: Tables, changed: DataFrame | None = None) -> DataFrame:
         header = header.join(changed.select("invoice_number"), "invoice_number", "left_semi")
         header = wanted = stage(header, "headers")
     header = key_lookup(header, t["dim_date"], "_on", "date", "date_key")
+    # the invoice lookup comes last: its result is laid out by invoice id, as the line join needs it
     for name, ident, key in (
         ("dim_cashier", "silver_employee_id", "cashier_key"),
         ("dim_customer", "silver_customer_id", "customer_key"),
@@ -230,6 +231,12 @@ def snapshot_day(run_date: str, explicit: str | None = None) -> Column:
     return previous_month_end(F.lit(run_date).cast("date"))
 
 
+def day_key(calendar: DataFrame, on: Column) -> int:
+    """The calendar key of one date, -1 outside the calendar."""
+    row = calendar.where(F.col("date") == on).select("date_key").first()
+    return row["date_key"] if row else UNKNOWN
+
+
 def invoice_behaviour(invoice: DataFrame, on: Column) -> DataFrame:
     """Per-customer order and balance measures as of the snapshot date."""
     balance = F.col("silver_balance_due_amount")
@@ -275,7 +282,7 @@ def snapshot_rows(t: Tables, on: Column) -> DataFrame:
         payment_speed(t["invoice"], t["payment"], on), "silver_customer_id", "left"
     )
     rows = as_of_lookup(rows, t["dim_customer"], "silver_customer_id", on, "customer_key")
-    rows = key_lookup(rows, t["dim_date"], on, "date", "date_key", "snapshot_date_key")
+    rows = rows.withColumn("snapshot_date_key", F.lit(day_key(t["dim_date"], on)))
     rows = key_lookup(rows, t["dim_date"], "last_order_date", "date", "date_key", "last_order_date_key")
     return rows.select(
         "snapshot_date_key", "customer_key", "last_order_date_key",
@@ -304,5 +311,4 @@ def snapshot_fact(
 
 def snapshot_exists(target: DataFrame, on: Column, calendar: DataFrame) -> bool:
     """Cheap guard before any snapshot work is planned."""
-    key = calendar.where(F.col("date") == on).select(F.col("date_key").alias("snapshot_date_key"))
-    return target.select("snapshot_date_key").join(key, "snapshot_date_key", "left_semi").limit(1).count() > 0
+    return not target.where(F.col("snapshot_date_key") == day_key(calendar, on)).isEmpty()
