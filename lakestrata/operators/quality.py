@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -312,15 +312,20 @@ class Failure:
     rows: int
 
 
-def run_checks(checks: Mapping[str, DataFrame], parallel: int = 4, width: int = 8) -> list[Failure]:
+def run_checks(checks: Mapping[str, Callable[[], DataFrame]], parallel: int = 4, width: int = 4) -> list[Failure]:
     """Count the failing rows of every check; only the counts reach the driver.
 
-    ``width`` checks form one job, so their stages run side by side.
+    ``width`` checks are planned by one thread and form one job, so their stages run side by side.
     """
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("check"), "n") for name, df in checks.items()
-    ]
-    jobs = [reduce(DataFrame.union, counts[i:i + width]) for i in range(0, len(counts), width)]
+
+    def counts(group: list[tuple[str, Callable[[], DataFrame]]]) -> list:
+        ones = [
+            make().agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("check"), "n") for name, make in group
+        ]
+        return reduce(DataFrame.union, ones).collect()
+
+    items = list(checks.items())
+    groups = [items[i:i + width] for i in range(0, len(items), width)]
     with ThreadPoolExecutor(parallel) as pool:
-        rows = [r for found in pool.map(DataFrame.collect, jobs) for r in found]
+        rows = [r for found in pool.map(counts, groups) for r in found]
     return [Failure(r["check"], r["n"]) for r in rows if r["n"]]

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -107,39 +108,47 @@ def column_tests(df: DataFrame, required: Iterable[str], accepted: Mapping[str,
     return one.unpivot([], [F.col(f"`{k}`") for k in counts], "test", "n").where("n > 0")
 
 
-def generic_checks(t: Tables) -> dict[str, DataFrame]:
+Check = Callable[[], DataFrame]
+
+
+def generic_checks(t: Tables) -> dict[str, Check]:
     """Column tests per table, key uniqueness, references."""
-    checks: dict[str, DataFrame] = {}
+    checks: dict[str, Check] = {}
     required = {name: (*spec.keys, *SILVER_REQUIRED) for name, spec in SPECS.items()} | GOLD_KEYS
     keys = {name: list(spec.keys) for name, spec in SPECS.items()}
     keys |= {name: [columns[0]] for name, columns in GOLD_KEYS.items()}
     for name, columns in required.items():
         accepted = {c: v for (table, c), v in ACCEPTED.items() if table == name}
-        checks[f"columns {name}"] = column_tests(t[name], columns, accepted)
-        checks[f"unique {name}"] = dq.unique(t[name], keys[name])
+        checks[f"columns {name}"] = partial(column_tests, t[name], columns, accepted)
+        checks[f"unique {name}"] = partial(dq.unique, t[name], keys[name])
     for child, column, parent, parent_column in REFERENCES:
-        checks[f"relationship {child}.{column}"] = dq.relationships(t[child], column, t[parent], parent_column)
+        checks[f"relationship {child}.{column}"] = partial(
+            dq.relationships, t[child], column, t[parent], parent_column
+        )
     return checks
 
 
-def invariant_checks(t: Tables, today: str) -> dict[str, DataFrame]:
+def invariant_checks(t: Tables, today: str) -> dict[str, Check]:
     """Reconciliation, Type 2 windows, refund sign, economic series."""
     sales, payments, econ = t["fact_retail_sales"], t["fact_payments"], t["econ_indicator"]
-    checks = {
-        "sales reconcile": dq.reconcile(sales, "sales_amount", t["invoice_line"], "silver_line_total_amount"),
-        "payments reconcile": dq.reconcile(payments, "payment_amount", t["payment"], "silver_payment_amount"),
-        "refunds negative": dq.refunds_not_negative(payments),
-        "series fresh": dq.stale_series(econ, today),
-        "series without gaps": dq.month_gaps(econ),
-        "series unique": dq.unique(econ, ["silver_series_id", "silver_observation_date"]),
-        "series positive": dq.non_positive(econ),
-        "price index covers revenue": dq.months_without_basis(sales, econ, PRICE_SERIES),
-        "paper index covers revenue": dq.months_without_basis(sales, econ, PAPER_SERIES),
+    checks: dict[str, Check] = {
+        "sales reconcile": partial(dq.reconcile, sales, "sales_amount", t["invoice_line"], "silver_line_total_amount"),
+        "payments reconcile": partial(dq.reconcile, payments, "payment_amount", t["payment"], "silver_payment_amount"),
+        "refunds negative": partial(dq.refunds_not_negative, payments),
+        "series fresh": partial(dq.stale_series, econ, today),
+        "series without gaps": partial(dq.month_gaps, econ),
+        "series unique": partial(dq.unique, econ, ["silver_series_id", "silver_observation_date"]),
+        "series positive": partial(dq.non_positive, econ),
+        "price index covers revenue": partial(dq.months_without_basis, sales, econ, PRICE_SERIES),
+        "paper index covers revenue": partial(dq.months_without_basis, sales, econ, PAPER_SERIES),
+    }
+    per_dimension = {
+        "no overlap": dq.scd2_overlaps,
+        "one current": dq.scd2_one_current,
+        "contiguous": dq.scd2_contiguous,
+        "window gaps": dq.scd2_window_gaps,
     }
     for spec in SCD2_DIMENSIONS:
-        dim = t[spec.name]
-        checks[f"no overlap {spec.name}"] = dq.scd2_overlaps(dim, spec.name)
-        checks[f"one current {spec.name}"] = dq.scd2_one_current(dim, spec.name)
-        checks[f"contiguous {spec.name}"] = dq.scd2_contiguous(dim, spec.name)
-        checks[f"window gaps {spec.name}"] = dq.scd2_window_gaps(dim, spec.name)
+        for label, check in per_dimension.items():
+            checks[f"{label} {spec.name}"] = partial(check, t[spec.name], spec.name)
     return checks

@@ -70,6 +70,8 @@ class TableStore:
         self.files = Files(spark, self.root)
         # buckets per "layer.table"; sized so that one bucket fits an executor comfortably
         self.bucket_plan = dict(buckets or {})
+        # a committed version never changes, so its read plan (and file listing) is kept
+        self._plans: dict[tuple[str, str, int], DataFrame] = {}
         # column per "layer.table" whose highest value is kept in the manifest (surrogate keys)
         self.tracked = dict(tracked or {})
 
@@ -106,10 +108,14 @@ class TableStore:
         return self.spark.read.schema(m.schema).parquet(*[f"{base}/{folder}" for folder, _ in parts])
 
     def read(self, layer: str, table: str, version: int | None = None) -> DataFrame:
-        m = self.manifest(layer, table, version)
-        if m is None:
+        found = self.versions(layer, table)
+        if not found:
             raise FileNotFoundError(f"{layer}.{table} has no committed version")
-        return self._read_parts(layer, table, m, m.parts)
+        at = (layer, table, version or found[-1])
+        if at not in self._plans:
+            m = self.manifest(*at)
+            self._plans[at] = self._read_parts(layer, table, m, m.parts)
+        return self._plans[at]
 
     def read_since(self, layer: str, table: str, batch: int) -> DataFrame | None:
         """Rows of appended batches above ``batch`` (None if there are none); older ones are not opened."""
@@ -268,6 +274,7 @@ class TableStore:
         live = {p[0].split("/_bucket=")[0] for v in found[-keep:] for p in self.manifest(layer, table, v).parts}
         base = self._dir(layer, table)
         for v in found[:-keep]:
+            self._plans.pop((layer, table, v), None)
             self.files.delete(f"{base}/_versions/v{v:08d}.json")
         dead = [n for n in self.files.names(f"{base}/data") if f"data/{n}" not in live]
         for n in dead:
