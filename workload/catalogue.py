@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import landing_queries, silver_queries, star_queries  # noqa: F401
+from . import landing_queries, silver_queries, star_queries, store_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
