@@ -49,7 +49,7 @@ def headline(t, v) -> dict:
 def main() -> None:
     spark = local_session("bench", CPUS, int(CPUS))
     spark.sparkContext.setLogLevel("ERROR")
-    store = TableStore(spark, tempfile.mkdtemp(prefix="bench-"), w._bucket_plan(spark))
+    store = TableStore(spark, tempfile.mkdtemp(prefix="bench-"), w.bucket_plan(spark))
     times: dict[str, float] = {}
 
     def timed(name, work):

@@ -48,16 +48,19 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, parent_colum
 
 # -- reconciliation -------------------------------------------------------------
 def reconcile(gold: DataFrame, gold_amount: str, silver: DataFrame, silver_amount: str) -> DataFrame:
-    """Row counts and totals of both layers, if they differ."""
+    """Row counts and totals of both layers, if they differ; one aggregate over both."""
+    both = gold.select(F.lit(True).alias("_gold"), F.col(gold_amount).alias("_amount")).union(
+        silver.select(F.lit(False), F.col(silver_amount))
+    )
 
-    def totals(df: DataFrame, amount: str, side: str) -> DataFrame:
-        return df.agg(
-            F.count(F.lit(1)).alias(f"{side}_rows"),
-            F.round(F.coalesce(F.sum(amount), F.lit(0)), 2).alias(f"{side}_total"),
-        )
+    def totals(side: str, mine: Column) -> list[Column]:
+        return [
+            F.count_if(mine).alias(f"{side}_rows"),
+            F.round(F.coalesce(F.sum(F.when(mine, F.col("_amount"))), F.lit(0)), 2).alias(f"{side}_total"),
+        ]
 
-    both = totals(gold, gold_amount, "gold").crossJoin(F.broadcast(totals(silver, silver_amount, "silver")))
-    return both.where("gold_rows <> silver_rows or gold_total <> silver_total").withColumn(
+    sums = both.agg(*totals("gold", F.col("_gold")), *totals("silver", ~F.col("_gold")))
+    return sums.where("gold_rows <> silver_rows or gold_total <> silver_total").withColumn(
         "total_diff", F.col("gold_total") - F.col("silver_total")
     )
 
@@ -181,7 +184,8 @@ def months_without_basis(sales: DataFrame, econ: DataFrame, series_id: str) -> D
     months = sales.select(month_of_key(F.col("date_key")).alias("month_key")).distinct()
     known = econ.where((F.col("silver_series_id") == series_id) & F.col("silver_indicator_value").isNotNull())
     first = known.agg(F.min(month_key(F.col("silver_observation_date"))).alias("_first"))
-    return months.crossJoin(F.broadcast(first)).where("_first is null or month_key < _first").select("month_key")
+    covered = F.col("month_key") >= first.scalar()
+    return months.where(~F.coalesce(covered, F.lit(False)))
 
 
 def freshness(landed: DataFrame, by: list[str], loaded_at: str, now: str | Column, warn_hours: int = 24,

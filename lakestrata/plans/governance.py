@@ -168,10 +168,15 @@ def snapshot_tables(store: TableStore, tables: list[tuple[str, str]], dest: str,
 
 def compare_copies(live: DataFrame, copy: DataFrame) -> DataFrame:
     """Counts and hashes side by side; ``matches`` also demands a non-empty copy."""
-    a = fingerprint(live).toDF("live_rows", "live_content")
-    b = fingerprint(copy).toDF("copy_rows", "copy_content")
+    prints = fingerprint(live).withColumn("side", F.lit("live")).union(
+        fingerprint(copy).withColumn("side", F.lit("copy"))
+    )
+    columns = [
+        F.max(F.when(F.col("side") == side, F.col(c))).alias(f"{side}_{c}")
+        for side in ("live", "copy") for c in ("rows", "content")
+    ]
     same = (F.col("live_rows") == F.col("copy_rows")) & (F.col("live_content") == F.col("copy_content"))
-    return a.crossJoin(F.broadcast(b)).withColumn("matches", same & (F.col("copy_rows") > 0))
+    return prints.agg(*columns).withColumn("matches", same & (F.col("copy_rows") > 0))
 
 
 def verify_snapshot(store: TableStore, tables: list[tuple[str, str]], folder: str) -> list[str]:

@@ -129,7 +129,7 @@ def revenue_real(sales: DataFrame, econ: DataFrame) -> DataFrame:
     both = revenue.join(index, "month_key")
     base = both.agg(F.max_by("cpi_index", "month_key").alias("base_cpi"))
     ratio = F.col("base_cpi") / F.col("cpi_index")
-    return both.crossJoin(F.broadcast(base)).select(
+    return both.withColumn("base_cpi", base.scalar()).select(
         "month_key",
         "nominal_revenue",
         "cpi_index",

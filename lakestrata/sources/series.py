@@ -48,7 +48,7 @@ def observations(documents: DataFrame, series: DataFrame, start: str | None = No
     value = F.when(~F.col("value").isin(*MISSING), F.col("value").cast("double"))
     stamp = day.cast("timestamp_ntz")
     return (
-        exploded.join(F.broadcast(series.select("series_id", "units")), "series_id")
+        exploded.join(series.select("series_id", "units"), "series_id")
         .select(
             "series_id",
             day.alias("observation_date"),

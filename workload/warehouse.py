@@ -1,19 +1,15 @@
-"""The stored warehouse the star queries read: two runs over the derived sources."""
+"""Whole runs over the derived sources, for the benchmark and the tests."""
 
 from __future__ import annotations
 
-import uuid
-from functools import cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.plans.run import Run
-from lakestrata.session import scratch_root
 from lakestrata.sources.store import TableStore
 
 from . import given
-from .source_sql import CHANGING, RUN_1, RUN_2, SOURCES
+from .source_sql import CHANGING, RUN_1, RUN_2, SOURCES  # noqa: F401
 
 CALENDAR = ("1990-01-01", "2002-12-31")
 SNAPSHOT_DAY = "2000-06-30"
@@ -43,21 +39,8 @@ def new_run(store: TableStore, run_ts: str) -> Run:
     return Run(store, run_ts, calendar=CALENDAR, snapshot_date=SNAPSHOT_DAY, tolerated=TOLERATED)
 
 
-def _bucket_plan(spark: SparkSession) -> dict[str, int]:
+def bucket_plan(spark: SparkSession) -> dict[str, int]:
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions", "8")), 1)
     large = ("silver.invoice", "silver.invoice_line", "silver.payment", "gold.fact_retail_sales",
              "gold.fact_payments", "gold.dim_invoice")
     return {name: min(n, 64) for name in large}
-
-
-@cache
-def built(spark: SparkSession, sf: str) -> TableStore:
-    """Both runs, once per session and scale factor, in the shared folder."""
-    store = TableStore(spark, f"{scratch_root(spark)}/warehouse-{uuid.uuid4().hex}", _bucket_plan(spark))
-    new_run(store, RUN_1).execute(sources(spark, sf, 1), documents(spark, sf))
-    new_run(store, RUN_2).execute(sources(spark, sf, 2), documents(spark, sf))
-    return store
-
-
-def tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return new_run(built(spark, sf), RUN_2).tables()
