@@ -161,7 +161,7 @@ def test_never_ordered_customers_have_a_huge_gap(spark):
     cols = ", ".join(f"0 as {c}" for c in serving.SNAPSHOT_VIEW if c not in ("snapshot_date_key", "last_order_date_key", "is_active_customer", "customer_status"))
     snap = spark.sql(f"select {cols}, 20240131 as snapshot_date_key, k as last_order_date_key, true as is_active_customer, 'active' as customer_status from values (-1), (20240120) as t(k)")
     got = {r["last_order_date_key"]: (r["days_since_last_order"], r["is_at_risk"]) for r in serving.snapshot_view(snap, cal).collect()}
-    assert got == {-1: (45321, True), 20240120: (11, False)}
+    assert got == {-1: ((date(2024, 1, 31) - date(1900, 1, 1)).days, True), 20240120: (11, False)}
 
 
 def test_quarantine_and_flags(spark):
