@@ -92,13 +92,13 @@ def test_failing_extract_closes_its_batch(spark, store):
 
 def test_customer_cleaning(spark):
     rows = customers(spark, [
-        (1, "  ERICK ", "  o'neil   palma ", " ", "John@X.com ", "(480) 863-7834", " Active ", "2026-01-01 00:00:00"),
+        (1, "  MARIA ", "  o'neil   lopez ", " ", "John@X.com ", "(480) 863-7834", " Active ", "2026-01-01 00:00:00"),
         (2, None, None, "  Acme   Print LLC", "", None, "frozen", "2026-01-01 00:00:00"),
         (3, None, None, None, None, "n/a", None, "2026-01-01 00:00:00"),
     ])
     out = {r["silver_customer_id"]: r for r in
            silver_table(SPECS["customer"], land(spark, CUSTOMER, rows, 1), batch_id=1, run_ts=RUN).collect()}
-    assert out[1]["silver_customer_name"] == "Erick O'Neil Palma"
+    assert out[1]["silver_customer_name"] == "Maria O'Neil Lopez"
     assert out[1]["silver_email"] == "john@x.com" and out[1]["silver_phone_number"] == "4808637834"
     assert out[1]["silver_is_active_flag"] is True
     assert out[2]["silver_customer_name"] == "Acme Print LLC"
