@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 from .jaccard_join import jaccard_join
+from .packing import pack
+from .sharding import uniform_shards
+from .url_filter import MIN_SOFT, RULES, SOFT, STRICT, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,3 +27,52 @@ def query(fn):
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the size of its shingle set and its component of near copies."""
     return jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "links")
+
+
+@query
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence of at most 1024 tokens."""
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op7_uniform_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in one of 24 shards of equal row counts."""
+    text = F.coalesce("text", F.lit(""))
+    return uniform_shards(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op9_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host, path, deciding rule and verdict."""
+    return url_filter(table(spark, sf_dir, "pages"))
+
+
+def _op9_sql() -> str:
+    """The rules, and each term between boundaries as a pattern."""
+    lower = ", 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in RULES)
+    terms = ", ".join(f"('{k}', '{t}')" for k, ts in (("strict", STRICT), ("soft", SOFT)) for t in ts)
+    return rf"""
+WITH cut AS (SELECT row_number() OVER () AS r, page_id, coalesce(url, '') AS url,
+    CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT r, page_id, translate(url{lower} AS url, translate(regexp_extract(rest, '^[^/?#]*'){lower} AS host,
+    regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM cut),
+rules(verdict, host, path) AS (VALUES {rules}),
+fit AS (SELECT p.r, arg_max(u.host || u.path, length(u.host || u.path)) AS rule,
+    arg_max(u.verdict, length(u.host || u.path)) AS verdict FROM parts p JOIN rules u
+    ON (p.host = u.host OR p.host LIKE '%.' || u.host) AND starts_with(p.path, u.path) GROUP BY p.r),
+terms(kind, term) AS (VALUES {terms}),
+hit AS (SELECT p.r, kind, term, len(regexp_extract_all(replace(p.url, '_', '-'), '\b' || term || '\b')) AS n
+    FROM parts p JOIN terms t ON contains(p.url, t.term)),
+sums AS (SELECT r, coalesce(sum(n) FILTER (kind = 'strict'), 0) AS strict_hits,
+    count(*) FILTER (kind = 'soft' AND n > 0) AS soft_hits FROM hit GROUP BY r)
+SELECT page_id, p.host, p.path, f.rule,
+    coalesce(f.verdict, CASE WHEN coalesce(strict_hits, 0) > 0 OR coalesce(soft_hits, 0) >= {MIN_SOFT} THEN 'block' ELSE 'allow' END)
+    AS verdict, CAST(coalesce(strict_hits, 0) AS INTEGER) AS strict_hits, CAST(coalesce(soft_hits, 0) AS INTEGER) AS soft_hits
+FROM parts p LEFT JOIN fit f USING (r) LEFT JOIN sums s USING (r)"""
+
+
+ORACLES["op9_url_vocabulary"] = _op9_sql()
