@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .jaccard_join import jaccard_join
+from .kdtree import top_k
 from .packing import pack
+from .pii import pseudonymize
 from .sharding import uniform_shards
 from .url_filter import MIN_SOFT, RULES, SOFT, STRICT, url_filter
 
@@ -76,3 +78,25 @@ FROM parts p LEFT JOIN fit f USING (r) LEFT JOIN sums s USING (r)"""
 
 
 ORACLES["op9_url_vocabulary"] = _op9_sql()
+
+
+@query
+def op8_kdtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best vectors of every query vector (ids divisible by 50)."""
+    rows = table(spark, sf_dir, "embeddings")
+    return top_k(rows, rows.where("vec_id % 50 = 0"))
+
+
+ORACLES["op8_kdtree_top_k"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS c FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.c, c.c) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
+@query
+def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with format-preserving pseudonyms in its text."""
+    return pseudonymize(table(spark, sf_dir, "documents")).select("doc_id", "text")
