@@ -109,7 +109,8 @@ def digests(docs: DataFrame, width: int, buckets: int) -> DataFrame:
     rows = docs.select("doc_id", "text").mapInArrow(
         run, "doc_id long, n long, digest binary, bucket int, shingles binary, counts binary")
     # a document's row goes to a random place, so that copies don't meet in one task
-    return rows.repartition(partitions(docs.sparkSession), F.coalesce(F.xxhash64("bucket"), F.xxhash64("doc_id", "n")))
+    key = F.when(F.col("bucket").isNull(), F.xxhash64("doc_id", "n")).otherwise(F.xxhash64("bucket"))
+    return rows.repartition(partitions(docs.sparkSession), key)
 
 
 def frequent(rows: DataFrame) -> DataFrame:
