@@ -14,6 +14,7 @@ from .kdtree import top_k
 from .packing import pack
 from .pii import pseudonymize
 from .sharding import uniform_shards
+from .toxicity import toxicity
 from .url_filter import MIN_SOFT, RULES, SOFT, STRICT, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +101,9 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with format-preserving pseudonyms in its text."""
     return pseudonymize(table(spark, sf_dir, "documents")).select("doc_id", "text")
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity."""
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("x")
