@@ -12,10 +12,15 @@ the merge, because a partner must also be met in one of the remaining short list
    fixed order gives the same links; this one keeps the merged lists short. Of each
    representative only the short lists (the first n - T + 1 shingles) are inverted.
 3. Each task merges the lists of its hash range. Lists of up to ``SHORT`` members give
-   their pairs; a longer one first gives a star per band of sizes.
+   their pairs; a longer one first gives stars: ``LEADERS`` members of each band of sizes
+   with the band's others.
 4. Pairs are settled by probing the longer sorted set for the shingles of the shorter one.
-5. Of the longer lists, pairs whose ends aren't connected yet are settled the same way, so
-   a group of many near copies costs its stars, and no link between components is missed.
+5. Members of longer lists that aren't all connected are searched whole: documents that
+   share such lists form clusters, a cluster is cut into bands of sizes and blocks of bounded
+   size, and each pair of blocks that may hold partners is one task. It inverts one block and
+   queries it with the other by T-occurrence: the short lists of a query are merged, the
+   longest ones are probed by binary search for the documents still able to reach T.
+   Members of one component aren't compared again; no link between components is missed.
 6. Components of the links are found with label propagation over tables.
 
 Shingles are compared by 64-bit hashes. Defined cases: a null or wordless text has an
@@ -31,6 +36,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +47,10 @@ from .components import components
 
 WIDTH = 5
 SHORT = 16
+#: Members of a longer list that are paired with all others before the rest is.
+LEADERS = 4
+#: Shingles of a block of documents, about.
+BLOCK = 1 << 19
 FREQUENT = 16
 #: Entries of the table of frequent shingles that every task holds: 8 bytes each. It only
 #: orders lists; shingles beyond it count as infrequent, which costs time but no link.
@@ -213,21 +223,22 @@ def inverted(prefixes: DataFrame, buckets: int) -> DataFrame:
             .repartition(partitions(prefixes.sparkSession), F.xxhash64("bucket")).sortWithinPartitions("bucket"))
 
 
-def merge_list(ids: np.ndarray, n: np.ndarray, place: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, bool]:
+def merge_list(ids: np.ndarray, n: np.ndarray, place: np.ndarray, percent: int, most: int = SHORT) -> tuple[np.ndarray, np.ndarray, bool]:
     """Candidate pairs of one list, members ordered by size, and whether they were all pairs."""
     m = len(ids)
-    whole = m <= SHORT
+    whole = m <= most
     if whole:
         a, b = np.triu_indices(m, 1)
     else:
         a, b, lo = [], [], 0
         while lo < m:
             hi = int(np.searchsorted(n, n[lo] * 100 // percent, "right"))
-            mid = (lo + hi) // 2
-            b.extend(k for k in range(lo, hi) if k != mid)
-            a.extend([mid] * (hi - lo - 1))
+            for mid in lo + np.argsort(kernel.mix(ids[lo:hi].view(np.uint64)), kind="stable")[:LEADERS]:
+                others = np.arange(lo, hi)
+                b.append(others[others != mid])
+                a.append(np.full(hi - lo - 1, mid))
             lo = hi
-        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        a, b = np.concatenate(a), np.concatenate(b)
     na, nb = n[a].astype(np.int64), n[b].astype(np.int64)
     need = -(-percent * (na + nb) // (100 + percent))
     left = 1 + np.minimum(na - place[a], nb - place[b]) - 1
@@ -236,7 +247,7 @@ def merge_list(ids: np.ndarray, n: np.ndarray, place: np.ndarray, percent: int)
     return np.minimum(a, b), np.maximum(a, b), whole
 
 
-def merged(postings: DataFrame, percent: int) -> DataFrame:
+def merged(postings: DataFrame, percent: int, most: int = SHORT) -> DataFrame:
     """Rows ``h, a, b, n``: candidate pairs (h null), and members of longer lists (b null)."""
     names = ["h", "a", "b", "n", "place"]
 
@@ -252,7 +263,7 @@ def merged(postings: DataFrame, percent: int) -> DataFrame:
             a, b, long = [], [], []
             for k in many:
                 s = slice(cut[k], cut[k + 1])
-                x, y, whole = merge_list(ids[s], n[s], place[s], percent)
+                x, y, whole = merge_list(ids[s], n[s], place[s], percent, most)
                 a.append(x)
                 b.append(y)
                 if not whole:
@@ -293,12 +304,11 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(b[np.minimum(at, len(b) - 1)] == a))
 
 
-def links(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose whole sets reach the threshold."""
-    spark = docs.sparkSession
-    wanted = spark.sparkContext.broadcast(id_bitmap(pairs.select("a").union(pairs.select(F.col("b").alias("a"))), "a"))
+def shingled(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """``doc_id, set`` of at least the documents in ``ids`` (one column ``a``)."""
+    wanted = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids, "a"))
 
-    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(wanted.value, np.uint8)
         for batch in batches:
             slot = batch.column(2).to_numpy(zero_copy_only=False)
@@ -309,6 +319,12 @@ def links(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFr
                      binary([s.tobytes() for s in kernel.shingle_sets(kernel.words(raw, offs), width)])],
                     names=["doc_id", "set"])
 
+    return (docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text", in_bitmap("doc_id").alias("slot"))
+            .mapInArrow(run, "doc_id long, set binary"))
+
+
+def links(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose whole sets reach the threshold."""
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -318,15 +334,14 @@ def links(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFr
                 keep.append(100 * o >= percent * (len(x) + len(y) - o) and o > 0)
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    sets = (docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text", in_bitmap("doc_id").alias("slot"))
-            .mapInArrow(shingled, "doc_id long, set binary"))
+    sets = shingled(docs, pairs.select("a").union(pairs.select(F.col("b").alias("a"))), width)
     left = sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b"))
     both = pairs.hint("merge").join(right.hint("merge"), "b").join(left.hint("merge"), "a")
     return both.select("a", "b", "set_a", "set_b").mapInArrow(settle, "a long, b long")
 
 
-def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = 80) -> DataFrame:
+def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = 80, short: int = SHORT) -> DataFrame:
     """``doc_id, n_shingles, component_id, links`` for each row of ``docs`` (columns doc_id, text).
 
     ``links`` counts the settled links of the document's class that were needed to connect it.
@@ -342,14 +357,15 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = 80) -> Data
     reps = stage(classes.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
     prefixes = short_lists(docs, width, percent, hot)
     own = prefixes.join(reps.where("rep IS NOT NULL").withColumnRenamed("rep", "doc_id"), ["digest", "doc_id"], "left_semi")
-    found = stage(merged(inverted(own, 4 * parts), percent), "candidates")
+    found = stage(merged(inverted(own, 4 * parts), percent, short), "candidates")
 
     pairs = found.where("b IS NOT NULL").select("a", "b").distinct()
     near = stage(links(docs, pairs, width, percent).distinct(), "links")
-    rest = remaining(found.where("b IS NULL"), components(near), percent)
-    if rest is not None:
-        near = stage(near.union(links(docs, rest, width, percent)).distinct(), "links")
     labels = components(near)
+    members = unconnected(found.where("b IS NULL").select("h", "a", "n"), labels)
+    if members.limit(1).count():
+        near = stage(near.union(searched(docs, members, width, percent)).distinct(), "links")
+        labels = components(near)
     degree = near.select("a").union(near.select("b")).groupBy(F.col("a").alias("rep")).agg(F.count("*").alias("links"))
     known = (reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left").join(degree, "rep", "left")
              .select("digest", F.coalesce("component", "rep").alias("component"), F.coalesce("links", F.lit(0)).alias("links")))
@@ -360,17 +376,106 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = 80) -> Data
                     F.coalesce("links", F.lit(0)).cast("long").alias("links")))
 
 
-def remaining(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame | None:
-    """Pairs of the longer lists that the first links left in different components."""
+def unconnected(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``a, n, c, cluster`` of the members of lists that are spread over several components."""
     known = (members.join(labels.withColumnRenamed("node", "a"), "a", "left")
-             .select("h", "a", "n", "place", F.coalesce("component", "a").alias("c")))
-    split = known.groupBy("h").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("h")
-    open_lists = stage(known.join(split, "h", "left_semi"), "open")
-    if not open_lists.limit(1).count():
-        return None
-    x, y = (open_lists.select("h", *(F.col(k).alias(f"{k}_{s}") for k in ("a", "n", "place", "c"))) for s in "xy")
-    need = F.ceil(F.lit(percent) * (F.col("n_x") + F.col("n_y")) / F.lit(100 + percent))
-    ok = ((F.col("c_x") < F.col("c_y")) & (F.least("n_x", "n_y") >= need)
-          & (F.least(F.col("n_x") - F.col("place_x"), F.col("n_y") - F.col("place_y")) >= need))
-    pairs = x.join(y, "h").where(ok)
-    return stage(pairs.select(F.least("a_x", "a_y").alias("a"), F.greatest("a_x", "a_y").alias("b")).distinct(), "pairs")
+             .select("h", "a", "n", F.coalesce("component", "a").alias("c")))
+    lists = (known.groupBy("h").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.min("a").alias("first"))
+             .where("x < y").select("h", "first"))
+    spread = stage(known.join(lists, "h"), "open")
+    clusters = components(spread.select(F.col("first").alias("x"), "a"), "x", "a")
+    return stage(spread.select("a", "n", "c").distinct().join(clusters.withColumnRenamed("node", "a"), "a")
+                 .select("a", "n", "c", F.col("component").alias("cluster")), "clusters")
+
+
+def block_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """``a, c, cluster, band, i, other, j, side``: a row for each block pair that a member takes part in.
+
+    Partners have sizes within 100 / percent, so they are in one band or in neighbouring ones.
+    """
+    base = 100 / percent
+    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(base)) + 1e-9).cast("int")
+    rows = members.withColumn("band", band)
+    sizes = rows.groupBy("cluster", "band").agg(
+        F.ceil(F.sum("n") / F.lit(float(BLOCK))).cast("int").alias("blocks"))
+    place = F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int")
+    rows = rows.join(sizes, ["cluster", "band"]).withColumn("i", place)
+    up = sizes.select("cluster", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
+    down = sizes.select("cluster", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below"))
+    rows = rows.join(up, ["cluster", "band"], "left").join(down, ["cluster", "band"], "left")
+
+    def pair(band, i, other, j, side):
+        return F.struct(band.cast("int").alias("band"), i.alias("i"), other.cast("int").alias("other"), j.alias("j"),
+                        F.lit(side).alias("side"))
+
+    def numbers(n):
+        return F.when(F.coalesce(n, F.lit(0)) > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+    k, i = F.col("band"), F.col("i")
+    tasks = F.concat(
+        F.transform(F.sequence(i, F.col("blocks") - 1), lambda j: pair(k, i, k, j, 0)),
+        F.transform(numbers(F.col("i")), lambda j: pair(k, j, k, i, 1)),
+        F.transform(numbers(F.col("above")), lambda j: pair(k, i, k + 1, j, 0)),
+        F.transform(numbers(F.col("below")), lambda j: pair(k - 1, j, k, i, 1)))
+    return rows.select("a", "c", "cluster", F.explode(tasks).alias("t")).select("a", "c", "cluster", "t.*")
+
+
+def t_occurrence(queries: list[np.ndarray], rows: list[np.ndarray], percent: int,
+                 other: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """For each query the rows whose sets reach the threshold with it (``other[q]``: rows that count)."""
+    sizes = np.array([len(r) for r in rows], np.int64)
+    keys = np.concatenate(rows) if rows else np.zeros(0, np.uint64)
+    owner = np.repeat(np.arange(len(rows)), sizes)
+    order = np.lexsort((owner, keys))
+    keys, owner = keys[order], owner[order]
+    smallest = int(sizes.min()) if len(sizes) else 0
+    for q, s in enumerate(queries):
+        n = len(s)
+        least = -(-percent * (n + max(smallest, -(-percent * n // 100))) // (100 + percent))
+        lo, hi = np.searchsorted(keys, s, "left"), np.searchsorted(keys, s, "right")
+        size = hi - lo
+        used = np.flatnonzero(size)
+        if len(used) < least:
+            continue
+        used = used[np.argsort(size[used], kind="stable")]
+        # the more lists are left to probing, the weaker the merge filters; half of the threshold balances them
+        long = min(least // 2, len(used) - 1)
+        short, probe = used[:len(used) - long], used[len(used) - long:]
+        total = int(size[short].sum())
+        at = np.repeat(lo[short] - np.concatenate([[0], np.cumsum(size[short])[:-1]]), size[short]) + np.arange(total)
+        count = np.bincount(owner[at], minlength=len(rows))
+        need = -(-percent * (n + sizes) // (100 + percent))
+        alive = (count >= need - long) & (np.minimum(n, sizes) >= need)
+        if other is not None:
+            alive &= other[q]
+        found = np.flatnonzero(alive)
+        for k, p in enumerate(probe):
+            if not len(found):
+                break
+            own = owner[lo[p]:hi[p]]
+            place = np.minimum(np.searchsorted(own, found), len(own) - 1)
+            count[found] += own[place] == found
+            found = found[count[found] >= need[found] - (long - 1 - k)]
+        if len(found):
+            yield q, found[100 * count[found] >= percent * (n + sizes[found] - count[found])]
+
+
+def searched(docs: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links ``a, b`` between members of a cluster that are in different components."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        sets = [np.frombuffer(x, np.uint64) for x in pdf["set"]]
+        ids, c, side = (pdf[k].to_numpy() for k in ("a", "c", "side"))
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        if not len(right) or (pdf["band"].iloc[0] == pdf["other"].iloc[0] and pdf["i"].iloc[0] == pdf["j"].iloc[0]):
+            left = right = np.arange(len(ids))
+        apart = c[left][:, None] != c[right][None, :]
+        out = []
+        for q, found in t_occurrence([sets[k] for k in left], [sets[k] for k in right], percent, apart):
+            x, y = ids[left[q]], ids[right[found]]
+            out.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
+        pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+        return pd.DataFrame(pairs, columns=["a", "b"])
+
+    sets = shingled(docs, members.select("a"), width).withColumnRenamed("doc_id", "a")
+    return (block_pairs(members, percent).join(sets, "a").groupBy("cluster", "band", "i", "other", "j")
+            .applyInPandas(run, "a long, b long"))
