@@ -13,6 +13,7 @@ from .jaccard_join import jaccard_join
 from .kdtree import top_k
 from .packing import pack
 from .pii import pseudonymize
+from .quality_rules import quality
 from .sharding import uniform_shards
 from .toxicity import toxicity
 from .url_filter import MIN_SOFT, RULES, SOFT, STRICT, url_filter
@@ -107,3 +108,9 @@ def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity."""
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("x")
+
+
+@query
+def op4_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality."""
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
