@@ -21,6 +21,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+PUNCTUATION = np.zeros(256, bool)
+PUNCTUATION[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 BYTE = np.random.default_rng(20250131).integers(1, MASK, 256, dtype=np.uint64)
 STEP = np.random.default_rng(20250201).integers(1, MASK, 64, dtype=np.uint64) | np.uint64(1)
 _POWERS: list[np.ndarray] = []
@@ -77,7 +79,8 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         lo = hi
 
 
-def words(raw: np.ndarray, offs: np.ndarray) -> Words:
+def words(raw: np.ndarray, offs: np.ndarray, strip: int = 0) -> Words:
+    """The words of a run of texts; up to ``strip`` ASCII punctuation marks are taken off either end of a word."""
     n = len(raw)
     data = LOWER[raw]
     if not n:
@@ -90,6 +93,12 @@ def words(raw: np.ndarray, offs: np.ndarray) -> Words:
     first[offs[offs < n]] = True
     last[offs[offs > 0] - 1] = True
     starts, ends = np.flatnonzero(first & ~gap), np.flatnonzero(last & ~gap) + 1
+    for _ in range(strip):
+        ends = ends - ((ends > starts) & PUNCTUATION[data[ends - 1]])
+        starts = starts + ((starts < ends) & PUNCTUATION[data[np.minimum(starts, n - 1)]])
+    if strip:
+        some = ends > starts
+        starts, ends = starts[some], ends[some]
     up, down = powers(n)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(BYTE[data] * up[:n], out=sums[1:])

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .cross_entropy import cross_entropy_difference, good_documents
 from .jaccard_join import jaccard_join
 from .kdtree import top_k
 from .packing import pack
@@ -114,3 +115,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality."""
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's loss difference between a model of good documents and one of all."""
+    docs = table(spark, sf_dir, "documents")
+    return cross_entropy_difference(docs, good_documents(docs, table(spark, sf_dir, "labels")))
