@@ -33,7 +33,7 @@ from .encode import encoder
 
 CAPACITY = 1024
 END = 2
-STEP_CHARS = 1 << 21
+STEP_CHARS = 1 << 22
 
 
 def cut(total: int, capacity: int) -> list[tuple[int, int]]:
