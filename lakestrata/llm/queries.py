@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .cross_entropy import cross_entropy_difference, good_documents
+from .decontamination import contamination
 from .jaccard_join import jaccard_join
 from .kdtree import top_k
 from .packing import pack
@@ -122,3 +123,9 @@ def op10_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's loss difference between a model of good documents and one of all."""
     docs = table(spark, sf_dir, "documents")
     return cross_entropy_difference(docs, good_documents(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op3_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item found in a document."""
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
