@@ -3,15 +3,16 @@
 Learning, from labelled rows outside the held-out fifth only, at most ``MOST_LABELLED`` of
 them: words, and word beginnings of 4 to 6 letters, are counted in toxic and other documents
 (near copies, told by three min-hashes, count once) and kept where nearly all their documents
-are toxic. The terms form a trie.
+are toxic, and too many for chance (binomial probability up to ``CHANCE``). The terms form a
+trie.
 
 Scoring: every distinct token of a run of texts is judged once. Its letters are folded (case,
 figures used as letters), then looked up as a term, as a beginning, and, if half of a term
 stands at one of its ends, by walking the trie with the Levenshtein automaton of the token:
 both advance together, so only beginnings within the distance are visited. Each hit is weighed
 by its term's log-odds and split by its window of neighbouring words: quotation marks and
-verbs of reporting move weight from abuse to quotation. A logistic model over the sums, fitted
-on one half of the sample with the lexicon of the other, gives the score.
+verbs of reporting move weight from abuse to quotation. A logistic model over the sums,
+fitted on the sample, gives the score.
 
 Inputs of a score are the text alone. Defined cases: null and empty texts score as a text
 without hits; null ids are kept, never held out and never learned from; repeated rows are
@@ -25,6 +26,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from math import lgamma, log
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,7 @@ MOST_LABELLED = 20_000
 MOST_TERMS = 20_000
 MIN_DOCS = 3
 PRECISION = 0.8
+CHANCE = 1e-5
 STEMS = (4, 5, 6)
 FUZZY_LETTERS = 5
 DISTANCE = 1
@@ -177,47 +180,46 @@ class Scorer:
 
 
 def term_counts(rows: DataFrame) -> DataFrame:
-    """``term, stem, toxic, other, toxic_1, other_1``: documents holding a word or beginning, and those of half 1."""
+    """``term, stem, toxic, other``: documents that hold a word or beginning."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[str, bool], list[int]] = defaultdict(lambda: [0, 0, 0, 0])
+        sums: dict[tuple[str, bool], list[int]] = defaultdict(lambda: [0, 0])
         for batch in batches:
-            for text, y, half in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for text, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = {LETTERS.sub("", t) for t in set((text or "").lower().split())}
                 words = {x for x in words if 3 <= len(x) <= 40 and x.isalpha()}
                 found = {(x, False) for x in words} | {(x[:k], True) for x in words for k in STEMS if len(x) > k}
                 for key in found:
-                    s = sums[key]
-                    s[1 - y] += 1
-                    s[3 - y] += half
+                    sums[key][1 - y] += 1
         keys = list(sums)
         yield pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.bool_()),
-             *(pa.array([sums[k][i] for k in keys], pa.int64()) for i in range(4))],
-            names=["term", "stem", "toxic", "other", "toxic_1", "other_1"])
+             *(pa.array([sums[k][i] for k in keys], pa.int64()) for i in range(2))],
+            names=["term", "stem", "toxic", "other"])
 
-    return (rows.select("text", "y", "half")
-            .mapInArrow(run, "term string, stem boolean, toxic long, other long, toxic_1 long, other_1 long")
-            .groupBy("term", "stem").agg(*(F.sum(c).alias(c) for c in ("toxic", "other", "toxic_1", "other_1"))))
+    return (rows.select("text", "y").mapInArrow(run, "term string, stem boolean, toxic long, other long")
+            .groupBy("term", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")))
 
 
-def lexicon(rows: list, toxic: str, other: str, n_toxic: int, n_other: int) -> Lexicon:
-    """The terms of one count column, with smoothed log-odds as weights."""
-    terms, stems = {}, {}
+def lexicon(rows: list, n_toxic: int, n_other: int) -> Lexicon:
+    """The terms that tell toxic documents, with smoothed log-odds as weights."""
+    terms, stems, share = {}, {}, n_toxic / (n_toxic + n_other)
     for r in rows:
-        a, b = r[toxic], r[other]
-        if a < MIN_DOCS or a / n_toxic < PRECISION / (1 - PRECISION) * b / max(n_other, 1) or a < PRECISION * (a + b):
+        a, b = r["toxic"], r["other"]
+        chance = lgamma(a + b + 1) - lgamma(a + 1) - lgamma(b + 1) + a * log(share) + b * log(1 - share)
+        if a < MIN_DOCS or a < PRECISION * (a + b) or chance > log(CHANCE):
             continue
-        weight = np.log((a + 0.5) / (n_toxic + 1)) - np.log((b + 0.5) / (n_other + 1))
-        if weight > 1.5:
-            (stems if r["stem"] else terms)[r["term"]] = round(float(min(weight, 8.0)), 4)
+        weight = log((a + 0.5) / (n_toxic + 1)) - log((b + 0.5) / (n_other + 1))
+        (stems if r["stem"] else terms)[r["term"]] = round(min(weight, 8.0), 4)
     # a beginning needs several words; else it is one term's own
-    words: dict[str, int] = defaultdict(int)
-    for t in terms:
+    own = {r["term"]: r["toxic"] for r in rows if not r["stem"]}
+    single: dict[str, int] = defaultdict(int)
+    for t, a in own.items():
         for k in STEMS:
             if len(t) > k:
-                words[t[:k]] += 1
-    return Lexicon(terms, {s: w for s, w in stems.items() if words[s] >= 2})
+                single[t[:k]] = max(single[t[:k]], a)
+    docs = {r["term"]: r["toxic"] for r in rows if r["stem"]}
+    return Lexicon(terms, {s: w for s, w in stems.items() if docs[s] > single[s]})
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -253,13 +255,13 @@ def min_hashes(docs: DataFrame) -> DataFrame:
 
 
 def first_copies(rows: list) -> dict[int, int]:
-    """The smallest id of each group that shares a min-hash, and its half (of a bounded sample)."""
+    """The smallest id of each group that shares a min-hash, and its label (of a bounded sample)."""
     seen: set[tuple[int, int]] = set()
     out: dict[int, int] = {}
     for r in sorted(rows, key=lambda r: r["doc_id"]):
         keys = {(k, r[f"h{k}"]) for k in range(3) if r[f"h{k}"]}
         if not keys & seen:
-            out[r["doc_id"]] = len(out) % 2
+            out[r["doc_id"]] = r["y"]
         seen |= keys
     return out
 
@@ -286,24 +288,20 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED):
     """The lexicon and the coefficients of the logistic model."""
     spark = docs.sparkSession
     sample = stage(labelled_sample(docs, labels, "toxic", most), "labelled")
-    rows = min_hashes(sample).collect()  # at most ``most`` rows
-    half = first_copies(rows)
-    y = {r["doc_id"]: r["y"] for r in rows if r["doc_id"] in half}
-    n = [[sum(1 for d, v in y.items() if v == c and half[d] >= h) for h in (0, 1)] for c in (1, 0)]
-    share = n[0][0] / max(1, len(y))
-    if not n[0][0] or not n[1][0]:
-        return Lexicon({}, {}), np.array([0.0] * len(FEATURES) + [np.log((share + 1e-6) / (1 - share + 1e-6))])
-    chosen = spark.createDataFrame(list(half.items()), "doc_id long, half int")
+    y = first_copies(min_hashes(sample).collect())  # at most ``most`` rows
+    n_toxic = sum(y.values())
+    n_other = len(y) - n_toxic
+    if not n_toxic or not n_other:
+        share = n_toxic / max(1, len(y))
+        return Lexicon({}, {}), np.array([0.0] * len(FEATURES) + [log((share + 1e-6) / (1 - share + 1e-6))])
+    chosen = spark.createDataFrame(list(y.items()), "doc_id long, own int")
     sample = sample.join(F.broadcast(chosen), "doc_id")
-    found = (term_counts(sample).where((F.col("toxic") >= MIN_DOCS) & (F.col("toxic") >= PRECISION * (F.col("toxic") + F.col("other"))))
+    enough = (F.col("toxic") >= MIN_DOCS) & (F.col("toxic") >= PRECISION * (F.col("toxic") + F.col("other")))
+    found = (term_counts(sample).where(enough)
              .orderBy(F.desc(F.col("toxic") / (F.col("other") + 1)), "term", "stem").limit(MOST_TERMS).collect())
-    halved = lexicon(found, "toxic_1", "other_1", n[0][1], n[1][1])
-    whole = lexicon(found, "toxic", "other", n[0][0], n[1][0])
-    fitted = featured(sample.where("half = 0"), spark.sparkContext.broadcast(halved), ["y"]).collect()  # bounded as the sample
-    x, t = np.array([r["x"] for r in fitted]).reshape(-1, len(FEATURES)), np.array([r["y"] for r in fitted], float)
-    if len(t) < 2 or t.min() == t.max():
-        return whole, np.array([1.0, 1.0, 0.0, 0.0, 1.0, 0.0, 0.0, np.log(share / (1 - share))])
-    return whole, fit(x, t)
+    whole = lexicon(found, n_toxic, n_other)
+    fitted = featured(sample, spark.sparkContext.broadcast(whole), ["y"]).collect()  # bounded as the sample
+    return whole, fit(np.array([r["x"] for r in fitted]), np.array([r["y"] for r in fitted], float))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> DataFrame:
