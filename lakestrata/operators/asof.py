@@ -39,7 +39,7 @@ def as_of_lookup(
     inside = (when >= F.col("_from")) & ((when < F.col("_to")) | F.col("_to").isNull())
     return (
         rows.join(d, (ident == F.col("_id")) & inside, "left")
-        .withColumn(out, F.coalesce("_key", F.lit(UNKNOWN)).cast("int"))
+        .withColumn(out, F.coalesce("_key", F.lit(UNKNOWN)).cast("bigint"))
         .drop("_id", "_from", "_to", "_key")
     )
 
@@ -51,6 +51,6 @@ def key_lookup(rows: DataFrame, dim: DataFrame, left: str | Column, natural: str
     d = dim.select(F.col(natural).alias("_nk"), F.col(key).alias("_key"))
     return (
         rows.join(d, value == F.col("_nk"), "left")
-        .withColumn(out, F.coalesce("_key", F.lit(UNKNOWN)).cast("int"))
+        .withColumn(out, F.coalesce("_key", F.lit(UNKNOWN)).cast("bigint"))
         .drop("_nk", "_key")
     )

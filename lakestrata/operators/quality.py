@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_key, month_of_key, ts
+from ..session import in_scope
 from .ordered import neighbour
 
 UNKNOWN_ID = "-1"
@@ -331,5 +332,5 @@ def run_checks(checks: Mapping[str, Callable[[], DataFrame]], parallel: int = 4,
     items = list(checks.items())
     groups = [items[i:i + width] for i in range(0, len(items), width)]
     with ThreadPoolExecutor(parallel) as pool:
-        rows = [r for found in pool.map(counts, groups) for r in found]
+        rows = [r for found in pool.map(in_scope(counts), groups) for r in found]
     return [Failure(r["check"], r["n"]) for r in rows if r["n"]]

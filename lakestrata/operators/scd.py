@@ -64,7 +64,7 @@ def new_versions(
     keyed = assign_keys(changed, ["source_record_id", "record_hash"], spec.key, start)
     version = F.col("current_row_version") + 1
     return keyed.select(
-        F.col(spec.key).cast("int").alias(spec.key),
+        F.col(spec.key).cast("bigint").alias(spec.key),
         *spec.attributes,
         "record_hash",
         "source_system",
@@ -157,7 +157,7 @@ def scd1_apply(
     rows = assign_keys(fresh, [natural], key, start)
     if known is not None:
         rows = rows.unionByName(known)
-    rows = rows.withColumn(key, F.col(key).cast("int"))
+    rows = rows.withColumn(key, F.col(key).cast("bigint"))
     member = rows.sparkSession.range(1).select(
         *[unknown[f.name].cast(f.dataType).alias(f.name) for f in rows.schema.fields]
     )

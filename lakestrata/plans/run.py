@@ -15,7 +15,7 @@ from ..operators.calendar import dim_date, role_view
 from ..operators.changelog import before_image, change_log, change_reasons
 from ..operators.merge import upsert, without
 from ..operators.scd import DimensionSpec, close_superseded, new_versions, scd2_apply
-from ..session import scratch_scope, stage
+from ..session import in_scope, scratch_scope, stage
 from ..sources.config import LandingConfig
 from ..sources.landing import ingest_table
 from ..sources.ledger import Ledger, gold_watermark, latest_watermarks
@@ -83,7 +83,7 @@ class Run:
     def _each(self, work: Callable[[str], int], names: list[str]) -> dict[str, int]:
         """Independent tables are submitted together, so small jobs fill the cluster."""
         with ThreadPoolExecutor(self.parallel) as pool:
-            return dict(zip(names, pool.map(work, names)))
+            return dict(zip(names, pool.map(in_scope(work), names), strict=True))
 
     # -- landing and current state --------------------------------------------------
     def land(self, sources: Mapping[str, DataFrame], documents: DataFrame | None = None) -> dict[str, int]:

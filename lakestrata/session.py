@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,24 +63,31 @@ def scratch_root(spark: SparkSession) -> str:
     return cached
 
 
-_staged: list[str] = []
+#: The tables of the scope that is open in this thread of control; each scope has a list of its own.
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
-    """Delete the tables staged inside the block once it ends."""
-    mark = len(_staged)
+    """Delete the tables staged inside the block, and in threads started with its context, once it ends."""
+    mine: list[str] = []
+    token = _staged.set(mine)
     try:
         yield
     finally:
-        mine = _staged[mark:]
-        del _staged[mark:]
+        _staged.reset(token)
         if mine:
             files = Files(spark, mine[0])
             for path in mine:
                 files.delete(path)
 
 
+def in_scope(work: Callable) -> Callable:
+    """``work`` bound to the caller's scope, for a worker thread."""
+    context = copy_context()
+    return lambda *args, **kwargs: context.copy().run(work, *args, **kwargs)
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and return the re-read table.
 
@@ -90,5 +98,7 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _staged.append(path)
+    mine = _staged.get()
+    if mine is not None:
+        mine.append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -30,17 +33,31 @@ class Files:
             stream.close()
 
     def create_text(self, p: str, text: str) -> None:
-        """Create a file that must not exist yet; a second writer of the same name fails."""
+        """Create a file that must not exist yet; a second writer of the same name fails.
+
+        The text is written under a name of its own and then renamed, so a crash leaves no
+        half-written file and nothing that blocks a later attempt.
+        """
         if self.exists(p):
             raise FileExistsError(p)
-        tmp = f"{p}.writing"
+        tmp = f"{p}.{uuid.uuid4().hex}.writing"
         out = self.fs.create(self._path(tmp), False)
         try:
             out.write(bytearray(text, "utf-8"))
         finally:
             out.close()
         if not self.fs.rename(self._path(tmp), self._path(p)):
+            self.delete(tmp)
             raise FileExistsError(p)
 
+    def reserve(self, p: str) -> bool:
+        """Make an empty file; False if it is there already. The store decides between two writers."""
+        try:
+            return self.fs.createNewFile(self._path(p))
+        except Py4JJavaError as exc:
+            if "FileAlreadyExists" in str(exc):
+                return False
+            raise
+
     def delete(self, p: str) -> None:
         self.fs.delete(self._path(p), True)

@@ -66,9 +66,20 @@ class Ledger:
         self.dir = f"{root.rstrip('/')}/audit/etl_batch_control"
         self.files = Files(spark, root)
         self.clock = clock
+        self.keys = f"{root.rstrip('/')}/audit/etl_batch_keys"
         self._lock = threading.Lock()
-        names = self.files.names(self.dir)
-        self._last_key = max((int(n[:12]) for n in names if n.endswith(".json")), default=0)
+        self._last_key: int | None = None
+
+    def _next_key(self) -> int:
+        """A number no other ledger of this store has: whoever makes its file first owns it."""
+        with self._lock:
+            if self._last_key is None:
+                taken = [n[:12] for folder in (self.dir, self.keys) for n in self.files.names(folder)]
+                self._last_key = max((int(n) for n in taken if n.isdigit()), default=0)
+            while True:
+                self._last_key += 1
+                if self.files.reserve(f"{self.keys}/{self._last_key:012d}"):
+                    return self._last_key
 
     def _put(self, row: dict) -> None:
         seq = next_micros()
@@ -79,9 +90,7 @@ class Ledger:
         self, target: str, source_system: str, load_type: str, *, initiated_by: str,
         watermark_column: str | None = None, watermark_start: str | None = None,
     ) -> Batch:
-        with self._lock:
-            self._last_key += 1
-            key = self._last_key
+        key = self._next_key()
         row = {
             "batch_key": key,
             "batch_id": build_batch_id(target),

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..plans.silver import SPECS, merge_silver
+from ..session import scratch_scope
 from ..sources.config import TableConfig
 from ..sources.landing import land
 from ..sources.ledger import Ledger
@@ -34,10 +35,11 @@ def land_and_merge(
         batch = ledger.start(cfg.target, cfg.source_system, "stream_append", initiated_by=job,
                              watermark_column=cfg.watermark)
         try:
-            result = land(store, rows, cfg, batch, run_ts, skip=False, mark_column=cfg.watermark)
-            if result.appended:
-                for name in entities:
-                    merge_silver(store, SPECS[name], batch_id=batch.key, run_ts=run_ts)
+            with scratch_scope(store.spark):
+                result = land(store, rows, cfg, batch, run_ts, skip=False, mark_column=cfg.watermark)
+                if result.appended:
+                    for name in entities:
+                        merge_silver(store, SPECS[name], batch_id=batch.key, run_ts=run_ts)
             ledger.complete(batch, result.extracted, result.appended, result.watermark)
         except Exception as exc:
             ledger.fail(batch, str(exc))

@@ -62,3 +62,22 @@ def test_ledger_states_and_watermarks(spark, tmp_path):
     assert state[four.key] == "failed" and state[other.key] == "running"
     # a new process continues the numbering
     assert led.Ledger(spark, str(tmp_path)).start("u", "s", "l", initiated_by="j").key == other.key + 1
+
+
+def test_two_ledgers_never_share_a_key(spark, tmp_path):
+    a, b = (led.Ledger(spark, str(tmp_path)) for _ in range(2))
+    keys = [x.start("t", "oltp", "full", initiated_by="job").key for x in (a, b, a, a, b)]
+    assert keys == [1, 2, 3, 4, 5]
+    assert a.frame().count() == 5
+
+
+def test_a_crash_while_writing_blocks_nothing(spark, tmp_path):
+    from lakestrata.sources.files import Files
+
+    files = Files(spark, str(tmp_path))
+    (tmp_path / "1.json.writing").write_text("half")
+    (tmp_path / "1.json.0.writing").write_text("half")
+    files.create_text(str(tmp_path / "1.json"), "whole")
+    assert files.read_text(str(tmp_path / "1.json")) == "whole"
+    with pytest.raises(FileExistsError):
+        files.create_text(str(tmp_path / "1.json"), "again")

@@ -88,6 +88,33 @@ def test_staged_tables_go_with_their_scope(spark):
     assert outer.count() == 3
 
 
+def test_overlapping_scopes_keep_each_others_tables(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Event
+
+    from lakestrata.session import in_scope, scratch_scope, stage
+
+    began, ended = Event(), Event()
+
+    def first():
+        with scratch_scope(spark), ThreadPoolExecutor(1) as pool:
+            mine = pool.submit(in_scope(stage), spark.range(7), "first-scope").result()
+            began.set()
+            assert ended.wait(60)
+            return mine.count()
+
+    def second():
+        assert began.wait(60)
+        with scratch_scope(spark):
+            stage(spark.range(3), "second-scope")
+        ended.set()
+
+    with ThreadPoolExecutor(2) as pool:
+        one, two = pool.submit(first), pool.submit(second)
+        two.result()
+        assert one.result() == 7
+
+
 def test_failing_check_holds_the_marks(spark, sf, tmp_path):
     store = TableStore(spark, str(tmp_path))
     run = w.new_run(store, w.RUN_1)
