@@ -118,19 +118,13 @@ def scd2_one_current(dim: DataFrame, name: str) -> DataFrame:
 
 
 def scd2_contiguous(dim: DataFrame, name: str) -> DataFrame:
-    """Entities whose row versions are not exactly 1..n."""
-    return (
-        _entities(dim)
-        .groupBy("source_record_id")
-        .agg(
-            F.count(F.lit(1)).alias("version_count"),
-            F.max("row_version").alias("max_version"),
-            F.min("row_version").alias("_min"),
-            F.count_distinct("row_version").alias("_distinct"),
-        )
-        .where("version_count <> max_version or _distinct <> version_count or _min <> 1")
-        .select(F.lit(name).alias("dimension"), "source_record_id", "version_count", "max_version")
-    )
+    """Entities whose row versions are not exactly 1..n: smallest, largest and different ones tell."""
+    v, n = F.col("row_version").cast("bigint"), F.count(F.lit(1))
+    seen = F.struct(F.min(v).alias("a"), F.max(v).alias("z"), F.count_distinct(v).alias("d"))
+    want = F.struct(F.lit(1).cast("bigint").alias("a"), n.alias("z"), n.alias("d"))
+    found = _entities(dim).groupBy("source_record_id").agg(n.alias("version_count"), F.max("row_version").alias("max_version"),
+                                                          (seen == want).alias("_ok"))
+    return found.where("not _ok").select(F.lit(name).alias("dimension"), "source_record_id", "version_count", "max_version")
 
 
 def scd2_window_gaps(dim: DataFrame, name: str) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +13,7 @@ from ..operators.ordered import neighbour
 from ..sources.store import TableStore
 
 KEEP_SNAPSHOTS = 7
+MARKER = "_snapshot"
 
 
 # -- ledger and trail -------------------------------------------------------------
@@ -107,6 +111,18 @@ def classify(columns: list[str]) -> dict[str, str]:
     return {c: "PII" if any(p in c for p in PII) else "Internal" for c in columns}
 
 
+def pii_register(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """``table_name, column_name, sensitivity, filled``: every column of every table; one pass over each table."""
+    parts = []
+    for name, df in tables.items():
+        kinds = classify(df.columns)
+        counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
+        sensitivity = F.create_map(*(F.lit(x) for pair in kinds.items() for x in pair))
+        parts.append(counts.unpivot([], df.columns, "column_name", "filled").select(
+            F.lit(name).alias("table_name"), "column_name", sensitivity[F.col("column_name")].alias("sensitivity"), "filled"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def assert_minimised(columns: list[str]) -> None:
     """Star-schema tables must not carry e-mail or phone columns (masked ones are fine)."""
     bad = [c for c in columns if any(p in c for p in NOT_IN_GOLD) and not c.endswith("_masked")]
@@ -157,11 +173,18 @@ def fingerprint(df: DataFrame) -> DataFrame:
 
 def snapshot_tables(store: TableStore, tables: list[tuple[str, str]], dest: str, stamp: str,
                     keep: int = KEEP_SNAPSHOTS) -> str:
-    """Copy the current version of each table to ``dest/stamp``; the oldest copies beyond ``keep`` go."""
+    """Copy the current version of each table to ``dest/stamp``; the oldest copies beyond ``keep`` go.
+
+    Only folders that carry this function's marker are copies; nothing else in ``dest`` is touched.
+    """
+    if keep < 1:
+        raise ValueError("keep at least one snapshot")
     target = f"{dest.rstrip('/')}/{stamp}"
     for layer, table in tables:
         store.read(layer, table).write.parquet(f"{target}/{layer}/{table}")
-    for old in store.files.names(dest)[:-keep]:
+    store.files.create_text(f"{target}/{MARKER}", stamp)
+    copies = [n for n in store.files.names(dest) if store.files.exists(f"{dest.rstrip('/')}/{n}/{MARKER}")]
+    for old in copies[:-keep]:
         store.files.delete(f"{dest.rstrip('/')}/{old}")
     return target
 

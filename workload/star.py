@@ -53,12 +53,16 @@ class Star:
             self._done[name] = stage(make(), name.replace("/", "-"))
         return self._done[name]
 
-    # -- current state -----------------------------------------------------------
+    # -- landing and current state -------------------------------------------------
+    def landing(self, target: str, wave: int = 1) -> DataFrame:
+        """Landing rows, stored once, so that their ids are the ones every later table names."""
+        return self._once(f"landed/{target}/{wave}", lambda: landed(self.spark, self.sf, target, wave))
+
     def silver(self, entity: str, wave: int = 2) -> DataFrame:
         spec = SPECS[entity]
         if wave == 1 or entity not in CHANGING:
             return self._once(f"silver/{entity}/1", lambda: silver_table(
-                spec, landed(self.spark, self.sf, spec.source), batch_id=1, run_ts=RUN_1))
+                spec, self.landing(spec.source), batch_id=1, run_ts=RUN_1))
 
         def merged() -> DataFrame:
             return upsert(self.silver(entity, 1), self.changes(entity), list(spec.keys))
@@ -69,7 +73,7 @@ class Star:
         """Rows the second load upserts."""
         spec = SPECS[entity]
         return self._once(f"changes/{entity}", lambda: silver_changes(
-            spec, landed(self.spark, self.sf, spec.source, 2), self.silver(entity, 1), batch_id=2, run_ts=RUN_2))
+            spec, self.landing(spec.source, 2), self.silver(entity, 1), batch_id=2, run_ts=RUN_2))
 
     # -- dimensions --------------------------------------------------------------
     @property

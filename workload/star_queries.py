@@ -15,6 +15,7 @@ from lakestrata.operators.merge import append_once, replace_keys
 from lakestrata.operators.scd import close_superseded, detect, new_versions, scd1_apply, version_changes
 from lakestrata.plans import facts, governance as gov, metrics, serving
 from lakestrata.plans.dimensions import stage_payment_type
+from lakestrata.plans.silver import SPECS
 from lakestrata.plans.suite import column_tests
 from lakestrata.session import stage
 
@@ -393,29 +394,28 @@ _MONTHS = "SELECT date_key // 100 AS month_key, sum(sales_amount) AS revenue, su
 
 
 def _filled(series: str) -> str:
-    return f"""SELECT r.month_key, coalesce(r.v, (SELECT r2.v FROM (SELECT year(silver_observation_date) * 100 + month(silver_observation_date) AS month_key,
-        silver_indicator_value AS v FROM sv_econ_indicator WHERE silver_series_id = '{series}') r2
-        WHERE r2.month_key < r.month_key AND r2.v IS NOT NULL ORDER BY r2.month_key DESC LIMIT 1)) AS v
-      FROM (SELECT year(silver_observation_date) * 100 + month(silver_observation_date) AS month_key, silver_indicator_value AS v
-        FROM sv_econ_indicator WHERE silver_series_id = '{series}') r"""
+    """A series by month; a month without a value takes the last one known."""
+    return f"""SELECT year(silver_observation_date) * 100 + month(silver_observation_date) AS month_key,
+        last_value(silver_indicator_value IGNORE NULLS) OVER (
+          ORDER BY silver_observation_date ROWS UNBOUNDED PRECEDING) AS v
+      FROM sv_econ_indicator WHERE silver_series_id = '{series}'"""
 
 
 @query("month_key:l nominal_revenue:d cpi_index:d base_cpi:d real_revenue:d inflation_uplift_pct:d", f"""
-    WITH m AS ({_MONTHS}), c AS ({_filled('CPIAUCSL')}),
-    base AS (SELECT c.v AS base_cpi FROM c JOIN m USING (month_key) ORDER BY month_key DESC LIMIT 1)
-    SELECT m.month_key, m.revenue AS nominal_revenue, c.v AS cpi_index, base_cpi,
-      round(CAST(m.revenue AS DOUBLE) * (CAST(base_cpi AS DOUBLE) / CAST(c.v AS DOUBLE)), 2) AS real_revenue,
-      round((CAST(base_cpi AS DOUBLE) / CAST(c.v AS DOUBLE) - 1) * 100, 2) AS inflation_uplift_pct
-    FROM m JOIN c USING (month_key) CROSS JOIN base""")
+    SELECT month_key, revenue AS nominal_revenue, v AS cpi_index, base_cpi,
+      round(CAST(revenue AS DOUBLE) * ratio, 2) AS real_revenue, round((ratio - 1) * 100, 2) AS inflation_uplift_pct
+    FROM (SELECT *, CAST(base_cpi AS DOUBLE) / CAST(v AS DOUBLE) AS ratio
+      FROM (SELECT month_key, revenue, v, arg_max(v, month_key) OVER () AS base_cpi
+        FROM ({_MONTHS}) sold JOIN ({_filled('CPIAUCSL')}) index USING (month_key)))""")
 def bi_revenue_real(spark, sf):
     s = star(spark, sf)
     return serving.revenue_real(s.sales(), s.silver("econ_indicator"))
 
 
 @query("month_key:l revenue:d gross_profit:d gross_margin_pct:d paper_ppi:d", f"""
-    WITH m AS ({_MONTHS}), c AS ({_filled('WPU0911')})
-    SELECT m.month_key, revenue, gross_profit, CASE WHEN revenue <> 0 THEN round(CAST(gross_profit AS DOUBLE) / CAST(revenue AS DOUBLE) * 100, 2) END AS gross_margin_pct,
-      c.v AS paper_ppi FROM m LEFT JOIN c USING (month_key)""")
+    SELECT month_key, revenue, gross_profit, v AS paper_ppi,
+      round(100 * CAST(gross_profit AS DOUBLE) / nullif(CAST(revenue AS DOUBLE), 0), 2) AS gross_margin_pct
+    FROM ({_filled('WPU0911')}) index RIGHT JOIN ({_MONTHS}) sold USING (month_key)""")
 def bi_margin_vs_cost(spark, sf):
     s = star(spark, sf)
     return serving.margin_vs_paper(s.sales(), s.silver("econ_indicator"))
@@ -539,25 +539,29 @@ def met_at_risk_list(spark, sf):
 
 # -- star queries -------------------------------------------------------------------
 @query("calendar_year_month department_description sales:d gross_profit:d", """
-    SELECT d.calendar_year_month, p.department_description, sum(f.sales_amount) AS sales, sum(f.gross_profit) AS gross_profit
-    FROM sales f JOIN dim_date d ON d.date_key = f.date_key JOIN dim_product p ON p.product_key = f.product_key GROUP BY 1, 2""")
+    SELECT calendar_year_month, department_description, sum(amount) AS sales, sum(profit) AS gross_profit
+    FROM (SELECT date_key, product_key, sum(sales_amount) AS amount, sum(gross_profit) AS profit FROM sales GROUP BY ALL)
+    JOIN dim_date USING (date_key) JOIN dim_product USING (product_key) GROUP BY ALL""")
 def qry_profit_by_month(spark, sf):
     s = star(spark, sf)
     return metrics.profit_by_month(s.sales(), s.dim_date(), s.dim("dim_product"))
 
 
 @query("method_name net_collected:d refund_count:l", """
-    SELECT m.method_name, sum(f.payment_amount) AS net_collected, count(*) FILTER (WHERE f.parent_payment_key IS NOT NULL) AS refund_count
-    FROM payments f JOIN dim_payment_method m ON m.payment_method_key = f.payment_method_key GROUP BY 1""")
+    SELECT method_name, sum(total) AS net_collected, CAST(sum(refunds) AS BIGINT) AS refund_count
+    FROM (SELECT payment_method_key, sum(payment_amount) AS total, count(parent_payment_key) AS refunds FROM payments GROUP BY ALL)
+    JOIN dim_payment_method USING (payment_method_key) GROUP BY ALL""")
 def qry_collections_by_method(spark, sf):
     s = star(spark, sf)
     return metrics.collections_by_method(s.payments(), s.dim("dim_payment_method"))
 
 
 @query("customer_name snapshot_date last_order_date lifetime_sales_amount:d open_invoice_total:d", """
-    SELECT c.customer_name, s.date AS snapshot_date, l.date AS last_order_date, f.lifetime_sales_amount, f.open_invoice_total
-    FROM snapshot f JOIN dim_customer c ON c.customer_key = f.customer_key JOIN dim_date s ON s.date_key = f.snapshot_date_key
-    JOIN dim_date l ON l.date_key = f.last_order_date_key ORDER BY f.lifetime_sales_amount DESC, c.customer_name LIMIT 20""")
+    WITH day AS (SELECT MAP(list(date_key), list(date)) AS of FROM dim_date),
+    ranked AS (SELECT customer_name, day.of[snapshot_date_key] AS snapshot_date, day.of[last_order_date_key] AS last_order_date,
+        lifetime_sales_amount, open_invoice_total, row_number() OVER (ORDER BY lifetime_sales_amount DESC, customer_name) AS place
+      FROM snapshot JOIN dim_customer USING (customer_key), day)
+    SELECT * EXCLUDE (place) FROM ranked WHERE place <= 20""")
 def qry_top_customers(spark, sf):
     s = star(spark, sf)
     cal = s.dim_date()
@@ -574,17 +578,14 @@ def qry_unmatched_rate(spark, sf):
 
 
 @query("source_record_id row_version:l initiated_by load_type batch_start_timestamp", """
-    SELECT d.source_record_id, d.row_version, b.initiated_by, b.load_type, b.batch_start_timestamp
-    FROM (SELECT *, CAST(invoice_key % (SELECT count(*) FROM events) AS BIGINT) AS event_id FROM dim_invoice WHERE invoice_key > 0) d
-    JOIN ledger b ON b.batch_key = d.event_id""")
+    SELECT source_record_id, row_version, initiated_by, load_type, batch_start_timestamp
+    FROM dim_invoice JOIN ledger ON batch_key = row_version WHERE invoice_key > 0""")
 def qry_lineage(spark, sf):
-    """Dimension versions joined to the ledger by batch id; batches are spread over the versions."""
+    """Dimension versions with the load that wrote them; the first two ledger rows stand for the two loads."""
+    own = F.create_map(*(F.lit(x) for pair in BATCH.items() for x in pair))
     ledger = given.ledger(spark, sf)
-    n = ledger.count()
-    ids = ledger.select("batch_key", "batch_id")
-    dim = star(spark, sf).dim("dim_invoice").where("invoice_key > 0").withColumn("_e", F.pmod("invoice_key", F.lit(n)).cast("bigint"))
-    dim = dim.join(ids, F.col("_e") == F.col("batch_key")).withColumn("etl_batch_id", F.col("batch_id"))
-    return gov.version_lineage(dim, ledger)
+    ledger = ledger.withColumn("batch_id", F.coalesce(F.try_element_at(own, F.col("batch_key").cast("int")), "batch_id"))
+    return gov.version_lineage(star(spark, sf).dim("dim_invoice").where("invoice_key > 0"), ledger)
 
 
 @query("table_name operation_type record_key changed_columns", f"""
@@ -702,31 +703,37 @@ _BROKEN = """(SELECT source_record_id, valid_from, CASE WHEN CAST(source_record_
 
 
 @query("dimension source_record_id valid_from", f"""
-    SELECT DISTINCT 'dim_customer' AS dimension, b.source_record_id, b.valid_from FROM {_BROKEN} a JOIN {_BROKEN} b
-    ON a.source_record_id = b.source_record_id AND a.row_version < b.row_version
-    AND a.valid_from < coalesce(b.valid_to, DATE '9999-12-31') AND b.valid_from < coalesce(a.valid_to, DATE '9999-12-31')""")
+    SELECT DISTINCT 'dim_customer' AS dimension, source_record_id, valid_from
+    FROM (SELECT source_record_id, valid_from, coalesce(valid_to, DATE '9999-12-31') AS ends,
+        list({{'a': valid_from, 'z': coalesce(valid_to, DATE '9999-12-31')}}) OVER (
+          PARTITION BY source_record_id ORDER BY row_version RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier
+      FROM {_BROKEN} v)
+    WHERE len(list_filter(earlier, lambda e: e.a < ends AND e.z > valid_from)) > 0""")
 def dq_scd2_overlap(spark, sf):
     return dq.scd2_overlaps(_broken_versions(star(spark, sf)), "dim_customer")
 
 
 @query("dimension source_record_id current_versions:l", f"""
-    SELECT 'dim_customer' AS dimension, source_record_id, sum(CAST(is_current AS INT)) AS current_versions FROM {_BROKEN} b
-    GROUP BY 2 HAVING sum(CAST(is_current AS INT)) <> 1""")
+    SELECT 'dim_customer' AS dimension, source_record_id, current_versions
+    FROM (SELECT source_record_id, count(*) FILTER (is_current) AS current_versions FROM {_BROKEN} v GROUP BY ALL)
+    WHERE current_versions != 1""")
 def dq_scd2_one_current(spark, sf):
     return dq.scd2_one_current(_broken_versions(star(spark, sf)), "dim_customer")
 
 
 @query("dimension source_record_id version_count:l max_version:l", f"""
-    SELECT 'dim_customer' AS dimension, source_record_id, count(*) AS version_count, max(row_version) AS max_version FROM {_BROKEN} b
-    GROUP BY 2 HAVING count(*) <> max(row_version) OR count(DISTINCT row_version) <> count(*) OR min(row_version) <> 1""")
+    SELECT 'dim_customer' AS dimension, source_record_id, len(versions) AS version_count, list_max(versions) AS max_version
+    FROM (SELECT source_record_id, list_sort(list(CAST(row_version AS BIGINT))) AS versions FROM {_BROKEN} v GROUP BY ALL)
+    WHERE versions <> range(1, len(versions) + 1)""")
 def dq_scd2_contiguous(spark, sf):
     return dq.scd2_contiguous(_broken_versions(star(spark, sf)), "dim_customer")
 
 
 @query("dimension source_record_id row_version:l valid_to next_from", f"""
-    SELECT 'dim_customer' AS dimension, a.source_record_id, a.row_version, a.valid_to, b.valid_from AS next_from
-    FROM {_BROKEN} a LEFT JOIN {_BROKEN} b ON b.source_record_id = a.source_record_id AND b.row_version = a.row_version + 1
-    WHERE a.valid_to IS DISTINCT FROM b.valid_from""")
+    SELECT 'dim_customer' AS dimension, source_record_id, row_version, valid_to, next_from
+    FROM (SELECT *, CASE WHEN lead(row_version) OVER w = row_version + 1 THEN lead(valid_from) OVER w END AS next_from
+      FROM {_BROKEN} v WINDOW w AS (PARTITION BY source_record_id ORDER BY row_version))
+    WHERE valid_to IS DISTINCT FROM next_from""")
 def dq_scd2_window_gaps(spark, sf):
     return dq.scd2_window_gaps(_broken_versions(star(spark, sf)), "dim_customer")
 
@@ -764,10 +771,10 @@ def dq_series_positive(spark, sf):
 
 
 @query("month_key:l", """
-    SELECT r.month_key FROM (SELECT DISTINCT date_key // 100 AS month_key FROM sales) r WHERE NOT EXISTS (
-      SELECT 1 FROM sv_econ_indicator e WHERE e.silver_series_id = 'CPIAUCSL' AND e.silver_indicator_value IS NOT NULL
-      AND e.silver_observation_date >= DATE '1997-06-01'
-      AND year(e.silver_observation_date) * 100 + month(e.silver_observation_date) <= r.month_key)""")
+    SELECT DISTINCT date_key // 100 AS month_key FROM sales
+    WHERE date_key // 100 < (SELECT coalesce(min(year(silver_observation_date) * 100 + month(silver_observation_date)), 999999)
+      FROM sv_econ_indicator WHERE silver_series_id = 'CPIAUCSL' AND silver_indicator_value IS NOT NULL
+        AND silver_observation_date >= DATE '1997-06-01')""")
 def dq_basis_exists(spark, sf):
     """Revenue months before the index starts, with an index that starts in June 1997."""
     s = star(spark, sf)
@@ -841,18 +848,15 @@ def dq_quarantine_split(spark, sf):
 
 
 # -- governance ---------------------------------------------------------------------
-@query("source_record_id etl_batch_id silver_batch_id:l bronze_batch_id:l bronze_source_table_name silver_row_hash", f"""
+@query("source_record_id etl_batch_id silver_batch_id:l bronze_batch_id:l bronze_source_table_name silver_row_hash landed_payment_id:l", f"""
     SELECT CAST(silver_payment_id AS VARCHAR) AS source_record_id, '{BATCH[1]}' AS etl_batch_id, 1 AS silver_batch_id, 1 AS bronze_batch_id,
-      'payment' AS bronze_source_table_name, silver_row_hash FROM sv_payment_1""")
+      'payment' AS bronze_source_table_name, silver_row_hash, silver_payment_id AS landed_payment_id FROM sv_payment_1""")
 def aud_trace(spark, sf):
-    """Fact rows followed back to the landing row they came from."""
+    """Fact rows followed back by the stored ids to the landing row they came from."""
     s = star(spark, sf)
-    silver = s.silver("payment", 1)
-    bronze = landed(spark, sf, "oltp_payment")
-    # landing ids are assigned while rows land, so the landed batch is the one the silver rows name
-    ids = silver.select(F.col("silver_bronze_record_id").alias("bronze_record_id"), F.col("silver_payment_id").alias("payment_id"))
-    stored = bronze.drop("bronze_record_id").join(ids, "payment_id")
-    return gov.trace(s.payments(1), silver, stored)
+    bronze = s.landing("oltp_payment")
+    traced = gov.trace(s.payments(1), s.silver("payment", 1), bronze)
+    return traced.join(bronze.select("bronze_record_id", F.col("payment_id").alias("landed_payment_id")), "bronze_record_id")
 
 
 @query("silver_customer_id:l silver_customer_name", """
@@ -871,15 +875,24 @@ def aud_erasure_log(spark, sf):
     return gov.erasure_log(star(spark, sf).silver("payment"), "silver.payment", "silver_customer_id", subjects, RUN_2, "erasure")
 
 
-@query("column_name sensitivity rows:l", """
-    SELECT c AS column_name, CASE WHEN c IN ('silver_email', 'silver_phone_number', 'silver_first_name', 'silver_last_name') THEN 'PII' ELSE 'Internal' END AS sensitivity,
-      (SELECT count(*) FROM customer) AS rows FROM (SELECT unnest(['silver_customer_id', 'silver_customer_account_no', 'silver_business_name',
-      'silver_first_name', 'silver_last_name', 'silver_customer_name', 'silver_email', 'silver_phone_number', 'silver_customer_status']) AS c) x""")
+_PERSONAL = {
+    "customer": ("silver_email", "silver_phone_number", "silver_first_name", "silver_last_name"),
+    "customer_address": ("silver_street_address_line_1", "silver_street_address_line_2"),
+    "employee": ("silver_email", "silver_phone_number", "silver_first_name", "silver_last_name", "silver_full_name"),
+    "store": ("silver_street_address", "silver_phone_number"),
+    "dim_customer": ("customer_street_address",),
+    "dim_cashier": ("cashier_first_name", "cashier_last_name", "cashier_full_name"),
+}
+
+
+@query("table_name column_name sensitivity filled:l", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, 'PII' AS sensitivity, count({c}) AS filled FROM {t if t.startswith('dim_') else 'sv_' + t}"
+    for t, cs in _PERSONAL.items() for c in cs))
 def aud_pii_register(spark, sf):
-    customers = star(spark, sf).silver("customer")
-    register = gov.classify(customers.columns[:9])
-    n = customers.agg(F.count(F.lit(1)).alias("rows"))
-    return spark.createDataFrame(list(register.items()), "column_name string, sensitivity string").crossJoin(n)
+    """Columns with personal data in every current-state and dimension table, and how many values they hold."""
+    s = star(spark, sf)
+    tables = {name: s.silver(name) for name in SPECS} | {name: s.dim(name) for name in DIMENSIONS}
+    return gov.pii_register(tables).where("sensitivity = 'PII'")
 
 
 @query("table_name live_rows:l copy_rows:l matches:b", """
