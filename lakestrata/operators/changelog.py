@@ -29,12 +29,10 @@ def change_reasons(adjustments: DataFrame, invoices: DataFrame) -> DataFrame:
     reasons = adjustments.where("silver_adjustment_reason is not null").select(
         "silver_invoice_id", "silver_adjustment_reason"
     )
-    named = (
-        reasons.distinct()
-        .join(invoices.select("silver_invoice_id", "silver_invoice_number"), "silver_invoice_id")
-        .select(F.col("silver_invoice_number").alias("invoice_number"), "silver_adjustment_reason")
-        .distinct()
-    )
+    # the few wanted invoices cut the adjustments before anything is shuffled
+    named = reasons.join(
+        invoices.select("silver_invoice_id", F.col("silver_invoice_number").alias("invoice_number")), "silver_invoice_id"
+    ).select("invoice_number", "silver_adjustment_reason").distinct()
     rank = F.row_number().over(W.partitionBy("invoice_number").orderBy("silver_adjustment_reason"))
     first = named.withColumn("_rank", rank).where(F.col("_rank") <= REASON_WIDTH)
     text = F.array_join(F.array_sort(F.collect_list("silver_adjustment_reason")), "; ")

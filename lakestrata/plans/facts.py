@@ -186,13 +186,16 @@ def resolve_parent(new: DataFrame, existing: DataFrame | None = None) -> DataFra
     """Parent payment keys of ``new``, looked up among the new rows and the stored ones.
 
     Stored rows that are being reloaded are ignored in favour of their new key, so a
-    refund arriving after its payment still finds it.
+    refund arriving after its payment still finds it. Of the stored rows only the parents
+    asked for are kept, by a semi-join whose other side is as small as the batch, so the
+    stored fact isn't shuffled for a small batch.
     """
     known = new.select(F.col("source_record_id").alias("_pid"), F.col("payment_key").alias("parent_payment_key"))
     if existing is not None:
+        asked = new.select(F.col("parent_payment_id").cast("string").alias("_pid")).where("_pid is not null").distinct()
         stored = existing.select(
             F.col("source_record_id").alias("_pid"), F.col("payment_key").alias("parent_payment_key")
-        )
+        ).join(asked, "_pid", "left_semi")
         known = stored.join(known, "_pid", "left_anti").unionByName(known)
     return new.join(known, F.col("parent_payment_id").cast("string") == F.col("_pid"), "left").drop("_pid")
 
@@ -204,13 +207,16 @@ def moved_keys(existing: DataFrame, new: DataFrame) -> DataFrame:
     ).select("_old", "_new")
 
 
-def repoint_children(rows: DataFrame, moved: DataFrame) -> DataFrame:
-    """Stored refunds whose parent was reloaded follow the parent to its new key."""
-    return (
-        rows.join(moved, F.col("parent_payment_key") == F.col("_old"), "left")
-        .withColumn("parent_payment_key", F.coalesce("_new", "parent_payment_key"))
-        .select(rows.columns)
-    )
+def repoint_children(rows: DataFrame, moved: DataFrame, batch_id: str | None = None, run_ts: str | None = None) -> DataFrame:
+    """Stored refunds whose parent was reloaded follow the parent to its new key, stamped with the load if given."""
+    out = rows.join(moved, F.col("parent_payment_key") == F.col("_old"), "left")
+    if batch_id is not None:
+        hit = F.col("_new").isNotNull()
+        out = out.withColumns({
+            "etl_batch_id": F.when(hit, F.lit(batch_id)).otherwise(F.col("etl_batch_id")),
+            "etl_updated_timestamp": F.when(hit, ts(run_ts)).otherwise(F.col("etl_updated_timestamp")),
+        })
+    return out.withColumn("parent_payment_key", F.coalesce("_new", "parent_payment_key")).select(rows.columns)
 
 
 def payment_fact(

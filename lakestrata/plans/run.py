@@ -181,12 +181,16 @@ class Run:
             return 0
         new = stage(facts.payment_fact(t, batch_id=batch_id, run_ts=self.run_ts, changed=changed, target=t[name],
                                        start=self.store.top("gold", name)), "payments")
-        self._trail(f"gold.{name}", before_image(t[name], changed, key), new, "payment_key", key, batch_id)
         moved = stage(facts.moved_keys(t[name], new), "moved-payments")
         parents = moved.select(F.col("_old").alias("parent_payment_key"))
-        children = t[name].join(parents, "parent_payment_key", "left_semi").select(key)
-        return self.store.rewrite("gold", name, changed.unionByName(children),
-                                  lambda old: facts.repoint_children(without(old, changed, [key]), moved), new)
+        children = without(t[name].join(parents, "parent_payment_key", "left_semi").select(t[name].columns), changed, [key])
+        children = stage(children, "moved-children")
+        followed = facts.repoint_children(children, moved, batch_id, self.run_ts)
+        self._trail(f"gold.{name}", before_image(t[name], changed, key).unionByName(children), new.unionByName(followed),
+                    "payment_key", key, batch_id)
+        return self.store.rewrite(
+            "gold", name, changed.select(key).unionByName(children.select(key)),
+            lambda old: facts.repoint_children(without(old, changed, [key]), moved, batch_id, self.run_ts), new)
 
     def _trail(self, table: str, before: DataFrame, after: DataFrame, surrogate: str, record: str, batch_id: str,
                reasons: DataFrame | None = None) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -166,7 +166,11 @@ def land(
     if known and skip and cfg.keys:
         # the snapshot is read from the source once, then compared with what is landed
         snapshot = stage(standardize(rows, cfg, batch.key, run_ts, system), f"snapshot-{cfg.target}")
-        extracted, end = snapshot.count(), None
+        # standardizing renames the usual mark column
+        names = [c for c in (mark_column, "updated_at_source_timestamp") if mark_column in rows.columns and c in snapshot.columns]
+        column = names[0] if names else None
+        top = F.max(column).cast("string") if column else F.lit(None).cast("string")
+        extracted, end = snapshot.agg(F.count(F.lit(1)), top).first()
         fresh = skip_unchanged(snapshot, current_hashes(store.read("bronze", cfg.target), cfg.keys))
         appended = _append(store, fresh, cfg, batch)
     else:
@@ -193,8 +197,9 @@ def ingest_table(
     ``mark`` may carry the already looked-up watermark, to spare one ledger query per table.
     """
     strategy = strategy or cfg.strategy
+    load_type = replace(cfg, strategy=strategy).load_type  # what is done, not what the table's setting says
     batch = ledger.start(
-        cfg.target, cfg.source_system, cfg.load_type, initiated_by=job, watermark_column=cfg.watermark
+        cfg.target, cfg.source_system, load_type, initiated_by=job, watermark_column=cfg.watermark
     )
     try:
         if mark is True:
