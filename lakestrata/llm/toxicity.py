@@ -45,7 +45,7 @@ STEMS = (4, 5, 6)
 FUZZY_LETTERS = 5
 DISTANCE = 1
 WINDOW = 6
-SEEN = 1 << 19
+SEEN = 1 << 18
 #: Figures and signs that stand for letters.
 LEET = str.maketrans("01345789@$!€", "oieastbgasie")
 #: Marks and words that show a quotation nearby.
