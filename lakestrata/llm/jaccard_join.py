@@ -49,8 +49,9 @@ WIDTH = 5
 SHORT = 16
 #: Members of a longer list that are paired with all others before the rest is.
 LEADERS = 4
-#: Shingles of a block of documents, about.
+#: Shingles and documents of a block, about.
 BLOCK = 1 << 19
+BLOCK_DOCS = 2048
 FREQUENT = 16
 #: Entries of the table of frequent shingles that every task holds: 8 bytes each. It only
 #: orders lists; shingles beyond it count as infrequent, which costs time but no link.
@@ -397,7 +398,7 @@ def block_pairs(members: DataFrame, percent: int) -> DataFrame:
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(base)) + 1e-9).cast("int")
     rows = members.withColumn("band", band)
     sizes = rows.groupBy("cluster", "band").agg(
-        F.ceil(F.sum("n") / F.lit(float(BLOCK))).cast("int").alias("blocks"))
+        F.ceil(F.greatest(F.sum("n") / F.lit(float(BLOCK)), F.count("*") / F.lit(float(BLOCK_DOCS)))).cast("int").alias("blocks"))
     place = F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int")
     rows = rows.join(sizes, ["cluster", "band"]).withColumn("i", place)
     up = sizes.select("cluster", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
