@@ -1,246 +1,423 @@
 """Language-model scoring by cross-entropy difference.
 
-A target and a background model of the same kind share one vocabulary: the ``VOCABULARY`` most
-frequent words of all documents, everything else is one unknown word. Both are bigram models
-with absolute discounting that back off to smoothed word frequencies; the bigrams kept are the
-``BIGRAMS`` most frequent ones of all documents. The background is every document, the target
-the labelled documents of good quality outside the held-out fifth (at most ``MOST_LABELLED``).
-
-Counts cover all texts: tasks count what they read, send sorted runs of counts by hash range,
-and tasks per range add them up; only the two bounded tables of the models reach the driver
-and come back as broadcasts. A document's score is the mean over its tokens of the target
-model's loss minus the background model's, in nats: lower is closer to the target.
-
-Defined cases: null and empty texts have no tokens and losses and score 0; null ids are kept;
-repeated rows are counted and scored each; extra columns are ignored; an empty table gives no
-rows; without target documents the target model is the uniform one.
+A target and a background model of the same kind share one vocabulary: every word that
+all documents hold at least ``least`` times; the others are one unknown word. Both are bigram
+models with absolute discounting that back off to smoothed word frequencies, over every bigram
+that stands at least ``least`` times. The background is every document, the target all labelled
+documents of good quality outside the held-out fifth. Neither grows to a limit.
+
+Counts are tables by hash range: tasks count what they read, send sorted runs of counts, and
+tasks per range add them up; a second pass adds what each word's bigrams take from its back-off.
+Scoring settles the tokens whose words and bigram are in the broadcast tables of frequent
+ones, which only spare work. The other tokens of a run of texts form a parcel: its distinct
+words and bigrams are looked up in the tables by hash range, and the answers meet the parcel
+again. A document's score is the mean over its tokens of the target model's loss minus the
+background model's, in nats: lower is closer to the target.
+
+Words and bigrams are compared by 64-bit hashes. Defined cases: null and empty texts have no
+tokens and losses and score 0; null ids are kept; repeated rows are counted and scored each;
+extra columns are ignored; an empty table gives no rows; without target documents the target
+model is the uniform one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel
-from .common import labelled_sample, partitions, ship, stage
+from .common import held_out, partitions, ship, stage
 
-MOST_LABELLED = 20_000
+#: Entries of the broadcast tables of frequent words and bigrams; others are looked up.
 VOCABULARY = 1 << 16
 BIGRAMS = 1 << 20
+LEAST = 2
 DISCOUNT = 0.75
 SMOOTHING = 0.5
 FLUSH = 1 << 20
+#: Tokens and texts of a parcel, about.
+PARCEL = 1 << 18
+PARCEL_TEXTS = 1 << 16
 STRIP = 3
+#: Stands before a text's first word.
+START = np.uint64(0x5354415254A5A5A5)
+#: Kinds of rows: tables of words and of bigrams, requests to them, parcels.
+WORDS, PAIRS, ASK_WORDS, ASK_PAIRS, TEXTS = range(5)
+#: Values of a word: tokens in target and background, tokens and number of the bigrams it begins in each.
+WIDTH = {WORDS: 6, PAIRS: 2}
 
 
-class Tally:
-    """Counts of 64-bit keys in two columns, sent as sorted runs by hash range."""
+def edges_of(buckets: int) -> np.ndarray:
+    return np.array([(k + 1) * (1 << 64) // buckets - 1 for k in range(buckets)], np.uint64)
 
-    names = ("bucket", "keys", "target", "background")
 
-    def __init__(self, buckets: int):
-        self.edges = np.array([(k + 1) * (1 << 64) // buckets - 1 for k in range(buckets)], np.uint64)
-        self.held: list[tuple[np.ndarray, ...]] = []
-        self.size = 0
+def places(keys: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order of the keys by hash range, and range, first and end of each that has keys."""
+    place = np.searchsorted(edges, kernel.mix(keys))
+    order = np.argsort(place, kind="stable")
+    cut = np.searchsorted(place[order], np.arange(len(edges) + 1))
+    return order, [(k, int(cut[k]), int(cut[k + 1])) for k in np.flatnonzero(np.diff(cut)).tolist()]
+
+
+class Tally:
+    """Sums of integer values of 64-bit keys; ``before`` is a bigram's first word, 0 for words."""
 
-    def add(self, keys: np.ndarray, target: np.ndarray) -> None:
-        self.push(keys, target.astype(np.int64), np.ones(len(keys), np.int64))
+    def __init__(self):
+        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.size = 0
 
-    def push(self, keys: np.ndarray, target: np.ndarray, background: np.ndarray) -> None:
+    def push(self, keys: np.ndarray, before: np.ndarray, values: np.ndarray) -> None:
         if len(keys):
-            order = np.argsort(keys)
+            order = np.argsort(keys, kind="stable")
             k = keys[order]
             at = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-            self.held.append((k[at], np.add.reduceat(target[order], at), np.add.reduceat(background[order], at)))
+            self.held.append((k[at], before[order[at]], np.add.reduceat(values[:, order], at, axis=1)))
             self.size += len(at)
 
     def merged(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        cols = [np.concatenate([h[i] for h in self.held]) for i in range(3)]
-        self.held, self.size = [], 0
-        self.push(*cols)
-        out = self.held[0]
-        self.held, self.size = [], 0
-        return out
-
-    def flush(self) -> pa.RecordBatch:
-        keys, target, background = self.merged()
-        place = np.searchsorted(self.edges, kernel.mix(keys))
-        order = np.argsort(place, kind="stable")
-        cut = np.searchsorted(place[order], np.arange(len(self.edges) + 1))
-        own = [k for k in range(len(self.edges)) if cut[k] < cut[k + 1]]
-
-        def runs(x: np.ndarray, kind: str, steps: bool = False) -> pa.Array:
-            parts = (x[order[cut[k]:cut[k + 1]]] for k in own)
-            return pa.array([np.diff(p, prepend=p.dtype.type(0)).tobytes() if steps else p.astype(kind).tobytes()
-                             for p in parts], pa.binary())
-
-        return pa.RecordBatch.from_arrays(
-            [pa.array(own, pa.int32()), runs(keys, "<u8", True), runs(target, "<u4"), runs(background, "<u4")],
-            names=list(self.names))
-
-
-def counted(rows: DataFrame, keys_of) -> DataFrame:
-    """``key, target, background`` of every key seen twice and more; the sums of the others under null keys."""
-    spark = rows.sparkSession
-    buckets = 4 * partitions(spark)
+        held, self.held, self.size = self.held, [], 0
+        if len(held) > 1:
+            self.push(*(np.concatenate([h[i] for h in held], axis=-1) for i in range(3)))
+            held, self.held, self.size = self.held, [], 0
+        return held[0]
+
+    def compact(self) -> None:
+        if len(self.held) > 32:
+            self.push(*self.merged())
+
+
+SENT = "bucket int, kind int, keys binary, before binary, vals binary"
+
+
+def sent(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
+                                      names=["bucket", "kind", "keys", "before", "vals"])
+
+
+def runs(tally: Tally, edges: np.ndarray, kind: int) -> pa.RecordBatch:
+    """What a tally holds as a row for each hash range."""
+    keys, before, values = tally.merged()
+    order, own = places(keys, edges)
+    keys, before, values = keys[order], before[order], values[:, order]
+    return sent([(k, kind, np.diff(keys[a:b], prepend=np.uint64(0)).tobytes(),
+                  before[a:b].tobytes() if kind == PAIRS else b"", values[:, a:b].astype("<i8").tobytes()) for k, a, b in own])
+
+
+def read(row: dict, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    keys = np.cumsum(np.frombuffer(row["keys"], np.uint64), dtype=np.uint64)
+    before = np.frombuffer(row["before"], np.uint64) if row["before"] else np.zeros(len(keys), np.uint64)
+    return keys, before, np.frombuffer(row["vals"], "<i8").reshape(width, -1)
+
+
+def tokens_of(w: kernel.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each token the word before it, the key of the bigram and the text."""
+    before = np.empty_like(w.hashes)
+    before[1:] = w.hashes[:-1]
+    before[w.at[:-1][np.diff(w.at) > 0]] = START
+    key = kernel.mix((before ^ (before >> np.uint64(29))) * kernel.STEP[1] + w.hashes)
+    return before, key, np.repeat(np.arange(len(w.at) - 1), np.diff(w.at))
+
+
+def by_range(rows: DataFrame, *more: str) -> DataFrame:
+    return rows.repartition(partitions(rows.sparkSession), F.xxhash64("bucket")).sortWithinPartitions("bucket", *more)
+
+
+def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield {n: batch.column(i)[k].as_py() for i, n in enumerate(batch.schema.names)}
+
+
+TABLE = "bucket int, kind int, keys binary, vals binary, hot_keys binary, hot_vals binary, target long, background long, known long"
+
+
+def table_row(bucket: int, kind: int, keys: np.ndarray, values: np.ndarray, most: int, sums: tuple = (0, 0, 0)) -> pa.RecordBatch:
+    """A hash range of a table, with its ``most`` most frequent entries apart."""
+    top = np.sort(np.argsort(-np.maximum(values[1], values[3] if len(values) > 2 else 0), kind="stable")[:most])
+    cols = [bucket, kind, np.diff(keys, prepend=np.uint64(0)).tobytes(), values.astype("<i8").tobytes(),
+            keys[top].tobytes(), values[:, top].astype("<i8").tobytes(), *map(int, sums)]
+    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4, *[pa.int64()] * 3]
+    return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cols, kinds, strict=True)],
+                                      names=[x.split()[0] for x in TABLE.split(", ")])
+
+
+def counted(rows: DataFrame, buckets: int, least: int) -> DataFrame:
+    """Counts of the words and bigrams of each hash range, those seen ``least`` times and more; all tokens in the sums."""
+    edges = edges_of(buckets)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = Tally(buckets)
+        tallies = {WORDS: Tally(), PAIRS: Tally()}
         for batch in batches:
             flag = batch.column(1).to_numpy(zero_copy_only=False)
             for lo, hi, raw, offs in kernel.chunks(batch.column(0)):
                 w = kernel.words(raw, offs, STRIP)
-                keys, docs = keys_of(w)
-                tally.add(keys, flag[lo:hi][docs])
-                if tally.size >= FLUSH:
-                    yield tally.flush()
-        if tally.size:
-            yield tally.flush()
+                before, key, docs = tokens_of(w)
+                values = np.stack([flag[lo:hi][docs].astype(np.int64), np.ones(len(docs), np.int64)])
+                tallies[WORDS].push(w.hashes, np.zeros_like(before), values)
+                tallies[PAIRS].push(key, before, values)
+                for kind, tally in tallies.items():
+                    if tally.size >= FLUSH:
+                        yield runs(tally, edges, kind)
+        for kind, tally in tallies.items():
+            if tally.size:
+                yield runs(tally, edges, kind)
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally, at = Tally(1), None
+        tally, at = Tally(), None
 
         def out() -> pa.RecordBatch:
-            keys, target, background = tally.merged()
-            keep = background > 1
-            once = [[int(x[~keep].sum())] for x in (target, background)]  # all rare keys of the range as one row
-            return pa.RecordBatch.from_arrays(
-                [pa.array([*keys[keep].view(np.int64).tolist(), None], pa.int64()),
-                 *(pa.array(np.concatenate([x[keep], o])) for x, o in zip((target, background), once, strict=True))],
-                names=["key", "target", "background"])
+            keys, before, values = tally.merged()
+            keep = values[1] >= least
+            return sent_table(*at, keys[keep], before[keep], values[:, keep], values)
 
-        for batch in batches:
-            for k, *runs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if k != at and tally.size:
+        for row in grouped(batches):
+            if at != (row["bucket"], row["kind"]):
+                if tally.size:
                     yield out()
-                at = k
-                keys = np.cumsum(np.frombuffer(runs[0], np.uint64), dtype=np.uint64)
-                tally.push(keys, *(np.frombuffer(r, np.uint32).astype(np.int64) for r in runs[1:]))
-                if len(tally.held) > 32:
-                    tally.push(*tally.merged())
+                at = row["bucket"], row["kind"]
+            tally.push(*read(row, 2))
+            tally.compact()
         if tally.size:
             yield out()
 
-    sent = rows.mapInArrow(count, "bucket int, keys binary, target binary, background binary")
-    sums = (sent.repartition(partitions(spark), F.xxhash64("bucket")).sortWithinPartitions("bucket")
-            .mapInArrow(total, "key long, target long, background long"))
-    return stage(sums, "ngrams")
+    def sent_table(bucket, kind, keys, before, values, every) -> pa.RecordBatch:
+        sums = (int(every[0].sum()), int(every[1].sum()), len(keys)) if kind == WORDS else (0, 0, 0)
+        cols = [bucket, kind, np.diff(keys, prepend=np.uint64(0)).tobytes(), before.tobytes() if kind == PAIRS else b"",
+                values.astype("<i8").tobytes(), *sums]
+        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 3, *[pa.int64()] * 3]
+        return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cols, kinds, strict=True)],
+                                          names=["bucket", "kind", "keys", "before", "vals", "target", "background", "known"])
+
+    return stage(by_range(rows.mapInArrow(count, SENT), "kind")
+                 .mapInArrow(total, SENT + ", target long, background long, known long"), "ngrams")
+
+
+def tables(counts: DataFrame, buckets: int, words: int, pairs: int) -> DataFrame:
+    """The tables of words (with the sums of the bigrams that each begins) and of bigrams, a row for each hash range."""
+    edges = edges_of(buckets)
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = Tally()
+        for row in grouped(batches):
+            keys, before, v = read(row, 2)
+            none = np.zeros((2, len(keys)), np.int64)
+            if row["kind"] == WORDS:
+                tally.push(keys, before, np.concatenate([v, none, none]))
+            else:
+                tally.push(before, np.zeros_like(before), np.concatenate([none, v, v > 0]))
+            tally.compact()
+            if tally.size >= FLUSH:
+                yield runs(tally, edges, WORDS)
+        if tally.size:
+            yield runs(tally, edges, WORDS)
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally, at = Tally(), None
+        for row in grouped(batches):
+            if at != row["bucket"] and tally.size:
+                keys, _, v = tally.merged()
+                yield table_row(at, WORDS, keys, v, -(-words // buckets))
+            at = row["bucket"]
+            tally.push(*read(row, WIDTH[WORDS]))
+            tally.compact()
+        if tally.size:
+            keys, _, v = tally.merged()
+            yield table_row(at, WORDS, keys, v, -(-words // buckets))
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in grouped(batches):
+            keys, _, v = read(row, WIDTH[PAIRS])
+            yield table_row(row["bucket"], PAIRS, keys, v, -(-pairs // buckets))
+
+    rows = counts.select(*(x.split()[0] for x in SENT.split(", ")))
+    first = by_range(rows.mapInArrow(contexts, SENT)).mapInArrow(total, TABLE)
+    return stage(first.union(rows.where(F.col("kind") == PAIRS).mapInArrow(kept, TABLE)), "tables")
 
 
-def table_of(df: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The ``most`` keys with the highest background counts, as arrays sorted by key."""
-    t = df.where("key IS NOT NULL").orderBy(F.desc("background"), "key").limit(most).toArrow()
-    keys = t.column(0).to_numpy().view(np.uint64)
+def frequent(rows: DataFrame, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    """The frequent entries of all hash ranges, sorted by key: at most one more a range than the table's limit."""
+    own = rows.where(F.col("kind") == kind).select("hot_keys", "hot_vals").toArrow()
+    keys = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x.as_py(), np.uint64) for x in own.column(0))])
+    vals = np.concatenate([np.zeros((WIDTH[kind], 0), np.int64),
+                           *(np.frombuffer(x.as_py(), "<i8").reshape(WIDTH[kind], -1) for x in own.column(1))], axis=1)
     order = np.argsort(keys)
-    return keys[order], t.column(1).to_numpy()[order], t.column(2).to_numpy()[order]
-
-
-def unigrams(w: kernel.Words) -> tuple[np.ndarray, np.ndarray]:
-    return w.hashes, np.repeat(np.arange(len(w.at) - 1), np.diff(w.at))
-
-
-def totals(ngrams: DataFrame) -> tuple[int, int]:
-    """Tokens of the target and of all documents, words seen once included."""
-    r = ngrams.agg(F.coalesce(F.sum("target"), F.lit(0)), F.coalesce(F.sum("background"), F.lit(0))).first()
-    return int(r[0]), int(r[1])
-
-
-def word_numbers(hashes: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
-    """The place of each word in the sorted vocabulary; its length for an unknown one."""
-    if not len(vocabulary):
-        return np.zeros(len(hashes), np.int64)
-    at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == hashes, at, len(vocabulary))
-
-
-def bigrams(w: kernel.Words, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Key of each token with its predecessor (a text's first token follows the start mark), document, token."""
-    word = word_numbers(w.hashes, vocabulary)
-    before = np.empty_like(word)
-    before[1:] = word[:-1]
-    first = w.at[:-1][np.diff(w.at) > 0]
-    before[first] = len(vocabulary) + 1
-    docs = np.repeat(np.arange(len(w.at) - 1), np.diff(w.at))
-    return (before.astype(np.uint64) << np.uint64(24)) | word.astype(np.uint64), docs, word
-
-
-@dataclass
-class Model:
-    """Vocabulary and, for target and background, log terms of the bigram model."""
-
-    vocabulary: np.ndarray
-    keys: np.ndarray
-    unigram: np.ndarray   # 2 x (V + 1) probabilities
-    kept: np.ndarray      # 2 x bigrams discounted probabilities
-    backoff: np.ndarray   # 2 x (V + 2) weights left for the word frequencies
-
-    def losses(self, w: kernel.Words) -> np.ndarray:
-        """For each text the summed losses under both models and the number of tokens."""
-        n = len(w.at) - 1
-        out = np.zeros((n, 3))
-        out[:, 2] = np.diff(w.at)
-        if len(w.hashes):
-            key, docs, word = bigrams(w, self.vocabulary)
-            before = (key >> np.uint64(24)).astype(np.int64)
-            at, met = np.zeros(len(key), np.int64), np.zeros(len(key), bool)
-            if len(self.keys):
-                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                met = self.keys[at] == key
-            for m in range(2):
-                p = self.backoff[m][before] * self.unigram[m][word]
-                p[met] += self.kept[m][at[met]]
-                out[:, m] = np.bincount(docs, -np.log(p), minlength=n)
-        return out
+    return keys[order], vals[:, order]
+
 
+def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The place of each wanted key among sorted keys, -1 if it isn't there."""
+    if not len(keys):
+        return np.full(len(wanted), -1)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, at, -1)
 
-def model_of(words: tuple, pairs: tuple, tokens: tuple[int, int]) -> Model:
-    vocabulary, keys = words[0], pairs[0]
-    size = len(vocabulary)
-    unigram, kept, backoff = np.zeros((2, size + 1)), np.zeros((2, len(keys))), np.ones((2, size + 2))
-    before = (keys >> np.uint64(24)).astype(np.int64)
+
+def losses(context: np.ndarray, word: np.ndarray, pair: np.ndarray, tokens: tuple[int, int], known: int) -> np.ndarray:
+    """The losses of tokens under both models from the values of the word before, the word and the bigram."""
+    out = np.empty((2, word.shape[1]))
     for m in range(2):
-        count = np.append(words[m + 1], max(0, tokens[m] - int(words[m + 1].sum()))).astype(float)
-        unigram[m] = (count + SMOOTHING) / (count.sum() + SMOOTHING * (size + 1))
-        pair = pairs[m + 1].astype(float)
-        # a context's tokens: those of the word itself, and of the start mark what its bigrams show
-        context = np.append(count, np.bincount(before, pair, minlength=size + 2)[size + 1])
-        context = np.maximum(context, np.bincount(before, pair, minlength=size + 2))
-        kept[m] = np.maximum(pair - DISCOUNT, 0) / np.maximum(context[before], 1)
-        backoff[m] = np.maximum(1 - np.bincount(before, kept[m], minlength=size + 2), 1e-6)
-    return Model(vocabulary, keys, unigram, kept, backoff)
+        size = np.maximum(np.maximum(context[m], context[m + 2]), 1)
+        left = np.maximum(1 - (context[m + 2] - DISCOUNT * context[m + 4]) / size, 1e-6)
+        p = left * ((word[m] + SMOOTHING) / (tokens[m] + SMOOTHING * (known + 1)))
+        out[m] = -np.log(p + np.maximum(pair[m] - DISCOUNT, 0) / size)
+    return out
+
+
+ASKED = ("kind int, parcel long, bucket int, keys binary, ids array<long>, tokens binary, losses binary, docs binary, "
+         "before binary, word binary, pair binary")
+
+
+def parcels(docs: DataFrame, hot, buckets: int, tokens: tuple[int, int], known: int) -> DataFrame:
+    """Texts with the losses settled from the frequent entries, and requests for the rest."""
+    edges = edges_of(buckets)
+    names = [x.split()[0] for x in ASKED.split(", ")]
+    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), *[pa.binary()] * 6]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (words, word_values), (pairs, pair_values) = hot.value
+        number = TaskContext.get().partitionId() << 32
+        ids: list = []
+        held: list[tuple] = []
+        rest = 0
+
+        def asked(found: np.ndarray, keys: np.ndarray, base: int, kind: int) -> tuple[np.ndarray, list[tuple]]:
+            """Places in the frequent entries followed by the answers, and the requests."""
+            cold = found < 0
+            own, back = np.unique(keys[cold], return_inverse=True)
+            order, cut = places(own, edges)
+            at = np.empty(len(own), np.int64)
+            at[order] = np.arange(len(own))
+            found = found.copy()
+            found[cold] = base + at[back]
+            own = own[order]
+            return found, [(kind, number, k, own[a:b].tobytes(), *[None] * 7) for k, a, b in cut]
+
+        def out() -> pa.RecordBatch:
+            count, loss, doc, before, word, key, ib, iw, ip = (np.concatenate(c, axis=-1) for c in zip(*held, strict=True))
+            both, rows = asked(np.concatenate([ib, iw]), np.concatenate([before, word]), len(words), ASK_WORDS)
+            pair, more = asked(ip, key, len(pairs), ASK_PAIRS)
+            one = (TEXTS, number, 0, None, ids, count.astype("<i8").tobytes(), loss.tobytes(),
+                   *(x.astype("<i4").tobytes() for x in (doc, both[:len(ib)], both[len(ib):], pair)))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows, *more, one, strict=True), kinds, strict=True)], names=names)
+
+        for batch in batches:
+            for lo, hi, raw, offs in kernel.chunks(batch.column(1)):
+                w = kernel.words(raw, offs, STRIP)
+                before, key, doc = tokens_of(w)
+                ib, iw, ip = find(words, before), find(words, w.hashes), find(pairs, key)
+                easy = (ib >= 0) & (iw >= 0) & (ip >= 0)
+                x = losses(word_values[:, ib[easy]], word_values[:, iw[easy]], pair_values[:, ip[easy]], tokens, known)
+                loss = np.stack([np.bincount(doc[easy], y, minlength=hi - lo) for y in x])
+                hard = ~easy
+                held.append((np.diff(w.at), loss, doc[hard] + len(ids), *(y[hard] for y in (before, w.hashes, key, ib, iw, ip))))
+                ids.extend(batch.column(0).slice(lo, hi - lo).to_pylist())
+                rest += int(hard.sum())
+                if rest >= PARCEL or len(ids) >= PARCEL_TEXTS:
+                    yield out()
+                    ids, held, rest, number = [], [], 0, number + 1
+        if ids:
+            yield out()
+
+    return stage(docs.select("doc_id", "text").mapInArrow(run, ASKED), "parcels")
+
+
+def answered(asked: DataFrame, rows: DataFrame, unknown: np.ndarray) -> DataFrame:
+    """``kind, parcel, bucket, vals``: the values of the keys of each request in its order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple] = {}
+        at = None
+        for row in grouped(batches):
+            if row["bucket"] != at:
+                held, at = {}, row["bucket"]
+            if row["kind"] in WIDTH:
+                held[row["kind"]] = (np.cumsum(np.frombuffer(row["keys"], np.uint64), dtype=np.uint64),
+                                     np.frombuffer(row["vals"], "<i8").reshape(WIDTH[row["kind"]], -1))
+                continue
+            kind = row["kind"] - ASK_WORDS
+            wanted = np.frombuffer(row["keys"], np.uint64)
+            values = np.zeros((WIDTH[kind], len(wanted)), "<i8")
+            if kind == WORDS:
+                values[:2] = unknown[:, None]
+            if kind in held:
+                place = find(held[kind][0], wanted)
+                values[:, place >= 0] = held[kind][1][:, place[place >= 0]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row["kind"]], pa.int32()), pa.array([row["parcel"]], pa.int64()), pa.array([at], pa.int32()),
+                 pa.array([values.tobytes()], pa.binary())], names=["kind", "parcel", "bucket", "vals"])
+
+    both = (rows.select("bucket", "kind", F.lit(None).cast("long").alias("parcel"), "keys", "vals")
+            .union(asked.where(F.col("kind") != TEXTS)
+                   .select("bucket", "kind", "parcel", "keys", F.lit(None).cast("binary").alias("vals"))))
+    return by_range(both, "kind").mapInArrow(run, "kind int, parcel long, bucket int, vals binary")
 
 
 def cross_entropy_difference(docs: DataFrame, target: DataFrame, vocabulary: int = VOCABULARY,
-                             bigram_entries: int = BIGRAMS) -> DataFrame:
-    """``doc_id, tokens, target_loss, background_loss, score`` of each row; ``target`` holds a bounded set of ``doc_id``."""
+                             bigram_entries: int = BIGRAMS, least: int = LEAST) -> DataFrame:
+    """``doc_id, tokens, target_loss, background_loss, score`` of each row; ``target`` holds ``doc_id``.
+
+    ``vocabulary`` and ``bigram_entries`` bound what is broadcast, not the models.
+    """
     spark = ship(docs.sparkSession)
-    own = F.broadcast(target.select(F.col("doc_id").alias("_id")).distinct())
+    buckets = 4 * partitions(spark)
+    own = target.select(F.col("doc_id").alias("_id")).distinct()
     rows = docs.join(own, F.col("doc_id") == F.col("_id"), "left").select("text", F.col("_id").isNotNull().alias("flag"))
-    single = counted(rows, unigrams)
-    words = table_of(single, vocabulary)
-    known = spark.sparkContext.broadcast(words[0])
-    pairs = table_of(counted(rows, lambda w: bigrams(w, known.value)[:2]), bigram_entries)
-    model = spark.sparkContext.broadcast(model_of(words, pairs, totals(single)))
+    counts = counted(rows, buckets, least)
+    r = counts.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("target", "background", "known"))).first()
+    tokens, known = (int(r[0]), int(r[1])), int(r[2])
+    both = tables(counts, buckets, vocabulary, bigram_entries)
+    top = frequent(both, WORDS), frequent(both, PAIRS)
+    hot = spark.sparkContext.broadcast(top)
+    asked = parcels(docs, hot, buckets, tokens, known)
+    unknown = unknown_tokens(counts, tokens)
     names = ["doc_id", "tokens", "target_loss", "background_loss", "score"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, hi, raw, offs in kernel.chunks(batch.column(1)):
-                x = model.value.losses(kernel.words(raw, offs, STRIP))
-                n = np.maximum(x[:, 2], 1)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(x[:, 2].astype(np.int64)), pa.array(x[:, 0] / n),
-                     pa.array(x[:, 1] / n), pa.array((x[:, 0] - x[:, 1]) / n)], names=names)
-
-    return docs.select("doc_id", "text").mapInArrow(
-        score, "doc_id long, tokens long, target_loss double, background_loss double, score double")
-
-
-def good_documents(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> DataFrame:
-    """The ids of at most ``most`` labelled documents, those of good quality."""
-    return stage(labelled_sample(docs, labels, "quality", most).where("y = 1").select("doc_id").distinct(), "target")
+        found: dict[int, list] = {WORDS: [], PAIRS: []}
+        for row in grouped(batches):
+            if row["kind"] != TEXTS:
+                kind = row["kind"] - ASK_WORDS
+                found[kind].append(np.frombuffer(row["vals"], "<i8").reshape(WIDTH[kind], -1))
+                continue
+            words, pairs = (np.concatenate([hot.value[k][1], *found[k]], axis=1) for k in (WORDS, PAIRS))
+            found = {WORDS: [], PAIRS: []}
+            count, doc, before, word, pair = (np.frombuffer(row[k], t) for k, t in (
+                ("tokens", "<i8"), ("docs", "<i4"), ("before", "<i4"), ("word", "<i4"), ("pair", "<i4")))
+            x = np.frombuffer(row["losses"], float).reshape(2, -1).copy()
+            more = losses(words[:, before], words[:, word], pairs[:, pair], tokens, known)
+            for m in range(2):
+                x[m] += np.bincount(doc, more[m], minlength=len(count))
+            n = np.maximum(count, 1)
+            yield pa.RecordBatch.from_arrays([pa.array(row["ids"], pa.int64()), pa.array(count), pa.array(x[0] / n),
+                                              pa.array(x[1] / n), pa.array((x[0] - x[1]) / n)], names=names)
+
+    texts = asked.where(F.col("kind") == TEXTS)
+    wide = [c for c in asked.columns if c not in ("kind", "parcel", "bucket", "keys")]
+    met = (texts.select("kind", "parcel", "bucket", F.lit(None).cast("binary").alias("vals"), *wide)
+           .unionByName(answered(asked, both, unknown), allowMissingColumns=True))
+    return (met.repartition(partitions(spark), F.xxhash64("parcel")).sortWithinPartitions("parcel", "kind", "bucket")
+            .mapInArrow(score, "doc_id long, tokens long, target_loss double, background_loss double, score double"))
+
+
+def unknown_tokens(counts: DataFrame, tokens: tuple[int, int]) -> np.ndarray:
+    """Tokens of the unknown word in target and background: those of words outside the tables."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in grouped(batches):
+            v = read(row, 2)[2].sum(axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array([int(x)], pa.int64()) for x in v], names=["target", "background"])
+
+    own = (counts.where(F.col("kind") == WORDS).select("keys", "before", "vals").mapInArrow(run, "target long, background long")
+           .agg(F.coalesce(F.sum("target"), F.lit(0)), F.coalesce(F.sum("background"), F.lit(0))).first())
+    return np.array([tokens[0] - int(own[0]), tokens[1] - int(own[1])], np.int64)
+
+
+def good_documents(labels: DataFrame) -> DataFrame:
+    """The ids of all labelled documents of good quality outside the held-out fifth."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
+    return stage(known.groupBy("doc_id").agg(F.max("quality").alias("y")).where("y = 1").select("doc_id"), "target")

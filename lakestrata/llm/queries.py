@@ -122,7 +122,7 @@ def op4_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's loss difference between a model of good documents and one of all."""
     docs = table(spark, sf_dir, "documents")
-    return cross_entropy_difference(docs, good_documents(docs, table(spark, sf_dir, "labels")))
+    return cross_entropy_difference(docs, good_documents(table(spark, sf_dir, "labels")), least=1)
 
 
 @query
