@@ -12,15 +12,15 @@ the merge, because a partner must also be met in one of the remaining short list
    fixed order gives the same links; this one keeps the merged lists short. Of each
    representative only the short lists (the first n - T + 1 shingles) are inverted.
 3. Each task merges the lists of its hash range. Lists of up to ``SHORT`` members give
-   their pairs; a longer one first gives stars: ``LEADERS`` members of each band of sizes
-   with the band's others.
+   their pairs.
 4. Pairs are settled by probing the longer sorted set for the shingles of the shorter one.
-5. Members of longer lists that aren't all connected are searched whole: documents that
-   share such lists form clusters, a cluster is cut into bands of sizes and blocks of bounded
-   size, and each pair of blocks that may hold partners is one task. It inverts one block and
-   queries it with the other by T-occurrence: the short lists of a query are merged, the
-   longest ones are probed by binary search for the documents still able to reach T.
-   Members of one component aren't compared again; no link between components is missed.
+5. Members of longer lists are searched whole: documents that share such lists form
+   clusters, a cluster is cut into bands of sizes and blocks of bounded size, and each pair of
+   blocks that may hold partners is one task. It inverts one block and queries it with the
+   other by T-occurrence: the short lists of a query are merged, the longest ones are probed
+   by binary search for the documents still able to reach T. The task counts each
+   document's links and sends on the counts and the edges of a spanning forest only. Pairs of
+   one cluster are counted here and nowhere else.
 6. Components of the links are found with label propagation over tables.
 
 Shingles are compared by 64-bit hashes. Defined cases: a null or wordless text has an
@@ -47,8 +47,6 @@ from .components import components
 
 WIDTH = 5
 SHORT = 16
-#: Members of a longer list that are paired with all others before the rest is.
-LEADERS = 4
 #: Shingles and documents of a block, about.
 BLOCK = 1 << 19
 BLOCK_DOCS = 2048
@@ -225,27 +223,16 @@ def inverted(prefixes: DataFrame, buckets: int) -> DataFrame:
 
 
 def merge_list(ids: np.ndarray, n: np.ndarray, place: np.ndarray, percent: int, most: int = SHORT) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Candidate pairs of one list, members ordered by size, and whether they were all pairs."""
-    m = len(ids)
-    whole = m <= most
-    if whole:
-        a, b = np.triu_indices(m, 1)
-    else:
-        a, b, lo = [], [], 0
-        while lo < m:
-            hi = int(np.searchsorted(n, n[lo] * 100 // percent, "right"))
-            for mid in lo + np.argsort(kernel.mix(ids[lo:hi].view(np.uint64)), kind="stable")[:LEADERS]:
-                others = np.arange(lo, hi)
-                b.append(others[others != mid])
-                a.append(np.full(hi - lo - 1, mid))
-            lo = hi
-        a, b = np.concatenate(a), np.concatenate(b)
+    """Candidate pairs of one list, and whether it is short enough to give them here."""
+    if len(ids) > most:
+        return ids[:0], ids[:0], False
+    a, b = np.triu_indices(len(ids), 1)
     na, nb = n[a].astype(np.int64), n[b].astype(np.int64)
     need = -(-percent * (na + nb) // (100 + percent))
     left = 1 + np.minimum(na - place[a], nb - place[b]) - 1
     ok = (left >= need) & (np.minimum(na, nb) >= need) & (ids[a] != ids[b])
     a, b = ids[a[ok]], ids[b[ok]]
-    return np.minimum(a, b), np.maximum(a, b), whole
+    return np.minimum(a, b), np.maximum(a, b), True
 
 
 def merged(postings: DataFrame, percent: int, most: int = SHORT) -> DataFrame:
@@ -345,7 +332,7 @@ def links(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFr
 def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = 80, short: int = SHORT) -> DataFrame:
     """``doc_id, n_shingles, component_id, links`` for each row of ``docs`` (columns doc_id, text).
 
-    ``links`` counts the settled links of the document's class that were needed to connect it.
+    ``links`` counts the classes of other texts that the document's class links with.
     """
     spark = ship(docs.sparkSession)
     parts = partitions(spark)
@@ -360,14 +347,16 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = 80, short:
     own = prefixes.join(reps.where("rep IS NOT NULL").withColumnRenamed("rep", "doc_id"), ["digest", "doc_id"], "left_semi")
     found = stage(merged(inverted(own, 4 * parts), percent, short), "candidates")
 
-    pairs = found.where("b IS NOT NULL").select("a", "b").distinct()
+    clusters = clustered(found.where("b IS NULL").select("h", "a", "n"))
+    pairs = apart(found.where("b IS NOT NULL").select("a", "b").distinct(), clusters)
     near = stage(links(docs, pairs, width, percent).distinct(), "links")
+    counts = near.select("a").union(near.select("b")).groupBy("a").agg(F.count("*").alias("links"))
+    if clusters.limit(1).count():
+        more = stage(searched(docs, clusters, width, percent), "links")
+        near = near.union(more.where("b IS NOT NULL").select("a", "b"))
+        counts = counts.union(more.where("b IS NULL").select("a", "links"))
     labels = components(near)
-    members = unconnected(found.where("b IS NULL").select("h", "a", "n"), labels)
-    if members.limit(1).count():
-        near = stage(near.union(searched(docs, members, width, percent)).distinct(), "links")
-        labels = components(near)
-    degree = near.select("a").union(near.select("b")).groupBy(F.col("a").alias("rep")).agg(F.count("*").alias("links"))
+    degree = counts.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     known = (reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left").join(degree, "rep", "left")
              .select("digest", F.coalesce("component", "rep").alias("component"), F.coalesce("links", F.lit(0)).alias("links")))
     # rows of one text share a digest; the pieces of a hot digest are salted by its document
@@ -377,20 +366,24 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = 80, short:
                     F.coalesce("links", F.lit(0)).cast("long").alias("links")))
 
 
-def unconnected(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """``a, n, c, cluster`` of the members of lists that are spread over several components."""
-    known = (members.join(labels.withColumnRenamed("node", "a"), "a", "left")
-             .select("h", "a", "n", F.coalesce("component", "a").alias("c")))
-    lists = (known.groupBy("h").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.min("a").alias("first"))
-             .where("x < y").select("h", "first"))
-    spread = stage(known.join(lists, "h"), "open")
-    clusters = components(spread.select(F.col("first").alias("x"), "a"), "x", "a")
-    return stage(spread.select("a", "n", "c").distinct().join(clusters.withColumnRenamed("node", "a"), "a")
-                 .select("a", "n", "c", F.col("component").alias("cluster")), "clusters")
+def clustered(members: DataFrame) -> DataFrame:
+    """``a, n, cluster`` of the members of longer lists; members of one list are in one cluster."""
+    lists = members.groupBy("h").agg(F.min("a").alias("first"))
+    edges = members.join(lists, "h").select(F.col("first").alias("x"), "a")
+    clusters = components(edges, "x", "a")
+    return stage(members.select("a", "n").distinct().join(clusters.withColumnRenamed("node", "a"), "a")
+                 .select("a", "n", F.col("component").alias("cluster")), "clusters")
+
+
+def apart(pairs: DataFrame, clusters: DataFrame) -> DataFrame:
+    """The pairs whose ends aren't in one cluster, which is searched whole."""
+    x = clusters.select("a", F.col("cluster").alias("x"))
+    y = clusters.select(F.col("a").alias("b"), F.col("cluster").alias("y"))
+    return pairs.join(x, "a", "left").join(y, "b", "left").where("x IS NULL OR y IS NULL OR x <> y").select("a", "b")
 
 
 def block_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """``a, c, cluster, band, i, other, j, side``: a row for each block pair that a member takes part in.
+    """``a, cluster, band, i, other, j, side``: a row for each block pair that a member takes part in.
 
     Partners have sizes within 100 / percent, so they are in one band or in neighbouring ones.
     """
@@ -418,12 +411,11 @@ def block_pairs(members: DataFrame, percent: int) -> DataFrame:
         F.transform(numbers(F.col("i")), lambda j: pair(k, j, k, i, 1)),
         F.transform(numbers(F.col("above")), lambda j: pair(k, i, k + 1, j, 0)),
         F.transform(numbers(F.col("below")), lambda j: pair(k - 1, j, k, i, 1)))
-    return rows.select("a", "c", "cluster", F.explode(tasks).alias("t")).select("a", "c", "cluster", "t.*")
+    return rows.select("a", "cluster", F.explode(tasks).alias("t")).select("a", "cluster", "t.*")
 
 
-def t_occurrence(queries: list[np.ndarray], rows: list[np.ndarray], percent: int,
-                 other: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
-    """For each query the rows whose sets reach the threshold with it (``other[q]``: rows that count)."""
+def t_occurrence(queries: list[np.ndarray], rows: list[np.ndarray], percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each query the rows whose sets reach the threshold with it."""
     sizes = np.array([len(r) for r in rows], np.int64)
     keys = np.concatenate(rows) if rows else np.zeros(0, np.uint64)
     owner = np.repeat(np.arange(len(rows)), sizes)
@@ -447,8 +439,6 @@ def t_occurrence(queries: list[np.ndarray], rows: list[np.ndarray], percent: int
         count = np.bincount(owner[at], minlength=len(rows))
         need = -(-percent * (n + sizes) // (100 + percent))
         alive = (count >= need - long) & (np.minimum(n, sizes) >= need)
-        if other is not None:
-            alive &= other[q]
         found = np.flatnonzero(alive)
         for k, p in enumerate(probe):
             if not len(found):
@@ -462,21 +452,32 @@ def t_occurrence(queries: list[np.ndarray], rows: list[np.ndarray], percent: int
 
 
 def searched(docs: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links ``a, b`` between members of a cluster that are in different components."""
+    """Of the members of a cluster the numbers of links ``a, links`` and edges ``a, b`` that connect what links connect."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         sets = [np.frombuffer(x, np.uint64) for x in pdf["set"]]
-        ids, c, side = (pdf[k].to_numpy() for k in ("a", "c", "side"))
+        ids, side = (pdf[k].to_numpy() for k in ("a", "side"))
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        if not len(right) or (pdf["band"].iloc[0] == pdf["other"].iloc[0] and pdf["i"].iloc[0] == pdf["j"].iloc[0]):
+        within = pdf["band"].iloc[0] == pdf["other"].iloc[0] and pdf["i"].iloc[0] == pdf["j"].iloc[0]
+        if within:
             left = right = np.arange(len(ids))
-        apart = c[left][:, None] != c[right][None, :]
-        out = []
-        for q, found in t_occurrence([sets[k] for k in left], [sets[k] for k in right], percent, apart):
-            x, y = ids[left[q]], ids[right[found]]
-            out.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
-        pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame(pairs, columns=["a", "b"])
+        count, tree, edges = np.zeros(len(ids), np.int64), np.arange(len(ids)), []
+        for q, found in t_occurrence([sets[k] for k in left], [sets[k] for k in right], percent):
+            x, y = left[q], right[found]
+            y = y[y != x]
+            count[x] += len(y)
+            if not within:  # within a block each of the two is a query
+                count[y] += 1
+            own, at = np.unique(tree[y], return_index=True)
+            at = at[own != tree[x]]
+            if len(at):
+                edges += [(min(ids[x], ids[k]), max(ids[x], ids[k])) for k in y[at]]
+                tree[np.isin(tree, own)] = tree[x]
+        some = np.flatnonzero(count)
+        a, b = zip(*edges, strict=True) if edges else ((), ())
+        return pd.DataFrame({"a": np.concatenate([np.array(a, np.int64), ids[some]]),
+                             "b": pd.array([*b, *[None] * len(some)], "Int64"),
+                             "links": np.concatenate([np.zeros(len(a), np.int64), count[some]])})
 
     sets = shingled(docs, members.select("a"), width).withColumnRenamed("doc_id", "a")
     return (block_pairs(members, percent).join(sets, "a").groupBy("cluster", "band", "i", "other", "j")
-            .applyInPandas(run, "a long, b long"))
+            .applyInPandas(run, "a long, b long, links long"))
