@@ -59,13 +59,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -
 def id_bitmap(ids: DataFrame, column: str) -> bytes:
     """A one-hash filter over the ids, of one fixed size (1 MB) whatever their number.
 
-    It has no false negatives; users join the exact ids afterwards.
+    It has no false negatives; users join the exact ids afterwards. Bitmap positions start at 1.
     """
-    slot = F.pmod(F.xxhash64(column), F.lit(BITMAP_BITS))
+    slot = F.pmod(F.xxhash64(column), F.lit(BITMAP_BITS)) + 1
     rows = (ids.select(slot.alias("slot"))
             .groupBy(F.bitmap_bucket_number("slot").alias("part"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect())
-    out = bytearray(BITMAP_BITS // 8 + 4096)
+    out = bytearray(BITMAP_BITS // 8)
     for r in rows:
         at = (r["part"] - 1) * 4096
         out[at:at + 4096] = bytes(r["bits"])
@@ -74,7 +74,7 @@ def id_bitmap(ids: DataFrame, column: str) -> bytes:
 
 def in_bitmap(column: str) -> Column:
     """The place of an id in ``id_bitmap``, for the test inside a task."""
-    slot = F.pmod(F.xxhash64(column), F.lit(BITMAP_BITS))
+    slot = F.pmod(F.xxhash64(column), F.lit(BITMAP_BITS)) + 1
     return ((F.bitmap_bucket_number(slot) - 1) * 32768 + F.bitmap_bit_position(slot)).cast("long")
 
 
