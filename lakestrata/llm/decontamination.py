@@ -11,9 +11,9 @@ Every passage (``WINDOW`` words, each ``STRIDE`` words) of every text is a query
 whose terms' largest weights don't add up to the threshold can't reach it and are passed over
 with running sums; the others are searched with WAND: the pivot is the first list where the
 upper bounds reach the threshold, and the bounds of the current blocks decide whether it is
-scored or skipped. All segments at or over the threshold are retrieved, then verified:
-question and answer (an item's last line or sentence, else its last third) have to be
-covered by the passage's pairs.
+scored or skipped. All segments at or over the threshold are retrieved, then verified, the
+highest scores first until one passes: question and answer (an item's last line or sentence,
+else its last third) have to be covered by the passage's pairs.
 
 The index is broadcast in parts of at most ``PART_WORDS`` words, one pass over the documents
 for each, so it is bounded however many items there are.
@@ -175,7 +175,7 @@ def covered(part: np.ndarray, there: np.ndarray) -> float:
 
 
 def matches(index: Index, w: kernel.Words, threshold: float, question: float, answer: float) -> Iterator[tuple]:
-    """Text, item, score, overlaps and first word of the best passage for each item found in a text."""
+    """Text, item, score, overlaps and first word of the best passage that passes, for each item found in a text."""
     if not len(w.hashes) or not len(index.terms):
         return
     term = np.empty(len(w.hashes), np.uint64)
@@ -200,20 +200,20 @@ def matches(index: Index, w: kernel.Words, threshold: float, question: float, an
             continue
         starts = np.arange(0, max(1, int(count[d]) - WINDOW + STRIDE), STRIDE)
         lo, hi = np.searchsorted(words, starts), np.searchsorted(words, starts + WINDOW)
-        best: dict[int, tuple] = {}
+        met: dict[int, set] = defaultdict(set)
         for k in np.flatnonzero(sums[hi] - sums[lo] >= threshold - 1e-9):
             for segment, score in wand(index, np.unique(terms[lo[k]:hi[k]]), threshold):
-                item = int(index.item[segment])
-                if item not in best or score > best[item][0]:
-                    best[item] = (score, int(starts[k]))
-        for item, (score, start) in best.items():
+                met[int(index.item[segment])].add((-score, int(starts[k])))
+        for item, passages in met.items():
             # an item longer than a passage may reach beyond it on either side
             reach = len(index.questions[item]) + len(index.answers[item])
-            a = int(w.at[d]) + max(0, start - reach)
-            there = term[a:min(int(w.at[d + 1]), int(w.at[d]) + start + WINDOW + reach)]
-            q, r = covered(index.questions[item], there), covered(index.answers[item], there)
-            if q >= question and r >= answer:
-                yield int(d), item, score, q, r, start
+            for score, start in sorted(passages):
+                a = int(w.at[d]) + max(0, start - reach)
+                there = term[a:min(int(w.at[d + 1]), int(w.at[d]) + start + WINDOW + reach)]
+                q, r = covered(index.questions[item], there), covered(index.answers[item], there)
+                if q >= question and r >= answer:
+                    yield int(d), item, -score, q, r, start
+                    break
 
 
 def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, question: float = QUESTION,
