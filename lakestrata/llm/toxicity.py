@@ -68,7 +68,7 @@ class Lexicon:
 
     def __post_init__(self):
         for term in self.terms:
-            if len(term) < FUZZY_LETTERS or any(term[:k] in self.stems for k in STEMS):
+            if len(term) < FUZZY_LETTERS:
                 continue
             node = self.fuzzy
             for c in term:
