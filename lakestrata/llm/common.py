@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.session import stage
+from lakestrata.session import in_scope, scratch_scope, stage
 
-__all__ = ["in_bitmap", "held_out", "id_bitmap", "labelled_sample", "partitions", "ship", "stage", "table"]
+__all__ = ["in_bitmap", "held_out", "id_bitmap", "labelled_sample", "partitions", "settled", "ship", "stage", "table"]
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 BITMAP_BITS = 1 << 23
@@ -78,5 +78,12 @@ def in_bitmap(column: str) -> Column:
     return ((F.bitmap_bucket_number(slot) - 1) * 32768 + F.bitmap_bit_position(slot)).cast("long")
 
 
+def settled(spark: SparkSession, work: Callable[[], DataFrame], label: str) -> DataFrame:
+    """The table of ``work()``, written in the caller's scope; what ``work`` staged on the way is deleted."""
+    keep = in_scope(stage)
+    with scratch_scope(spark):
+        return keep(work(), label)
+
+
 def first_of(items: Iterable, default=None):
     return next(iter(items), default)

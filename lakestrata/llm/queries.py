@@ -13,6 +13,8 @@ from .cross_entropy import cross_entropy_difference, good_documents
 from .decontamination import contamination
 from .jaccard_join import jaccard_join
 from .kdtree import top_k
+from .lexical_search import search
+from .license_scan import PHRASES, TEMPLATES, digest, license_scan, mandatory_words, pattern
 from .packing import pack
 from .pii import pseudonymize
 from .quality_rules import quality
@@ -129,3 +131,59 @@ def op10_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item found in a document."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty best documents of every benchmark item."""
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op11_lexical_search"] = r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+g AS (SELECT r, doc_id, w, len(w) AS n FROM t WHERE len(w) > 0),
+s AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS total FROM g),
+p AS (SELECT r, doc_id, 100 - 50 + ((50 * n * docs) // total) AS m, term, count(*) AS tf
+    FROM (SELECT r, doc_id, n, unnest(w) AS term FROM g), s GROUP BY ALL),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+d AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, s GROUP BY term, docs),
+c AS (SELECT q.item_id, p.r, p.doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+    FROM q JOIN p USING (term) JOIN d USING (term) GROUP BY ALL),
+k AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score
+    FROM c WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 50"""
+
+
+@query
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's license wording."""
+    return digest(license_scan(table(spark, sf_dir, "documents")))
+
+
+def _op12_sql() -> str:
+    """Phrases by search and templates by pattern in the words, each between blanks of its own."""
+    kinds = [(label, text, True) for label, text in PHRASES] + [(label, text, False) for label, text in TEMPLATES]
+    rows = ", ".join(f"('{label}', '{pattern(text)}', {base}, {mandatory_words(text)})" for label, text, base in kinds)
+    return rf"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+d AS (SELECT r, doc_id, len(w) AS n, ' ' || array_to_string(w, '  ') || ' ' AS s FROM t),
+k(label, p, base, words) AS (VALUES {rows}),
+h AS (SELECT r, label, base, words, CASE WHEN base THEN (length(s) - length(replace(s, p, ''))) // length(p) END AS places,
+    CASE WHEN base THEN length(regexp_replace(substr(s, 1, instr(s, p) - 1), '[^ ]', '', 'g')) // 2 END AS first,
+    CASE WHEN base THEN n - words - length(regexp_replace(substr(reverse(s), 1, instr(reverse(s), reverse(p)) - 1), '[^ ]', '', 'g'))
+        // 2 END AS last FROM d JOIN k ON regexp_matches(s, p)),
+g AS (SELECT r, sum(places) AS n_base, min(first) AS first_word, max(last) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(words / (words + 1)) AS score FROM h GROUP BY r)
+SELECT doc_id, n AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, first_word, last_word,
+    coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM d LEFT JOIN g USING (r)"""
+
+
+ORACLES["op12_license_scan"] = _op12_sql()
