@@ -21,6 +21,7 @@ from .quality_rules import quality
 from .sharding import uniform_shards
 from .toxicity import toxicity
 from .url_filter import MIN_SOFT, RULES, SOFT, STRICT, url_filter
+from .vector_codes import ENTRIES, PARTS, ROUNDS, vector_codes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -187,3 +188,37 @@ FROM d LEFT JOIN g USING (r)"""
 
 
 ORACLES["op12_license_scan"] = _op12_sql()
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's code in four codebooks of 256 entries, and its error."""
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def _op13_sql() -> str:
+    """Rounds of assignment to the nearest entry and of means, a common table each."""
+    gap = "list_sum(list_transform(list_zip(r.x, e.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    nearest = f"SELECT r.r, r.p, min({{{{'d': CAST({gap} AS BIGINT), 'e': e.e}}}}) AS m FROM parts r JOIN e{{k}} e USING (p) GROUP BY r.r, r.p"
+    steps = []
+    for k in range(ROUNDS):
+        steps.append(f"""a{k} AS MATERIALIZED ({nearest.format(k=k)}),
+s{k} AS (SELECT p, m.e AS e, j, CAST(sum(x[j]) AS BIGINT) AS s, count(*) AS n FROM a{k} JOIN parts USING (r, p),
+    generate_series(1, len(x)) AS g(j) GROUP BY ALL),
+m{k} AS (SELECT p, e, list(CAST(floor(s / n) AS BIGINT) ORDER BY j) AS x FROM s{k} GROUP BY p, e),
+e{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(m{k}.x, e{k}.x) AS x FROM e{k} LEFT JOIN m{k} USING (p, e))""")
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id, v) AS r, vec_id, label, v, len(v) // {PARTS} AS w FROM (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+parts AS MATERIALIZED (SELECT r, p, v[(p - 1) * w + 1:p * w] AS x FROM v, generate_series(1, {PARTS}) AS g(p)),
+e0 AS MATERIALIZED (SELECT p, r - 1 AS e, x FROM parts WHERE r <= {ENTRIES}),
+{", ".join(steps)},
+a AS MATERIALIZED ({nearest.format(k=ROUNDS)}),
+c AS (SELECT r, string_agg(printf('%02x', m.e), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error FROM a GROUP BY r),
+t AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM c JOIN v USING (r) GROUP BY label),
+b AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM e{ROUNDS})
+SELECT vec_id, code, error, label_error, codebooks_sha256 FROM c JOIN v USING (r) JOIN t ON v.label IS NOT DISTINCT FROM t.label, b"""
+
+
+ORACLES["op13_vector_codes"] = _op13_sql()
