@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import quality as dq
+from ..operators.incremental import Change, relationships_delta, unique_delta
 from .dimensions import SCD2_DIMENSIONS
 from .serving import PAPER_SERIES, PRICE_SERIES
 from .silver import ADDRESS_TYPE, CUSTOMER_STATUS, INVOICE_STATUS, PAYMENT_STATUS, SPECS
@@ -109,39 +111,76 @@ def column_tests(df: DataFrame, required: Iterable[str], accepted: Mapping[str,
 
 
 Check = Callable[[], DataFrame]
+Changes = Mapping[str, Change]
 
+# Amount and key that are summarised for each part of a table.
+SUMMARISED: dict[str, tuple[str | None, str | None]] = {
+    "invoice_line": ("silver_line_total_amount", None),
+    "payment": ("silver_payment_amount", None),
+    "fact_retail_sales": ("sales_amount", "sales_line_key"),
+    "fact_payments": ("payment_amount", "payment_key"),
+    "fact_customer_behavior_snapshot": (None, "snapshot_key"),
+} | {spec.name: (None, spec.key) for spec in SCD2_DIMENSIONS}
 
-def generic_checks(t: Tables) -> dict[str, Check]:
+
+@dataclass(frozen=True)
+class Rule:
+    """A check over some tables: whole, and on what changed since it passed; ``says`` holds its parameters."""
+
+    tables: tuple[str, ...]
+    full: Callable[[Tables], DataFrame]
+    delta: Callable[[Changes], DataFrame] | None = None
+    says: str = ""
+    totals: bool = False
+
+
+def _added(change: Change) -> DataFrame:
+    return change.current.limit(0) if change.added is None else change.added
+
+
+def generic_rules() -> dict[str, Rule]:
     """Column tests per table, key uniqueness, references."""
-    checks: dict[str, Check] = {}
+    rules: dict[str, Rule] = {}
     required = {name: (*spec.keys, *SILVER_REQUIRED) for name, spec in SPECS.items()} | GOLD_KEYS
     keys = {name: list(spec.keys) for name, spec in SPECS.items()}
     keys |= {name: [columns[0]] for name, columns in GOLD_KEYS.items()}
     for name, columns in required.items():
         accepted = {c: v for (table, c), v in ACCEPTED.items() if table == name}
-        checks[f"columns {name}"] = partial(column_tests, t[name], columns, accepted)
-        checks[f"unique {name}"] = partial(dq.unique, t[name], keys[name])
-    for child, column, parent, parent_column in REFERENCES:
-        checks[f"relationship {child}.{column}"] = partial(
-            dq.relationships, t[child], column, t[parent], parent_column
-        )
-    return checks
+        rules[f"columns {name}"] = Rule(
+            (name,), lambda t, n=name, c=columns, v=accepted: column_tests(t[n], c, v),
+            lambda d, n=name, c=columns, v=accepted: column_tests(_added(d[n]), c, v), f"{columns} {accepted}")
+        rules[f"unique {name}"] = Rule(
+            (name,), lambda t, n=name: dq.unique(t[n], keys[n]), lambda d, n=name: unique_delta(d[n], keys[n]), f"{keys[name]}")
+    for child, column, parent, key in REFERENCES:
+        rules[f"relationship {child}.{column}"] = Rule(
+            (child, parent), lambda t, r=(child, column, parent, key): dq.relationships(t[r[0]], r[1], t[r[2]], r[3]),
+            lambda d, r=(child, column, parent, key): relationships_delta(d[r[0]], r[1], d[r[2]], r[3]), f"{parent}.{key}")
+    return rules
 
 
-def invariant_checks(t: Tables, today: str) -> dict[str, Check]:
+def invariant_rules(today: str) -> dict[str, Rule]:
     """Reconciliation, Type 2 windows, refund sign, economic series."""
-    sales, payments, econ = t["fact_retail_sales"], t["fact_payments"], t["econ_indicator"]
-    checks: dict[str, Check] = {
-        "sales reconcile": partial(dq.reconcile, sales, "sales_amount", t["invoice_line"], "silver_line_total_amount"),
-        "payments reconcile": partial(dq.reconcile, payments, "payment_amount", t["payment"], "silver_payment_amount"),
-        "refunds negative": partial(dq.refunds_not_negative, payments),
-        "series fresh": partial(dq.stale_series, econ, today),
-        "series without gaps": partial(dq.month_gaps, econ),
-        "series unique": partial(dq.unique, econ, ["silver_series_id", "silver_observation_date"]),
-        "series positive": partial(dq.non_positive, econ),
-        "price index covers revenue": partial(dq.months_without_basis, sales, econ, PRICE_SERIES),
-        "paper index covers revenue": partial(dq.months_without_basis, sales, econ, PAPER_SERIES),
+    sales, payments, econ = "fact_retail_sales", "fact_payments", "econ_indicator"
+    rules: dict[str, Rule] = {
+        "sales reconcile": Rule((sales, "invoice_line"), lambda t: dq.reconcile(
+            t[sales], "sales_amount", t["invoice_line"], "silver_line_total_amount"), totals=True),
+        "payments reconcile": Rule((payments, "payment"), lambda t: dq.reconcile(
+            t[payments], "payment_amount", t["payment"], "silver_payment_amount"), totals=True),
+        "refunds negative": Rule((payments,), lambda t: dq.refunds_not_negative(t[payments]),
+                                 lambda d: dq.refunds_not_negative(_added(d[payments]))),
+        "series fresh": Rule((econ,), lambda t: dq.stale_series(t[econ], today), says=today),
+        "series without gaps": Rule((econ,), lambda t: dq.month_gaps(t[econ])),
+        "series unique": Rule((econ,), lambda t: dq.unique(t[econ], ["silver_series_id", "silver_observation_date"])),
+        "series positive": Rule((econ,), lambda t: dq.non_positive(t[econ])),
     }
+    for label, series in (("price", PRICE_SERIES), ("paper", PAPER_SERIES)):
+        def covered(d: Changes, series: str = series) -> DataFrame:
+            # an index that starts later can uncover any month, so a changed series judges all of them
+            rows = d[sales].current if d[econ].removed is not None else _added(d[sales])
+            return dq.months_without_basis(rows, d[econ].current, series)
+
+        rules[f"{label} index covers revenue"] = Rule(
+            (sales, econ), lambda t, s=series: dq.months_without_basis(t[sales], t[econ], s), covered, series)
     per_dimension = {
         "no overlap": dq.scd2_overlaps,
         "one current": dq.scd2_one_current,
@@ -150,5 +189,19 @@ def invariant_checks(t: Tables, today: str) -> dict[str, Check]:
     }
     for spec in SCD2_DIMENSIONS:
         for label, check in per_dimension.items():
-            checks[f"{label} {spec.name}"] = partial(check, t[spec.name], spec.name)
-    return checks
+            # an entity's versions share a bucket, and buckets are rewritten whole
+            rules[f"{label} {spec.name}"] = Rule(
+                (spec.name,), lambda t, n=spec.name, c=check: c(t[n], n), lambda d, n=spec.name, c=check: c(_added(d[n]), n))
+    return rules
+
+
+def suite_rules(today: str) -> dict[str, Rule]:
+    return generic_rules() | invariant_rules(today)
+
+
+def generic_checks(t: Tables) -> dict[str, Check]:
+    return {name: partial(rule.full, t) for name, rule in generic_rules().items()}
+
+
+def invariant_checks(t: Tables, today: str) -> dict[str, Check]:
+    return {name: partial(rule.full, t) for name, rule in invariant_rules(today).items()}

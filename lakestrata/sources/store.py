@@ -16,6 +16,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -117,6 +118,10 @@ class TableStore:
             self._plans[at] = self._read_parts(layer, table, m, m.parts)
         return self._plans[at]
 
+    def read_parts(self, layer: str, table: str, parts: list[list], of: Manifest | None = None) -> DataFrame:
+        """Rows of some parts, of the newest version or of the one that ``of`` describes."""
+        return self._read_parts(layer, table, of or self.manifest(layer, table), parts)
+
     def read_since(self, layer: str, table: str, batch: int) -> DataFrame | None:
         """Rows of appended batches above ``batch`` (None if there are none); older ones are not opened."""
         m = self.manifest(layer, table)
@@ -160,7 +165,15 @@ class TableStore:
             rows.write.partitionBy(BUCKET).parquet(path)
             found = [n for n in self.files.names(path) if n.startswith(f"{BUCKET}=")]
             parts = [[f"{folder}/{n}", int(n.split("=")[1])] for n in found]
-        return parts, seen.get
+        return parts, self._seen(seen)
+
+    @staticmethod
+    def _seen(seen: Observation) -> dict:
+        """What was observed while writing; a plan that is empty by construction observes nothing."""
+        try:
+            return seen.get
+        except Py4JJavaError:
+            return {"rows": 0, "top": None}
 
     def _next(self, layer: str, table: str) -> int:
         found = self.versions(layer, table)

@@ -6,9 +6,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from lakestrata.operators.incremental import reconcile_delta, relationships_delta, unique_delta
 from lakestrata.operators.merge import without
 from lakestrata.operators.scd import close_superseded
 from lakestrata.plans.dimensions import SCD2_DIMENSIONS
+from lakestrata.plans.gate import Gate
 from lakestrata.session import scratch_root
 from lakestrata.sources.landing import ingest_table
 from lakestrata.sources.ledger import Ledger
@@ -20,7 +22,8 @@ from .silver_queries import _spec_of
 from .source_sql import RUN_1, RUN_2
 from .star import CONFIGS, landed, star
 
-BUCKETS = {"silver.invoice": 16, "gold.dim_invoice": 16, "gold.fact_retail_sales": 16}
+BUCKETS = {"silver.invoice": 16, "silver.invoice_line": 16, "silver.customer": 16, "gold.dim_invoice": 16,
+           "gold.fact_retail_sales": 16}
 
 
 def _store(spark) -> TableStore:
@@ -117,3 +120,48 @@ def aud_erasure_store(spark, sf):
     who = given.table(spark, sf, "customer").where("c_acctbal < 0").select(F.col("c_custkey").cast("string").alias("subject_id"))
     erase_subjects(store, [("silver", "customer", "silver_customer_id")], who, RUN_2)
     return store.read("silver", "customer")
+
+
+@query("sales_line_key:l n:l", """
+    WITH f AS (SELECT CASE WHEN sales_line_key > m THEN sales_line_key - 10 ELSE sales_line_key END AS k
+      FROM sales, (SELECT max(sales_line_key) AS m FROM sales_1))
+    SELECT k AS sales_line_key, count(*) AS n FROM f GROUP BY k HAVING count(*) > 1""")
+def dq_incremental_unique(spark, sf):
+    """A reload whose keys begin ten too low: found from the rewritten buckets and the key ranges of the others."""
+    store, s, name = _store(spark), star(spark, sf), "fact_retail_sales"
+    store.overwrite("gold", name, s.sales(1), ["invoice_number"])
+    changed = s.changed_invoices()
+    low = s.new_sales().withColumn("sales_line_key", F.col("sales_line_key") - 10)
+    store.rewrite("gold", name, changed, lambda old: without(old, changed, ["invoice_number"]), low)
+    return unique_delta(Gate(store, {}, {name: "gold"}).change(name, 1), ["sales_line_key"])
+
+
+@query("silver_customer_id:l n:l", """
+    SELECT silver_customer_id, count(*) AS n FROM sv_invoice
+    WHERE silver_customer_id IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0) GROUP BY 1""")
+def dq_incremental_relationships(spark, sf):
+    """Invoices change and customers go: their references are found from the parts that came and went."""
+    store = _merged(spark, sf)
+    store.overwrite("silver", "customer", star(spark, sf).silver("customer"), ["silver_customer_id"])
+    gone = given.table(spark, sf, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("silver_customer_id"))
+    none = store.read("silver", "customer").limit(0)
+    store.rewrite("silver", "customer", gone, lambda old: without(old, gone, ["silver_customer_id"]), none)
+    gate = Gate(store, {}, {"invoice": "silver", "customer": "silver"})
+    return relationships_delta(gate.change("invoice", 1), "silver_customer_id", gate.change("customer", 1), "silver_customer_id")
+
+
+@query("gold_rows:l gold_total:d silver_rows:l silver_total:d total_diff:d", """
+    SELECT g.n AS gold_rows, g.t AS gold_total, s.n AS silver_rows, s.t AS silver_total, g.t - s.t AS total_diff
+    FROM (SELECT count(*) AS n, sum(sales_amount) AS t FROM sales_1) g, (SELECT count(*) AS n, sum(silver_line_total_amount) AS t FROM sv_invoice_line) s
+    WHERE g.n <> s.n OR g.t <> s.t""")
+def dq_incremental_reconcile(spark, sf):
+    """Lines were merged since the fact was loaded; both totals come from summaries of parts."""
+    store, s, keys = _store(spark), star(spark, sf), ["silver_invoice_line_id"]
+    store.overwrite("gold", "fact_retail_sales", s.sales(1), ["invoice_number"])
+    store.overwrite("silver", "invoice_line", s.silver("invoice_line", 1), keys)
+    changes = s.changes("invoice_line")
+    store.rewrite("silver", "invoice_line", changes, lambda old: without(old, changes, keys), changes)
+    gate = Gate(store, {}, {"fact_retail_sales": "gold", "invoice_line": "silver"})
+    row = reconcile_delta(list(gate.summaries("fact_retail_sales").values()), list(gate.summaries("invoice_line").values()))
+    schema = "gold_rows long, gold_total decimal(38,2), silver_rows long, silver_total decimal(38,2), total_diff decimal(38,2)"
+    return spark.createDataFrame([row] if row else [], schema)
