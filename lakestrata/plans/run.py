@@ -105,8 +105,9 @@ class Run:
     def merge(self) -> dict[str, int]:
         batch = self.ledger.start("silver", "bronze", "incremental_merge", initiated_by=self.job)
         names = [n for n, s in SPECS.items() if self.store.exists("bronze", s.source)]
+        book = stage(self.ledger.frame().select("batch_key", "target_table", "batch_status"), "ledger")
         counts = self._each(
-            lambda n: merge_silver(self.store, SPECS[n], batch_id=batch.key, run_ts=self.run_ts), names
+            lambda n: merge_silver(self.store, SPECS[n], batch_id=batch.key, run_ts=self.run_ts, ledger=book), names
         )
         total = sum(counts.values())
         self.ledger.complete(batch, total, total)

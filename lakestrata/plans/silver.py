@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..functions.dates import ts
 from ..functions.hashing import row_hash
+from ..functions.intervals import Intervals
 from ..operators.merge import HISTORY_ORDER, LATEST_ORDER, dedup_latest, hash_gate, without
 from ..session import stage
 from ..sources.store import TableStore
@@ -373,12 +374,9 @@ def lineage(record_id: Column, created: str, updated: str, batch_id: int, run_ts
     ]
 
 
-def unprocessed(landed: DataFrame, target: DataFrame | None) -> DataFrame:
-    """Landing rows of batches newer than any batch present in the target."""
-    if target is None:
-        return landed
-    done = target.agg(F.coalesce(F.max("silver_bronze_batch_id"), F.lit(0))).first()[0]
-    return landed.where(F.col("bronze_batch_id") > done)
+def unprocessed(landed: DataFrame, merged: Intervals) -> DataFrame:
+    """Landing rows of batches that aren't merged yet, whatever their number."""
+    return landed.where(~merged.holds("bronze_batch_id"))
 
 
 def clean(spec: SilverSpec, newest: DataFrame, batch_id: int, run_ts: str) -> DataFrame:
@@ -413,20 +411,71 @@ def silver_table(spec: SilverSpec, landed: DataFrame, *, batch_id: int, run_ts:
     return silver_changes(spec, landed, None, batch_id=batch_id, run_ts=run_ts)
 
 
-def merge_silver(store: TableStore, spec: SilverSpec, *, batch_id: int, run_ts: str) -> int:
-    """Bring one stored table up to date with its landing table; returns the rows written."""
+MERGED = "merged_batches"
+
+
+def merged_batches(store: TableStore, spec: SilverSpec) -> Intervals:
+    """The landed batches a stored table holds; of a table without a record all up to its highest."""
+    meta = store.manifest("silver", spec.name).meta
+    if MERGED in meta:
+        return Intervals.read(meta[MERGED])
+    top = store.read("silver", spec.name).agg(F.coalesce(F.max("silver_bronze_batch_id"), F.lit(0))).first()[0]
+    return Intervals(((0, top),))
+
+
+def settled(ledger: DataFrame, target: str, merged: Intervals) -> Intervals:
+    """``merged`` with the numbers in its gaps that can't land any more: those of other targets and of own finished loads.
+
+    What stays a gap is a load that is open, or that failed and may have landed all the same.
+    """
+    gaps = Intervals(tuple(merged.gaps()))
+    if merged.ranges and merged.ranges[0][0] > 1:
+        gaps = gaps.add([(1, merged.ranges[0][0] - 1)])
+    over = (F.col("target_table") != target) | (F.col("batch_status") == "succeeded")
+    done = ledger.where(gaps.holds("batch_key") & over).select("batch_key").collect()  # loads since the last merge
+    return merged.add((r[0], r[0]) for r in done)
+
+
+def not_superseded(landed: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
+    """Without the rows of late batches whose key also stands in a merged batch of a higher number.
+
+    Batches merged in any order so end in what they give in the order of their numbers.
+    """
+    later = after.groupBy(*keys).agg(F.max("bronze_batch_id").alias("_later"))
+    kept = landed.join(later, keys, "left").where(F.col("_later").isNull() | (F.col("_later") < F.col("bronze_batch_id")))
+    return kept.select(landed.columns)
+
+
+def merge_silver(store: TableStore, spec: SilverSpec, *, batch_id: int, run_ts: str, ledger: DataFrame | None = None) -> int:
+    """Bring one stored table up to date with its landing table; returns the rows written.
+
+    The set of merged batches is committed with the rows. A batch that was opened before others
+    and lands after them is merged when it is there. With the ledger, in a state stored before
+    the call, the set's gaps are closed where no batch can land any more.
+    """
     keys = list(spec.keys)
+    numbers = store.batches("bronze", spec.source)
+
+    def note(before: Intervals) -> dict:
+        after = before.add((n, n) for n in numbers)
+        return {MERGED: (settled(ledger, spec.source, after) if ledger is not None else after).stored()}
+
     if not store.exists("silver", spec.name):
         rows = silver_table(spec, store.read("bronze", spec.source), batch_id=batch_id, run_ts=run_ts)
-        return store.overwrite("silver", spec.name, rows, keys)
-    target = store.read("silver", spec.name)
-    done = target.agg(F.coalesce(F.max("silver_bronze_batch_id"), F.lit(0))).first()[0]
-    landed = store.read_since("bronze", spec.source, done)
+        return store.overwrite("silver", spec.name, rows, keys, note(Intervals()))
+    merged = merged_batches(store, spec)
+    landed = store.read_unmerged("bronze", spec.source, merged)
     if landed is None:
         return 0
+    target = store.read("silver", spec.name)
+    late = [n for n in numbers if n not in merged and n < merged.top]
+    if late:
+        after = store.read_since("bronze", spec.source, min(late)).where(merged.holds("bronze_batch_id"))
+        landed = not_superseded(landed, after, list(spec.source_keys))
     rows = stage(cleaned_latest(spec, landed, batch_id, run_ts), f"clean-{spec.name}")
     # the gate carries the creation stamp over, so the merge itself needs no second join
     changes = stage(hash_gate(rows, target, keys, HASH, (CREATED,), narrow=True), f"changes-{spec.name}")
     if changes.isEmpty():
+        store.note("silver", spec.name, **note(merged))
         return 0
-    return store.rewrite("silver", spec.name, changes, lambda old: without(old, changes, keys), changes)
+    return store.rewrite("silver", spec.name, changes, lambda old: without(old, changes, keys), changes, note(merged))

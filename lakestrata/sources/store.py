@@ -14,13 +14,14 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.intervals import Intervals
 from .files import Files
 
 BUCKET = "_bucket"
@@ -133,6 +134,20 @@ class TableStore:
             return None
         return self._read_parts(layer, table, m, live)
 
+    def batches(self, layer: str, table: str) -> list[int]:
+        """The numbers of the appended batches, in order."""
+        m = self.manifest(layer, table)
+        return sorted(set(m.meta.get("batches", {}).values())) if m else []
+
+    def read_unmerged(self, layer: str, table: str, merged: Intervals) -> DataFrame | None:
+        """Rows of appended batches outside a set (None if there are none); folders without a number always count."""
+        m = self.manifest(layer, table)
+        if m is None:
+            raise FileNotFoundError(f"{layer}.{table} has no committed version")
+        ids = m.meta.get("batches", {})
+        live = [p for p in m.parts if ids.get(p[0]) is None or ids[p[0]] not in merged]
+        return self._read_parts(layer, table, m, live) if live else None
+
     def view(self, layer: str, table: str, name: str | None = None) -> str:
         name = name or f"{layer}_{table}"
         self.read(layer, table).createOrReplaceTempView(name)
@@ -206,12 +221,17 @@ class TableStore:
                                             (old.parts if old else []) + parts, meta))
         return seen["rows"]
 
-    def overwrite(self, layer: str, table: str, df: DataFrame, keys: list[str] | None = None) -> int:
-        """Replace the whole table (first build or full rebuild); returns the row count."""
+    def note(self, layer: str, table: str, **facts) -> None:
+        """Record facts about a table in a new version of the same parts."""
+        m = self.manifest(layer, table)
+        self._commit(layer, table, replace(m, version=self._next(layer, table), meta={**m.meta, **facts}))
+
+    def overwrite(self, layer: str, table: str, df: DataFrame, keys: list[str] | None = None, note: dict | None = None) -> int:
+        """Replace the whole table (first build or full rebuild); returns the row count. ``note`` is committed with it."""
         keys = list(keys or [])
         buckets = self.bucket_plan.get(f"{layer}.{table}", 1) if keys else 1
         parts, seen = self._write(layer, table, df, keys, buckets)
-        meta = self._with_top({}, seen["top"])
+        meta = self._with_top(dict(note or {}), seen["top"])
         self._commit(layer, table, Manifest(self._next(layer, table), _nullable(df.schema), keys, buckets, parts, meta))
         return seen["rows"]
 
@@ -222,12 +242,14 @@ class TableStore:
         touched: DataFrame,
         keep: Callable[[DataFrame], DataFrame],
         new: DataFrame,
+        note: dict | None = None,
     ) -> int:
         """Replace the buckets that hold the keys in ``touched``; returns the number of new rows.
 
         ``keep`` maps the current rows of those buckets to the ones that stay, row by row
-        (it may join, but not regroup them); ``new`` rows are added. Only bucket numbers,
-        at most ``buckets`` of them, come to the driver.
+        (it may join, but not regroup them); ``new`` rows are added and the facts of ``note``
+        recorded in the same commit. Only bucket numbers, at most ``buckets`` of them, come to
+        the driver.
         """
         old = self.manifest(layer, table)
         columns = [f.name for f in old.schema]
@@ -243,7 +265,7 @@ class TableStore:
             others = [p for p in old.parts if p[1] not in hit]
         parts, seen = self._write(layer, table, new.select(columns), old.keys, old.buckets,
                                   keep(current).select(columns))
-        meta = self._with_top(dict(old.meta), seen["top"])
+        meta = self._with_top(dict(old.meta) | (note or {}), seen["top"])
         self._commit(layer, table, Manifest(self._next(layer, table), old.schema, old.keys, old.buckets,
                                             others + parts, meta))
         return seen["rows"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakestrata.functions.dates import ts
+from lakestrata.functions.intervals import Intervals
 from lakestrata.operators import quality as dq
 from lakestrata.plans import governance as gov
 from lakestrata.sources import landing, ledger as led, series
@@ -77,11 +78,8 @@ def src_unprocessed_batches(spark, sf):
     """Landing rows of batches the current-state table has not seen."""
     from lakestrata.plans.silver import unprocessed
 
-    from .star import star
-
     both = landed(spark, sf, "oltp_customer", 1).unionByName(landed(spark, sf, "oltp_customer", 2))
-    return unprocessed(both, star(spark, sf).silver("customer", 1)).select(
-        "customer_id", F.col("bronze_batch_id").alias("k"))
+    return unprocessed(both, Intervals.of([1])).select("customer_id", F.col("bronze_batch_id").alias("k"))
 
 
 @query("month orders:l", """

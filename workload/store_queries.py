@@ -11,8 +11,9 @@ from lakestrata.operators.merge import without
 from lakestrata.operators.scd import close_superseded
 from lakestrata.plans.dimensions import SCD2_DIMENSIONS
 from lakestrata.plans.gate import Gate
+from lakestrata.plans.silver import SPECS, merge_silver
 from lakestrata.session import scratch_root
-from lakestrata.sources.landing import ingest_table
+from lakestrata.sources.landing import ingest_table, landing_schema
 from lakestrata.sources.ledger import Ledger
 from lakestrata.sources.store import TableStore
 
@@ -165,3 +166,20 @@ def dq_incremental_reconcile(spark, sf):
     row = reconcile_delta(list(gate.summaries("fact_retail_sales").values()), list(gate.summaries("invoice_line").values()))
     schema = "gold_rows long, gold_total decimal(38,2), silver_rows long, silver_total decimal(38,2), total_diff decimal(38,2)"
     return spark.createDataFrame([row] if row else [], schema)
+
+
+@query("silver_customer_id:l silver_phone_number silver_bronze_batch_id:l", """
+    SELECT silver_customer_id, CASE WHEN silver_customer_id % 7 <> 0 AND c_acctbal < 0 THEN '4805550100' ELSE silver_phone_number END
+      AS silver_phone_number, CASE WHEN silver_customer_id % 7 = 0 THEN 3 WHEN c_acctbal < 0 THEN 2 ELSE 1 END AS silver_bronze_batch_id
+    FROM sv_customer JOIN customer ON c_custkey = silver_customer_id""")
+def src_unprocessed_late_batch(spark, sf):
+    """Batch 2 lands after batch 3 was merged: its rows come in, but for those that batch 3 holds too."""
+    store, s, spec = _store(spark), star(spark, sf), SPECS["customer"]
+    poor = given.table(spark, sf, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("customer_id"))
+    late = s.landing(spec.source, 1).join(poor, "customer_id", "left_semi").withColumn("phone", F.lit("(480) 555-0100"))
+    batches = {1: s.landing(spec.source, 1), 3: s.landing(spec.source, 2), 2: late}
+    for number, rows in batches.items():
+        rows = rows.withColumn("bronze_batch_id", F.lit(number).cast("bigint"))
+        store.append("bronze", spec.source, rows.select(landing_schema(spec.source).fieldNames()), number)
+        merge_silver(store, spec, batch_id=10 + number, run_ts=RUN_2)
+    return store.read("silver", "customer")
