@@ -3,16 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import ts
 from ..functions.hashing import record_hash
 from ..functions.text import blank_to_null, clip
+from ..operators.incremental import Change
 from ..operators.scd import DimensionSpec, scd1_apply
+from ..session import stage
+from .silver import SPECS
 
 Tables = Mapping[str, DataFrame]
 _NP = "'Not Provided'"
+MERGED_AT = "silver_updated_at_timestamp"
+CALENDAR = "dim_date"
 
 # Dimension keys, attributes and the attribute values of the -1 member.
 CUSTOMER = DimensionSpec(
@@ -52,14 +60,9 @@ STORE = DimensionSpec(
 SCD2_DIMENSIONS = (CUSTOMER, STORE, CASHIER, PRODUCT, INVOICE, PAYMENT_METHOD)
 
 
-TOUCHED = "_touched_at"
-
-
-def _versioned(prefix: str, entity: str, *lookups: str) -> list[Column]:
-    """Columns every staged dimension row carries, with the newest merge time of its sources."""
-    merged = [F.col(f"{p}.silver_updated_at_timestamp") for p in (prefix, *lookups)]
+def _versioned(prefix: str, entity: str) -> list[Column]:
+    """Columns every staged dimension row carries."""
     return [
-        (F.greatest(*merged) if lookups else merged[0]).alias(TOUCHED),
         F.col(f"{prefix}.silver_{entity}_id").cast("string").alias("source_record_id"),
         F.col(f"{prefix}.silver_is_deleted_flag").alias("is_deleted"),
         clip(F.col(f"{prefix}.silver_source_system"), 50).alias("source_system"),
@@ -85,7 +88,7 @@ def stage_customer(t: Tables) -> DataFrame:
         .withColumn("_state", state)
     )
     return joined.select(
-        *_versioned("c", "customer", "a", "s"),
+        *_versioned("c", "customer"),
         clip(F.col("silver_customer_account_no"), 30).alias("customer_id"),
         clip(F.col("silver_customer_name"), 100).alias("customer_name"),
         clip(F.col("silver_street_address_line_1"), 200).alias("customer_street_address"),
@@ -104,7 +107,7 @@ def stage_cashier(t: Tables) -> DataFrame:
     e, s = t["employee"].alias("e"), t["store"].alias("s")
     joined = e.join(s, F.col("s.silver_store_id") == F.col("e.silver_store_id"), "left")
     return joined.select(
-        *_versioned("e", "employee", "s"),
+        *_versioned("e", "employee"),
         clip(F.col("silver_employee_code"), 30).alias("cashier_id"),
         clip(F.col("silver_first_name"), 50).alias("cashier_first_name"),
         clip(F.col("silver_last_name"), 50).alias("cashier_last_name"),
@@ -124,7 +127,7 @@ def stage_invoice(t: Tables) -> DataFrame:
         s, F.col("s.silver_store_id") == F.col("i.silver_store_id"), "left"
     )
     return joined.select(
-        *_versioned("i", "invoice", "c", "s"),
+        *_versioned("i", "invoice"),
         clip(F.col("silver_invoice_number"), 30).alias("invoice_number"),
         clip(F.col("silver_po_number"), 50).alias("po_number"),
         F.col("silver_invoice_date").alias("invoice_date"),
@@ -160,7 +163,7 @@ def stage_product(t: Tables) -> DataFrame:
         d, F.col("d.silver_department_id") == F.col("p.silver_department_id"), "left"
     )
     return joined.select(
-        *_versioned("p", "product", "c", "d"),
+        *_versioned("p", "product"),
         clip(F.col("silver_product_sku"), 50).alias("sku_number"),
         clip(F.col("silver_product_description"), 200).alias("product_description"),
         clip(F.col("silver_brand_name"), 100).alias("brand_description"),
@@ -184,7 +187,7 @@ def stage_store(t: Tables) -> DataFrame:
         "_state", F.coalesce("st.silver_state_name", "s.silver_state_code")
     )
     return joined.select(
-        *_versioned("s", "store", "st"),
+        *_versioned("s", "store"),
         clip(F.col("silver_store_code"), 30).alias("store_id"),
         clip(F.col("silver_store_name"), 100).alias("store_name"),
         clip(F.col("silver_city"), 100).alias("store_city"),
@@ -207,16 +210,101 @@ STAGES: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
-# An address that stops being primary leaves no trace in the staged customer, so
-# dim_customer is always compared in full; elsewhere untouched rows cannot differ.
-ALWAYS_FULL = ("dim_customer",)
+@dataclass(frozen=True)
+class Link:
+    """Rows of ``child`` depend on the rows of ``parent`` whose ``key`` equals their ``column``."""
+
+    child: str
+    column: str
+    parent: str
+    key: str
+
+
+# Table and id that a dimension has a row for, and the joins of its staging.
+BASES: dict[str, tuple[str, str]] = {
+    "dim_customer": ("customer", "silver_customer_id"),
+    "dim_store": ("store", "silver_store_id"),
+    "dim_cashier": ("employee", "silver_employee_id"),
+    "dim_product": ("product", "silver_product_id"),
+    "dim_invoice": ("invoice", "silver_invoice_id"),
+    "dim_payment_method": ("payment_method", "silver_payment_method_id"),
+}
+LINKS: dict[str, tuple[Link, ...]] = {
+    "dim_customer": (Link("customer", "silver_customer_id", "customer_address", "silver_customer_id"),
+                     Link("customer_address", "silver_state_code", "state", "silver_state_code"),
+                     Link("customer", "silver_first_order_date", CALENDAR, "date")),
+    "dim_store": (Link("store", "silver_state_code", "state", "silver_state_code"),),
+    "dim_cashier": (Link("employee", "silver_store_id", "store", "silver_store_id"),),
+    "dim_product": (Link("product", "silver_category_id", "product_category", "silver_category_id"),
+                    Link("product", "silver_department_id", "department", "silver_department_id")),
+    "dim_invoice": (Link("invoice", "silver_customer_id", "customer", "silver_customer_id"),
+                    Link("invoice", "silver_store_id", "store", "silver_store_id")),
+    "dim_payment_method": (),
+}
 
 
-def touched_since(name: str, staged: DataFrame, mark: str | None) -> DataFrame:
-    """Staged rows any of whose sources was merged after the last load of the dimension."""
-    if mark is None or name in ALWAYS_FULL:
-        return staged
-    return staged.where(F.col(TOUCHED) > F.lit(mark).cast("timestamp_ntz"))
+def source_tables(name: str) -> list[str]:
+    """The tables a dimension is staged from."""
+    return [BASES[name][0], *(link.parent for link in LINKS[name])]
+
+
+def touched(name: str, t: Tables, mark: str, before: Callable[[str], Change | None]) -> DataFrame | None:
+    """Ids of the entities whose staged row can differ from the last load's; None if that can't be told.
+
+    The delta rule of a join: rows that were merged after the mark, by a filter on each table's own
+    scan, and rows that refer to such rows of another table, by semi-joins with the few keys found
+    there. A row that isn't found by its table's key but by another column, as an address by its
+    customer, counts for the value it had as well; ``before`` tells the parts that went.
+    """
+    def rows(table: str) -> list[DataFrame]:
+        found = [t[table].where(F.col(MERGED_AT) > ts(mark))]
+        for link in (k for k in LINKS[name] if k.child == table):
+            keys = values(link.parent, link.key)
+            if keys is None:
+                return []
+            if not keys.isEmpty():
+                found.append(t[table].join(keys.select(F.col(link.key).alias(link.column)), link.column, "left_semi")
+                             .select(t[table].columns))
+        return found
+
+    def values(table: str, key: str) -> DataFrame | None:
+        """The values of ``key`` in touched rows, staged so that Spark knows how few they are."""
+        if table == CALENDAR:
+            return dates(before(table))
+        found = [df.select(key) for df in rows(table)]
+        own = SPECS[table].keys[0]
+        change = before(table) if key != own else None
+        if not found or key != own and change is None:
+            return None
+        if change is not None and change.removed is not None:
+            gone = change.removed.select(own, key)
+            if change.added is not None:
+                gone = gone.exceptAll(change.added.select(own, key))
+            found.append(gone.select(key))
+        return stage(reduce(DataFrame.union, found).where(F.col(key).isNotNull()).distinct(), f"touched-{name}-{table}")
+
+    def dates(change: Change | None) -> DataFrame | None:
+        """Days whose key came, went or changed; the calendar is rebuilt whole and has no merge times."""
+        if change is None:
+            return None
+        sides = [None if df is None else df.select("date", "date_key") for df in (change.added, change.removed)]
+        pairs = [a if b is None else a.exceptAll(b) for a, b in (sides, sides[::-1]) if a is not None]
+        if not pairs:
+            return t[CALENDAR].limit(0).select("date")
+        return stage(reduce(DataFrame.union, pairs).select("date").distinct(), f"touched-{name}-{CALENDAR}")
+
+    return values(*BASES[name])
+
+
+def cut(name: str, t: Tables, ids: DataFrame) -> dict[str, DataFrame]:
+    """The tables of a dimension's staging, each cut to the rows that belong to the given entities."""
+    base, key = BASES[name]
+    out = dict(t) | {base: stage(t[base].join(ids, key, "left_semi").select(t[base].columns), f"cut-{base}")}
+    for link in LINKS[name]:
+        asked = out[link.child].select(F.col(link.column).alias(link.key))
+        rows = t[link.parent].join(asked, link.key, "left_semi").select(t[link.parent].columns)
+        out[link.parent] = stage(rows, f"cut-{link.parent}")
+    return out
 
 
 def stage_payment_type(t: Tables) -> DataFrame:

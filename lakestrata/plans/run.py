@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..operators import quality as dq
 from ..operators.calendar import dim_date, role_view
 from ..operators.changelog import before_image, change_log, change_reasons
+from ..operators.incremental import Change
 from ..operators.merge import upsert, without
 from ..operators.scd import DimensionSpec, close_superseded, new_versions, scd2_apply
 from ..session import in_scope, scratch_scope, stage
@@ -22,8 +23,8 @@ from ..sources.ledger import Ledger, gold_watermark, latest_watermarks
 from ..sources.series import ingest_series
 from ..sources.store import TableStore
 from . import facts, serving
-from .dimensions import SCD2_DIMENSIONS, STAGES, payment_type_rows, stage_payment_type, touched_since
-from .gate import Gate
+from .dimensions import SCD2_DIMENSIONS, STAGES, cut, payment_type_rows, source_tables, stage_payment_type, touched
+from .gate import Gate, table_change
 from .silver import SPECS, merge_silver
 from .suite import GOLD_KEYS, suite_rules
 
@@ -120,17 +121,35 @@ class Run:
         out |= {n: self.store.read("gold", n) for n in GOLD_KEYS if self.store.exists("gold", n)}
         return out
 
-    def dimension(self, spec: DimensionSpec, t: Mapping[str, DataFrame], batch_id: str, mark: str | None) -> int:
-        staged = STAGES[spec.name](t)
+    def dimension(self, spec: DimensionSpec, t: Mapping[str, DataFrame], batch_id: str, mark: str) -> int:
+        """Versions of the entities touched since the last load; which source versions were read is committed with them."""
+        layers = {n: "silver" if n in SPECS else "gold" for n in source_tables(spec.name)}
+        now = {n: self.store.manifest(layer, n) for n, layer in layers.items()}
+        note = {"sources": {n: m.version for n, m in now.items()}}
         if not self.store.exists("gold", spec.name):
-            rows = scd2_apply(spec, staged, None, batch_id, self.run_ts)
-            return self.store.overwrite("gold", spec.name, rows, ["source_record_id"])
-        staged = touched_since(spec.name, staged, mark)
-        added = new_versions(spec, staged, t[spec.name], batch_id, self.run_ts, self.store.top("gold", spec.name))
+            rows = scd2_apply(spec, STAGES[spec.name](t), None, batch_id, self.run_ts)
+            return self.store.overwrite("gold", spec.name, rows, ["source_record_id"], note)
+        last = self.store.manifest("gold", spec.name).meta.get("sources", {})
+
+        def before(table: str) -> Change | None:
+            if last.get(table) not in self.store.versions(layers[table], table):
+                return None
+            then = self.store.manifest(layers[table], table, last[table])
+            return table_change(self.store, layers[table], table, then, now[table])
+
+        ids, target = touched(spec.name, t, mark, before), t[spec.name]
+        if ids is None:
+            staged = STAGES[spec.name](t)
+        elif ids.isEmpty():
+            return 0
+        else:
+            staged = stage(STAGES[spec.name](cut(spec.name, t, ids)), f"staged-{spec.name}")
+            target = target.join(staged.select("source_record_id"), "source_record_id", "left_semi").select(target.columns)
+        added = new_versions(spec, staged, target, batch_id, self.run_ts, self.store.top("gold", spec.name))
         if added.isEmpty():
             return 0
         return self.store.rewrite(
-            "gold", spec.name, added, lambda old: close_superseded(old, added, spec.key, self.run_ts), added
+            "gold", spec.name, added, lambda old: close_superseded(old, added, spec.key, self.run_ts), added, note
         )
 
     def payment_types(self, t: Mapping[str, DataFrame]) -> int:
