@@ -6,13 +6,21 @@ models with absolute discounting that back off to smoothed word frequencies, ove
 that stands at least ``least`` times. The background is every document, the target all labelled
 documents of good quality outside the held-out fifth. Neither grows to a limit.
 
-Counts are tables by hash range: tasks count what they read, send sorted runs of counts, and
-tasks per range add them up; a second pass adds what each word's bigrams take from its back-off.
-Scoring settles the tokens whose words and bigram are in the broadcast tables of frequent
-ones, which only spare work. The other tokens of a run of texts form a parcel: its distinct
-words and bigrams are looked up in the tables by hash range, and the answers meet the parcel
-again. A document's score is the mean over its tokens of the target model's loss minus the
-background model's, in nats: lower is closer to the target.
+No table of bigrams is written. The tokens of a run of texts, a parcel, travel once, as numbers
+in a list of their words, to the hash range of the word before them. There all bigrams that
+begin with a word meet, so their counts, the word's sums and the losses follow on the spot, and
+what goes back to the parcel is a sum for each of its texts.
+
+1. Words are counted by hash range; the frequent ones are broadcast.
+2. Of words so frequent that they would fill a range, the bigrams are counted by their own hash,
+   which gives these words' sums; their tokens are then dealt by bigram. The most frequent of
+   these bigrams are broadcast as well and settled where they stand.
+3. Tokens whose word isn't broadcast go on, with what their bigram gives, to the word's range.
+4. The sums of a parcel's texts meet in one task.
+
+The number of ranges follows from the bytes of the texts. A document's score is the mean over
+its tokens of the target model's loss minus the background model's, in nats: lower is closer to
+the target.
 
 Words and bigrams are compared by 64-bit hashes. Defined cases: null and empty texts have no
 tokens and losses and score 0; null ids are kept; repeated rows are counted and scored each;
@@ -22,7 +30,8 @@ model is the uniform one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,32 +40,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel
-from .common import held_out, partitions, ship, stage
+from .common import held_out, partitions, settled, ship, stage
+from .terms import find
 
-#: Entries of the broadcast tables of frequent words and bigrams; others are looked up.
+#: Entries of the broadcast tables of frequent words and bigrams.
 VOCABULARY = 1 << 16
-BIGRAMS = 1 << 20
+BIGRAMS = 1 << 18
 LEAST = 2
 DISCOUNT = 0.75
 SMOOTHING = 0.5
 FLUSH = 1 << 20
-#: Tokens and texts of a parcel, about.
-PARCEL = 1 << 18
-PARCEL_TEXTS = 1 << 16
+#: Bytes of text and tokens of a hash range, about.
+RANGE_BYTES = 6 << 20
+RANGE_TOKENS = 1 << 20
+#: A word of more than a 2^18th of all tokens, and of half a range, is dealt by bigram.
+HOT_SHARE = 18
+#: Tokens and texts of a parcel, at most but for a last run of texts.
+PARCEL = 1 << 20
+PARCEL_TEXTS = 60_000
 STRIP = 3
-#: Stands before a text's first word.
-START = np.uint64(0x5354415254A5A5A5)
-#: Kinds of rows: tables of words and of bigrams, requests to them, parcels.
-WORDS, PAIRS, ASK_WORDS, ASK_PAIRS, TEXTS = range(5)
-#: Values of a word: tokens in target and background, tokens and number of the bigrams it begins in each.
-WIDTH = {WORDS: 6, PAIRS: 2}
+#: Stands before a text's first word and after its last.
+START, END = np.uint64(0x5354415254A5A5A5), np.uint64(0x454E4421A5A5A5A5)
+#: Kinds of rows.
+DOCS, PART, SUMS, COLD, TABLE = range(5)
 
 
 def edges_of(buckets: int) -> np.ndarray:
     return np.array([(k + 1) * (1 << 64) // buckets - 1 for k in range(buckets)], np.uint64)
 
 
-def places(keys: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+def slices(keys: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """An order of the keys by hash range, and range, first and end of each that has keys."""
     place = np.searchsorted(edges, kernel.mix(keys))
     order = np.argsort(place, kind="stable")
@@ -65,7 +78,7 @@ def places(keys: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, list[tuple[
 
 
 class Tally:
-    """Sums of integer values of 64-bit keys; ``before`` is a bigram's first word, 0 for words."""
+    """Sums of two integer values of 64-bit keys; ``before`` is a bigram's first word, 0 for words."""
 
     def __init__(self):
         self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -78,41 +91,50 @@ class Tally:
             at = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
             self.held.append((k[at], before[order[at]], np.add.reduceat(values[:, order], at, axis=1)))
             self.size += len(at)
+            if len(self.held) > 32:
+                self.merged()
 
     def merged(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         held, self.held, self.size = self.held, [], 0
+        if not held:
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros((2, 0), np.int64)
         if len(held) > 1:
             self.push(*(np.concatenate([h[i] for h in held], axis=-1) for i in range(3)))
-            held, self.held, self.size = self.held, [], 0
-        return held[0]
+        else:
+            self.held, self.size = held, len(held[0][0])
+        return self.held[0]
 
-    def compact(self) -> None:
-        if len(self.held) > 32:
-            self.push(*self.merged())
 
+COUNTS = "bucket int, keys binary, before binary, vals binary"
 
-SENT = "bucket int, kind int, keys binary, before binary, vals binary"
 
+def batch_of(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+    fields = [x.split() for x in schema.split(", ")]
+    columns = zip(*rows, strict=True) if rows else [[] for _ in fields]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, (_, t) in zip(columns, fields, strict=True)],
+                                      names=[n for n, _ in fields])
 
-def sent(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
-                                      names=["bucket", "kind", "keys", "before", "vals"])
 
-
-def runs(tally: Tally, edges: np.ndarray, kind: int) -> pa.RecordBatch:
-    """What a tally holds as a row for each hash range."""
+def sent(tally: Tally, edges: np.ndarray, pairs: bool) -> pa.RecordBatch:
+    """What a tally holds as a row for each hash range; the tally is empty afterwards."""
     keys, before, values = tally.merged()
-    order, own = places(keys, edges)
-    keys, before, values = keys[order], before[order], values[:, order]
-    return sent([(k, kind, np.diff(keys[a:b], prepend=np.uint64(0)).tobytes(),
-                  before[a:b].tobytes() if kind == PAIRS else b"", values[:, a:b].astype("<i8").tobytes()) for k, a, b in own])
+    tally.held, tally.size = [], 0
+    order, own = slices(keys, edges)
+    keys, before, values = keys[order], before[order], values[:, order].astype("<u4")
+    return batch_of(COUNTS, [(k, np.diff(keys[a:b], prepend=np.uint64(0)).tobytes(), before[a:b].tobytes() if pairs else b"",
+                              values[:, a:b].tobytes()) for k, a, b in own])
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield {n: batch.column(i)[k].as_py() for i, n in enumerate(batch.schema.names)}
 
 
-def read(row: dict, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    keys = np.cumsum(np.frombuffer(row["keys"], np.uint64), dtype=np.uint64)
-    before = np.frombuffer(row["before"], np.uint64) if row["before"] else np.zeros(len(keys), np.uint64)
-    return keys, before, np.frombuffer(row["vals"], "<i8").reshape(width, -1)
+def by_bucket(rows: DataFrame, buckets: int, column: str = "bucket") -> DataFrame:
+    n = max(partitions(rows.sparkSession), -(-buckets // 4))
+    return rows.repartition(n, F.xxhash64(column)).sortWithinPartitions(column, *(["kind"] if "kind" in rows.columns else []))
 
 
 def tokens_of(w: kernel.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -120,301 +142,398 @@ def tokens_of(w: kernel.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     before = np.empty_like(w.hashes)
     before[1:] = w.hashes[:-1]
     before[w.at[:-1][np.diff(w.at) > 0]] = START
-    key = kernel.mix((before ^ (before >> np.uint64(29))) * kernel.STEP[1] + w.hashes)
-    return before, key, np.repeat(np.arange(len(w.at) - 1), np.diff(w.at))
-
+    return before, pair_key(before, w.hashes), np.repeat(np.arange(len(w.at) - 1), np.diff(w.at))
 
-def by_range(rows: DataFrame, *more: str) -> DataFrame:
-    return rows.repartition(partitions(rows.sparkSession), F.xxhash64("bucket")).sortWithinPartitions("bucket", *more)
 
+def pair_key(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return kernel.mix((before ^ (before >> np.uint64(29))) * kernel.STEP[1] + word)
 
-def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    for batch in batches:
-        for k in range(batch.num_rows):
-            yield {n: batch.column(i)[k].as_py() for i, n in enumerate(batch.schema.names)}
 
+Chosen = Callable[[kernel.Words], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
-TABLE = "bucket int, kind int, keys binary, vals binary, hot_keys binary, hot_vals binary, target long, background long, known long"
 
+def counted(rows: DataFrame, buckets: int, chosen: Chosen, pairs: bool) -> DataFrame:
+    """Counts by hash range: a row each of keys, first words and counts in target and background.
 
-def table_row(bucket: int, kind: int, keys: np.ndarray, values: np.ndarray, most: int, sums: tuple = (0, 0, 0)) -> pa.RecordBatch:
-    """A hash range of a table, with its ``most`` most frequent entries apart."""
-    top = np.sort(np.argsort(-np.maximum(values[1], values[3] if len(values) > 2 else 0), kind="stable")[:most])
-    cols = [bucket, kind, np.diff(keys, prepend=np.uint64(0)).tobytes(), values.astype("<i8").tobytes(),
-            keys[top].tobytes(), values[:, top].astype("<i8").tobytes(), *map(int, sums)]
-    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4, *[pa.int64()] * 3]
-    return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cols, kinds, strict=True)],
-                                      names=[x.split()[0] for x in TABLE.split(", ")])
-
-
-def counted(rows: DataFrame, buckets: int, least: int) -> DataFrame:
-    """Counts of the words and bigrams of each hash range, those seen ``least`` times and more; all tokens in the sums."""
+    ``chosen`` gives of a run of texts the keys to count, their first words and their texts.
+    """
     edges = edges_of(buckets)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tallies = {WORDS: Tally(), PAIRS: Tally()}
+        tally = Tally()
         for batch in batches:
             flag = batch.column(1).to_numpy(zero_copy_only=False)
             for lo, hi, raw, offs in kernel.chunks(batch.column(0)):
-                w = kernel.words(raw, offs, STRIP)
-                before, key, docs = tokens_of(w)
-                values = np.stack([flag[lo:hi][docs].astype(np.int64), np.ones(len(docs), np.int64)])
-                tallies[WORDS].push(w.hashes, np.zeros_like(before), values)
-                tallies[PAIRS].push(key, before, values)
-                for kind, tally in tallies.items():
-                    if tally.size >= FLUSH:
-                        yield runs(tally, edges, kind)
-        for kind, tally in tallies.items():
-            if tally.size:
-                yield runs(tally, edges, kind)
+                keys, before, docs = chosen(kernel.words(raw, offs, STRIP))
+                tally.push(keys, before, np.stack([flag[lo:hi][docs].astype(np.int64), np.ones(len(docs), np.int64)]))
+                if tally.size >= FLUSH:
+                    yield sent(tally, edges, pairs)
+        if tally.size:
+            yield sent(tally, edges, pairs)
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally, at = Tally(), None
-
-        def out() -> pa.RecordBatch:
-            keys, before, values = tally.merged()
-            keep = values[1] >= least
-            return sent_table(*at, keys[keep], before[keep], values[:, keep], values)
-
-        for row in grouped(batches):
-            if at != (row["bucket"], row["kind"]):
-                if tally.size:
-                    yield out()
-                at = row["bucket"], row["kind"]
-            tally.push(*read(row, 2))
-            tally.compact()
+        for row in rows_of(batches):
+            if at != row["bucket"] and tally.size:
+                yield whole(at, tally)
+            at = row["bucket"]
+            keys = np.cumsum(np.frombuffer(row["keys"], np.uint64), dtype=np.uint64)
+            before = np.frombuffer(row["before"], np.uint64) if pairs else np.zeros(len(keys), np.uint64)
+            tally.push(keys, before, np.frombuffer(row["vals"], "<u4").reshape(2, -1).astype(np.int64))
         if tally.size:
-            yield out()
+            yield whole(at, tally)
 
-    def sent_table(bucket, kind, keys, before, values, every) -> pa.RecordBatch:
-        sums = (int(every[0].sum()), int(every[1].sum()), len(keys)) if kind == WORDS else (0, 0, 0)
-        cols = [bucket, kind, np.diff(keys, prepend=np.uint64(0)).tobytes(), before.tobytes() if kind == PAIRS else b"",
-                values.astype("<i8").tobytes(), *sums]
-        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 3, *[pa.int64()] * 3]
-        return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cols, kinds, strict=True)],
-                                          names=["bucket", "kind", "keys", "before", "vals", "target", "background", "known"])
+    def whole(bucket: int, tally: Tally) -> pa.RecordBatch:
+        keys, before, values = tally.merged()
+        tally.held, tally.size = [], 0
+        return batch_of(COUNTS, [(bucket, keys.tobytes(), before.tobytes() if pairs else b"", values.astype("<i8").tobytes())])
 
-    return stage(by_range(rows.mapInArrow(count, SENT), "kind")
-                 .mapInArrow(total, SENT + ", target long, background long, known long"), "ngrams")
+    sent_rows = rows.select("text", "flag").mapInArrow(count, COUNTS)
+    return stage(by_bucket(sent_rows, buckets).mapInArrow(total, COUNTS), "counts")
 
 
-def tables(counts: DataFrame, buckets: int, words: int, pairs: int) -> DataFrame:
-    """The tables of words (with the sums of the bigrams that each begins) and of bigrams, a row for each hash range."""
-    edges = edges_of(buckets)
+def read(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(row["keys"], np.uint64), np.frombuffer(row["vals"], "<i8").reshape(2, -1)
 
-    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = Tally()
-        for row in grouped(batches):
-            keys, before, v = read(row, 2)
-            none = np.zeros((2, len(keys)), np.int64)
-            if row["kind"] == WORDS:
-                tally.push(keys, before, np.concatenate([v, none, none]))
-            else:
-                tally.push(before, np.zeros_like(before), np.concatenate([none, v, v > 0]))
-            tally.compact()
-            if tally.size >= FLUSH:
-                yield runs(tally, edges, WORDS)
-        if tally.size:
-            yield runs(tally, edges, WORDS)
 
-    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally, at = Tally(), None
-        for row in grouped(batches):
-            if at != row["bucket"] and tally.size:
-                keys, _, v = tally.merged()
-                yield table_row(at, WORDS, keys, v, -(-words // buckets))
-            at = row["bucket"]
-            tally.push(*read(row, WIDTH[WORDS]))
-            tally.compact()
-        if tally.size:
-            keys, _, v = tally.merged()
-            yield table_row(at, WORDS, keys, v, -(-words // buckets))
+@dataclass
+class Frequent:
+    """Broadcast entries. Words: counts in target and background. Hot words: counts, tokens and number of the
+    bigrams they begin, in each. Pairs: counts."""
 
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in grouped(batches):
-            keys, _, v = read(row, WIDTH[PAIRS])
-            yield table_row(row["bucket"], PAIRS, keys, v, -(-pairs // buckets))
+    words: np.ndarray
+    word_values: np.ndarray
+    hot: np.ndarray
+    hot_values: np.ndarray
+    pairs: np.ndarray
+    pair_values: np.ndarray
+    tokens: tuple[int, int]
+    known: int
+    unknown: np.ndarray
 
-    rows = counts.select(*(x.split()[0] for x in SENT.split(", ")))
-    first = by_range(rows.mapInArrow(contexts, SENT)).mapInArrow(total, TABLE)
-    return stage(first.union(rows.where(F.col("kind") == PAIRS).mapInArrow(kept, TABLE)), "tables")
+    def backed(self, values: np.ndarray) -> np.ndarray:
+        """The smoothed frequency of words in both models."""
+        return np.stack([(values[m] + SMOOTHING) / (self.tokens[m] + SMOOTHING * (self.known + 1)) for m in range(2)])
 
 
-def frequent(rows: DataFrame, kind: int) -> tuple[np.ndarray, np.ndarray]:
-    """The frequent entries of all hash ranges, sorted by key: at most one more a range than the table's limit."""
-    own = rows.where(F.col("kind") == kind).select("hot_keys", "hot_vals").toArrow()
+def entries(rows: DataFrame, wanted: Callable[[dict], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Some entries of all ranges, sorted by key; ``wanted`` bounds how many of a range."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows_of(batches):
+            keys, values = read(row)
+            at = wanted(row)
+            yield batch_of("keys binary, vals binary", [(keys[at].tobytes(), values[:, at].tobytes())])
+
+    own = rows.mapInArrow(run, "keys binary, vals binary").toArrow()
     keys = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x.as_py(), np.uint64) for x in own.column(0))])
-    vals = np.concatenate([np.zeros((WIDTH[kind], 0), np.int64),
-                           *(np.frombuffer(x.as_py(), "<i8").reshape(WIDTH[kind], -1) for x in own.column(1))], axis=1)
+    vals = np.concatenate([np.zeros((2, 0), np.int64), *(np.frombuffer(x.as_py(), "<i8").reshape(2, -1) for x in own.column(1))], axis=1)
     order = np.argsort(keys)
     return keys[order], vals[:, order]
 
 
-def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """The place of each wanted key among sorted keys, -1 if it isn't there."""
-    if not len(keys):
-        return np.full(len(wanted), -1)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, at, -1)
+def most(values: np.ndarray, n: int, above: int) -> np.ndarray:
+    """The n largest entries, and all above a count."""
+    order = np.argsort(-values, kind="stable")
+    return order[:max(n, int((values > above).sum()))]
+
+
+def totals(words: DataFrame, least: int) -> tuple[tuple[int, int], int, np.ndarray]:
+    """Tokens in target and background, known words, tokens of the unknown word in each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows_of(batches):
+            values = read(row)[1]
+            rare = values[1] < least
+            yield batch_of("t long, b long, known long, ut long, ub long",
+                           [(*map(int, values.sum(axis=1)), int((~rare).sum()), *map(int, values[:, rare].sum(axis=1)))])
 
+    names = ["t", "b", "known", "ut", "ub"]
+    r = words.mapInArrow(run, ", ".join(f"{n} long" for n in names)).agg(*(F.coalesce(F.sum(n), F.lit(0)) for n in names)).first()
+    return (int(r[0]), int(r[1])), int(r[2]), np.array([int(r[3]), int(r[4])], np.int64)
 
-def losses(context: np.ndarray, word: np.ndarray, pair: np.ndarray, tokens: tuple[int, int], known: int) -> np.ndarray:
-    """The losses of tokens under both models from the values of the word before, the word and the bigram."""
-    out = np.empty((2, word.shape[1]))
-    for m in range(2):
-        size = np.maximum(np.maximum(context[m], context[m + 2]), 1)
-        left = np.maximum(1 - (context[m + 2] - DISCOUNT * context[m + 4]) / size, 1e-6)
-        p = left * ((word[m] + SMOOTHING) / (tokens[m] + SMOOTHING * (known + 1)))
-        out[m] = -np.log(p + np.maximum(pair[m] - DISCOUNT, 0) / size)
+
+def hot_sums(pairs: DataFrame, hot: np.ndarray, least: int) -> np.ndarray:
+    """Tokens and number of the bigrams that each hot word begins, in target and background."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((4, len(hot)), np.int64)
+        for row in rows_of(batches):
+            values = read(row)[1]
+            keep = values[1] >= least
+            at = find(hot, np.frombuffer(row["before"], np.uint64)[keep])
+            for m in range(2):
+                np.add.at(sums[m], at, values[m][keep])
+                np.add.at(sums[m + 2], at, values[m][keep] > 0)
+        yield batch_of("at long, a long, b long, c long, d long", [(int(k), *map(int, sums[:, k])) for k in np.flatnonzero(sums[1])])
+
+    own = pairs.mapInArrow(run, "at long, a long, b long, c long, d long").groupBy("at").agg(
+        *(F.sum(c).alias(c) for c in "abcd")).toArrow()  # a row a hot word
+    out = np.zeros((4, len(hot)), np.int64)
+    at, *cols = (c.to_numpy() for c in own.columns)
+    out[:, at.astype(np.int64)] = np.array(cols, np.int64).reshape(4, -1)
     return out
 
 
-ASKED = ("kind int, parcel long, bucket int, keys binary, ids array<long>, tokens binary, losses binary, docs binary, "
-         "before binary, word binary, pair binary")
+def context(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What first words leave to the back-off and the size their bigrams are divided by: counts, tokens, kinds in both models."""
+    size = np.maximum(np.maximum(values[:2], values[2:4]), 1)
+    return np.maximum(1 - (values[2:4] - DISCOUNT * values[4:]) / size, 1e-6), size
+
+
+def losses(left: np.ndarray, backed: np.ndarray, share: np.ndarray) -> np.ndarray:
+    return -np.log(left * backed + share)
+
+
+FLOW = ("kind int, bucket int, parcel long, words binary, before binary, word binary, docs binary, flags binary, "
+        "ids array<long>, tokens binary, vals binary")
+NAMES = [x.split()[0] for x in FLOW.split(", ")]
+
+
+def flow(**cells) -> tuple:
+    return tuple(cells.get(n) for n in NAMES)
 
 
-def parcels(docs: DataFrame, hot, buckets: int, tokens: tuple[int, int], known: int) -> DataFrame:
-    """Texts with the losses settled from the frequent entries, and requests for the rest."""
+def numbered(words: np.ndarray, *columns: np.ndarray) -> tuple[bytes, ...]:
+    """The list of distinct words and each column as numbers in it."""
+    own = np.unique(words)
+    kind = "<u2" if len(own) <= 1 << 16 else "<u4"
+    return own.tobytes(), *(np.searchsorted(own, c).astype(kind).tobytes() for c in columns)
+
+
+def parcels(rows: DataFrame, held, buckets: int) -> DataFrame:
+    """Parcels of texts with the losses of broadcast bigrams, and their other tokens by range."""
     edges = edges_of(buckets)
-    names = [x.split()[0] for x in ASKED.split(", ")]
-    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), *[pa.binary()] * 6]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (words, word_values), (pairs, pair_values) = hot.value
+        f: Frequent = held.value
+        left, size = context(f.hot_values)
         number = TaskContext.get().partitionId() << 32
         ids: list = []
-        held: list[tuple] = []
-        rest = 0
-
-        def asked(found: np.ndarray, keys: np.ndarray, base: int, kind: int) -> tuple[np.ndarray, list[tuple]]:
-            """Places in the frequent entries followed by the answers, and the requests."""
-            cold = found < 0
-            own, back = np.unique(keys[cold], return_inverse=True)
-            order, cut = places(own, edges)
-            at = np.empty(len(own), np.int64)
-            at[order] = np.arange(len(own))
-            found = found.copy()
-            found[cold] = base + at[back]
-            own = own[order]
-            return found, [(kind, number, k, own[a:b].tobytes(), *[None] * 7) for k, a, b in cut]
+        flags: list[np.ndarray] = []
+        runs: list[tuple] = []
+        many = 0
 
         def out() -> pa.RecordBatch:
-            count, loss, doc, before, word, key, ib, iw, ip = (np.concatenate(c, axis=-1) for c in zip(*held, strict=True))
-            both, rows = asked(np.concatenate([ib, iw]), np.concatenate([before, word]), len(words), ASK_WORDS)
-            pair, more = asked(ip, key, len(pairs), ASK_PAIRS)
-            one = (TEXTS, number, 0, None, ids, count.astype("<i8").tobytes(), loss.tobytes(),
-                   *(x.astype("<i4").tobytes() for x in (doc, both[:len(ib)], both[len(ib):], pair)))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows, *more, one, strict=True), kinds, strict=True)], names=names)
+            count, loss, before, word, key, doc = (np.concatenate(c, axis=-1) for c in zip(*runs, strict=True))
+            flag = np.concatenate(flags)
+            rows = [flow(kind=DOCS, bucket=number % buckets, parcel=number, ids=ids, tokens=count.astype("<i8").tobytes(),
+                         vals=loss.tobytes())]
+            order, cut = slices(np.where(find(f.hot, before) >= 0, key, before), edges)
+            before, word, doc = before[order], word[order], doc[order]
+            for k, a, b in cut:
+                own, u, v = numbered(np.concatenate([before[a:b], word[a:b]]), before[a:b], word[a:b])
+                rows.append(flow(kind=PART, bucket=k, parcel=number, words=own, before=u, word=v, docs=doc[a:b].astype("<u2").tobytes(),
+                                 flags=np.packbits(flag).tobytes()))
+            return batch_of(FLOW, rows)
 
         for batch in batches:
+            flag = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             for lo, hi, raw, offs in kernel.chunks(batch.column(1)):
                 w = kernel.words(raw, offs, STRIP)
+                count = np.diff(w.at)
+                if ids and (many + len(w.hashes) > PARCEL or len(ids) + hi - lo > PARCEL_TEXTS):
+                    yield out()
+                    ids, flags, runs, many, number = [], [], [], 0, number + 1
                 before, key, doc = tokens_of(w)
-                ib, iw, ip = find(words, before), find(words, w.hashes), find(pairs, key)
-                easy = (ib >= 0) & (iw >= 0) & (ip >= 0)
-                x = losses(word_values[:, ib[easy]], word_values[:, iw[easy]], pair_values[:, ip[easy]], tokens, known)
+                pair, iv, iu = find(f.pairs, key), find(f.words, w.hashes), find(f.hot, before)
+                easy = (pair >= 0) & (iv >= 0) & (iu >= 0)
+                share = np.maximum(f.pair_values[:, pair[easy]] - DISCOUNT, 0) / size[:, iu[easy]]
+                x = losses(left[:, iu[easy]], f.backed(f.word_values[:, iv[easy]]), share)
                 loss = np.stack([np.bincount(doc[easy], y, minlength=hi - lo) for y in x])
+                last, ends = w.hashes[w.at[1:][count > 0] - 1], np.flatnonzero(count)
                 hard = ~easy
-                held.append((np.diff(w.at), loss, doc[hard] + len(ids), *(y[hard] for y in (before, w.hashes, key, ib, iw, ip))))
+                # a text's last word is followed by an end, so that a range sees every place of its words
+                runs.append((count, loss, np.append(before[hard], last), np.append(w.hashes[hard], np.full(len(last), END)),
+                             np.append(key[hard], pair_key(last, np.full(len(last), END))), np.append(doc[hard], ends) + len(ids)))
                 ids.extend(batch.column(0).slice(lo, hi - lo).to_pylist())
-                rest += int(hard.sum())
-                if rest >= PARCEL or len(ids) >= PARCEL_TEXTS:
-                    yield out()
-                    ids, held, rest, number = [], [], 0, number + 1
+                flags.append(flag[lo:hi])
+                many += len(w.hashes)
         if ids:
             yield out()
 
-    return stage(docs.select("doc_id", "text").mapInArrow(run, ASKED), "parcels")
+    return rows.select(F.col("doc_id").cast("long"), "text", "flag").mapInArrow(run, FLOW)
+
+
+def ranged(f: Frequent, parts: list[dict], least: int, edges: np.ndarray) -> list[tuple]:
+    """The sums of a range's tokens for each text, and the tokens of words that aren't broadcast."""
+    pieces = []
+    for k, row in enumerate(parts):
+        words = np.frombuffer(row["words"], np.uint64)
+        kind = "<u2" if len(words) <= 1 << 16 else "<u4"
+        docs = np.frombuffer(row["docs"], "<u2").astype(np.int64)
+        flag = np.unpackbits(np.frombuffer(row["flags"], np.uint8))[docs]
+        pieces.append((*(words[np.frombuffer(row[c], kind)] for c in ("before", "word")), np.full(len(docs), k), docs, flag))
+    u, v, part, doc, flag = (np.concatenate(c) for c in zip(*pieces, strict=True))
+    order = np.lexsort((v, u))
+    u, v = u[order], v[order]
+    new_u = np.append(True, u[1:] != u[:-1])
+    new = new_u | np.append(True, v[1:] != v[:-1])
+    at, pair = np.flatnonzero(new), np.cumsum(new) - 1
+    counts = np.stack([np.add.reduceat(flag[order].astype(np.int64), at), np.diff(np.append(at, len(u)))])
+    pu, pv = u[at], v[at]
+    first = np.flatnonzero(new_u[at])
+    owner = np.cumsum(new_u[at]) - 1
+    real = (pv != END) & (counts[1] >= least)
+    values = np.concatenate([np.add.reduceat(counts, first, axis=1), np.add.reduceat(counts * real, first, axis=1),
+                             np.add.reduceat((counts > 0) & real, first, axis=1, dtype=np.int64)])
+    hot = find(f.hot, pu[first])
+    values[:, hot >= 0] = f.hot_values[:, hot[hot >= 0]]
+    left, size = context(values)
+    left, share = left[:, owner], np.maximum(np.where(real, counts, 0) - DISCOUNT, 0) / size[:, owner]
+    iv = find(f.words, pv)
+    loss = losses(left, f.backed(f.word_values[:, iv]), share)  # of pairs whose word is broadcast
+    warm = (iv >= 0) & (pv != END)
+    cold = (iv < 0) & (pv != END)
+    part, doc = part[order], doc[order]
+    out = sums(parts, part[warm[pair]], doc[warm[pair]], loss[:, pair[warm[pair]]])
+    if cold.any():
+        own = np.flatnonzero(cold)
+        place = np.full(len(pv), -1)
+        tokens = np.flatnonzero(cold[pair])
+        cut, ends = slices(pv[own], edges)
+        for k, a, b in ends:
+            mine = own[cut[a:b]]
+            place[mine] = np.arange(len(mine))
+        bucket = np.searchsorted(edges, kernel.mix(pv[pair[tokens]]))
+        turn = np.argsort(bucket, kind="stable")
+        tokens, bucket = tokens[turn], bucket[turn]
+        number = np.array([r["parcel"] for r in parts], "<i8")
+        for k, a, b in ends:
+            mine = own[cut[a:b]]
+            lo, hi = np.searchsorted(bucket, [k, k + 1])
+            t = tokens[lo:hi]
+            out.append(flow(kind=COLD, bucket=k, words=pv[mine].tobytes(), vals=np.concatenate([left[:, mine], share[:, mine]]).tobytes(),
+                            word=place[pair[t]].astype("<i4").tobytes(), before=number[part[t]].tobytes(),
+                            docs=doc[t].astype("<u2").tobytes()))
+    return out
 
 
-def answered(asked: DataFrame, rows: DataFrame, unknown: np.ndarray) -> DataFrame:
-    """``kind, parcel, bucket, vals``: the values of the keys of each request in its order."""
+def sums(parts: list[dict], part: np.ndarray, doc: np.ndarray, loss: np.ndarray) -> list[tuple]:
+    """A row for each parcel: its texts met and their losses."""
+    if not len(part):
+        return []
+    key, back = np.unique(part << 16 | doc, return_inverse=True)
+    total = np.stack([np.bincount(back, x, len(key)) for x in loss])
+    out = []
+    cut = np.searchsorted(key >> 16, np.arange(len(parts) + 1))
+    for k in np.flatnonzero(np.diff(cut)).tolist():
+        a, b = int(cut[k]), int(cut[k + 1])
+        out.append(flow(kind=SUMS, bucket=0, parcel=parts[k]["parcel"], docs=(key[a:b] & 0xFFFF).astype("<u2").tobytes(),
+                        vals=total[:, a:b].tobytes()))
+    return out
+
+
+def scored_ranges(dealt: DataFrame, held, buckets: int, least: int) -> DataFrame:
+    edges = edges_of(buckets)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple] = {}
-        at = None
-        for row in grouped(batches):
-            if row["bucket"] != at:
-                held, at = {}, row["bucket"]
-            if row["kind"] in WIDTH:
-                held[row["kind"]] = (np.cumsum(np.frombuffer(row["keys"], np.uint64), dtype=np.uint64),
-                                     np.frombuffer(row["vals"], "<i8").reshape(WIDTH[row["kind"]], -1))
+        parts: list[dict] = []
+        for row in rows_of(batches):
+            if parts and parts[0]["bucket"] != row["bucket"]:
+                yield batch_of(FLOW, ranged(held.value, parts, least, edges))
+                parts = []
+            if row["kind"] == PART:
+                parts.append(row)
+            else:
+                yield batch_of(FLOW, [tuple(row[n] for n in NAMES)])
+        if parts:
+            yield batch_of(FLOW, ranged(held.value, parts, least, edges))
+
+    return stage(by_bucket(dealt, buckets).mapInArrow(run, FLOW), "ranges")
+
+
+def scored_cold(done: DataFrame, words: DataFrame, held, buckets: int, least: int) -> DataFrame:
+    """The sums of the tokens whose word isn't broadcast, from the table of words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        f: Frequent = held.value
+        at, table = None, (np.zeros(0, np.uint64), np.zeros((2, 0), np.int64))
+        for row in rows_of(batches):
+            if row["kind"] == TABLE:
+                at, table = row["bucket"], (np.frombuffer(row["words"], np.uint64), np.frombuffer(row["vals"], "<i8").reshape(2, -1))
+                continue
+            own = np.frombuffer(row["words"], np.uint64)
+            place = find(table[0], own)
+            if at != row["bucket"] or (place < 0).any():
+                raise RuntimeError("a word that stands in a text isn't among the counted ones")
+            values = table[1][:, place]
+            values = np.where(values[1] >= least, values, f.unknown[:, None])
+            given = np.frombuffer(row["vals"], float).reshape(4, -1)
+            loss = losses(given[:2], f.backed(values), given[2:])
+            number, back = np.unique(np.frombuffer(row["before"], "<i8"), return_inverse=True)
+            docs = np.frombuffer(row["docs"], "<u2").astype(np.int64)
+            found = sums([{"parcel": int(n)} for n in number], back, docs, loss[:, np.frombuffer(row["word"], "<i4")])
+            yield batch_of(FLOW, found)
+
+    table = words.select(F.lit(TABLE).alias("kind"), "bucket", F.col("keys").alias("words"), "vals")
+    both = done.where(F.col("kind") == COLD).unionByName(table, allowMissingColumns=True).withColumn("kind", -F.col("kind"))
+    return by_bucket(both, buckets).withColumn("kind", -F.col("kind")).mapInArrow(run, FLOW)
+
+
+def met(rows: DataFrame, buckets: int) -> DataFrame:
+    """The documents of each parcel with the sums of their losses."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs, loss = None, np.zeros((2, 0))
+        for row in rows_of(batches):
+            if row["kind"] == DOCS:
+                if docs:
+                    yield done(docs, loss)
+                docs, loss = row, np.frombuffer(row["vals"], float).reshape(2, -1).copy()
                 continue
-            kind = row["kind"] - ASK_WORDS
-            wanted = np.frombuffer(row["keys"], np.uint64)
-            values = np.zeros((WIDTH[kind], len(wanted)), "<i8")
-            if kind == WORDS:
-                values[:2] = unknown[:, None]
-            if kind in held:
-                place = find(held[kind][0], wanted)
-                values[:, place >= 0] = held[kind][1][:, place[place >= 0]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row["kind"]], pa.int32()), pa.array([row["parcel"]], pa.int64()), pa.array([at], pa.int32()),
-                 pa.array([values.tobytes()], pa.binary())], names=["kind", "parcel", "bucket", "vals"])
-
-    both = (rows.select("bucket", "kind", F.lit(None).cast("long").alias("parcel"), "keys", "vals")
-            .union(asked.where(F.col("kind") != TEXTS)
-                   .select("bucket", "kind", "parcel", "keys", F.lit(None).cast("binary").alias("vals"))))
-    return by_range(both, "kind").mapInArrow(run, "kind int, parcel long, bucket int, vals binary")
-
-
-def cross_entropy_difference(docs: DataFrame, target: DataFrame, vocabulary: int = VOCABULARY,
-                             bigram_entries: int = BIGRAMS, least: int = LEAST) -> DataFrame:
+            loss[:, np.frombuffer(row["docs"], "<u2")] += np.frombuffer(row["vals"], float).reshape(2, -1)
+        if docs:
+            yield done(docs, loss)
+
+    def done(row: dict, loss: np.ndarray) -> pa.RecordBatch:
+        count = np.frombuffer(row["tokens"], "<i8")
+        n = np.maximum(count, 1)
+        return pa.RecordBatch.from_arrays([pa.array(row["ids"], pa.int64()), pa.array(count), *(pa.array(x) for x in (
+            loss[0] / n, loss[1] / n, (loss[0] - loss[1]) / n))], names=["doc_id", "tokens", "target_loss", "background_loss", "score"])
+
+    return by_bucket(rows, buckets, "parcel").mapInArrow(
+        run, "doc_id long, tokens long, target_loss double, background_loss double, score double")
+
+
+def cross_entropy_difference(docs: DataFrame, target: DataFrame, vocabulary: int = VOCABULARY, bigram_entries: int = BIGRAMS,
+                             least: int = LEAST, range_tokens: int = RANGE_TOKENS) -> DataFrame:
     """``doc_id, tokens, target_loss, background_loss, score`` of each row; ``target`` holds ``doc_id``.
 
     ``vocabulary`` and ``bigram_entries`` bound what is broadcast, not the models.
     """
     spark = ship(docs.sparkSession)
-    buckets = 4 * partitions(spark)
-    own = target.select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.join(own, F.col("doc_id") == F.col("_id"), "left").select("text", F.col("_id").isNotNull().alias("flag"))
-    counts = counted(rows, buckets, least)
-    r = counts.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("target", "background", "known"))).first()
-    tokens, known = (int(r[0]), int(r[1])), int(r[2])
-    both = tables(counts, buckets, vocabulary, bigram_entries)
-    top = frequent(both, WORDS), frequent(both, PAIRS)
-    hot = spark.sparkContext.broadcast(top)
-    asked = parcels(docs, hot, buckets, tokens, known)
-    unknown = unknown_tokens(counts, tokens)
-    names = ["doc_id", "tokens", "target_loss", "background_loss", "score"]
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, list] = {WORDS: [], PAIRS: []}
-        for row in grouped(batches):
-            if row["kind"] != TEXTS:
-                kind = row["kind"] - ASK_WORDS
-                found[kind].append(np.frombuffer(row["vals"], "<i8").reshape(WIDTH[kind], -1))
-                continue
-            words, pairs = (np.concatenate([hot.value[k][1], *found[k]], axis=1) for k in (WORDS, PAIRS))
-            found = {WORDS: [], PAIRS: []}
-            count, doc, before, word, pair = (np.frombuffer(row[k], t) for k, t in (
-                ("tokens", "<i8"), ("docs", "<i4"), ("before", "<i4"), ("word", "<i4"), ("pair", "<i4")))
-            x = np.frombuffer(row["losses"], float).reshape(2, -1).copy()
-            more = losses(words[:, before], words[:, word], pairs[:, pair], tokens, known)
-            for m in range(2):
-                x[m] += np.bincount(doc, more[m], minlength=len(count))
-            n = np.maximum(count, 1)
-            yield pa.RecordBatch.from_arrays([pa.array(row["ids"], pa.int64()), pa.array(count), pa.array(x[0] / n),
-                                              pa.array(x[1] / n), pa.array((x[0] - x[1]) / n)], names=names)
-
-    texts = asked.where(F.col("kind") == TEXTS)
-    wide = [c for c in asked.columns if c not in ("kind", "parcel", "bucket", "keys")]
-    met = (texts.select("kind", "parcel", "bucket", F.lit(None).cast("binary").alias("vals"), *wide)
-           .unionByName(answered(asked, both, unknown), allowMissingColumns=True))
-    return (met.repartition(partitions(spark), F.xxhash64("parcel")).sortWithinPartitions("parcel", "kind", "bucket")
-            .mapInArrow(score, "doc_id long, tokens long, target_loss double, background_loss double, score double"))
-
-
-def unknown_tokens(counts: DataFrame, tokens: tuple[int, int]) -> np.ndarray:
-    """Tokens of the unknown word in target and background: those of words outside the tables."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in grouped(batches):
-            v = read(row, 2)[2].sum(axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array([int(x)], pa.int64()) for x in v], names=["target", "background"])
 
-    own = (counts.where(F.col("kind") == WORDS).select("keys", "before", "vals").mapInArrow(run, "target long, background long")
-           .agg(F.coalesce(F.sum("target"), F.lit(0)), F.coalesce(F.sum("background"), F.lit(0))).first())
-    return np.array([tokens[0] - int(own[0]), tokens[1] - int(own[1])], np.int64)
+    def work() -> DataFrame:
+        own = target.select(F.col("doc_id").alias("_id")).distinct()
+        rows = docs.select("doc_id", "text").join(own, F.col("doc_id") == F.col("_id"), "left").select(
+            "doc_id", "text", F.col("_id").isNotNull().alias("flag"))
+        size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+        buckets = max(partitions(spark), -(-size // RANGE_BYTES))
+
+        def every_word(w: kernel.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            return w.hashes, np.zeros_like(w.hashes), np.repeat(np.arange(len(w.at) - 1), np.diff(w.at))
+
+        words = counted(rows, buckets, every_word, False)
+        tokens, known, unknown = totals(words, least)
+        above = max(range_tokens // 2, tokens[1] >> HOT_SHARE)
+        frequent, values = entries(words, lambda r: (lambda c: most(c, -(-vocabulary // buckets), above))(read(r)[1][1]))
+        hot = np.sort(np.append(frequent[values[1] > above], START))  # every text begins after START
+        hot_words = np.zeros((2, len(hot)), np.int64)
+        hot_words[:, hot != START] = values[:, values[1] > above]
+        # a rare word that happens to be broadcast counts as the unknown one, too
+        word_values = np.where(values[1] >= least, values, unknown[:, None])
+
+        def hot_pairs(w: kernel.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            before, key, doc = tokens_of(w)
+            at = find(hot, before) >= 0
+            return key[at], before[at], doc[at]
+
+        table = counted(rows, buckets, hot_pairs, True)
+        pairs, pair_values = entries(table, lambda r: (lambda c: most(c, -(-bigram_entries // buckets), above))(read(r)[1][1]))
+        pair_values = np.where(pair_values[1] >= least, pair_values, 0)
+        hot_values = np.concatenate([hot_words, hot_sums(table, hot, least)])
+        held = spark.sparkContext.broadcast(Frequent(frequent, word_values, hot, hot_values, pairs, pair_values, tokens, known, unknown))
+        done = scored_ranges(parcels(rows, held, buckets), held, buckets, least)
+        cold = scored_cold(done, words, held, buckets, least)
+        return met(done.where(F.col("kind").isin(DOCS, SUMS)).union(cold), buckets)
+
+    return settled(spark, work, "cross-entropy")
 
 
 def good_documents(labels: DataFrame) -> DataFrame:

@@ -41,8 +41,9 @@ def test_every_word_and_bigram_counts(spark):
     docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
     target = spark.createDataFrame([(k,) for k in range(0, 60, 3)], "doc_id long")
     want = plain(texts, set(range(0, 60, 3)))
-    for words, pairs in ((8, 8), (1 << 16, 1 << 20)):  # what is broadcast changes nothing
-        got = cross_entropy_difference(docs, target, words, pairs, least=1).collect()
+    # what is broadcast and which words are dealt by bigram changes nothing
+    for words, pairs, tokens in ((8, 8, 1 << 20), (1 << 16, 1 << 20, 1 << 20), (8, 8, 40), (1 << 16, 1 << 20, 40), (1, 1, 4)):
+        got = cross_entropy_difference(docs, target, words, pairs, least=1, range_tokens=tokens).collect()
         assert len(got) == 60
         for r in got:
             assert np.allclose([r["target_loss"], r["background_loss"]], want[r["doc_id"]], atol=1e-9)
@@ -52,8 +53,9 @@ def test_rare_words_are_known_whatever_is_broadcast(spark):
     texts = [(k, f"often often rare{k % 3} word{k % 3} often") for k in range(9)]
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     target = spark.createDataFrame([(0,), (3,)], "doc_id long")
-    few, many = ({r["doc_id"]: r["score"] for r in cross_entropy_difference(docs, target, n, n).collect()} for n in (1, 1 << 16))
-    assert all(abs(few[k] - many[k]) < 1e-9 for k in few) and few[0] < few[1]
+    few, many, hot = ({r["doc_id"]: r["score"] for r in cross_entropy_difference(docs, target, n, n, range_tokens=r).collect()}
+                      for n, r in ((1, 1 << 20), (1 << 16, 1 << 20), (1, 6)))
+    assert all(abs(few[k] - many[k]) < 1e-9 and abs(few[k] - hot[k]) < 1e-9 for k in few) and few[0] < few[1]
 
 
 def test_all_good_labels_are_the_target(spark):
