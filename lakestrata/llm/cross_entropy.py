@@ -6,21 +6,23 @@ models with absolute discounting that back off to smoothed word frequencies, ove
 that stands at least ``least`` times. The background is every document, the target all labelled
 documents of good quality outside the held-out fifth. Neither grows to a limit.
 
-No table of bigrams is written. The tokens of a run of texts, a parcel, travel once, as numbers
-in a list of their words, to the hash range of the word before them. There all bigrams that
-begin with a word meet, so their counts, the word's sums and the losses follow on the spot, and
-what goes back to the parcel is a sum for each of its texts.
+No table of bigrams is written. The tokens of a run of texts are a parcel; it sends its distinct
+bigrams with their counts to the hash range of their first word. There all bigrams that begin
+with a word meet, so their counts and the word's sums follow on the spot and go back to the
+parcel, which scores its texts. Words travel as numbers in the list of frequent words.
 
 1. Words are counted by hash range; the frequent ones are broadcast.
-2. Of words so frequent that they would fill a range, the bigrams are counted by their own hash,
-   which gives these words' sums; their tokens are then dealt by bigram. The most frequent of
-   these bigrams are broadcast as well and settled where they stand.
-3. Tokens whose word isn't broadcast go on, with what their bigram gives, to the word's range.
-4. The sums of a parcel's texts meet in one task.
-
-The number of ranges follows from the bytes of the texts. A document's score is the mean over
-its tokens of the target model's loss minus the background model's, in nats: lower is closer to
-the target.
+2. Of words so frequent that they would fill a range, and of the start of a text, the bigrams are
+   counted by their own hash, which gives these words' sums; parcels ask for them by bigram. The
+   most frequent of these bigrams are broadcast as well and needn't be asked for.
+3. Parcels and what they ask for are dealt by range, where the table of words meets them: it
+   answers for the words that aren't broadcast.
+4. The answers and the tokens of a parcel meet in one task.
+
+The number of ranges follows from the bytes of the texts; what travels is in proportion to the
+tokens. Texts of the target are found by their ids; only texts whose id passes a filter are moved
+for that. A document's score is the mean over its tokens of the target model's loss minus the
+background model's, in nats: lower is closer to the target.
 
 Words and bigrams are compared by 64-bit hashes. Defined cases: null and empty texts have no
 tokens and losses and score 0; null ids are kept; repeated rows are counted and scored each;
@@ -34,13 +36,14 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel
-from .common import held_out, partitions, settled, ship, stage
+from .common import held_out, id_bitmap, in_bitmap, partitions, settled, ship, stage
 from .terms import find
 
 #: Entries of the broadcast tables of frequent words and bigrams.
@@ -59,10 +62,10 @@ HOT_SHARE = 18
 PARCEL = 1 << 20
 PARCEL_TEXTS = 60_000
 STRIP = 3
-#: Stands before a text's first word and after its last.
-START, END = np.uint64(0x5354415254A5A5A5), np.uint64(0x454E4421A5A5A5A5)
-#: Kinds of rows.
-DOCS, PART, SUMS, COLD, TABLE = range(5)
+#: Stands before a text's first word.
+START = np.uint64(0x5354415254A5A5A5)
+#: Kinds of rows: the table of words, tokens of a parcel, its bigrams and rare words of a range, and their answers.
+TABLE, TOKENS, PAIRS, RARE, PAIR_ANSWERS, RARE_ANSWERS = range(6)
 
 
 def edges_of(buckets: int) -> np.ndarray:
@@ -282,8 +285,8 @@ def losses(left: np.ndarray, backed: np.ndarray, share: np.ndarray) -> np.ndarra
     return -np.log(left * backed + share)
 
 
-FLOW = ("kind int, bucket int, parcel long, words binary, before binary, word binary, docs binary, flags binary, "
-        "ids array<long>, tokens binary, vals binary")
+FLOW = ("kind int, bucket int, parcel long, rare binary, before binary, word binary, vals binary, "
+        "ids array<long>, sizes binary")
 NAMES = [x.split()[0] for x in FLOW.split(", ")]
 
 
@@ -291,206 +294,251 @@ def flow(**cells) -> tuple:
     return tuple(cells.get(n) for n in NAMES)
 
 
-def numbered(words: np.ndarray, *columns: np.ndarray) -> tuple[bytes, ...]:
-    """The list of distinct words and each column as numbers in it."""
-    own = np.unique(words)
-    kind = "<u2" if len(own) <= 1 << 16 else "<u4"
-    return own.tobytes(), *(np.searchsorted(own, c).astype(kind).tobytes() for c in columns)
+def squeezed(values: np.ndarray) -> bytes:
+    """An array's byte planes, compressed: small numbers in wide types take little."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    return len(planes).to_bytes(8, "little") + (pa.compress(planes, codec="zstd", asbytes=True) if planes else b"")
+
+
+def opened(cell: bytes, kind: str) -> np.ndarray:
+    size = int.from_bytes(cell[:8], "little")
+    if not size:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(pa.decompress(cell[8:], size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def coded(frequent: np.ndarray, *columns: np.ndarray) -> tuple[bytes, ...]:
+    """The words that aren't frequent, and each column as numbers in the frequent words followed by them."""
+    at = [find(frequent, c) for c in columns]
+    rare = np.unique(np.concatenate([c[k < 0] for c, k in zip(columns, at, strict=True)]))
+    kind = "<u2" if len(frequent) + len(rare) <= 1 << 16 else "<u4"
+    out = []
+    for c, k in zip(columns, at, strict=True):
+        k[k < 0] = len(frequent) + np.searchsorted(rare, c[k < 0])
+        out.append(squeezed(k.astype(kind)))
+    return rare.tobytes(), *out
+
+
+def decoded(frequent: np.ndarray, rare: bytes, *columns: bytes) -> list[np.ndarray]:
+    own = np.frombuffer(rare, np.uint64)
+    kind = "<u2" if len(frequent) + len(own) <= 1 << 16 else "<u4"
+    out = []
+    for c in columns:
+        at = opened(c, kind).astype(np.int64)
+        words = np.empty(len(at), np.uint64)
+        known = at < len(frequent)
+        words[known], words[~known] = frequent[at[known]], own[at[~known] - len(frequent)]
+        out.append(words)
+    return out
+
+
+@dataclass
+class Parcel:
+    """A parcel's tokens: first word, word and text of each, and its distinct bigrams."""
+
+    before: np.ndarray   # of bigrams
+    word: np.ndarray
+    key: np.ndarray
+    of: np.ndarray       # token -> bigram
+    doc: np.ndarray
+
+    @staticmethod
+    def of_words(words: np.ndarray, sizes: np.ndarray) -> Parcel:
+        before = np.empty_like(words)
+        before[1:] = words[:-1]
+        before[(np.cumsum(sizes) - sizes)[sizes > 0]] = START
+        key, first, of = np.unique(pair_key(before, words), return_index=True, return_inverse=True)
+        return Parcel(before[first], words[first], key, of, np.repeat(np.arange(len(sizes)), sizes))
+
+    def asked(self, f: Frequent, edges: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """The bigrams to ask for in each range, by first word."""
+        own = np.flatnonzero(find(f.pairs, self.key) < 0)
+        hot = find(f.hot, self.before[own]) >= 0
+        order, cut = slices(np.where(hot, self.key[own], self.before[own]), edges)
+        for k, a, b in cut:
+            mine = own[order[a:b]]
+            yield k, mine[np.argsort(self.before[mine], kind="stable")]
+
+    def rare(self, f: Frequent, edges: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """The words to ask for in each range."""
+        own = np.unique(self.word[find(f.words, self.word) < 0])
+        order, cut = slices(own, edges)
+        for k, a, b in cut:
+            yield k, own[order[a:b]]
 
 
 def parcels(rows: DataFrame, held, buckets: int) -> DataFrame:
-    """Parcels of texts with the losses of broadcast bigrams, and their other tokens by range."""
+    """Parcels of texts, and what they ask for by range."""
     edges = edges_of(buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f: Frequent = held.value
-        left, size = context(f.hot_values)
         number = TaskContext.get().partitionId() << 32
         ids: list = []
-        flags: list[np.ndarray] = []
         runs: list[tuple] = []
         many = 0
 
-        def out() -> pa.RecordBatch:
-            count, loss, before, word, key, doc = (np.concatenate(c, axis=-1) for c in zip(*runs, strict=True))
-            flag = np.concatenate(flags)
-            rows = [flow(kind=DOCS, bucket=number % buckets, parcel=number, ids=ids, tokens=count.astype("<i8").tobytes(),
-                         vals=loss.tobytes())]
-            order, cut = slices(np.where(find(f.hot, before) >= 0, key, before), edges)
-            before, word, doc = before[order], word[order], doc[order]
-            for k, a, b in cut:
-                own, u, v = numbered(np.concatenate([before[a:b], word[a:b]]), before[a:b], word[a:b])
-                rows.append(flow(kind=PART, bucket=k, parcel=number, words=own, before=u, word=v, docs=doc[a:b].astype("<u2").tobytes(),
-                                 flags=np.packbits(flag).tobytes()))
-            return batch_of(FLOW, rows)
+        def out() -> Iterator[pa.RecordBatch]:
+            words, sizes, flag = (np.concatenate(c) for c in zip(*runs, strict=True))
+            p = Parcel.of_words(words, sizes)
+            counts = np.stack([np.bincount(p.of, flag[p.doc], len(p.key)), np.bincount(p.of, minlength=len(p.key))]).astype("<u4")
+            rare, code = coded(f.words, words)
+            rows = [flow(kind=TOKENS, bucket=number % buckets, parcel=number, ids=ids, rare=rare, word=code, sizes=squeezed(sizes.astype("<i8")))]
+            for k, mine in p.asked(f, edges):
+                rare, u, v = coded(f.words, p.before[mine], p.word[mine])
+                rows.append(flow(kind=PAIRS, bucket=k, parcel=number, rare=rare, before=u, word=v, vals=squeezed(counts[:, mine])))
+            rows += [flow(kind=RARE, bucket=k, parcel=number, rare=own.tobytes()) for k, own in p.rare(f, edges)]
+            yield batch_of(FLOW, rows)
 
         for batch in batches:
-            flag = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            flag = batch.column(2).to_numpy(zero_copy_only=False).astype(float)
             for lo, hi, raw, offs in kernel.chunks(batch.column(1)):
                 w = kernel.words(raw, offs, STRIP)
-                count = np.diff(w.at)
                 if ids and (many + len(w.hashes) > PARCEL or len(ids) + hi - lo > PARCEL_TEXTS):
-                    yield out()
-                    ids, flags, runs, many, number = [], [], [], 0, number + 1
-                before, key, doc = tokens_of(w)
-                pair, iv, iu = find(f.pairs, key), find(f.words, w.hashes), find(f.hot, before)
-                easy = (pair >= 0) & (iv >= 0) & (iu >= 0)
-                share = np.maximum(f.pair_values[:, pair[easy]] - DISCOUNT, 0) / size[:, iu[easy]]
-                x = losses(left[:, iu[easy]], f.backed(f.word_values[:, iv[easy]]), share)
-                loss = np.stack([np.bincount(doc[easy], y, minlength=hi - lo) for y in x])
-                last, ends = w.hashes[w.at[1:][count > 0] - 1], np.flatnonzero(count)
-                hard = ~easy
-                # a text's last word is followed by an end, so that a range sees every place of its words
-                runs.append((count, loss, np.append(before[hard], last), np.append(w.hashes[hard], np.full(len(last), END)),
-                             np.append(key[hard], pair_key(last, np.full(len(last), END))), np.append(doc[hard], ends) + len(ids)))
+                    yield from out()
+                    ids, runs, many, number = [], [], 0, number + 1
+                runs.append((w.hashes, np.diff(w.at), flag[lo:hi]))
                 ids.extend(batch.column(0).slice(lo, hi - lo).to_pylist())
-                flags.append(flag[lo:hi])
                 many += len(w.hashes)
         if ids:
-            yield out()
+            yield from out()
 
     return rows.select(F.col("doc_id").cast("long"), "text", "flag").mapInArrow(run, FLOW)
 
 
-def ranged(f: Frequent, parts: list[dict], least: int, edges: np.ndarray) -> list[tuple]:
-    """The sums of a range's tokens for each text, and the tokens of words that aren't broadcast."""
-    pieces = []
-    for k, row in enumerate(parts):
-        words = np.frombuffer(row["words"], np.uint64)
-        kind = "<u2" if len(words) <= 1 << 16 else "<u4"
-        docs = np.frombuffer(row["docs"], "<u2").astype(np.int64)
-        flag = np.unpackbits(np.frombuffer(row["flags"], np.uint8))[docs]
-        pieces.append((*(words[np.frombuffer(row[c], kind)] for c in ("before", "word")), np.full(len(docs), k), docs, flag))
-    u, v, part, doc, flag = (np.concatenate(c) for c in zip(*pieces, strict=True))
+def answers(f: Frequent, table: tuple[np.ndarray, np.ndarray], asked: list[dict], least: int) -> list[tuple]:
+    """To each parcel the counts of its bigrams in this range, and counts, tokens and kinds of their first words."""
+    if not asked:
+        return []
+    pieces = [decoded(f.words, r["rare"], r["before"], r["word"]) for r in asked]
+    counts = np.concatenate([opened(r["vals"], "<u4").reshape(2, -1) for r in asked], axis=1).astype(np.int64)
+    u, v = (np.concatenate(c) for c in zip(*pieces, strict=True))
     order = np.lexsort((v, u))
     u, v = u[order], v[order]
     new_u = np.append(True, u[1:] != u[:-1])
     new = new_u | np.append(True, v[1:] != v[:-1])
-    at, pair = np.flatnonzero(new), np.cumsum(new) - 1
-    counts = np.stack([np.add.reduceat(flag[order].astype(np.int64), at), np.diff(np.append(at, len(u)))])
-    pu, pv = u[at], v[at]
+    at = np.flatnonzero(new)
+    total = np.add.reduceat(counts[:, order], at, axis=1)
+    total[:, total[1] < least] = 0
+    place = np.empty(len(u), np.int64)
+    place[order] = np.cumsum(new) - 1
     first = np.flatnonzero(new_u[at])
-    owner = np.cumsum(new_u[at]) - 1
-    real = (pv != END) & (counts[1] >= least)
-    values = np.concatenate([np.add.reduceat(counts, first, axis=1), np.add.reduceat(counts * real, first, axis=1),
-                             np.add.reduceat((counts > 0) & real, first, axis=1, dtype=np.int64)])
-    hot = find(f.hot, pu[first])
-    values[:, hot >= 0] = f.hot_values[:, hot[hot >= 0]]
-    left, size = context(values)
-    left, share = left[:, owner], np.maximum(np.where(real, counts, 0) - DISCOUNT, 0) / size[:, owner]
-    iv = find(f.words, pv)
-    loss = losses(left, f.backed(f.word_values[:, iv]), share)  # of pairs whose word is broadcast
-    warm = (iv >= 0) & (pv != END)
-    cold = (iv < 0) & (pv != END)
-    part, doc = part[order], doc[order]
-    out = sums(parts, part[warm[pair]], doc[warm[pair]], loss[:, pair[warm[pair]]])
-    if cold.any():
-        own = np.flatnonzero(cold)
-        place = np.full(len(pv), -1)
-        tokens = np.flatnonzero(cold[pair])
-        cut, ends = slices(pv[own], edges)
-        for k, a, b in ends:
-            mine = own[cut[a:b]]
-            place[mine] = np.arange(len(mine))
-        bucket = np.searchsorted(edges, kernel.mix(pv[pair[tokens]]))
-        turn = np.argsort(bucket, kind="stable")
-        tokens, bucket = tokens[turn], bucket[turn]
-        number = np.array([r["parcel"] for r in parts], "<i8")
-        for k, a, b in ends:
-            mine = own[cut[a:b]]
-            lo, hi = np.searchsorted(bucket, [k, k + 1])
-            t = tokens[lo:hi]
-            out.append(flow(kind=COLD, bucket=k, words=pv[mine].tobytes(), vals=np.concatenate([left[:, mine], share[:, mine]]).tobytes(),
-                            word=place[pair[t]].astype("<i4").tobytes(), before=number[part[t]].tobytes(),
-                            docs=doc[t].astype("<u2").tobytes()))
+    known = find(table[0], u[at][first])
+    words = np.where(known >= 0, table[1][:, known], 0) if len(table[0]) else np.zeros((2, len(first)), np.int64)
+    stats = np.concatenate([words, np.add.reduceat(total, first, axis=1), np.add.reduceat(total > 0, first, axis=1, dtype=np.int64)])
+    owner = (np.cumsum(new_u[at]) - 1)[place]
+    out, a = [], 0
+    for r, (mine, _) in zip(asked, pieces, strict=True):
+        b = a + len(mine)
+        firsts = np.flatnonzero(np.append(True, mine[1:] != mine[:-1]))  # a part is sorted by first word
+        out.append(flow(kind=PAIR_ANSWERS, bucket=r["bucket"], parcel=r["parcel"], vals=squeezed(total[:, place[a:b]]),
+                        before=squeezed(stats[:, owner[a:b][firsts]])))
+        a = b
     return out
 
 
-def sums(parts: list[dict], part: np.ndarray, doc: np.ndarray, loss: np.ndarray) -> list[tuple]:
-    """A row for each parcel: its texts met and their losses."""
-    if not len(part):
-        return []
-    key, back = np.unique(part << 16 | doc, return_inverse=True)
-    total = np.stack([np.bincount(back, x, len(key)) for x in loss])
-    out = []
-    cut = np.searchsorted(key >> 16, np.arange(len(parts) + 1))
-    for k in np.flatnonzero(np.diff(cut)).tolist():
-        a, b = int(cut[k]), int(cut[k + 1])
-        out.append(flow(kind=SUMS, bucket=0, parcel=parts[k]["parcel"], docs=(key[a:b] & 0xFFFF).astype("<u2").tobytes(),
-                        vals=total[:, a:b].tobytes()))
-    return out
-
-
-def scored_ranges(dealt: DataFrame, held, buckets: int, least: int) -> DataFrame:
-    edges = edges_of(buckets)
+def answered(dealt: DataFrame, words: DataFrame, held, buckets: int, least: int) -> DataFrame:
+    """Tokens as they come, and the answers of each range to the parcels."""
+    table = words.select(F.lit(TABLE).alias("kind"), "bucket", F.col("keys").alias("rare"), "vals")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[dict] = []
+        f: Frequent = held.value
+        none = np.zeros(0, np.uint64), np.zeros((2, 0), np.int64)
+        at, own, asked = None, none, []
         for row in rows_of(batches):
-            if parts and parts[0]["bucket"] != row["bucket"]:
-                yield batch_of(FLOW, ranged(held.value, parts, least, edges))
-                parts = []
-            if row["kind"] == PART:
-                parts.append(row)
+            if row["bucket"] != at:
+                if asked:
+                    yield batch_of(FLOW, answers(f, own, asked, least))
+                at, own, asked = row["bucket"], none, []
+            if row["kind"] == TABLE:
+                own = np.frombuffer(row["rare"], np.uint64), np.frombuffer(row["vals"], "<i8").reshape(2, -1)
+            elif row["kind"] == PAIRS:
+                asked.append(row)
+            elif row["kind"] == RARE:
+                place = find(own[0], np.frombuffer(row["rare"], np.uint64))
+                if (place < 0).any():
+                    raise RuntimeError("a word that stands in a text isn't among the counted ones")
+                values = own[1][:, place]
+                values = np.where(values[1] >= least, values, f.unknown[:, None])
+                yield batch_of(FLOW, [flow(kind=RARE_ANSWERS, bucket=at, parcel=row["parcel"], vals=squeezed(values))])
             else:
                 yield batch_of(FLOW, [tuple(row[n] for n in NAMES)])
-        if parts:
-            yield batch_of(FLOW, ranged(held.value, parts, least, edges))
+        if asked:
+            yield batch_of(FLOW, answers(f, own, asked, least))
 
-    return stage(by_bucket(dealt, buckets).mapInArrow(run, FLOW), "ranges")
+    return by_bucket(dealt.unionByName(table, allowMissingColumns=True), buckets).mapInArrow(run, FLOW)
 
 
-def scored_cold(done: DataFrame, words: DataFrame, held, buckets: int, least: int) -> DataFrame:
-    """The sums of the tokens whose word isn't broadcast, from the table of words."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f: Frequent = held.value
-        at, table = None, (np.zeros(0, np.uint64), np.zeros((2, 0), np.int64))
-        for row in rows_of(batches):
-            if row["kind"] == TABLE:
-                at, table = row["bucket"], (np.frombuffer(row["words"], np.uint64), np.frombuffer(row["vals"], "<i8").reshape(2, -1))
-                continue
-            own = np.frombuffer(row["words"], np.uint64)
-            place = find(table[0], own)
-            if at != row["bucket"] or (place < 0).any():
-                raise RuntimeError("a word that stands in a text isn't among the counted ones")
-            values = table[1][:, place]
-            values = np.where(values[1] >= least, values, f.unknown[:, None])
-            given = np.frombuffer(row["vals"], float).reshape(4, -1)
-            loss = losses(given[:2], f.backed(values), given[2:])
-            number, back = np.unique(np.frombuffer(row["before"], "<i8"), return_inverse=True)
-            docs = np.frombuffer(row["docs"], "<u2").astype(np.int64)
-            found = sums([{"parcel": int(n)} for n in number], back, docs, loss[:, np.frombuffer(row["word"], "<i4")])
-            yield batch_of(FLOW, found)
-
-    table = words.select(F.lit(TABLE).alias("kind"), "bucket", F.col("keys").alias("words"), "vals")
-    both = done.where(F.col("kind") == COLD).unionByName(table, allowMissingColumns=True).withColumn("kind", -F.col("kind"))
-    return by_bucket(both, buckets).withColumn("kind", -F.col("kind")).mapInArrow(run, FLOW)
-
-
-def met(rows: DataFrame, buckets: int) -> DataFrame:
-    """The documents of each parcel with the sums of their losses."""
+def scored(rows: DataFrame, held, buckets: int) -> DataFrame:
+    """The documents of each parcel, from its tokens and the answers."""
+    edges = edges_of(buckets)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, loss = None, np.zeros((2, 0))
+        tokens, got = None, {}
         for row in rows_of(batches):
-            if row["kind"] == DOCS:
-                if docs:
-                    yield done(docs, loss)
-                docs, loss = row, np.frombuffer(row["vals"], float).reshape(2, -1).copy()
-                continue
-            loss[:, np.frombuffer(row["docs"], "<u2")] += np.frombuffer(row["vals"], float).reshape(2, -1)
-        if docs:
-            yield done(docs, loss)
-
-    def done(row: dict, loss: np.ndarray) -> pa.RecordBatch:
-        count = np.frombuffer(row["tokens"], "<i8")
-        n = np.maximum(count, 1)
-        return pa.RecordBatch.from_arrays([pa.array(row["ids"], pa.int64()), pa.array(count), *(pa.array(x) for x in (
-            loss[0] / n, loss[1] / n, (loss[0] - loss[1]) / n))], names=["doc_id", "tokens", "target_loss", "background_loss", "score"])
+            if row["kind"] == TOKENS:
+                if tokens:
+                    yield done(tokens, got)
+                tokens, got = row, {}
+            else:
+                got[row["kind"], row["bucket"]] = row
+        if tokens:
+            yield done(tokens, got)
+
+    def done(row: dict, got: dict) -> pa.RecordBatch:
+        f: Frequent = held.value
+        sizes = opened(row["sizes"], "<i8")
+        p = Parcel.of_words(decoded(f.words, row["rare"], row["word"])[0], sizes)
+        # bigrams: counts, and the values of the first word; both from the broadcast or from the answers
+        at = find(f.pairs, p.key)
+        pair = f.pair_values[:, at] if len(f.pairs) else np.zeros((2, len(at)), np.int64)
+        at = find(f.hot, p.before)
+        values = f.hot_values[:, at].copy()
+        for k, mine in p.asked(f, edges):
+            answer = got[PAIR_ANSWERS, k]
+            pair[:, mine] = opened(answer["vals"], "<i8").reshape(2, -1)
+            before = p.before[mine]
+            owner = np.cumsum(np.append(True, before[1:] != before[:-1])) - 1
+            stats = opened(answer["before"], "<i8").reshape(6, -1)[:, owner]
+            values[:, mine] = np.where(at[mine] >= 0, values[:, mine], stats)
+        at = find(f.words, p.word)
+        word = f.word_values[:, at] if len(f.words) else np.zeros((2, len(at)), np.int64)
+        for k, own in p.rare(f, edges):
+            told = opened(got[RARE_ANSWERS, k]["vals"], "<i8").reshape(2, -1)
+            order = np.argsort(own)
+            place = find(own[order], p.word)
+            hit = place >= 0
+            word[:, hit] = told[:, order[place[hit]]]
+        left, size = context(values)
+        loss = losses(left, f.backed(word), np.maximum(pair - DISCOUNT, 0) / size)[:, p.of]
+        n = np.maximum(sizes, 1)
+        t, b = (np.bincount(p.doc, x, len(sizes)) / n for x in loss)
+        return pa.RecordBatch.from_arrays([pa.array(row["ids"], pa.int64()), pa.array(sizes), *(pa.array(x) for x in (t, b, t - b))],
+                                          names=["doc_id", "tokens", "target_loss", "background_loss", "score"])
 
     return by_bucket(rows, buckets, "parcel").mapInArrow(
         run, "doc_id long, tokens long, target_loss double, background_loss double, score double")
 
 
+def flagged(docs: DataFrame, target: DataFrame) -> DataFrame:
+    """``doc_id, text, flag`` of each row; texts whose id passes the one-hash filter of the target are joined exactly."""
+    own = target.select(F.col("doc_id").alias("_id")).where("_id is not null").distinct()
+    bits = docs.sparkSession.sparkContext.broadcast(id_bitmap(own, "_id"))
+
+    @F.pandas_udf("boolean")
+    def passes(at: pd.Series) -> pd.Series:
+        place = at.fillna(0).to_numpy().astype(np.int64)
+        held = np.frombuffer(bits.value, np.uint8)
+        return pd.Series(((held[place >> 3] >> (place & 7)) & 1).astype(bool))
+
+    rows = docs.select("doc_id", "text", passes(in_bitmap("doc_id")).alias("_near"))
+    near = rows.where("_near and doc_id is not null").join(own, F.col("doc_id") == F.col("_id"), "left")
+    near = stage(near.select("doc_id", "text", F.col("_id").isNotNull().alias("flag")), "flagged")
+    rest = rows.where("not _near or doc_id is null").select("doc_id", "text", F.lit(False).alias("flag"))
+    return rest.unionByName(near)
+
+
 def cross_entropy_difference(docs: DataFrame, target: DataFrame, vocabulary: int = VOCABULARY, bigram_entries: int = BIGRAMS,
                              least: int = LEAST, range_tokens: int = RANGE_TOKENS) -> DataFrame:
     """``doc_id, tokens, target_loss, background_loss, score`` of each row; ``target`` holds ``doc_id``.
@@ -500,9 +548,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, vocabulary: int
     spark = ship(docs.sparkSession)
 
     def work() -> DataFrame:
-        own = target.select(F.col("doc_id").alias("_id")).distinct()
-        rows = docs.select("doc_id", "text").join(own, F.col("doc_id") == F.col("_id"), "left").select(
-            "doc_id", "text", F.col("_id").isNotNull().alias("flag"))
+        rows = flagged(docs, target)
         size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
         buckets = max(partitions(spark), -(-size // RANGE_BYTES))
 
@@ -529,9 +575,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, vocabulary: int
         pair_values = np.where(pair_values[1] >= least, pair_values, 0)
         hot_values = np.concatenate([hot_words, hot_sums(table, hot, least)])
         held = spark.sparkContext.broadcast(Frequent(frequent, word_values, hot, hot_values, pairs, pair_values, tokens, known, unknown))
-        done = scored_ranges(parcels(rows, held, buckets), held, buckets, least)
-        cold = scored_cold(done, words, held, buckets, least)
-        return met(done.where(F.col("kind").isin(DOCS, SUMS)).union(cold), buckets)
+        return scored(answered(parcels(rows, held, buckets), words, held, buckets, least), held, buckets)
 
     return settled(spark, work, "cross-entropy")
 
