@@ -36,8 +36,8 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,7 +59,7 @@ RANGE_TOKENS = 1 << 20
 #: A word of more than a 2^18th of all tokens, and of half a range, is dealt by bigram.
 HOT_SHARE = 18
 #: Tokens and texts of a parcel, at most but for a last run of texts.
-PARCEL = 1 << 20
+PARCEL = 1 << 19
 PARCEL_TEXTS = 60_000
 STRIP = 3
 #: Stands before a text's first word.
@@ -155,7 +155,7 @@ def pair_key(before: np.ndarray, word: np.ndarray) -> np.ndarray:
 Chosen = Callable[[kernel.Words], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
-def counted(rows: DataFrame, buckets: int, chosen: Chosen, pairs: bool) -> DataFrame:
+def counted(rows: DataFrame, bits, buckets: int, chosen: Chosen, pairs: bool) -> DataFrame:
     """Counts by hash range: a row each of keys, first words and counts in target and background.
 
     ``chosen`` gives of a run of texts the keys to count, their first words and their texts.
@@ -164,7 +164,7 @@ def counted(rows: DataFrame, buckets: int, chosen: Chosen, pairs: bool) -> DataF
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = Tally()
-        for batch in batches:
+        for batch in (ours(b, bits) for b in batches):
             flag = batch.column(1).to_numpy(zero_copy_only=False)
             for lo, hi, raw, offs in kernel.chunks(batch.column(0)):
                 keys, before, docs = chosen(kernel.words(raw, offs, STRIP))
@@ -191,7 +191,7 @@ def counted(rows: DataFrame, buckets: int, chosen: Chosen, pairs: bool) -> DataF
         tally.held, tally.size = [], 0
         return batch_of(COUNTS, [(bucket, keys.tobytes(), before.tobytes() if pairs else b"", values.astype("<i8").tobytes())])
 
-    sent_rows = rows.select("text", "flag").mapInArrow(count, COUNTS)
+    sent_rows = rows.select("text", "flag", "slot").mapInArrow(count, COUNTS)
     return stage(by_bucket(sent_rows, buckets).mapInArrow(total, COUNTS), "counts")
 
 
@@ -368,7 +368,7 @@ class Parcel:
             yield k, own[order[a:b]]
 
 
-def parcels(rows: DataFrame, held, buckets: int) -> DataFrame:
+def parcels(rows: DataFrame, bits, held, buckets: int) -> DataFrame:
     """Parcels of texts, and what they ask for by range."""
     edges = edges_of(buckets)
 
@@ -391,7 +391,7 @@ def parcels(rows: DataFrame, held, buckets: int) -> DataFrame:
             rows += [flow(kind=RARE, bucket=k, parcel=number, rare=own.tobytes()) for k, own in p.rare(f, edges)]
             yield batch_of(FLOW, rows)
 
-        for batch in batches:
+        for batch in (ours(b, bits) for b in batches):
             flag = batch.column(2).to_numpy(zero_copy_only=False).astype(float)
             for lo, hi, raw, offs in kernel.chunks(batch.column(1)):
                 w = kernel.words(raw, offs, STRIP)
@@ -404,7 +404,7 @@ def parcels(rows: DataFrame, held, buckets: int) -> DataFrame:
         if ids:
             yield from out()
 
-    return rows.select(F.col("doc_id").cast("long"), "text", "flag").mapInArrow(run, FLOW)
+    return rows.mapInArrow(run, FLOW)
 
 
 def answers(f: Frequent, table: tuple[np.ndarray, np.ndarray], asked: list[dict], least: int) -> list[tuple]:
@@ -504,12 +504,12 @@ def scored(rows: DataFrame, held, buckets: int) -> DataFrame:
             values[:, mine] = np.where(at[mine] >= 0, values[:, mine], stats)
         at = find(f.words, p.word)
         word = f.word_values[:, at] if len(f.words) else np.zeros((2, len(at)), np.int64)
-        for k, own in p.rare(f, edges):
-            told = opened(got[RARE_ANSWERS, k]["vals"], "<i8").reshape(2, -1)
-            order = np.argsort(own)
-            place = find(own[order], p.word)
-            hit = place >= 0
-            word[:, hit] = told[:, order[place[hit]]]
+        rare = list(p.rare(f, edges))
+        if rare:
+            own = np.concatenate([x for _, x in rare])
+            told = np.concatenate([opened(got[RARE_ANSWERS, k]["vals"], "<i8").reshape(2, -1) for k, _ in rare], axis=1)
+            order, cold = np.argsort(own), at < 0
+            word[:, cold] = told[:, order[np.searchsorted(own[order], p.word[cold])]]
         left, size = context(values)
         loss = losses(left, f.backed(word), np.maximum(pair - DISCOUNT, 0) / size)[:, p.of]
         n = np.maximum(sizes, 1)
@@ -521,22 +521,28 @@ def scored(rows: DataFrame, held, buckets: int) -> DataFrame:
         run, "doc_id long, tokens long, target_loss double, background_loss double, score double")
 
 
-def flagged(docs: DataFrame, target: DataFrame) -> DataFrame:
-    """``doc_id, text, flag`` of each row; texts whose id passes the one-hash filter of the target are joined exactly."""
-    own = target.select(F.col("doc_id").alias("_id")).where("_id is not null").distinct()
-    bits = docs.sparkSession.sparkContext.broadcast(id_bitmap(own, "_id"))
+def ours(batch: pa.RecordBatch, bits, near: bool = False) -> pa.RecordBatch:
+    """The rows whose ``slot``, the last column, isn't in the filter (or is, if ``near``); rows without a slot stay."""
+    slot = batch.column(batch.num_columns - 1)
+    place = pc.fill_null(slot, 0).to_numpy()
+    held = (np.frombuffer(bits.value, np.uint8)[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+    none = slot.is_null().to_numpy(zero_copy_only=False)
+    return batch.filter(pa.array((held & ~none) if near else (~held | none)))
+
 
-    @F.pandas_udf("boolean")
-    def passes(at: pd.Series) -> pd.Series:
-        place = at.fillna(0).to_numpy().astype(np.int64)
-        held = np.frombuffer(bits.value, np.uint8)
-        return pd.Series(((held[place >> 3] >> (place & 7)) & 1).astype(bool))
+def flagged(docs: DataFrame, target: DataFrame) -> tuple[DataFrame, object]:
+    """``doc_id, text, flag, slot`` of each row, and the filter of the target's ids.
 
-    rows = docs.select("doc_id", "text", passes(in_bitmap("doc_id")).alias("_near"))
-    near = rows.where("_near and doc_id is not null").join(own, F.col("doc_id") == F.col("_id"), "left")
-    near = stage(near.select("doc_id", "text", F.col("_id").isNotNull().alias("flag")), "flagged")
-    rest = rows.where("not _near or doc_id is null").select("doc_id", "text", F.lit(False).alias("flag"))
-    return rest.unionByName(near)
+    Texts whose id passes the filter are joined exactly and have no slot; they come a second time, with
+    one, among all rows, where tasks leave them out (``ours``). So no other text is moved.
+    """
+    own = target.select(F.col("doc_id").alias("_id")).where("_id is not null").distinct()
+    bits = docs.sparkSession.sparkContext.broadcast(id_bitmap(own, "_id"))
+    rows = docs.select(F.col("doc_id").cast("long"), "text", F.lit(False).alias("flag"), in_bitmap("doc_id").alias("slot"))
+    near = rows.mapInArrow(lambda batches: (ours(b, bits, True) for b in batches), rows.schema)
+    near = near.join(own, F.col("doc_id") == F.col("_id"), "left").select(
+        "doc_id", "text", F.col("_id").isNotNull().alias("flag"), F.lit(None).cast("long").alias("slot"))
+    return rows.unionByName(stage(near, "flagged")), bits
 
 
 def cross_entropy_difference(docs: DataFrame, target: DataFrame, vocabulary: int = VOCABULARY, bigram_entries: int = BIGRAMS,
@@ -548,14 +554,14 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, vocabulary: int
     spark = ship(docs.sparkSession)
 
     def work() -> DataFrame:
-        rows = flagged(docs, target)
+        rows, bits = flagged(docs, target)
         size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
         buckets = max(partitions(spark), -(-size // RANGE_BYTES))
 
         def every_word(w: kernel.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             return w.hashes, np.zeros_like(w.hashes), np.repeat(np.arange(len(w.at) - 1), np.diff(w.at))
 
-        words = counted(rows, buckets, every_word, False)
+        words = counted(rows, bits, buckets, every_word, False)
         tokens, known, unknown = totals(words, least)
         above = max(range_tokens // 2, tokens[1] >> HOT_SHARE)
         frequent, values = entries(words, lambda r: (lambda c: most(c, -(-vocabulary // buckets), above))(read(r)[1][1]))
@@ -570,12 +576,12 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, vocabulary: int
             at = find(hot, before) >= 0
             return key[at], before[at], doc[at]
 
-        table = counted(rows, buckets, hot_pairs, True)
+        table = counted(rows, bits, buckets, hot_pairs, True)
         pairs, pair_values = entries(table, lambda r: (lambda c: most(c, -(-bigram_entries // buckets), above))(read(r)[1][1]))
         pair_values = np.where(pair_values[1] >= least, pair_values, 0)
         hot_values = np.concatenate([hot_words, hot_sums(table, hot, least)])
         held = spark.sparkContext.broadcast(Frequent(frequent, word_values, hot, hot_values, pairs, pair_values, tokens, known, unknown))
-        return scored(answered(parcels(rows, held, buckets), words, held, buckets, least), held, buckets)
+        return scored(answered(parcels(rows, bits, held, buckets), words, held, buckets, least), held, buckets)
 
     return settled(spark, work, "cross-entropy")
 
