@@ -48,6 +48,9 @@ TRACKED = {
 @dataclass
 class RunReport:
     landed: dict[str, int] = field(default_factory=dict)
+    rejected: dict[str, int] = field(default_factory=dict)
+    # per landed table, source columns that weren't landed and landing columns that nothing filled
+    columns: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = field(default_factory=dict)
     merged: dict[str, int] = field(default_factory=dict)
     star: dict[str, int] = field(default_factory=dict)
     failures: list[dq.Failure] = field(default_factory=list)
@@ -88,14 +91,17 @@ class Run:
             return dict(zip(names, pool.map(in_scope(work), names), strict=True))
 
     # -- landing and current state --------------------------------------------------
-    def land(self, sources: Mapping[str, DataFrame], documents: DataFrame | None = None) -> dict[str, int]:
+    def land(self, sources: Mapping[str, DataFrame], documents: DataFrame | None = None,
+             report: RunReport | None = None) -> dict[str, int]:
         marks = {r["target_table"]: r["watermark_value_end"] for r in latest_watermarks(self.ledger.frame()).collect()}
 
         def one(name: str) -> int:
             cfg = self.config.table(name)
             mark = marks.get(cfg.target)
-            return ingest_table(sources[name], cfg, self.store, self.ledger, self.run_ts, job=self.job,
-                                mark=mark).appended
+            result = ingest_table(sources[name], cfg, self.store, self.ledger, self.run_ts, job=self.job, mark=mark)
+            if report is not None:
+                report.rejected[name], report.columns[name] = result.rejected, (result.dropped, result.unfilled)
+            return result.appended
 
         counts = self._each(one, [t.name for t in self.config.tables if t.name in sources])
         if documents is not None:
@@ -250,7 +256,7 @@ class Run:
     def _execute(self, report: RunReport, sources: Mapping[str, DataFrame], documents: DataFrame | None,
                  checks: bool) -> None:
         try:
-            report.landed = self.land(sources, documents)
+            report.landed = self.land(sources, documents, report)
             report.merged = self.merge()
             batches = {
                 target: self.ledger.start(target, "silver", kind, initiated_by=self.job)

@@ -9,7 +9,8 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar, copy_context
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from .sources.files import Files
 
@@ -88,6 +89,14 @@ def in_scope(work: Callable) -> Callable:
     return lambda *args, **kwargs: context.copy().run(work, *args, **kwargs)
 
 
+def observed(seen: Observation, **empty) -> dict:
+    """What was observed while a frame was written; a plan that is empty by construction observes nothing."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return empty
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and return the re-read table.
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.dates import ts
 from ..functions.hashing import landing_hash
-from ..session import stage
+from ..session import observed, stage
 from .config import (
     COMMON_RENAMES,
     TABLE_RENAMES,
@@ -127,6 +127,52 @@ def column_gap(source: DataFrame, cfg: TableConfig) -> tuple[list[str], list[str
     return sorted(names - set(target)), sorted(set(business) - names)
 
 
+# -- rows that can't be trusted ---------------------------------------------------
+def required_keys(cfg: TableConfig) -> tuple[str, ...]:
+    """The landing columns without which a row has no identity: the configured keys, else the first column."""
+    return cfg.keys or (landing_schema(cfg.target)[0].name,)
+
+
+def screen(source: DataFrame, cfg: TableConfig) -> tuple[Column, Column]:
+    """(whether a source row is rejected, the reasons): a key is missing or isn't of its landing type.
+
+    The reasons name every column that doesn't cast. A row whose keys are sound isn't rejected; if
+    another column doesn't cast, the load fails, as its extract can't be trusted at all. Only
+    columns whose type differs from the landing type are tried.
+    """
+    fields = {f.name: f.dataType for f in landing_schema(cfg.target).fields}
+    landed = {**COMMON_RENAMES, **TABLE_RENAMES.get(cfg.target, {})}
+    rejected, reasons = F.lit(False), [F.lit(None).cast("string")]
+    for f in source.schema.fields:
+        name = landed.get(f.name, f.name)
+        if name not in fields or name.startswith("bronze_"):
+            continue
+        value, kind = F.col(f.name), fields[name]
+        tried = f.dataType != kind and not isinstance(kind, T.StringType)
+        uncastable = value.isNotNull() & value.try_cast(kind).isNull() if tried else F.lit(False)
+        if name in required_keys(cfg):
+            missing = value.isNull() | (F.trim(value.cast("string")) == "")
+            reasons.append(F.when(missing, F.lit(f"missing {name}")))
+            rejected, uncastable = rejected | missing | uncastable, ~missing & uncastable
+        if tried:
+            reasons.append(F.when(uncastable, F.lit(f"uncastable {name}")))
+    return rejected, F.array_compact(F.array(*reasons))
+
+
+QUARANTINE = "quarantine"
+
+
+def quarantine(store: TableStore, rows: DataFrame, cfg: TableConfig, batch: Batch, run_ts: str, expected: int) -> None:
+    """Store the rejected rows of a batch aside, raw and with their reasons; another number than was counted fails."""
+    rejected, reasons = screen(rows, cfg)
+    aside = rows.where(rejected).select(
+        F.lit(batch.key).cast("bigint").alias("batch_key"), F.lit(cfg.name).alias("source_table_name"), reasons.alias("reasons"),
+        ts(run_ts).alias("rejected_at"), F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("raw_row"))
+    stored = store.append(QUARANTINE, cfg.target, aside, batch.key)
+    if stored != expected:
+        raise RuntimeError(f"{cfg.target}: {expected} rows were rejected, {stored} at a second look")
+
+
 # -- skip unchanged full loads --------------------------------------------------
 def current_hashes(landed: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Hash of the newest landed row per natural key, partially aggregated before the shuffle."""
@@ -153,32 +199,41 @@ class LandingResult:
     extracted: int
     appended: int
     watermark: str | None
+    rejected: int = 0
+    # source columns that aren't landed, and landing columns that nothing fills
+    dropped: tuple[str, ...] = ()
+    unfilled: tuple[str, ...] = ()
 
 
 def land(
     store: TableStore, rows: DataFrame, cfg: TableConfig, batch: Batch, run_ts: str, *,
     skip: bool, mark_column: str | None, system: str | None = None,
 ) -> LandingResult:
-    """Append one extracted batch; counts and the high-water mark come from the writing pass."""
+    """Append one extracted batch; counts and the high-water mark come from the writing pass.
+
+    Rows without a sound key are set aside: they are counted in that pass and, if there are any,
+    written to the table's quarantine. The mark covers them, so they aren't read again.
+    """
     store.tracked[f"bronze.{cfg.target}"] = RECORD_ID
     known = store.exists("bronze", cfg.target)
+    rejected, _ = screen(rows, cfg)
     mark = F.max(mark_column).cast("string") if mark_column in rows.columns else F.max(F.lit(None).cast("string"))
+    seen = Observation()
+    counted = rows.withColumn("_rejected", rejected).observe(
+        seen, F.count(F.lit(1)).alias("n"), F.count_if("_rejected").alias("rejected"), mark.alias("mark"))
+    sound = standardize(counted.where("not _rejected").drop("_rejected"), cfg, batch.key, run_ts, system)
     if known and skip and cfg.keys:
         # the snapshot is read from the source once, then compared with what is landed
-        snapshot = stage(standardize(rows, cfg, batch.key, run_ts, system), f"snapshot-{cfg.target}")
-        # standardizing renames the usual mark column
-        names = [c for c in (mark_column, "updated_at_source_timestamp") if mark_column in rows.columns and c in snapshot.columns]
-        column = names[0] if names else None
-        top = F.max(column).cast("string") if column else F.lit(None).cast("string")
-        extracted, end = snapshot.agg(F.count(F.lit(1)), top).first()
+        snapshot = stage(sound, f"snapshot-{cfg.target}")
         fresh = skip_unchanged(snapshot, current_hashes(store.read("bronze", cfg.target), cfg.keys))
         appended = _append(store, fresh, cfg, batch)
     else:
-        seen = Observation()
-        counted = rows.observe(seen, F.count(F.lit(1)).alias("n"), mark.alias("mark"))
-        appended = _append(store, standardize(counted, cfg, batch.key, run_ts, system), cfg, batch)
-        extracted, end = seen.get["n"], seen.get["mark"]
-    return LandingResult(batch, extracted, appended, end)
+        appended = _append(store, sound, cfg, batch)
+    found = observed(seen, n=0, rejected=0, mark=None)
+    if found["rejected"]:
+        quarantine(store, rows, cfg, batch, run_ts, found["rejected"])
+    gap = column_gap(rows, cfg)
+    return LandingResult(batch, found["n"], appended, found["mark"], found["rejected"], *map(tuple, gap))
 
 
 def _append(store: TableStore, rows: DataFrame, cfg: TableConfig, batch: Batch) -> int:
@@ -206,7 +261,7 @@ def ingest_table(
             mark = last_watermark(ledger.frame(), cfg.target) if strategy == "incremental" else None
         rows = extract(source, cfg, mark, strategy)
         result = land(store, rows, cfg, batch, run_ts, skip=strategy == "full_load", mark_column=cfg.watermark)
-        ledger.complete(batch, result.extracted, result.appended, result.watermark)
+        ledger.complete(batch, result.extracted, result.appended, result.watermark, result.rejected)
         return result
     except Exception as exc:
         ledger.fail(batch, str(exc))

@@ -16,12 +16,12 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.intervals import Intervals
+from ..session import observed
 from .files import Files
 
 BUCKET = "_bucket"
@@ -180,15 +180,7 @@ class TableStore:
             rows.write.partitionBy(BUCKET).parquet(path)
             found = [n for n in self.files.names(path) if n.startswith(f"{BUCKET}=")]
             parts = [[f"{folder}/{n}", int(n.split("=")[1])] for n in found]
-        return parts, self._seen(seen)
-
-    @staticmethod
-    def _seen(seen: Observation) -> dict:
-        """What was observed while writing; a plan that is empty by construction observes nothing."""
-        try:
-            return seen.get
-        except Py4JJavaError:
-            return {"rows": 0, "top": None}
+        return parts, observed(seen, rows=0, top=None)
 
     def _next(self, layer: str, table: str) -> int:
         found = self.versions(layer, table)

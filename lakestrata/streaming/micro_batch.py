@@ -40,7 +40,7 @@ def land_and_merge(
                 if result.appended:
                     for name in entities:
                         merge_silver(store, SPECS[name], batch_id=batch.key, run_ts=run_ts)
-            ledger.complete(batch, result.extracted, result.appended, result.watermark)
+            ledger.complete(batch, result.extracted, result.appended, result.watermark, result.rejected)
         except Exception as exc:
             ledger.fail(batch, str(exc))
             raise

@@ -183,3 +183,20 @@ def src_unprocessed_late_batch(spark, sf):
         store.append("bronze", spec.source, rows.select(landing_schema(spec.source).fieldNames()), number)
         merge_silver(store, spec, batch_id=10 + number, run_ts=RUN_2)
     return store.read("silver", "customer")
+
+
+@query("invoice_number reason rows_rejected:l", """
+    SELECT invoice_number, CASE WHEN status_code = 'lost' THEN 'missing invoice_id' ELSE 'uncastable invoice_id' END AS reason,
+      count(*) OVER () AS rows_rejected FROM src_invoice_1 WHERE status_code IN (' Void', 'lost')""")
+def dq_run_quarantine(spark, sf):
+    """A load whose void invoices have an id that is no number and whose lost ones have none: set aside with the reason."""
+    store, cfg = _store(spark), CONFIGS["oltp_invoice"]
+    ident = F.when(F.col("status_code") == " Void", F.concat(F.lit("no "), F.col("invoice_id").cast("string"))).when(
+        F.col("status_code") != "lost", F.col("invoice_id").cast("string"))
+    rows = given.source(spark, sf, "invoice", 1).withColumn("invoice_id", ident)
+    ledger = Ledger(spark, store.root, clock=lambda: RUN_1)
+    ingest_table(rows, cfg, store, ledger, RUN_1)
+    aside = store.read("quarantine", cfg.target).select(
+        F.get_json_object("raw_row", "$.invoice_number").alias("invoice_number"), F.explode("reasons").alias("reason"),
+        F.col("batch_key"))
+    return aside.join(ledger.frame().select("batch_key", "rows_rejected"), "batch_key")
