@@ -16,6 +16,7 @@ from ..session import stage
 
 Tables = Mapping[str, DataFrame]
 
+# The business columns of the facts.
 SALES_COLUMNS = (
     "sales_line_key", "date_key", "cashier_key", "product_key", "customer_key", "store_key", "invoice_key",
     "invoice_number", "sales_qty", "unit_price", "unit_cost", "sales_amount", "sales_cost", "gross_profit",

@@ -307,14 +307,19 @@ def fct_customer_snapshot(spark, sf):
     return star(spark, sf).snapshot()
 
 
-@query("silver_customer_id:l avg_days_to_full_payment:d", "SELECT * FROM speed")
+@query("silver_customer_id:l avg_days_to_full_payment:d", "SELECT silver_customer_id, days AS avg_days_to_full_payment FROM pace")
 def fct_payment_speed(spark, sf):
     s = star(spark, sf)
     return facts.payment_speed(s.silver("invoice"), s.silver("payment"), s.snapshot_day())
 
 
 @query("silver_customer_id:l lifetime_order_count:l lifetime_sales_amount:d orders_last_30_days:l open_invoice_count:l "
-       "open_invoice_total:d last_order_date", "SELECT * FROM behaviour")
+       "open_invoice_total:d last_order_date", """
+    SELECT silver_customer_id, ordered.orders AS lifetime_order_count, worth AS lifetime_sales_amount,
+      coalesce(lately.orders, 0) AS orders_last_30_days, coalesce(invoices, 0) AS open_invoice_count,
+      coalesce(owed, 0) AS open_invoice_total, ordered_on AS last_order_date
+    FROM ordered JOIN newest_order USING (silver_customer_id) LEFT JOIN lately USING (silver_customer_id)
+    LEFT JOIN owing USING (silver_customer_id)""")
 def fct_invoice_behaviour(spark, sf):
     s = star(spark, sf)
     return facts.invoice_behaviour(s.silver("invoice"), s.snapshot_day())
