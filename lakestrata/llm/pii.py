@@ -1,13 +1,15 @@
 """Format-preserving pseudonyms for personal data, with built-in functions only.
 
 Values are found by their form and validated: card numbers by the Luhn digit and a length of
-13 to 19, IPv4 addresses by their octets, dates by the calendar (1900 to 2099), North
-American and international telephone numbers by their layout, secrets as 32 to 128
-hexadecimal digits holding both letters and figures. A valid value is replaced by a keyed
+13 to 19, IPv4 addresses by their octets, dates by the calendar (1900 to 2099), telephone
+numbers with a country code by their layout, secrets as 32 and more hexadecimal digits
+holding both letters and figures. A valid value is replaced by a keyed
 permutation of its format's value space, an unbalanced Feistel network whose round function
 is SHA-256 over key, round and half. Being a permutation, it maps equal values alike in every
 document and never two values of a format to one; the layout (separators, brackets, case,
-check digit) stays. Mail addresses have no numeric form: the part before the ``@`` becomes a
+check digit) stays. A date with slashes may be meant day first or month first, so the strings
+of a layout are permuted among themselves: all that can be read both ways, and days 13 to 28,
+29 to 31 and 29 February apart, each of which is a product of sizes. Mail addresses have no numeric form: the part before the ``@`` becomes a
 keyed digest, the domain stays.
 
 A text is cut at the matches of one pattern, the matches are transformed as an array and the
@@ -28,16 +30,17 @@ KEY = "corpus-pseudonym-1"
 ROUNDS = 8
 
 #: What each kind looks like. Possessive quantifiers and look-behinds keep the search linear.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}"
 IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 PHONE = r"(?<![0-9+])\+[0-9]{1,3} ?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
 DATE = (r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})"
         r"(?![0-9]|[./-][0-9])")
-SECRET = r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}+|[0-9A-F]{32,128}+)(?![0-9A-Za-z])"
+SECRET = r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![0-9A-Za-z])"
 CARD = (r"(?<![0-9])(?:[0-9]{13,19}+|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}+|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])")
 ANY = "|".join((EMAIL, PHONE, IP, DATE, SECRET, CARD))
-#: Fixed value: days from 1900-01-01 to 2099-12-31 are 17 x 4297.
-DAYS = (17, 4297)
+YEARS = (1900, 2099)
+#: The days from the 29th on of all months but February, as month * 100 + day.
+LATE = [m * 100 + d for m in range(1, 13) for d in (29, 30, 31) if m != 2 and (d < 31 or m not in (4, 6, 9, 11))]
 
 
 def digest(key: str, kind: str, rnd: Column, value: Column) -> Column:
@@ -123,23 +126,36 @@ def ip(value: Column, key: str) -> Column:
 
 
 def date(value: Column, key: str) -> Column:
-    shape = (F.when(value.rlike("^[0-9]{4}-"), F.array(F.lit("yyyy-MM-dd")))
-             .when(value.contains("/"), F.array(F.lit("dd/MM/yyyy"), F.lit("MM/dd/yyyy")))
-             .otherwise(F.array(F.lit("dd.MM.yyyy"))))
-    read = F.transform(shape, lambda f: F.struct(f.alias("f"), F.try_to_timestamp(value, f).cast("date").alias("d")))
-    valid = F.filter(read, lambda x: x["d"].between(F.lit("1900-01-01").cast("date"), F.lit("2099-12-31").cast("date")))
-    first = F.lit("1900-01-01").cast("date")
-
-    def moved(x: Column) -> Column:
-        day = F.datediff(x["d"], first)
-        pair = feistel(F.floor(day / DAYS[1]), day % DAYS[1], F.lit(DAYS[0]), F.lit(DAYS[1]), "date", key)
-        days = F.transform(F.array(pair), lambda p: p["l"] * DAYS[1] + p["r"])[0]
-        new = F.date_add(first, days.cast("int"))
-        return F.when(x["f"] == "yyyy-MM-dd", F.date_format(new, "yyyy-MM-dd")).when(
-            x["f"] == "dd/MM/yyyy", F.date_format(new, "dd/MM/yyyy")).when(
-            x["f"] == "MM/dd/yyyy", F.date_format(new, "MM/dd/yyyy")).otherwise(F.date_format(new, "dd.MM.yyyy"))
-
-    return F.coalesce(F.get(F.transform(valid, moved), F.lit(0)), value)
+    iso, slashes = value.rlike("^[0-9]{4}-"), value.contains("/")
+    parts = F.transform(F.split(value, "[-/.]"), lambda x: x.cast("int"))
+    year, one, two = F.when(iso, parts[0]).otherwise(parts[2]), F.when(iso, parts[2]).otherwise(parts[0]), parts[1]
+    month_first = slashes & (one <= 12) & (two > 12)
+    day, month = F.when(month_first, two).otherwise(one), F.when(month_first, one).otherwise(two)
+    leap = (year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))
+    length = F.when(month == 2, F.when(leap, 29).otherwise(28)).when(month.isin(4, 6, 9, 11), 30).otherwise(31)
+    valid = year.between(*YEARS) & month.between(1, 12) & day.between(1, length)
+    late = F.array(*map(F.lit, LATE))
+    early, middle, odd = day <= 12, day <= 28, month == 2
+    since, leaps = year - YEARS[0], F.floor((year - YEARS[0] - 4) / 4)
+    years = F.lit(YEARS[1] - YEARS[0] + 1)
+
+    def of_class(*values: Column) -> Column:
+        return F.when(early, values[0]).when(middle, values[1]).when(odd, values[2]).otherwise(values[3])
+
+    left = of_class((day - 1) * 12 + month - 1, (month - 1) * 16 + day - 13, F.floor(leaps / 7), F.array_position(late, month * 100 + day) - 1)
+    pair = feistel(left, of_class(since, since, leaps % 7, since), of_class(*map(F.lit, (144, 192, 7, len(LATE)))),
+                   of_class(years, years, F.lit(7), years), "date", key)
+
+    def written(p: Column) -> Column:
+        at = F.get(late, p["l"].cast("int"))
+        d = of_class(F.floor(p["l"] / 12) + 1, p["l"] % 16 + 13, F.lit(29), at % 100)
+        m = of_class(p["l"] % 12 + 1, F.floor(p["l"] / 16) + 1, F.lit(2), F.floor(at / 100))
+        y = of_class(p["r"], p["r"], (p["l"] * 7 + p["r"] + 1) * 4, p["r"]) + YEARS[0]
+        yyyy, mm, dd = (F.lpad(x.cast("int").cast("string"), n, F.lit("0")) for x, n in ((y, 4), (m, 2), (d, 2)))
+        return F.when(iso, F.concat_ws("-", yyyy, mm, dd)).when(month_first, F.concat_ws("/", mm, dd, yyyy)).when(
+            slashes, F.concat_ws("/", dd, mm, yyyy)).otherwise(F.concat_ws(".", dd, mm, yyyy))
+
+    return F.when(valid, F.transform(F.array(pair), written)[0]).otherwise(value)
 
 
 def secret(value: Column, key: str) -> Column:
@@ -152,14 +168,17 @@ def secret(value: Column, key: str) -> Column:
     def nibble(c: Column) -> Column:
         return F.instr(F.lit("0123456789abcdef"), c) - 1
 
-    def added(half: Column, by: Column) -> Column:
+    def added(half: Column, rnd: Column, by: Column) -> Column:
+        # as many digests as the half is long
+        keys = F.array_join(F.transform(F.sequence(F.lit(0), F.floor((F.length(half) - 1) / 64).cast("int")),
+                                        lambda j: digest(key, "secret", F.concat_ws(".", rnd.cast("string"), j.cast("string")), by)), "")
         return F.array_join(F.zip_with(
-            F.split(half, ""), F.split(F.substr(by, F.lit(1), F.length(half)), ""),
+            F.split(half, ""), F.split(F.substr(keys, F.lit(1), F.length(half)), ""),
             lambda a, b: F.lower(F.hex((nibble(a) + nibble(b)) % 16))), "")
 
     def step(s: Column, i: Column) -> Column:
-        return (F.when(i % 2 == 1, F.struct(added(s["l"], digest(key, "secret", i, s["r"])).alias("l"), s["r"].alias("r")))
-                .otherwise(F.struct(s["l"].alias("l"), added(s["r"], digest(key, "secret", i, s["l"])).alias("r"))))
+        return (F.when(i % 2 == 1, F.struct(added(s["l"], i, s["r"]).alias("l"), s["r"].alias("r")))
+                .otherwise(F.struct(s["l"].alias("l"), added(s["r"], i, s["l"]).alias("r"))))
 
     new = F.transform(F.array(rounds(start, step)), lambda p: F.concat(p["l"], p["r"]))[0]
     new = F.when(value.rlike("[A-F]"), F.upper(new)).otherwise(new)
@@ -178,7 +197,7 @@ def pseudonym(value: Column, key: str) -> Column:
             .when(value.rlike(r"^[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}$"), ip(value, key))
             .when(value.rlike(rf"^(?:{DATE})$"), date(value, key))
             .when(value.rlike("^[0-9 -]+$") & F.length(figures(value)).between(13, 19), card(value, key))
-            .when(value.rlike("^[0-9A-Fa-f]{32,128}$"), secret(value, key))
+            .when(value.rlike("^[0-9A-Fa-f]{32,}$"), secret(value, key))
             .otherwise(value))
 
 
