@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 MASK = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15 | 1
 LOWER = np.arange(256, dtype=np.uint8)
