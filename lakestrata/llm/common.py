@@ -45,15 +45,17 @@ def held_out(doc_id: Column) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
-    """``text, y`` of at most ``most`` labelled rows outside the held-out fifth.
+    """``doc_id, text, y`` of at most ``most`` labelled rows outside the held-out fifth, one row an id.
 
-    Rows are ranked by a hash of their id, so the sample doesn't depend on partitioning.
-    Its size is bounded by ``most``, so it may be broadcast.
+    Ids are ranked by their hash, so the sample doesn't depend on partitioning; of the texts of a
+    repeated id the one of the smallest hash counts. The size is bounded by ``most`` whatever is
+    repeated, so the sample may be broadcast.
     """
     picked = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
               .groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
+    return rows.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("y").alias("y"))
 
 
 def id_bitmap(ids: DataFrame, column: str) -> bytes:

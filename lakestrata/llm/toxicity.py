@@ -1,13 +1,13 @@
 """Toxicity by a learned lexicon, Levenshtein automata and context windows.
 
 Learning, from labelled rows outside the held-out fifth only, at most ``MOST_LABELLED`` of
-them: words, and word beginnings of 4 to 6 letters, are counted in toxic and other documents
+them, one text an id: words of any form and length, and word beginnings of 4 to 6 letters, are counted in toxic and other documents
 (near copies, told by three min-hashes, count once) and kept where nearly all their documents
 are toxic, and too many for chance (binomial probability up to ``CHANCE``). The terms form a
 trie.
 
-Scoring: every distinct token of a run of texts is judged once. Its letters are folded (case,
-figures used as letters), then looked up as a term, as a beginning, and, if half of a term
+Scoring: every distinct token of a run of texts is judged once. It is split and folded as in
+learning (case, outer marks, figures used as letters), then looked up as a term, as a beginning, and, if half of a term
 stands at one of its ends, by walking the trie with the Levenshtein automaton of the token:
 both advance together, so only beginnings within the distance are visited. Each hit is weighed
 by its term's log-odds and split by its window of neighbouring words: quotation marks and
@@ -37,7 +37,6 @@ from . import kernel
 from .common import held_out, labelled_sample, ship, stage
 
 MOST_LABELLED = 20_000
-MOST_TERMS = 20_000
 MIN_DOCS = 3
 PRECISION = 0.8
 CHANCE = 1e-5
@@ -52,10 +51,22 @@ LEET = str.maketrans("01345789@$!€", "oieastbgasie")
 QUOTES = re.compile(r"[\"“”„«»‘’]")
 REPORTS = frozenset("said says say quoted quote wrote writes called calls reported told dit disait écrit cité sagte sagt "
                     "schrieb zitierte nannte dijo dice escribió citó llamó".split())
-LETTERS = re.compile(r"^[^\w@$€]+|[\W_]+$")
+#: The splitter of the kernel, for learning.
+SPACE = re.compile(r"[\x20\x09-\x0D]+")
+BEFORE, AFTER = re.compile(r"[^\w@$€]+"), re.compile(r"[\W_]+")
 FEATURES = ("strongest", "abuse", "quotation", "misspelled", "beginnings", "density", "terms")
 
 
+def form(token: str) -> str:
+    """A token without case and outer marks, figures and signs inside read as letters; for learning and scoring."""
+    word = token.lower()
+    if lead := BEFORE.match(word):
+        word = word[lead.end():]
+    if tail := AFTER.match(word[::-1]):
+        word = word[:-tail.end()]
+    return word if word.isalpha() else word.translate(LEET)
+
+
 @dataclass
 class Lexicon:
     """Terms with weights; ``fuzzy`` is the trie of the terms that may be misspelled."""
@@ -78,6 +89,9 @@ class Lexicon:
             self.tails.add(term[len(term) // 2:])
         self.sizes = sorted({len(x) for x in self.heads | self.tails})
 
+    def __reduce__(self):
+        return Lexicon, (self.terms, self.stems)  # the trie is built anew where it is needed: it may be deep
+
     def near(self, word: str) -> str | None:
         """The term within DISTANCE edits; of several the heaviest, then the first in order."""
         found = automaton_walk(self.fuzzy, word, DISTANCE)
@@ -85,11 +99,7 @@ class Lexicon:
 
     def judge(self, token: str) -> tuple[str, str, float] | None:
         """Kind, term and weight of a token."""
-        word = LETTERS.sub("", token.lower())
-        if len(word) < 3:
-            return None
-        if not word.isalpha():
-            word = word.translate(LEET)
+        word = form(token)
         if word in self.terms:
             return "term", word, self.terms[word]
         for k in STEMS:
@@ -186,8 +196,7 @@ def term_counts(rows: DataFrame) -> DataFrame:
         sums: dict[tuple[str, bool], list[int]] = defaultdict(lambda: [0, 0])
         for batch in batches:
             for text, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = {LETTERS.sub("", t) for t in set((text or "").lower().split())}
-                words = {x for x in words if 3 <= len(x) <= 40 and x.isalpha()}
+                words = {form(t) for t in set(SPACE.split(text or ""))} - {""}
                 found = {(x, False) for x in words} | {(x[:k], True) for x in words for k in STEMS if len(x) > k}
                 for key in found:
                     sums[key][1 - y] += 1
@@ -297,8 +306,7 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED):
     chosen = spark.createDataFrame(list(y.items()), "doc_id long, own int")
     sample = sample.join(F.broadcast(chosen), "doc_id")
     enough = (F.col("toxic") >= MIN_DOCS) & (F.col("toxic") >= PRECISION * (F.col("toxic") + F.col("other")))
-    found = (term_counts(sample).where(enough)
-             .orderBy(F.desc(F.col("toxic") / (F.col("other") + 1)), "term", "stem").limit(MOST_TERMS).collect())
+    found = term_counts(sample).where(enough).collect()  # bounded by the words of the sample
     whole = lexicon(found, n_toxic, n_other)
     fitted = featured(sample, spark.sparkContext.broadcast(whole), ["y"]).collect()  # bounded as the sample
     return whole, fit(np.array([r["x"] for r in fitted]), np.array([r["y"] for r in fitted], float))
