@@ -15,14 +15,17 @@ __all__ = ["in_bitmap", "held_out", "id_bitmap", "labelled_sample", "partitions"
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 BITMAP_BITS = 1 << 23
 BATCH_ROWS = 1000
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package where the checkout is visible to them.
 
     On a cluster without the checkout, pass the package with ``--py-files`` instead. Whole texts are
-    long rows, so Arrow batches hold fewer of them than usual.
+    long rows, so Arrow batches hold fewer of them than usual, and 4 MB unless the session says otherwise.
     """
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, "4m")
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     env = spark.sparkContext.environment
