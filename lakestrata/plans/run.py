@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from threading import Lock
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import quality as dq
@@ -43,6 +43,10 @@ TRACKED = {
     f"gold.{PAYMENTS}": "payment_key",
     f"gold.{SNAPSHOT}": "snapshot_key",
 }
+# The snapshot is kept by day. Large facts are kept by month if the store is opened with MONTHLY as well: a month and
+# bucket is then a folder, which is too many files for small facts.
+DAILY = {f"gold.{SNAPSHOT}": ("snapshot_date_key", 1)}
+MONTHLY = {f"gold.{SALES}": ("date_key", 100), f"gold.{PAYMENTS}": ("date_key", 100)}
 
 
 @dataclass
@@ -83,6 +87,7 @@ class Run:
     def __post_init__(self) -> None:
         self.ledger = Ledger(self.store.spark, self.store.root, clock=lambda: self.run_ts)
         self.store.tracked |= {f"gold.{s.name}": s.key for s in SCD2_DIMENSIONS} | TRACKED
+        self.store.period_plan = DAILY | self.store.period_plan
         self._trail_lock = Lock()
 
     def _each(self, work: Callable[[str], int], names: list[str]) -> dict[str, int]:
@@ -227,10 +232,17 @@ class Run:
         with self._trail_lock:
             self.store.append("audit", "audit_log", log)
 
+    def _stored_snapshot(self, t: Mapping[str, DataFrame], on: Column) -> DataFrame | None:
+        """The stored snapshots to compare with; of a table kept by day no other date is opened."""
+        m = self.store.manifest("gold", SNAPSHOT)
+        if m is None or m.period is None:
+            return t.get(SNAPSHOT)
+        return self.store.read_periods("gold", SNAPSHOT, facts.day_key(t["dim_date"], on))
+
     def snapshot(self, batch_id: str) -> int:
         t, name = self.tables(), SNAPSHOT
         on = facts.snapshot_day(self.run_ts[:10], self.snapshot_date)
-        target = t.get(name)
+        target = self._stored_snapshot(t, on)
         if target is not None and facts.snapshot_exists(target, on, t["dim_date"]):
             return 0
         rows = facts.snapshot_fact(t, on, batch_id=batch_id, run_ts=self.run_ts, target=target,

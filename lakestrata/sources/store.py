@@ -5,18 +5,21 @@ immutable data folders plus one small JSON manifest per version. Creating manife
 ``n+1`` is the commit: readers see the old version or the new one, never a mix, and
 a failed load leaves only unreferenced files. Keyed tables are hash-bucketed on their
 key and a change rewrites only the buckets it touches; every other bucket is carried
-over by reference. Old versions stay readable, which is also what supplies before
+over by reference. A table with a period (the month or day of a date key) has a folder for each
+period and bucket: a change rewrites only the folders that hold its keys and those of its new
+rows, and readers of a few periods open no others. Old versions stay readable, which is also what supplies before
 images and snapshots.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +27,20 @@ from ..functions.intervals import Intervals
 from ..session import observed
 from .files import Files
 
-BUCKET = "_bucket"
+BUCKET, PERIOD, REPLACED = "_bucket", "_period", "_replaced"
+#: A part's folder within the path of one of its files.
+PART = r"/(data/[^/]+(?:/_[a-z]+=[^/]+)*)/[^/]+$"
+
+
+def part_file() -> Column:
+    """The part that a row was read from."""
+    return F.regexp_extract(F.col("_metadata.file_path"), PART, 1)
+
+
+def period_of(folder: str) -> int | None:
+    """The period of a part's folder; None for a table without periods and for rows without a date."""
+    found = re.search(rf"/{PERIOD}=(-?\d+)(?:/|$)", folder)
+    return int(found[1]) if found else None
 
 
 @dataclass
@@ -33,6 +49,8 @@ class Manifest:
     schema: T.StructType
     keys: list[str] = field(default_factory=list)
     buckets: int = 1
+    # [date key column, divisor that makes it a period], if rows are kept by period
+    period: list | None = None
     # [folder, bucket or None] pairs, relative to the table folder
     parts: list[list] = field(default_factory=list)
     meta: dict = field(default_factory=dict)
@@ -44,6 +62,7 @@ class Manifest:
                 "schema": self.schema.jsonValue(),
                 "keys": self.keys,
                 "buckets": self.buckets,
+                "period": self.period,
                 "parts": self.parts,
                 "meta": self.meta,
             }
@@ -65,7 +84,7 @@ class TableStore:
 
     def __init__(
         self, spark: SparkSession, root: str, buckets: dict[str, int] | None = None,
-        tracked: dict[str, str] | None = None,
+        tracked: dict[str, str] | None = None, periods: dict[str, tuple[str, int]] | None = None,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -76,6 +95,9 @@ class TableStore:
         self._plans: dict[tuple[str, str, int], DataFrame] = {}
         # column per "layer.table" whose highest value is kept in the manifest (surrogate keys)
         self.tracked = dict(tracked or {})
+        # date key column and divisor per "layer.table": 100 keeps a key of the form yyyymmdd by month, 1 by day;
+        # it holds for tables built from then on
+        self.period_plan = dict(periods or {})
 
     # -- layout ---------------------------------------------------------------
     def _dir(self, layer: str, table: str) -> str:
@@ -123,6 +145,26 @@ class TableStore:
         """Rows of some parts, of the newest version or of the one that ``of`` describes."""
         return self._read_parts(layer, table, of or self.manifest(layer, table), parts)
 
+    def periods(self, layer: str, table: str) -> list[int]:
+        """The periods that the newest version holds, in order, from its folders alone."""
+        m = self.manifest(layer, table)
+        return sorted({period_of(p[0]) for p in m.parts} - {None}) if m else []
+
+    def read_periods(self, layer: str, table: str, low: int, high: int | None = None) -> DataFrame:
+        """Rows of the periods from ``low`` to ``high`` (else of that one); no other folder is opened."""
+        m = self.manifest(layer, table)
+        if m.period is None:
+            raise ValueError(f"{layer}.{table} isn't kept by period")
+        wanted = range(low, (low if high is None else high) + 1)
+        return self._read_parts(layer, table, m, [p for p in m.parts if period_of(p[0]) in wanted])
+
+    def read_newest(self, layer: str, table: str) -> DataFrame:
+        """Rows of the newest period, as a snapshot table's last snapshot."""
+        found = self.periods(layer, table)
+        if not found:
+            return self.read(layer, table).limit(0)
+        return self.read_periods(layer, table, found[-1])
+
     def read_since(self, layer: str, table: str, batch: int) -> DataFrame | None:
         """Rows of appended batches above ``batch`` (None if there are none); older ones are not opened."""
         m = self.manifest(layer, table)
@@ -154,13 +196,31 @@ class TableStore:
         return name
 
     # -- writing --------------------------------------------------------------
+    @staticmethod
+    def _places(keys: list[str], buckets: int, period: list | None) -> dict[str, Column]:
+        """What names the folder of a row: its period and its bucket, as far as the table has them."""
+        out = {}
+        if period:
+            out[PERIOD] = F.floor(F.col(period[0]) / F.lit(period[1])).cast("bigint")
+        if buckets > 1:
+            out[BUCKET] = F.pmod(F.hash(*keys), F.lit(buckets))
+        return out
+
+    def _leaves(self, path: str, depth: int) -> list[str]:
+        """The folders ``depth`` levels below a path, relative to it."""
+        names = [n for n in self.files.names(path) if n.startswith("_") and "=" in n]
+        if depth == 1:
+            return names
+        return [f"{n}/{leaf}" for n in names for leaf in self._leaves(f"{path}/{n}", depth - 1)]
+
     def _write(
-        self, layer: str, table: str, new: DataFrame, keys: list[str], buckets: int, kept: DataFrame | None = None
+        self, layer: str, table: str, new: DataFrame, keys: list[str], buckets: int, kept: DataFrame | None = None,
+        period: list | None = None,
     ) -> tuple[list[list], dict]:
         """Write rows to a fresh folder; returns its parts and what was seen while writing.
 
-        New rows are grouped by bucket (a hot bucket is split over several tasks); kept
-        rows come from files that hold one bucket each, so they are not shuffled again.
+        New rows are grouped by period and bucket (a hot one is split over several tasks); kept
+        rows come from files that hold one of them each, so they are not shuffled again.
         """
         folder = f"data/{uuid.uuid4().hex}"
         path = f"{self._dir(layer, table)}/{folder}"
@@ -168,20 +228,24 @@ class TableStore:
         top = F.max(tracked) if tracked else F.max(F.lit(None).cast("bigint"))
         seen = Observation()
         new = new.observe(seen, F.count(F.lit(1)).alias("rows"), top.cast("bigint").alias("top"))
-        if buckets == 1:
+        places = self._places(keys, buckets, period)
+        if not places:
             rows = new if kept is None else kept.unionByName(new)
             rows.write.parquet(path)
             parts = [[folder, None]]
         else:
-            number = F.pmod(F.hash(*keys), F.lit(buckets))
-            rows = new.withColumn(BUCKET, number).hint("rebalance", BUCKET)
+            rows = new.withColumns(places).hint("rebalance", *places)
             if kept is not None:
-                rows = kept.withColumn(BUCKET, number).unionByName(rows)
-            rows.write.partitionBy(BUCKET).parquet(path)
-            found = [n for n in self.files.names(path) if n.startswith(f"{BUCKET}=")]
-            parts = [[f"{folder}/{n}", int(n.split("=")[1])] for n in found]
+                rows = kept.withColumns(places).unionByName(rows)
+            rows.write.partitionBy(*places).parquet(path)
+            parts = [[f"{folder}/{n}", self._bucket_of(n)] for n in self._leaves(path, len(places))]
         return parts, observed(seen, rows=0, top=None)
 
+    @staticmethod
+    def _bucket_of(folder: str) -> int | None:
+        found = re.search(rf"(?:^|/){BUCKET}=(\d+)(?:/|$)", folder)
+        return int(found[1]) if found else None
+
     def _next(self, layer: str, table: str) -> int:
         found = self.versions(layer, table)
         return (found[-1] + 1) if found else 1
@@ -199,20 +263,25 @@ class TableStore:
         """Add one immutable folder of rows; an empty one only creates the table. Returns the row count."""
         old = self.manifest(layer, table)
         schema = old.schema if old else _nullable(df.schema)
+        period = old.period if old else self._period_plan(layer, table)
         if old and [f.name for f in old.schema] != df.columns:
             raise ValueError(f"schema drift on {layer}.{table}: {df.columns}")
-        parts, seen = self._write(layer, table, df, [], 1)
+        parts, seen = self._write(layer, table, df, [], 1, period=period)
         meta = self._with_top(dict(old.meta) if old else {}, seen["top"])
         if seen["rows"] == 0:
             if old is None:
-                self._commit(layer, table, Manifest(1, schema, meta=meta))
+                self._commit(layer, table, Manifest(1, schema, period=period, meta=meta))
             return 0
         if batch is not None:
-            meta["batches"] = {**meta.get("batches", {}), parts[0][0]: batch}
-        self._commit(layer, table, Manifest(self._next(layer, table), schema, [], 1,
+            meta["batches"] = meta.get("batches", {}) | {folder: batch for folder, _ in parts}
+        self._commit(layer, table, Manifest(self._next(layer, table), schema, [], 1, period,
                                             (old.parts if old else []) + parts, meta))
         return seen["rows"]
 
+    def _period_plan(self, layer: str, table: str) -> list | None:
+        plan = self.period_plan.get(f"{layer}.{table}")
+        return list(plan) if plan else None
+
     def note(self, layer: str, table: str, **facts) -> None:
         """Record facts about a table in a new version of the same parts."""
         m = self.manifest(layer, table)
@@ -222,9 +291,11 @@ class TableStore:
         """Replace the whole table (first build or full rebuild); returns the row count. ``note`` is committed with it."""
         keys = list(keys or [])
         buckets = self.bucket_plan.get(f"{layer}.{table}", 1) if keys else 1
-        parts, seen = self._write(layer, table, df, keys, buckets)
+        period = self._period_plan(layer, table)
+        parts, seen = self._write(layer, table, df, keys, buckets, period=period)
         meta = self._with_top(dict(note or {}), seen["top"])
-        self._commit(layer, table, Manifest(self._next(layer, table), _nullable(df.schema), keys, buckets, parts, meta))
+        self._commit(layer, table, Manifest(self._next(layer, table), _nullable(df.schema), keys, buckets, period,
+                                            parts, meta))
         return seen["rows"]
 
     def rewrite(
@@ -236,12 +307,17 @@ class TableStore:
         new: DataFrame,
         note: dict | None = None,
     ) -> int:
-        """Replace the buckets that hold the keys in ``touched``; returns the number of new rows.
+        """Replace the folders that hold the keys in ``touched``; returns the number of new rows.
+
+        Without periods these are the keys' buckets. With periods the stored rows of the keys are
+        looked up in their buckets, reading the keys alone: the folders they stand in are replaced,
+        and those of the same period and bucket as a new row. A row that moves to another period
+        so leaves its old folder, and periods without a change are neither read whole nor written.
 
         ``keep`` maps the current rows of those buckets to the ones that stay, row by row
         (it may join, but not regroup them); ``new`` rows are added and the facts of ``note``
-        recorded in the same commit. Only bucket numbers, at most ``buckets`` of them, come to
-        the driver.
+        recorded in the same commit. Only numbers of buckets and names of folders, which the
+        manifest holds as well, come to the driver.
         """
         old = self.manifest(layer, table)
         columns = [f.name for f in old.schema]
@@ -255,50 +331,68 @@ class TableStore:
                 return 0
             current = self._read_parts(layer, table, old, [p for p in old.parts if p[1] in hit])
             others = [p for p in old.parts if p[1] not in hit]
+        if old.period:
+            gone = self._replaced(old, touched, new, current)
+            others = [p for p in old.parts if p[0] not in gone]
+            current = self._read_parts(layer, table, old, [p for p in old.parts if p[0] in gone])
         parts, seen = self._write(layer, table, new.select(columns), old.keys, old.buckets,
-                                  keep(current).select(columns))
+                                  keep(current).select(columns), old.period)
         meta = self._with_top(dict(old.meta) | (note or {}), seen["top"])
-        self._commit(layer, table, Manifest(self._next(layer, table), old.schema, old.keys, old.buckets,
+        self._commit(layer, table, Manifest(self._next(layer, table), old.schema, old.keys, old.buckets, old.period,
                                             others + parts, meta))
         return seen["rows"]
 
+    def _replaced(self, m: Manifest, touched: DataFrame, new: DataFrame, current: DataFrame) -> set[str]:
+        """The folders of a table by period that hold touched keys, or share period and bucket with a new row."""
+        keys = touched.select(*m.keys).distinct()
+        held = current.select(*m.keys, part_file().alias("part")).join(keys, m.keys, "left_semi")
+        gone = {r[0] for r in held.select("part").distinct().collect()}
+        places = self._places(m.keys, m.buckets, m.period)
+        taken = {(r[PERIOD], r[BUCKET] if m.buckets > 1 else None)
+                 for r in new.select(*[c.alias(n) for n, c in places.items()]).distinct().collect()}
+        return gone | {p[0] for p in m.parts if (period_of(p[0]), p[1]) in taken}
+
     def erase(self, layer: str, table: str, column: str, subjects: DataFrame) -> int:
         """Rewrite the folders that hold rows of the given ids; returns how many folders that were.
 
-        One distributed pass finds the files with hits. Batch numbers of appended folders
-        move to their replacements.
+        One distributed pass finds the folders with hits, one job writes the rows that stay of all
+        of them, each to a folder of its own below the same period and bucket. Only names of
+        folders, which the manifest holds as well, come to the driver. Batch numbers of appended
+        folders move to their replacements; a folder that loses all its rows has none.
         """
         old = self.manifest(layer, table)
-        ids = subjects.select(F.col("subject_id").alias("_sid"))
+        ids = subjects.select(F.col("subject_id").alias("_sid")).where("_sid is not null").distinct()
         match = F.col(column).cast("string") == F.col("_sid")
-        everything = self._read_parts(layer, table, old, old.parts)
-        files = everything.select(column, F.input_file_name().alias("_file")).join(ids, match, "left_semi")
-        hit_files = [r[0] for r in files.select("_file").distinct().collect()]
-        parts, meta = [], dict(old.meta)
-        batches = dict(meta.get("batches", {}))
-        n = 0
-        for folder, bucket in old.parts:
-            if not any(f"/{folder}/" in f for f in hit_files):
-                parts.append([folder, bucket])
-                continue
-            rows = self._read_parts(layer, table, old, [[folder, bucket]])
-            fresh = f"data/{uuid.uuid4().hex}"
-            rows.join(ids, match, "left_anti").write.parquet(f"{self._dir(layer, table)}/{fresh}")
-            parts.append([fresh, bucket])
-            if folder in batches:
-                batches[fresh] = batches.pop(folder)
-            n += 1
-        if n:
-            if batches:
-                meta["batches"] = batches
-            self._commit(layer, table, Manifest(self._next(layer, table), old.schema, old.keys, old.buckets,
-                                                parts, meta))
-        return n
+        found = self._read_parts(layer, table, old, old.parts).select(column, part_file().alias("part"))
+        hit = {r[0] for r in found.join(ids, match, "left_semi").select("part").distinct().collect()}
+        if not hit:
+            return 0
+        going = [p for p in old.parts if p[0] in hit]
+        numbers = self.spark.createDataFrame([(p[0], k) for k, p in enumerate(going)], f"part string, {REPLACED} int")
+        places = self._places(old.keys, old.buckets, old.period)
+        columns = [f.name for f in old.schema]
+        rows = (self._read_parts(layer, table, old, going).withColumn("part", part_file())
+                .join(F.broadcast(numbers), "part").join(ids, match, "left_anti")  # a row for each folder in the manifest
+                .select(*columns, *[c.alias(n) for n, c in places.items()], REPLACED))
+        folder = f"data/{uuid.uuid4().hex}"
+        path = f"{self._dir(layer, table)}/{folder}"
+        rows.write.partitionBy(*places, REPLACED).parquet(path)
+        meta, batches = dict(old.meta), dict(old.meta.get("batches", {}))
+        parts = [p for p in old.parts if p[0] not in hit]
+        for leaf in self._leaves(path, len(places) + 1):
+            fresh, was = f"{folder}/{leaf}", going[int(leaf.rsplit("=", 1)[1])]
+            parts.append([fresh, was[1]])
+            if was[0] in batches:
+                batches[fresh] = batches[was[0]]
+        if batches:
+            meta["batches"] = {f: n for f, n in batches.items() if f not in hit}
+        self._commit(layer, table, replace(old, version=self._next(layer, table), parts=parts, meta=meta))
+        return len(going)
 
     def expire(self, layer: str, table: str, keep: int = 2) -> int:
         """Drop all but the newest ``keep`` versions and the folders only they used."""
         found = self.versions(layer, table)
-        live = {p[0].split("/_bucket=")[0] for v in found[-keep:] for p in self.manifest(layer, table, v).parts}
+        live = {"/".join(p[0].split("/")[:2]) for v in found[-keep:] for p in self.manifest(layer, table, v).parts}
         base = self._dir(layer, table)
         for v in found[:-keep]:
             self._plans.pop((layer, table, v), None)

@@ -11,6 +11,7 @@ from lakestrata.operators.merge import without
 from lakestrata.operators.scd import close_superseded
 from lakestrata.plans.dimensions import SCD2_DIMENSIONS
 from lakestrata.plans.gate import Gate
+from lakestrata.plans.run import DAILY, MONTHLY
 from lakestrata.plans.silver import SPECS, merge_silver
 from lakestrata.session import scratch_root
 from lakestrata.sources.landing import ingest_table, landing_schema
@@ -71,6 +72,28 @@ def snk_replace_buckets(spark, sf):
     return store.read("gold", "fact_retail_sales")
 
 
+@query("sales_line_key:l invoice_number sales_amount:d source_record_id", "SELECT * FROM sales")
+def snk_replace_months(spark, sf):
+    """Delete by the changed invoices and insert, in the month folders that hold them."""
+    store, s = _store(spark), star(spark, sf)
+    store.period_plan, store.bucket_plan = MONTHLY, {}
+    changed, new, keys = s.changed_invoices(), s.new_sales(), ["invoice_number"]
+    store.overwrite("gold", "fact_retail_sales", s.sales(1), keys)
+    store.rewrite("gold", "fact_retail_sales", changed, lambda old: without(old, changed, keys), new)
+    return store.read("gold", "fact_retail_sales")
+
+
+@query("snapshot_date_key:l customer_key:l lifetime_order_count:l open_invoice_total:d", """
+    SELECT snapshot_date_key, customer_key, lifetime_order_count, open_invoice_total FROM bi_snapshot""")
+def snk_newest_snapshot(spark, sf):
+    """Two appended snapshot days; the newest is found from the folders and opened alone."""
+    store, rows = _store(spark), star(spark, sf).snapshot()
+    store.period_plan = DAILY
+    for day in (rows.withColumn("snapshot_date_key", F.col("snapshot_date_key") - 1), rows):
+        store.append("gold", "fact_customer_behavior_snapshot", day)
+    return store.read_newest("gold", "fact_customer_behavior_snapshot")
+
+
 @query("invoice_key:l source_record_id row_version:l valid_from valid_to is_current:b", "SELECT * FROM dim_invoice")
 def snk_append_versions(spark, sf):
     """New dimension versions are added and the superseded ones closed, bucket by bucket."""
