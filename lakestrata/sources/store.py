@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.intervals import Intervals
+from ..operators.contract import ContractError, admit
 from ..session import observed
 from .files import Files
 
@@ -85,6 +86,7 @@ class TableStore:
     def __init__(
         self, spark: SparkSession, root: str, buckets: dict[str, int] | None = None,
         tracked: dict[str, str] | None = None, periods: dict[str, tuple[str, int]] | None = None,
+        required: dict[str, list[str]] | None = None,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -98,6 +100,8 @@ class TableStore:
         # date key column and divisor per "layer.table": 100 keeps a key of the form yyyymmdd by month, 1 by day;
         # it holds for tables built from then on
         self.period_plan = dict(periods or {})
+        # columns per "layer.table" in which no written row may miss a value; tracked ones are required as well
+        self.required = dict(required or {})
 
     # -- layout ---------------------------------------------------------------
     def _dir(self, layer: str, table: str) -> str:
@@ -181,6 +185,16 @@ class TableStore:
         m = self.manifest(layer, table)
         return sorted(set(m.meta.get("batches", {}).values())) if m else []
 
+    def newest_value(self, layer: str, table: str, column: str) -> DataFrame:
+        """The highest value of a column that grows with the batches, from the folders of the last and the latest one."""
+        m = self.manifest(layer, table)
+        if m is None or not m.parts:
+            return self.spark.createDataFrame([(None,)], f"{column} {m.schema[column].dataType.simpleString() if m else 'void'}")
+        ids = m.meta.get("batches", {})
+        last = {ids.get(m.parts[-1][0]), max(ids.values(), default=None)}
+        wanted = [p for p in m.parts if ids.get(p[0]) in last or p[0] == m.parts[-1][0]]
+        return self._read_parts(layer, table, m, wanted).agg(F.max(column).alias(column))
+
     def read_unmerged(self, layer: str, table: str, merged: Intervals) -> DataFrame | None:
         """Rows of appended batches outside a set (None if there are none); folders without a number always count."""
         m = self.manifest(layer, table)
@@ -226,8 +240,10 @@ class TableStore:
         path = f"{self._dir(layer, table)}/{folder}"
         tracked = self.tracked.get(f"{layer}.{table}")
         top = F.max(tracked) if tracked else F.max(F.lit(None).cast("bigint"))
+        needed = sorted({*self.required.get(f"{layer}.{table}", ()), *([tracked] if tracked else [])} & set(new.columns))
         seen = Observation()
-        new = new.observe(seen, F.count(F.lit(1)).alias("rows"), top.cast("bigint").alias("top"))
+        new = new.observe(seen, F.count(F.lit(1)).alias("rows"), top.cast("bigint").alias("top"),
+                          *[F.count_if(F.col(c).isNull()).alias(f"null {c}") for c in needed])
         places = self._places(keys, buckets, period)
         if not places:
             rows = new if kept is None else kept.unionByName(new)
@@ -239,7 +255,12 @@ class TableStore:
                 rows = kept.withColumns(places).unionByName(rows)
             rows.write.partitionBy(*places).parquet(path)
             parts = [[f"{folder}/{n}", self._bucket_of(n)] for n in self._leaves(path, len(places))]
-        return parts, observed(seen, rows=0, top=None)
+        found = observed(seen, rows=0, top=None, **{f"null {c}": 0 for c in needed})
+        broken = [f"{c} is missing in {found[f'null {c}']} rows" for c in needed if found[f"null {c}"]]
+        if broken:
+            self.files.delete(path)
+            raise ContractError(f"contract of {layer}.{table}: {'; '.join(broken)}")
+        return parts, found
 
     @staticmethod
     def _bucket_of(folder: str) -> int | None:
@@ -259,14 +280,25 @@ class TableStore:
         m = self.manifest(layer, table)
         return 0 if m is None else m.meta.get("top", 0)
 
-    def append(self, layer: str, table: str, df: DataFrame, batch: int | None = None) -> int:
-        """Add one immutable folder of rows; an empty one only creates the table. Returns the row count."""
+    def append(self, layer: str, table: str, df: DataFrame, batch: int | None = None,
+               approve: Callable[[int, DataFrame], int] | None = None) -> int:
+        """Add one immutable folder of rows; an empty one only creates the table. Returns the row count.
+
+        ``approve`` is called with the number of rows and the rows as written, before they are
+        committed: it gives the number that counts, or raises and the rows are gone.
+        """
         old = self.manifest(layer, table)
-        schema = old.schema if old else _nullable(df.schema)
+        schema = admit(f"{layer}.{table}", old.schema, df.schema) if old else _nullable(df.schema)
         period = old.period if old else self._period_plan(layer, table)
-        if old and [f.name for f in old.schema] != df.columns:
-            raise ValueError(f"schema drift on {layer}.{table}: {df.columns}")
         parts, seen = self._write(layer, table, df, [], 1, period=period)
+        if approve is not None:
+            of = Manifest(0, schema)
+            try:
+                seen = {**seen, "rows": approve(seen["rows"], self._read_parts(layer, table, of, parts))}
+            except Exception:
+                for folder in {"/".join(p[0].split("/")[:2]) for p in parts}:
+                    self.files.delete(f"{self._dir(layer, table)}/{folder}")
+                raise
         meta = self._with_top(dict(old.meta) if old else {}, seen["top"])
         if seen["rows"] == 0:
             if old is None:
@@ -321,6 +353,9 @@ class TableStore:
         """
         old = self.manifest(layer, table)
         columns = [f.name for f in old.schema]
+        new = new.select(columns)
+        # kept rows are read with the types of the new ones if those are wider
+        old = replace(old, schema=admit(f"{layer}.{table}", old.schema, new.schema))
         if old.buckets == 1:
             current = self._read_parts(layer, table, old, old.parts)
             others: list[list] = []
@@ -335,7 +370,7 @@ class TableStore:
             gone = self._replaced(old, touched, new, current)
             others = [p for p in old.parts if p[0] not in gone]
             current = self._read_parts(layer, table, old, [p for p in old.parts if p[0] in gone])
-        parts, seen = self._write(layer, table, new.select(columns), old.keys, old.buckets,
+        parts, seen = self._write(layer, table, new, old.keys, old.buckets,
                                   keep(current).select(columns), old.period)
         meta = self._with_top(dict(old.meta) | (note or {}), seen["top"])
         self._commit(layer, table, Manifest(self._next(layer, table), old.schema, old.keys, old.buckets, old.period,

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from lakestrata.operators.contract import ContractError
 from lakestrata.operators.incremental import reconcile_delta, relationships_delta, unique_delta
 from lakestrata.operators.merge import without
 from lakestrata.operators.scd import close_superseded
@@ -223,3 +224,34 @@ def dq_run_quarantine(spark, sf):
         F.get_json_object("raw_row", "$.invoice_number").alias("invoice_number"), F.explode("reasons").alias("reason"),
         F.col("batch_key"))
     return aside.join(ledger.frame().select("batch_key", "rows_rejected"), "batch_key")
+
+
+@query("o_orderkey:l o_custkey:l price:d day refused:l", """
+    SELECT o_orderkey, o_custkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS price, CAST(o_orderdate AS TIMESTAMP) AS day,
+      3 AS refused FROM orders""")
+def snk_contract_drift(spark, sf):
+    """Orders by status: finished ones with small types, open ones with wider types, the rest refused until it fits.
+
+    Refused are narrower types, another column's type and missing keys; whichever status is the rest comes in at last.
+    """
+    store = _store(spark)
+    store.required = {"bronze.orders": ["o_orderkey"]}
+    rows = given.table(spark, sf, "orders").selectExpr(
+        "cast(o_orderkey as bigint) o_orderkey", "cast(o_custkey as bigint) o_custkey",
+        "cast(round(o_totalprice, 2) as decimal(18,2)) price", "cast(o_orderdate as timestamp_ntz) day", "o_orderstatus")
+    small = rows.selectExpr("cast(o_orderkey as int) o_orderkey", "cast(o_custkey as int) o_custkey",
+                            "cast(price as decimal(12,2)) price", "cast(day as date) day", "o_orderstatus")
+    finished, is_open = F.col("o_orderstatus") == "F", F.col("o_orderstatus") == "O"
+    store.append("bronze", "orders", small.where(finished))
+    store.append("bronze", "orders", rows.where(is_open))
+    rest = rows.where(~F.coalesce(finished | is_open, F.lit(False)))
+    unfit = (small.where(is_open), rows.withColumn("price", F.col("price").cast("string")),
+             rows.withColumn("o_orderkey", F.lit(None).cast("bigint")))
+    refused = 0
+    for batch in unfit:
+        try:
+            store.append("bronze", "orders", batch)
+        except ContractError:
+            refused += 1
+    store.append("bronze", "orders", rest)
+    return store.read("bronze", "orders").withColumn("refused", F.lit(refused))
