@@ -196,6 +196,22 @@ def freshness(landed: DataFrame, by: list[str], loaded_at: str, now: str | Colum
     )
 
 
+def source_freshness(newest: DataFrame, limits: Mapping[str, tuple[int | None, int | None]], now: str | Column) -> DataFrame:
+    """pass / warn / error / exempt per source from its newest row, each by its own limits in hours.
+
+    ``newest`` has a row per source (``source``, ``newest``); a source without limits or with none
+    of a kind can't reach that state, and one that never got a row is an error unless it is exempt.
+    """
+    at = ts(now) if isinstance(now, str) else now
+    rows = [(s, w, e) for s, (w, e) in limits.items()]
+    known = newest.sparkSession.createDataFrame(rows, "source string, warn_hours int, error_hours int")
+    age, bounded = F.timestamp_diff("HOUR", F.col("newest"), at), F.coalesce("warn_hours", "error_hours").isNotNull()
+    status = (F.when(~bounded, "exempt").when(F.col("newest").isNull(), "error").when(age > F.col("error_hours"), "error")
+              .when(age > F.col("warn_hours"), "warn").otherwise("pass"))
+    return (newest.join(F.broadcast(known), "source", "left")  # a row for each configured source
+            .select("source", "newest", age.alias("age_hours"), status.alias("status")))
+
+
 # -- row rules: flag and quarantine -----------------------------------------------
 @dataclass(frozen=True)
 class RowRule:
@@ -284,22 +300,37 @@ def header_vs_lines(invoice: DataFrame, line: DataFrame) -> DataFrame:
 
 
 # -- batch rules ------------------------------------------------------------------
+EMPTY_LOAD = "empty full load"
+UNEQUAL_COUNTS = "extracted differs from inserted plus rejected"
+FEWER_ROWS = "row count dropped by more than half"
+
+
+def load_issues(full: bool, extracted: int, kept: int, rejected: int, previous: int | None, least_share: float = 0.5) -> list[str]:
+    """The batch rules for a load that is about to be committed; ``kept`` are its sound rows, landed now or known already."""
+    found = [UNEQUAL_COUNTS] if extracted != kept + rejected else []
+    if full and extracted == 0:
+        found.append(EMPTY_LOAD)
+    elif full and previous is not None and extracted < previous * least_share:
+        found.append(FEWER_ROWS)
+    return found
+
+
 def batch_issues(ledger: DataFrame, drop_share: float = 0.5) -> DataFrame:
     """Batches that break a batch-level rule, one row per broken rule."""
     done = ledger.where("batch_status = 'succeeded'")
     full = done.where("load_type = 'full_load'")
     columns = ("batch_key", "target_table")
-    empty = full.where("rows_extracted = 0").select(*columns, F.lit("empty full load").alias("issue"))
+    empty = full.where("rows_extracted = 0").select(*columns, F.lit(EMPTY_LOAD).alias("issue"))
     counted = F.col("rows_inserted") + F.coalesce("rows_rejected", F.lit(0))
     unequal = done.where(F.col("rows_extracted") != counted).select(
-        *columns, F.lit("extracted differs from inserted plus rejected").alias("issue")
+        *columns, F.lit(UNEQUAL_COUNTS).alias("issue")
     )
     previous = neighbour(
         full, ["target_table"], ["batch_end_timestamp", "batch_key"], {"previous_rows": "rows_extracted"},
         F.to_date("batch_end_timestamp"),
     )
     dropped = previous.where(F.col("rows_extracted") < F.col("previous_rows") * (1 - drop_share)).select(
-        *columns, F.lit("row count dropped by more than half").alias("issue")
+        *columns, F.lit(FEWER_ROWS).alias("issue")
     )
     return empty.unionByName(unequal).unionByName(dropped)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 from threading import Lock
 
 from pyspark.sql import Column, DataFrame
@@ -17,9 +18,9 @@ from ..operators.incremental import Change
 from ..operators.merge import upsert, without
 from ..operators.scd import DimensionSpec, close_superseded, new_versions, scd2_apply
 from ..session import in_scope, scratch_scope, stage
-from ..sources.config import LandingConfig
+from ..sources.config import SERIES_TARGET, LandingConfig, freshness_limits
 from ..sources.landing import ingest_table
-from ..sources.ledger import Ledger, gold_watermark, latest_watermarks
+from ..sources.ledger import Ledger, gold_watermark, last_full_loads, latest_watermarks
 from ..sources.series import ingest_series
 from ..sources.store import TableStore
 from . import facts, serving
@@ -57,6 +58,8 @@ class RunReport:
     columns: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = field(default_factory=dict)
     merged: dict[str, int] = field(default_factory=dict)
     star: dict[str, int] = field(default_factory=dict)
+    # pass, warn, error or exempt by landing table, from the age of its newest row; it holds no mark back
+    freshness: dict[str, str] = field(default_factory=dict)
     failures: list[dq.Failure] = field(default_factory=list)
 
     @property
@@ -88,6 +91,7 @@ class Run:
         self.ledger = Ledger(self.store.spark, self.store.root, clock=lambda: self.run_ts)
         self.store.tracked |= {f"gold.{s.name}": s.key for s in SCD2_DIMENSIONS} | TRACKED
         self.store.period_plan = DAILY | self.store.period_plan
+        self.store.required |= {f"gold.{n}": list(columns[:1]) for n, columns in GOLD_KEYS.items()}
         self._trail_lock = Lock()
 
     def _each(self, work: Callable[[str], int], names: list[str]) -> dict[str, int]:
@@ -99,11 +103,13 @@ class Run:
     def land(self, sources: Mapping[str, DataFrame], documents: DataFrame | None = None,
              report: RunReport | None = None) -> dict[str, int]:
         marks = {r["target_table"]: r["watermark_value_end"] for r in latest_watermarks(self.ledger.frame()).collect()}
+        loads = {r["target_table"]: r["rows_extracted"] for r in last_full_loads(self.ledger.frame()).collect()}
 
         def one(name: str) -> int:
             cfg = self.config.table(name)
             mark = marks.get(cfg.target)
-            result = ingest_table(sources[name], cfg, self.store, self.ledger, self.run_ts, job=self.job, mark=mark)
+            result = ingest_table(sources[name], cfg, self.store, self.ledger, self.run_ts, job=self.job, mark=mark,
+                                  previous=loads.get(cfg.target), judge=True)
             if report is not None:
                 report.rejected[name], report.columns[name] = result.rejected, (result.dropped, result.unfilled)
             return result.appended
@@ -250,6 +256,18 @@ class Run:
         return self.store.append("gold", name, rows)
 
     # -- checks and the whole run -----------------------------------------------------
+    def freshness(self) -> DataFrame:
+        """State of every landing table by its own limits; only the folders of its last batches are read."""
+        targets = sorted({t.target for t in self.config.tables} | {SERIES_TARGET})
+        ages = [self._newest(n) for n in targets if self.store.exists("bronze", n)]
+        if not ages:
+            return self.store.spark.createDataFrame([], "source string, newest timestamp_ntz, age_hours bigint, status string")
+        return dq.source_freshness(reduce(DataFrame.unionByName, ages), {n: freshness_limits(n) for n in targets}, self.run_ts)
+
+    def _newest(self, target: str) -> DataFrame:
+        at = self.store.newest_value("bronze", target, "bronze_loaded_at_timestamp")
+        return at.select(F.lit(target).alias("source"), F.col("bronze_loaded_at_timestamp").alias("newest"))
+
     def check(self) -> list[dq.Failure]:
         """The failing checks; each judges what changed since it last ran."""
         t = self.tables()
@@ -269,6 +287,7 @@ class Run:
                  checks: bool) -> None:
         try:
             report.landed = self.land(sources, documents, report)
+            report.freshness = {r["source"]: r["status"] for r in self.freshness().collect()} if checks else {}
             report.merged = self.merge()
             batches = {
                 target: self.ledger.start(target, "silver", kind, initiated_by=self.job)

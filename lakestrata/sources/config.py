@@ -27,6 +27,8 @@ class TableConfig:
     strategy: str = "incremental"
     watermark: str | None = None
     keys: tuple[str, ...] = ()
+    # a full load that brings less than this share of the rows of the last one fails; 0 accepts any number but none
+    least_share: float = 0.5
 
     @property
     def source_system(self) -> str:
@@ -70,6 +72,16 @@ DEFAULT_TABLES = (
 )
 SERIES_TARGET = "econ_indicator"
 
+# Hours after its newest row at which a source is late and overdue; (None, None) is exempt.
+FRESHNESS_HOURS: dict[str, tuple[int | None, int | None]] = {SERIES_TARGET: (35 * 24, 45 * 24)}
+
+
+def freshness_limits(target: str) -> tuple[int | None, int | None]:
+    """Reference tables change rarely and are exempt; what isn't named otherwise is expected daily."""
+    if target in FRESHNESS_HOURS:
+        return FRESHNESS_HOURS[target]
+    return (None, None) if target.startswith("ref_") else (24, 48)
+
 # Source column -> landing column, for every table and per landing table.
 COMMON_RENAMES = {
     "created_at": "created_at_source_timestamp",
@@ -222,7 +234,7 @@ def load_config(path: str | None = None, env: Mapping[str, str] | None = None) -
             raise ValueError("every configured table needs a bronze_table")
         tables = tuple(
             TableConfig(r["name"], r["bronze_table"], r.get("load_strategy", default),
-                        r.get("watermark_column"), tuple(r.get("key_columns") or ()))
+                        r.get("watermark_column"), tuple(r.get("key_columns") or ()), float(r.get("least_share", 0.5)))
             for r in rows
         )
         cfg = replace(cfg, tables=tables)

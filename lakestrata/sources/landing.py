@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
 
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.dates import ts
 from ..functions.hashing import landing_hash
+from ..operators.quality import load_issues
 from ..session import observed, stage
 from .config import (
     COMMON_RENAMES,
@@ -19,7 +21,7 @@ from .config import (
     identifier,
     landing_schema,
 )
-from .ledger import Batch, Ledger, last_watermark
+from .ledger import Batch, Ledger, last_full_load, last_watermark
 from .store import TableStore
 
 LOOKBACK = timedelta(hours=1)
@@ -205,12 +207,21 @@ class LandingResult:
     unfilled: tuple[str, ...] = ()
 
 
+class BatchRejected(RuntimeError):
+    """A load broke a rule about its batch as a whole; nothing of it was committed."""
+
+
 def land(
     store: TableStore, rows: DataFrame, cfg: TableConfig, batch: Batch, run_ts: str, *,
-    skip: bool, mark_column: str | None, system: str | None = None,
+    skip: bool, mark_column: str | None, system: str | None = None, full: bool = False, previous: int | None = None,
 ) -> LandingResult:
     """Append one extracted batch; counts and the high-water mark come from the writing pass.
 
+    Before the commit the batch is judged as a whole: every extracted row must be landed, known or
+    rejected, and a ``full`` load must bring rows, and not far fewer than the ``previous`` one.
+    Counts that don't tie out are taken again, exactly, as tasks repeated after a lost executor
+    may have been counted twice.
+
     Rows without a sound key are set aside: they are counted in that pass and, if there are any,
     written to the table's quarantine. The mark covers them, so they aren't read again.
     """
@@ -222,34 +233,51 @@ def land(
     counted = rows.withColumn("_rejected", rejected).observe(
         seen, F.count(F.lit(1)).alias("n"), F.count_if("_rejected").alias("rejected"), mark.alias("mark"))
     sound = standardize(counted.where("not _rejected").drop("_rejected"), cfg, batch.key, run_ts, system)
-    if known and skip and cfg.keys:
-        # the snapshot is read from the source once, then compared with what is landed
-        snapshot = stage(sound, f"snapshot-{cfg.target}")
+    # full loads of known tables are read from the source once, then compared with what is landed
+    snapshot = stage(sound, f"snapshot-{cfg.target}") if known and skip and cfg.keys else None
+    found: dict = {}
+
+    def approve(appended: int, written: DataFrame) -> int:
+        found.update(observed(seen, n=0, rejected=0, mark=None))
+        kept = snapshot.count() if snapshot is not None else appended
+        if found["n"] != kept + found["rejected"]:
+            exact = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(rejected).alias("rejected")).first()
+            found.update(exact.asDict())
+            appended = written.count()
+            kept = snapshot.count() if snapshot is not None else appended
+        issues = load_issues(full, found["n"], kept, found["rejected"], previous, cfg.least_share)
+        if issues:
+            raise BatchRejected(f"{cfg.target}: {'; '.join(issues)}")
+        return appended
+
+    fresh = sound
+    if snapshot is not None:
         fresh = skip_unchanged(snapshot, current_hashes(store.read("bronze", cfg.target), cfg.keys))
-        appended = _append(store, fresh, cfg, batch)
-    else:
-        appended = _append(store, sound, cfg, batch)
-    found = observed(seen, n=0, rejected=0, mark=None)
+    appended = _append(store, fresh, cfg, batch, approve)
     if found["rejected"]:
         quarantine(store, rows, cfg, batch, run_ts, found["rejected"])
     gap = column_gap(rows, cfg)
     return LandingResult(batch, found["n"], appended, found["mark"], found["rejected"], *map(tuple, gap))
 
 
-def _append(store: TableStore, rows: DataFrame, cfg: TableConfig, batch: Batch) -> int:
+def _append(store: TableStore, rows: DataFrame, cfg: TableConfig, batch: Batch,
+            approve: Callable[[int, DataFrame], int] | None = None) -> int:
     """Number the rows after every id landed so far and commit them as one batch."""
     start = store.top("bronze", cfg.target)
     numbered = rows.withColumn(RECORD_ID, F.monotonically_increasing_id() + F.lit(start + 1))
-    return store.append("bronze", cfg.target, numbered.select(landing_schema(cfg.target).fieldNames()), batch.key)
+    return store.append("bronze", cfg.target, numbered.select(landing_schema(cfg.target).fieldNames()), batch.key, approve)
 
 
 def ingest_table(
     source: DataFrame, cfg: TableConfig, store: TableStore, ledger: Ledger, run_ts: str, *,
     strategy: str | None = None, job: str = "warehouse_run", mark: str | None | bool = True,
+    previous: int | None | bool = True, judge: bool = False,
 ) -> LandingResult:
     """Open a batch, extract, append, then complete or fail the batch.
 
-    ``mark`` may carry the already looked-up watermark, to spare one ledger query per table.
+    With ``judge`` a full load that is empty, or far smaller than the last one, fails as a whole;
+    without, its size is the caller's matter. ``mark`` and ``previous`` may carry the already
+    looked-up watermark and the rows of the last full load, to spare ledger queries per table.
     """
     strategy = strategy or cfg.strategy
     load_type = replace(cfg, strategy=strategy).load_type  # what is done, not what the table's setting says
@@ -259,8 +287,11 @@ def ingest_table(
     try:
         if mark is True:
             mark = last_watermark(ledger.frame(), cfg.target) if strategy == "incremental" else None
-        rows = extract(source, cfg, mark, strategy)
-        result = land(store, rows, cfg, batch, run_ts, skip=strategy == "full_load", mark_column=cfg.watermark)
+        rows, full = extract(source, cfg, mark, strategy), strategy == "full_load"
+        if previous is True:
+            previous = last_full_load(ledger.frame(), cfg.target) if full and judge else None
+        result = land(store, rows, cfg, batch, run_ts, skip=full, mark_column=cfg.watermark, full=full and judge,
+                      previous=previous)
         ledger.complete(batch, result.extracted, result.appended, result.watermark, result.rejected)
         return result
     except Exception as exc:

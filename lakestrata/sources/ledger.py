@@ -187,6 +187,18 @@ def last_watermark(ledger: DataFrame, target: str) -> str | None:
     return row["watermark_value_end"] if row else None
 
 
+def last_full_loads(ledger: DataFrame) -> DataFrame:
+    """Rows extracted by the newest succeeded full load of every target."""
+    done = succeeded(ledger).where("load_type = 'full_load'")
+    return done.groupBy("target_table").agg(
+        F.max_by("rows_extracted", F.struct("batch_end_timestamp", "batch_key")).alias("rows_extracted"))
+
+
+def last_full_load(ledger: DataFrame, target: str) -> int | None:
+    row = last_full_loads(ledger.where(F.col("target_table") == target)).first()
+    return row["rows_extracted"] if row else None
+
+
 def series_start(ledger: DataFrame, target: str) -> str | None:
     """First observation date to pull again: the date part of the highest mark (text order)."""
     hit = succeeded(ledger).where(F.col("target_table") == target)

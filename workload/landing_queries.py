@@ -9,6 +9,7 @@ from lakestrata.functions.intervals import Intervals
 from lakestrata.operators import quality as dq
 from lakestrata.plans import governance as gov
 from lakestrata.sources import landing, ledger as led, series
+from lakestrata.sources.config import freshness_limits
 
 from . import given
 from .registry import query
@@ -227,3 +228,20 @@ def dq_batch_rules(spark, sf):
     FROM events GROUP BY 1""")
 def dq_freshness(spark, sf):
     return dq.freshness(given.table(spark, sf, "events"), ["event_type"], "ts", "2024-02-01 00:05:00")
+
+
+@query("source newest age_hours:l status", """
+    WITH newest AS (SELECT CASE event_type WHEN 'view' THEN 'ref_view' WHEN 'click' THEN 'econ_indicator' ELSE 'oltp_' || event_type END AS source,
+        max(ts) AS newest FROM events GROUP BY 1),
+      aged AS (SELECT *, date_sub('hour', newest, TIMESTAMP '2024-03-07 12:00:00') AS h FROM newest)
+    SELECT source, newest, h AS age_hours, CASE WHEN source = 'ref_view' THEN 'exempt'
+      WHEN source = 'econ_indicator' THEN CASE WHEN h > 45 * 24 THEN 'error' WHEN h > 35 * 24 THEN 'warn' ELSE 'pass' END
+      WHEN h > 48 THEN 'error' WHEN h > 24 THEN 'warn' ELSE 'pass' END AS status FROM aged""")
+def dq_freshness_sla(spark, sf):
+    """Event types as sources: views as an exempt reference table, clicks as the monthly series, the others daily."""
+    kind = F.col("event_type")
+    source = F.when(kind == "view", "ref_view").when(kind == "click", "econ_indicator").otherwise(F.concat(F.lit("oltp_"), kind))
+    newest = given.table(spark, sf, "events").groupBy(source.alias("source")).agg(F.max("ts").alias("newest"))
+    limits = {n: freshness_limits(n) for n in ("ref_view", "econ_indicator")}
+    other = [r[0] for r in newest.select("source").collect() if r[0] not in limits]  # a row for each source
+    return dq.source_freshness(newest, limits | {n: freshness_limits(n) for n in other}, "2024-03-07 12:00:00")
