@@ -72,12 +72,23 @@ def jdbc_scan(
     return reader.load()
 
 
+FILE_TIME = "source_file_modified_at"
+LINEAGE = ("bronze_source_file_name", "bronze_source_row_number", FILE_TIME)
+
+
 def with_file_lineage(source: DataFrame) -> DataFrame:
-    """File name and modification time of file-based sources (the latter serves as their watermark)."""
+    """File name, row number (from 1) and modification time of file-based sources.
+
+    The time serves as their watermark: a filter on it is decided file by file, so files up to the
+    mark aren't opened. Formats without row positions, such as CSV, leave the number unset.
+    """
+    numbered = "row_index" in source.select("_metadata").schema["_metadata"].dataType.names
+    number = F.col("_metadata.row_index") + 1 if numbered else F.lit(None)
     return source.select(
         "*",
         F.col("_metadata.file_path").alias("bronze_source_file_name"),
-        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("source_file_modified_at"),
+        number.cast("bigint").alias("bronze_source_row_number"),
+        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias(FILE_TIME),
     )
 
 
@@ -92,9 +103,13 @@ def standardize(
     source: DataFrame, cfg: TableConfig, batch_id: int, run_ts: str,
     system: str | None = None, schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Source row -> landing row: payload, renames, delete flag, hash, stamps, target columns only."""
+    """Source row -> landing row: payload, renames, delete flag, hash, stamps, target columns only.
+
+    Where a row came from is neither payload nor part of its hash; the file's time stands in for
+    the time of change if the source has none.
+    """
     schema = schema or landing_schema(cfg.target)
-    lineage = [c for c in ("bronze_source_file_name", "bronze_source_row_number") if c in source.columns]
+    lineage = [c for c in LINEAGE if c in source.columns]
     raw = [c for c in source.columns if c not in lineage]
     df = source.withColumn("bronze_raw_payload_jsonb", F.to_json(F.struct(*raw), {"ignoreNullFields": "false"}))
     stamps = [c for c in ("source_updated_at", "updated_at") if c in raw]
@@ -111,6 +126,8 @@ def standardize(
         "bronze_extracted_at_timestamp": ts(run_ts),
         "bronze_loaded_at_timestamp": ts(run_ts),
     })
+    if FILE_TIME in lineage and "updated_at_source_timestamp" not in df.columns:
+        df = df.withColumn("updated_at_source_timestamp", F.col(FILE_TIME))
     have = set(df.columns)
     return df.selectExpr(*[
         f"cast({f.name if f.name in have else 'null'} as {f.dataType.simpleString()}) as {f.name}"
@@ -122,8 +139,9 @@ def column_gap(source: DataFrame, cfg: TableConfig) -> tuple[list[str], list[str
     """(source columns without a landing column, landing columns nothing fills)."""
     landed = {**COMMON_RENAMES, **TABLE_RENAMES.get(cfg.target, {})}
     names = {landed.get(c, c) for c in source.columns}
-    if names & {"source_updated_at", "updated_at"}:
-        names = (names - {"source_updated_at", "updated_at"}) | {"updated_at_source_timestamp"}
+    stamps = {"source_updated_at", "updated_at", FILE_TIME}
+    if names & stamps:
+        names = (names - stamps) | {"updated_at_source_timestamp"}
     target = [f.name for f in landing_schema(cfg.target).fields]
     business = [c for c in target if not c.startswith("bronze_")]
     return sorted(names - set(target)), sorted(set(business) - names)

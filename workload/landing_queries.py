@@ -107,6 +107,17 @@ def src_file_lineage(spark, sf):
                        F.col("source_file_modified_at").isNotNull().alias("modified"))
 
 
+@query("o_orderstatus rows:l numbered:l different:l lowest:l highest:l", """
+    SELECT o_orderstatus, count(*) AS rows, count(*) AS numbered, count(*) AS different, min(n) AS lowest, max(n) AS highest
+    FROM (SELECT o_orderstatus, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders) o GROUP BY 1""")
+def src_file_rows(spark, sf):
+    """Row numbers of the orders' file, which is written in the order of its keys, by status."""
+    rows, number = landing.with_file_lineage(given.table(spark, sf, "orders")), F.col("bronze_source_row_number")
+    return rows.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("rows"), F.count(number).alias("numbered"), F.countDistinct(number).alias("different"),
+        F.min(number).alias("lowest"), F.max(number).alias("highest"))
+
+
 @query("bronze_batch_id:l bronze_source_system bronze_source_table_name bronze_is_deleted_flag:b bronze_extracted_at_timestamp "
        "product_id:l sku unit_cost_amount:d is_local_made_flag:b updated_at_source_timestamp source_row_version:l payload_sku", f"""
     SELECT 2 AS bronze_batch_id, 'oltp' AS bronze_source_system, 'product' AS bronze_source_table_name, false AS bronze_is_deleted_flag,
