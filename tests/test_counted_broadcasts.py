@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakestrata.operators import sieve
+from lakestrata.plans.dimensions import invoice_parts
 from lakestrata.session import stage
 
 MANY = 100_000
@@ -44,3 +45,21 @@ def test_the_exact_join_goes_by_the_count(spark, limit):
     assert joins(sieve.anti(rows, keys, ["k"]), "LeftAnti") == {"SortMergeJoin"}
     assert joins(sieve.semi(rows, ids(spark, 1000), ["k"]), "LeftSemi") == {"BroadcastHashJoin"}
     assert sieve.semi(rows, keys, ["k"]).count() == MANY and sieve.anti(rows, keys, ["k"]).count() == 2 * MANY
+
+
+def test_customers_of_invoices_go_by_the_count(spark, limit):
+    stamp = "timestamp_ntz'2000-01-01 00:00:00'"
+    customer = stage(spark.range(0, MANY, 1, 2).selectExpr(
+        "id silver_customer_id", "'A' || id silver_customer_account_no", "'Print Co' silver_customer_name",
+        f"{stamp} silver_updated_at_timestamp", "'x' a", "'y' b", "'z' c"), "customer", "zstd")
+    invoice = spark.range(0, 500, 1, 2).selectExpr(
+        "id silver_invoice_id", "id * 3 silver_customer_id", "1L silver_store_id", "false silver_is_deleted_flag", "'s' silver_source_system",
+        f"{stamp} silver_source_updated_at_timestamp", "'I' || id silver_invoice_number", "'P' silver_po_number",
+        "date'2000-01-01' silver_invoice_date", "'paid' silver_invoice_status", "cast(1 as decimal(18,2)) silver_total_amount",
+        f"{stamp} silver_updated_at_timestamp")
+    store = spark.sql(f"select 1L silver_store_id, 'S' silver_store_code, 'N' silver_store_name, {stamp} silver_updated_at_timestamp")
+    t = {"invoice": stage(invoice, "invoice"), "customer": customer, "store": store}
+    for since in (None, "1999-01-01 00:00:00"):
+        parts = invoice_parts(t, since)
+        assert "SortMergeJoin" in joins(parts, "LeftOuter")
+        assert parts.where("silver_customer_account_no = 'A' || cast(source_record_id as bigint) * 3").count() == 500
