@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from lakestrata.operators import sieve
 from lakestrata.plans.dimensions import invoice_parts
 from lakestrata.session import stage
+from workload import given
 
 MANY = 100_000
 
@@ -63,3 +64,13 @@ def test_customers_of_invoices_go_by_the_count(spark, limit):
         parts = invoice_parts(t, since)
         assert "SortMergeJoin" in joins(parts, "LeftOuter")
         assert parts.where("silver_customer_account_no = 'A' || cast(source_record_id as bigint) * 3").count() == 500
+
+
+def test_joined_source_tables_go_by_the_count(spark, limit, tmp_path):
+    spark.range(0, MANY, 1, 1).selectExpr("id p_partkey", "'n' p_name", "'b' p_brand", "'t' p_type", "1 p_size", "2.5D p_retailprice").write.parquet(
+        f"{tmp_path}/part.parquet")
+    spark.range(0, 50, 1, 1).selectExpr(
+        "id l_orderkey", "id * 7 l_partkey", "id l_suppkey", "1 l_linenumber", "1D l_quantity", "9D l_extendedprice", "0.1D l_discount",
+        "0D l_tax", "'N' l_returnflag", "'O' l_linestatus", "timestamp_ntz'2000-01-01 00:00:00' l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    lines = given.source(spark, str(tmp_path), "invoice_line")
+    assert joins(lines, "Inner") == {"SortMergeJoin"} and lines.count() == 50
