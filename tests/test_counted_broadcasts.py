@@ -4,6 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakestrata.operators import sieve
+from lakestrata.operators.asof import as_of_lookup
+from lakestrata.operators.merge import upsert
+from lakestrata.operators.scd import close_superseded
 from lakestrata.plans.dimensions import invoice_parts
 from lakestrata.session import stage
 from workload import given
@@ -48,6 +51,15 @@ def test_the_exact_join_goes_by_the_count(spark, limit):
     assert sieve.semi(rows, keys, ["k"]).count() == MANY and sieve.anti(rows, keys, ["k"]).count() == 2 * MANY
 
 
+def test_upsert_of_stored_changes_tells_rows_by_a_bitmap(spark, limit):
+    target = stage(ids(spark, 3 * MANY).withColumn("v", F.lit(0)), "target", "zstd")
+    changes = stage(ids(spark).withColumn("v", F.lit(1)), "changes", "zstd")
+    whole = upsert(target, changes, ["k"], stored=True)
+    assert "_bits" in whole._jdf.queryExecution().optimizedPlan().toString()
+    assert joins(whole, "LeftAnti") == {"SortMergeJoin"}
+    assert whole.agg(F.count("k"), F.sum("k"), F.sum("v")).first()[:] == (3 * MANY, sum(range(3 * MANY)), MANY)
+
+
 def test_customers_of_invoices_go_by_the_count(spark, limit):
     stamp = "timestamp_ntz'2000-01-01 00:00:00'"
     customer = stage(spark.range(0, MANY, 1, 2).selectExpr(
@@ -66,6 +78,18 @@ def test_customers_of_invoices_go_by_the_count(spark, limit):
         assert parts.where("silver_customer_account_no = 'A' || cast(source_record_id as bigint) * 3").count() == 500
 
 
+def test_ended_versions_and_wanted_ids_go_by_the_count(spark, limit):
+    day = F.lit("2000-01-01").cast("date")
+    target = ids(spark, 2 * MANY).selectExpr(
+        "k", "cast(k as string) source_record_id", "1 row_version", "true is_current", "date'1900-01-01' valid_from",
+        "cast(null as date) valid_to", "timestamp_ntz'2000-01-01 00:00:00' etl_updated_timestamp")
+    added = ids(spark).selectExpr("cast(k as string) source_record_id", "2 row_version", "date'2001-01-01' valid_from")
+    closed = close_superseded(target, added, "k", "2001-01-01 08:00:00", MANY)
+    assert joins(closed, "LeftOuter") == {"SortMergeJoin"} and closed.where("not is_current").count() == MANY
+    looked = as_of_lookup(ids(spark, 10), target, "k", day, "k", "key", wanted=ids(spark))
+    assert "SortMergeJoin" in joins(looked, "LeftSemi") and looked.where("key = k").count() == 10
+
+
 def test_joined_source_tables_go_by_the_count(spark, limit, tmp_path):
     spark.range(0, MANY, 1, 1).selectExpr("id p_partkey", "'n' p_name", "'b' p_brand", "'t' p_type", "1 p_size", "2.5D p_retailprice").write.parquet(
         f"{tmp_path}/part.parquet")
