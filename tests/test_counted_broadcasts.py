@@ -7,6 +7,7 @@ from lakestrata.operators import sieve
 from lakestrata.operators.asof import as_of_lookup
 from lakestrata.operators.merge import upsert
 from lakestrata.operators.scd import close_superseded
+from lakestrata.plans import facts
 from lakestrata.plans.dimensions import invoice_parts
 from lakestrata.session import stage
 from workload import given
@@ -90,6 +91,20 @@ def test_ended_versions_and_wanted_ids_go_by_the_count(spark, limit):
     assert "SortMergeJoin" in joins(looked, "LeftSemi") and looked.where("key = k").count() == 10
 
 
+def test_reloaded_payments_are_found_by_a_bitmap(spark, limit, monkeypatch):
+    asked = []
+
+    def found(rows, keys, on):
+        asked.append((keys.count(), on))
+        raise KeyError("the rest needs more tables")
+
+    monkeypatch.setattr(facts, "semi", found, raising=False)
+    changed = stage(ids(spark).selectExpr("cast(k as string) source_record_id"), "changed", "zstd")
+    with pytest.raises(KeyError):
+        facts.payment_rows({"payment": ids(spark, name="silver_payment_id")}, changed)
+    assert asked == [(MANY, ["silver_payment_id"])]
+
+
 def test_joined_source_tables_go_by_the_count(spark, limit, tmp_path):
     spark.range(0, MANY, 1, 1).selectExpr("id p_partkey", "'n' p_name", "'b' p_brand", "'t' p_type", "1 p_size", "2.5D p_retailprice").write.parquet(
         f"{tmp_path}/part.parquet")
