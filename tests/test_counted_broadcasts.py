@@ -63,7 +63,7 @@ def test_upsert_of_stored_changes_tells_rows_by_a_bitmap(spark, limit):
 
 def test_customers_of_invoices_go_by_the_count(spark, limit):
     stamp = "timestamp_ntz'2000-01-01 00:00:00'"
-    customer = stage(spark.range(0, MANY, 1, 2).selectExpr(
+    customer = stage(spark.range(0, 2 * MANY, 1, 2).selectExpr(
         "id silver_customer_id", "'A' || id silver_customer_account_no", "'Print Co' silver_customer_name",
         f"{stamp} silver_updated_at_timestamp", "'x' a", "'y' b", "'z' c"), "customer", "zstd")
     invoice = spark.range(0, 500, 1, 2).selectExpr(
@@ -87,7 +87,7 @@ def test_ended_versions_and_wanted_ids_go_by_the_count(spark, limit):
     added = ids(spark).selectExpr("cast(k as string) source_record_id", "2 row_version", "date'2001-01-01' valid_from")
     closed = close_superseded(target, added, "k", "2001-01-01 08:00:00", MANY)
     assert joins(closed, "LeftOuter") == {"SortMergeJoin"} and closed.where("not is_current").count() == MANY
-    looked = as_of_lookup(ids(spark, 10), target, "k", day, "k", "key", wanted=ids(spark))
+    looked = as_of_lookup(ids(spark, 10), target, "k", day, "k", "key", wanted=ids(spark, 5 * MANY))
     assert "SortMergeJoin" in joins(looked, "LeftSemi") and looked.where("key = k").count() == 10
 
 
@@ -106,7 +106,7 @@ def test_reloaded_payments_are_found_by_a_bitmap(spark, limit, monkeypatch):
 
 
 def test_joined_source_tables_go_by_the_count(spark, limit, tmp_path):
-    spark.range(0, MANY, 1, 1).selectExpr("id p_partkey", "'n' p_name", "'b' p_brand", "'t' p_type", "1 p_size", "2.5D p_retailprice").write.parquet(
+    spark.range(0, 3 * MANY, 1, 1).selectExpr("id p_partkey", "'n' p_name", "'b' p_brand", "'t' p_type", "1 p_size", "2.5D p_retailprice").write.parquet(
         f"{tmp_path}/part.parquet")
     spark.range(0, 50, 1, 1).selectExpr(
         "id l_orderkey", "id * 7 l_partkey", "id l_suppkey", "1 l_linenumber", "1D l_quantity", "9D l_extendedprice", "0.1D l_discount",
